@@ -103,31 +103,39 @@ def merge(
     """
     if check:
         check_merge(target, source, key)
-    fresh = source.select(
-        F.col(key).alias("__src_key"),
-        *[value.alias(f"__set_{name}") for name, value in on_match.items()],
-        *[value.alias(f"__new_{name}") for name, value in on_insert.items()],
-        F.lit(True).alias("__src"),
-    )
-    both = target.withColumn("__tgt", F.lit(True)).join(fresh, F.col(key) == F.col("__src_key"), "full_outer")
-    matched = F.col("__tgt") & F.col("__src")
-    added = F.col("__tgt").isNull()
-    action = F.when(matched, "UPDATE").when(added, "INSERT")
-
-    def new_value(name: str) -> Column:
-        if name == key and name not in on_insert:
-            inserted = F.col("__src_key")
-        else:
-            inserted = F.col(f"__new_{name}") if name in on_insert else F.lit(None)
-        changed = F.col(f"__set_{name}") if name in on_match else F.col(name)
-        return F.when(added, inserted).when(matched, changed).otherwise(F.col(name))
+    setters = source.select(
+        F.col(key).alias("__key"), *[value.alias(f"__set_{name}") for name, value in on_match.items()]
+    ).withColumn("__hit", F.lit(True))
+    # A left join leaves Spark free to broadcast a small source, and to split
+    # a hot key of the target; a full join would allow neither.
+    touched = target.join(setters, F.col(key) == F.col("__key"), "left")
+    hit = F.col("__hit").isNotNull()
 
     dtypes = {field.name: field.dataType for field in target.schema.fields}
-    table = both.select(*[new_value(name).cast(dtypes[name]).alias(name) for name in target.columns])
-    log = both.filter(action.isNotNull()).select(
-        action.alias("action"),
-        F.coalesce(F.col(key), F.col("__src_key")).alias(key),
-        *[F.col(name).alias(f"old_{name}") for name in on_match],
-        *[new_value(name).cast(dtypes[name]).alias(f"new_{name}") for name in on_match],
+
+    def updated(name: str) -> Column:
+        if name not in on_match:
+            return F.col(name)
+        return F.when(hit, F.col(f"__set_{name}").cast(dtypes[name])).otherwise(F.col(name))
+
+    def inserted(name: str) -> Column:
+        default = F.col(key) if name == key else F.lit(None)
+        return on_insert.get(name, default).cast(dtypes[name])
+
+    fresh = source.join(target.select(key).distinct(), key, "left_anti")
+    added = fresh.select(*[inserted(name).alias(name) for name in target.columns])
+    table = touched.select(*[updated(name).alias(name) for name in target.columns]).unionByName(added)
+
+    def log_row(action: str, rows: DataFrame, old, new) -> DataFrame:
+        return rows.select(
+            F.lit(action).alias("action"),
+            key,
+            *[old(name).alias(f"old_{name}") for name in on_match],
+            *[new(name).alias(f"new_{name}") for name in on_match],
+        )
+
+    nothing = lambda name: F.lit(None).cast(dtypes[name])
+    log = log_row("UPDATE", touched.filter(hit), F.col, updated).unionByName(
+        log_row("INSERT", added, nothing, F.col)
     )
     return Change(table, log)

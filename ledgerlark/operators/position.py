@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.session import freeze
+from ledgerlark.session import stage
 
 # monotonically_increasing_id keeps the partition number above this bit and
 # the place in the partition below it.
@@ -30,7 +30,7 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     spark = df.sparkSession
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = df.repartitionByRange(slots, *order).sortWithinPartitions(*order)
-    placed = freeze(sorted_rows.withColumn("__id", F.monotonically_increasing_id()))
+    placed = stage(sorted_rows.withColumn("__id", F.monotonically_increasing_id()), "placed")
     slot = F.shiftright("__id", ROW_BITS)
     in_slot = F.col("__id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     # One row per partition of the range exchange above: at most ``slots``.

@@ -18,18 +18,19 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_n_with_ties(df: DataFrame, n: int, *keys: str, descending: bool = True) -> DataFrame:
+def top_n_with_ties(df: DataFrame, n: int, *keys: str, descending: bool = True, nullable: bool = True) -> DataFrame:
     """All rows whose key is not worse than the key of the n-th row.
 
     The n-th key is found with a bounded sort and becomes a constant of a
-    plain filter, so any number of ties stays spread over the tasks.
+    plain filter, so any number of ties stays spread over the tasks. For one
+    key without NULLs the filter also reaches the parquet scan.
     """
-    key = F.struct(*[F.col(name) for name in keys])
     order = [F.col(name).desc() if descending else F.col(name).asc() for name in keys]
     best = df.select(*keys).orderBy(*order).limit(n)
+    key = F.col(keys[0]) if len(keys) == 1 and not nullable else F.struct(*keys)
     if descending:
-        return df.filter(key >= best.agg(F.min(F.struct(*keys))).scalar())
-    return df.filter(key <= best.agg(F.max(F.struct(*keys))).scalar())
+        return df.filter(key >= best.agg(F.min(key)).scalar())
+    return df.filter(key <= best.agg(F.max(key)).scalar())
 
 
 def rows_on_last_values(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -67,14 +68,18 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
 
 
-def best_per_key_with_ties(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """Rows with fewer than n strictly better rows in their group.
+def best_per_key_with_ties(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """Rows with fewer than n rows of a greater ``value`` in their group.
 
-    For data where many rows of one group may share the n-th place, give
-    aggregated rows: all tied rows of a group meet in one task.
+    The n-th value of every group is one row of a small table; the rows are
+    filtered against it, so tied rows of a group need not meet in a task. A
+    row whose value or group is NULL has no greater rows and stays. Give a
+    stored table: it is read twice.
     """
-    rank = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
+    known = df.select(*keys, value).filter(F.col(value).isNotNull())
+    cuts = best_per_key(known, keys, [F.desc(value)], n).groupBy(*keys).agg(F.min(value).alias("__cut"))
+    kept = F.col(value).isNull() | F.col("__cut").isNull() | (F.col(value) >= F.col("__cut"))
+    return df.join(cuts, list(keys), "left").filter(kept).select(*df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

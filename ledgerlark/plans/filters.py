@@ -157,7 +157,7 @@ def last10_orders(w: Warehouse) -> DataFrame:
     SALES_SQL + " WHERE o_orderdate >= (SELECT o_orderdate FROM orders ORDER BY o_orderdate DESC LIMIT 1 OFFSET 9)",
 )
 def last10_orders_with_ties(w: Warehouse) -> DataFrame:
-    return sales_list(top_n_with_ties(w.orders, 10, "o_orderdate"), w)
+    return sales_list(top_n_with_ties(w.orders, 10, "o_orderdate", nullable=False), w)
 
 
 @plan(

@@ -9,6 +9,7 @@ from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import text
 from ledgerlark.operators.pivots import count_pivot, pivot_columns, unpivot_known
 from ledgerlark.plans.registry import plan
+from ledgerlark.session import stage
 from ledgerlark.tables import Warehouse
 
 
@@ -80,7 +81,7 @@ def pivot_dynamic_all(w: Warehouse) -> DataFrame:
 )
 def pivot_dynamic_buyers(w: Warehouse) -> DataFrame:
     """A column for every label with at least one order."""
-    counts = month_counts(w.orders, w.customer, F.col("c_mktsegment"))
+    counts = stage(month_counts(w.orders, w.customer, F.col("c_mktsegment")), "month-counts")
     names = pivot_columns(counts, "label")
     return _by_month(count_pivot(counts, "month_start", "label", names, "orders"))
 

@@ -61,15 +61,15 @@ def dq_orphan_rows(w: Warehouse) -> DataFrame:
     r"""
     SELECT doc_id, part_number, padded FROM (
         SELECT doc_id, CAST(place AS INTEGER) AS part_number, part AS padded
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part,
-                     generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents))
+        FROM (SELECT doc_id, unnest(string_split(text, '.')) AS part,
+                     generate_subscripts(string_split(text, '.'), 1) AS place FROM documents))
     WHERE length(trim(padded)) = 0 OR padded <> trim(padded)
     """,
 )
 def dq_text_checks(w: Warehouse) -> DataFrame:
-    """Lines of texts that are blank or have blanks at an end."""
-    lines = w.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("at", "padded"))
-    return lines.filter(dq.is_padded_or_blank(F.col("padded"))).select(
+    """Pieces of texts between full stops that are blank or have blanks at an end."""
+    sentences = w.documents.select("doc_id", F.posexplode(F.split("text", "[.]", -1)).alias("at", "padded"))
+    return sentences.filter(dq.is_padded_or_blank(F.col("padded"))).select(
         "doc_id", (F.col("at") + 1).alias("part_number"), "padded"
     )
 

@@ -10,6 +10,7 @@ from ledgerlark.functions.money import number
 from ledgerlark.operators.lookups import equal_to_least, not_above_any, with_match_count
 from ledgerlark.operators.topk import top_n, top_n_with_ties
 from ledgerlark.plans.registry import plan
+from ledgerlark.session import small_side
 from ledgerlark.tables import Warehouse
 
 
@@ -96,7 +97,7 @@ def top5_customers_total(w: Warehouse) -> DataFrame:
     PRICE_SQL + ">= (SELECT p_retailprice FROM part ORDER BY p_retailprice DESC LIMIT 1 OFFSET 2)",
 )
 def top3_price_ties(w: Warehouse) -> DataFrame:
-    return _priced(top_n_with_ties(w.part, 3, "p_retailprice"))
+    return _priced(top_n_with_ties(w.part, 3, "p_retailprice", nullable=False))
 
 
 @plan(
@@ -112,8 +113,8 @@ def top3_price_ties(w: Warehouse) -> DataFrame:
 def star_join_cities(w: Warehouse) -> DataFrame:
     """Where the dearest items went and who sold them. Rows are made distinct
     after every step that drops a key, so later joins see few of them."""
-    dear = top_n_with_ties(w.part, 3, "p_retailprice").select(F.col("p_partkey").alias("l_partkey"))
-    lines = w.lineitem.join(dear, "l_partkey", "left_semi").select("l_orderkey", "l_suppkey").distinct()
+    dear = top_n_with_ties(w.part, 3, "p_retailprice", nullable=False).select(F.col("p_partkey").alias("l_partkey"))
+    lines = w.lineitem.join(small_side(dear), "l_partkey", "left_semi").select("l_orderkey", "l_suppkey").distinct()
     pairs = (
         lines.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_suppkey").distinct()
     )

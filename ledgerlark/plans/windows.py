@@ -113,10 +113,10 @@ def top2_items_per_month(w: Warehouse) -> DataFrame:
     """,
 )
 def top2_by_theta_rank(w: Warehouse) -> DataFrame:
-    """Fewer than two better brands; ties stay. Ranks are the same as counting
-    better rows in a self-join, without building the pairs."""
+    """Fewer than two better brands; ties stay. The same as counting better
+    rows in a self-join, without building the pairs."""
     sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(number(F.sum("l_quantity")).alias("quantity"))
-    best = best_per_key_with_ties(sums, ["sale_month"], [F.desc("quantity")], 2)
+    best = best_per_key_with_ties(stage(sums, "brand-months"), ["sale_month"], "quantity", 2)
     return best.orderBy("sale_month", F.desc("quantity"))
 
 
@@ -212,12 +212,15 @@ def item_windows(items: DataFrame, letter=None) -> DataFrame:
     """,
 )
 def last_customer_per_salesperson(w: Warehouse) -> DataFrame:
-    """Customer, day and amount of every supplier's latest deal."""
+    """Customer, day and amount of every supplier's latest deal.
+
+    Lines are shuffled once: summing by supplier and order can use the
+    partitions that the join on the order left.
+    """
     deals = (
-        w.lineitem.groupBy("l_suppkey", "l_orderkey")
+        w.lineitem.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("l_suppkey", "o_custkey", "o_orderdate", "o_orderkey")
         .agg(F.sum("l_extendedprice").alias("amount"))
-        .join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("l_suppkey", "o_custkey", "o_orderdate", "o_orderkey", "amount")
     )
     last = latest_per_key(deals, ["l_suppkey"], ["o_orderdate", "o_orderkey"])
     return (

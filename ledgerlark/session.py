@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A skewed join partition is split even where that costs one more shuffle, so
 # a single hot key never decides how long a stage takes.
@@ -65,28 +66,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` if a count shows that it is small, else leave the join
+    to Spark. The count stops at the limit."""
+    if df.limit(most_rows + 1).count() <= most_rows:
+        return F.broadcast(df)
+    return df
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, never used before."""
     base = shared_folder(spark)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Write ``df`` reliably and go on from the stored rows.
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Store ``df`` as a parquet table in the shared folder and go on from it.
 
-    Needed where a value depends on how Spark placed the rows (partition
-    numbers): a recomputed task must not see another placement.
+    For a step that is read more than once, and for values that depend on how
+    Spark placed the rows. The table outlives the executors that wrote it.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Materialise a step that is read more than once as a shared parquet table."""
-    spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
