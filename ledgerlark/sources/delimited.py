@@ -13,23 +13,36 @@ from ledgerlark.session import stage
 NULL_MARK = "\\N"
 BAD_LINE = "bad_line"
 
-# A UTF-16 file cannot be cut at an arbitrary byte, so one task reads one
-# file; exports are therefore cut into files of bounded length.
+# A quoted value may hold a line end, and a UTF-16 file cannot be cut at an
+# arbitrary byte, so one task reads one file from its start; exports are
+# therefore cut into files of bounded length.
 ROWS_PER_FILE = 1_000_000
 
 
+def _texts(df: DataFrame) -> list[str]:
+    return [field.name for field in df.schema.fields if isinstance(field.dataType, T.StringType)]
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    """Text that reads like the mark for NULL gets one more backslash."""
+    return df.withColumns({name: F.regexp_replace(name, r"^(\\+N)$", r"\\$1") for name in _texts(df)})
+
+
+def _unmarked(df: DataFrame) -> DataFrame:
+    return df.withColumns({name: F.regexp_replace(name, r"^\\(\\+N)$", "$1") for name in _texts(df)})
+
+
 def export(df: DataFrame, path: str, separator: str = "|", encoding: str = "UTF-16LE") -> None:
     """Write without a header. A value that holds the separator is quoted, and
     NULL and the empty string stay apart."""
     (
-        df.write.option("sep", separator)
+        _marked(df)
+        .write.option("sep", separator)
         .option("encoding", encoding)
         .option("lineSep", "\n")
         .option("nullValue", NULL_MARK)
-        .option("emptyValue", "")
         .option("quote", '"')
         .option("escape", '"')
-        .option("quoteAll", False)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", ROWS_PER_FILE)
@@ -44,7 +57,7 @@ def _reader(spark: SparkSession, schema: T.StructType, separator: str, encoding:
         .option("encoding", encoding)
         .option("lineSep", "\n")
         .option("nullValue", NULL_MARK)
-        .option("emptyValue", "")
+        .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -56,7 +69,7 @@ def load(
     spark: SparkSession, path: str, schema: T.StructType, separator: str = "|", encoding: str = "UTF-16LE"
 ) -> DataFrame:
     """Load strictly: the first line that does not fit stops the job."""
-    return _reader(spark, schema, separator, encoding).option("mode", "FAILFAST").csv(path)
+    return _unmarked(_reader(spark, schema, separator, encoding).option("mode", "FAILFAST").csv(path))
 
 
 def load_with_quarantine(
@@ -74,7 +87,7 @@ def load_with_quarantine(
         .csv(path),
         "parsed-text",
     )
-    good = rows.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+    good = _unmarked(rows.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE))
     bad = rows.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
     return good, bad
 
