@@ -1,4 +1,10 @@
-"""Money is summed as decimal and shown as a double."""
+"""Exact sums of money and quantities.
+
+Tables store them as doubles with two decimals. A sum is taken over whole
+hundredths in 64-bit integers: exact, independent of the order of rows, and
+several times cheaper than decimal arithmetic. A sum above 9e16 units stops
+the job with an overflow error, it never wraps.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +12,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _column(column: str | Column) -> Column:
+    return F.col(column) if isinstance(column, str) else column
+
+
 def money(column: str | Column) -> Column:
-    return F.col(column).cast("decimal(18,2)") if isinstance(column, str) else column.cast("decimal(18,2)")
+    """The decimal form, for text files and messages."""
+    return _column(column).cast("decimal(18,2)")
+
+
+def hundredths(column: str | Column) -> Column:
+    return F.rint(_column(column) * 100).cast("long")
+
+
+def total(column: str | Column) -> Column:
+    """Aggregate: the sum in hundredths."""
+    return F.sum(hundredths(column))
+
+
+def units(column: str | Column) -> Column:
+    """Report form of a number of hundredths."""
+    return _column(column).cast("double") / 100
 
 
 def number(column: str | Column) -> Column:
     """Report form of a decimal."""
-    return F.col(column).cast("double") if isinstance(column, str) else column.cast("double")
+    return _column(column).cast("double")
 
 
-def mean(total: Column, rows: Column) -> Column:
-    """An average from a decimal total; built this way it does not depend on
-    how an engine rounds a decimal average, and it can be re-aggregated."""
-    return total.cast("double") / rows
+def mean(total_hundredths: Column, rows: Column) -> Column:
+    """An average out of a sum and a count, which can both be re-aggregated."""
+    return units(total_hundredths) / rows

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.money import total
+
 
 def month_calendar(days: DataFrame, day: str, year: str = "year", month: str = "month") -> DataFrame:
     """Twelve months for every year that occurs in ``days``."""
@@ -34,11 +36,12 @@ def zero_filled(grid: DataFrame, facts: DataFrame, keys: list[str], defaults: di
 
 
 def running_month_totals(df: DataFrame, month: Column, amount: str, month_name: str = "month_number") -> DataFrame:
-    """One row per month with the total of that and all earlier months.
+    """One row per month with the total of that and all earlier months, both in
+    hundredths.
 
     The window runs over month totals only; the calendar bounds their number
     (twelve for every year of data), whatever the size of ``df``.
     """
-    totals = df.groupBy(month.alias(month_name)).agg(F.sum(amount).alias("month_total"))
+    totals = df.groupBy(month.alias(month_name)).agg(total(amount).alias("month_total"))
     upto = Window.orderBy(month_name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return totals.withColumn("running_total", F.sum("month_total").over(upto))
+    return totals.withColumn("running_total", F.sum(F.col("month_total").cast("decimal(20,0)")).over(upto))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.money import money, number
+from ledgerlark.functions.money import number
 from ledgerlark.operators import changes as ch
 from ledgerlark.operators.topk import top_n
 from ledgerlark.plans.documents import ITEMS_SQL, stock_items
@@ -21,7 +21,7 @@ def new_customers(w: Warehouse, rows: int) -> DataFrame:
     shaped = chosen.select(
         F.col("s_name").alias("c_name"),
         F.col("s_nationkey").alias("c_nationkey"),
-        money(F.lit(0)).alias("c_acctbal"),
+        F.lit(0.0).alias("c_acctbal"),
         F.lit("NEW").alias("c_mktsegment"),
     )
     return ch.number_after(shaped, [F.asc("c_name")], "c_custkey", w.customer, at_most=rows)
@@ -35,7 +35,7 @@ INSERTED_SQL = """
 
 
 def _customers(df: DataFrame) -> DataFrame:
-    return df.select("c_custkey", "c_name", "c_nationkey", number("c_acctbal").alias("c_acctbal"), "c_mktsegment")
+    return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @plan("insert_from_select", INSERTED_SQL)

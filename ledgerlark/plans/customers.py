@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
-from ledgerlark.functions.money import number
+from ledgerlark.functions.money import total, units
 from ledgerlark.operators.topk import best_per_key, top_n, top_n_with_ties
 from ledgerlark.plans.months import order_totals
 from ledgerlark.plans.registry import plan
@@ -19,7 +19,7 @@ class UnknownCustomer(LookupError):
 
 def purchases(w: Warehouse) -> DataFrame:
     """What every buying customer paid, summed first per order and then per
-    customer. The NULL test makes the plan the same wherever the totals are
+    customer, in hundredths. The NULL test makes the plan the same wherever the totals are
     used, so that two uses in one query share their shuffles."""
     return (
         w.orders.filter(F.col("o_custkey").isNotNull())
@@ -47,7 +47,7 @@ def top_customer_id(w: Warehouse) -> DataFrame:
 def customers_with_best_totals(w: Warehouse, n: int) -> DataFrame:
     best = top_n_with_ties(purchases(w), n, "total", nullable=False)
     named = best.join(w.customer, "c_custkey")
-    return named.select("c_custkey", "c_name", number("total").alias("total")).orderBy(F.desc("total"))
+    return named.select("c_custkey", "c_name", units("total").alias("total")).orderBy(F.desc("total"))
 
 
 BEST_SQL = f"""
@@ -73,7 +73,7 @@ def purchase_sum(w: Warehouse, custkey: int) -> DataFrame:
         raise UnknownCustomer(f"customer {custkey} was not found")
     orders = w.orders.filter(F.col("o_custkey") == custkey)
     lines = w.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
-    return lines.agg(F.coalesce(F.sum("l_extendedprice"), F.lit(0)).cast("decimal(18,2)").alias("total"))
+    return lines.agg(units(F.coalesce(total("l_extendedprice"), F.lit(0))).alias("total"))
 
 
 @plan(
@@ -85,7 +85,7 @@ def purchase_sum(w: Warehouse, custkey: int) -> DataFrame:
 def purchase_sum_checked(w: Warehouse) -> DataFrame:
     """The set form: the total of every customer, 0 without purchases."""
     totals = w.customer.select("c_custkey").join(purchases(w), "c_custkey", "left")
-    return totals.select("c_custkey", F.coalesce(number("total"), F.lit(0.0)).alias("total"))
+    return totals.select("c_custkey", F.coalesce(units("total"), F.lit(0.0)).alias("total"))
 
 
 def last_orders(customers: DataFrame, orders: DataFrame, n: int, keep_idle: bool = True) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import documents as docs
 from ledgerlark.functions import text
-from ledgerlark.functions.money import number
+from ledgerlark.functions.money import money, number
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import scratch
 from ledgerlark.sources import xmlfiles
@@ -121,10 +121,10 @@ def stock_items(w: Warehouse) -> DataFrame:
         F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("item_name"),
         F.col("p_partkey").alias("supplier_id"),
         F.col("p_size").alias("unit_package_id"),
-        (F.col("p_retailprice") / 4).cast("decimal(18,3)").alias("typical_weight"),
+        (money("p_retailprice") / 4).cast("decimal(18,3)").alias("typical_weight"),
         F.length("p_name").alias("lead_time_days"),
         (F.col("p_type") == "PROMO").alias("is_chiller_stock"),
-        F.col("p_retailprice").alias("unit_price"),
+        money("p_retailprice").alias("unit_price"),
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import text
-from ledgerlark.functions.money import number
 from ledgerlark.operators.topk import page, rows_on_last_values, top_n, top_n_with_ties
 from ledgerlark.plans.registry import plan
 from ledgerlark.tables import Warehouse
@@ -284,7 +283,7 @@ def existence_probe(w: Warehouse) -> DataFrame:
 )
 def count_filtered(w: Warehouse) -> DataFrame:
     """Counts over a half-open range of days; the filter sees stored values."""
-    lines = w.raw("lineitem").filter(
+    lines = w.lineitem.filter(
         cal.days_from_until(F.col("l_shipdate"), "1996-01-01", "1997-01-01") & (F.col("l_quantity") == 30)
     )
     return lines.agg(
@@ -304,7 +303,7 @@ def count_filtered(w: Warehouse) -> DataFrame:
 def outer_join_demoted(w: Warehouse) -> DataFrame:
     """A filter on the optional side makes the outer join an inner join."""
     return (
-        w.part.join(w.raw("lineitem"), F.col("p_partkey") == F.col("l_partkey"), "left")
+        w.part.join(w.lineitem, F.col("p_partkey") == F.col("l_partkey"), "left")
         .filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
-        .select("p_partkey", "p_name", "l_orderkey", number("l_quantity").alias("quantity"))
+        .select("p_partkey", "p_name", "l_orderkey", F.col("l_quantity").alias("quantity"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions.buckets import bucket_right, year_starts
-from ledgerlark.functions.money import number
+from ledgerlark.functions.money import money, number
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import scratch
 from ledgerlark.sources import delimited, partitioned
@@ -23,8 +23,9 @@ YEARS = year_starts(1995, 2002)
 def delimited_roundtrip(w: Warehouse) -> DataFrame:
     """A table to UTF-16 text and back."""
     path = scratch(w.spark, "customer-text")
-    delimited.export(w.customer, path)
-    loaded = delimited.load(w.spark, path, w.customer.schema)
+    table = w.customer.withColumn("c_acctbal", money("c_acctbal"))
+    delimited.export(table, path)
+    loaded = delimited.load(w.spark, path, table.schema)
     return loaded.withColumn("c_acctbal", number("c_acctbal"))
 
 
@@ -36,8 +37,8 @@ def lines_with_day(w: Warehouse) -> DataFrame:
         "l_partkey",
         "l_suppkey",
         F.to_date("o_orderdate").alias("order_date"),
-        "l_quantity",
-        "l_extendedprice",
+        money("l_quantity").alias("l_quantity"),
+        money("l_extendedprice").alias("l_extendedprice"),
     )
 
 
@@ -104,7 +105,7 @@ def load_reconcile(w: Warehouse) -> DataFrame:
     pairs = {}
     for name in ("customer", "orders"):
         path = scratch(w.spark, f"{name}-text")
-        table = w.typed(name)
+        table = w.table(name)
         delimited.export(table, path)
         pairs[name] = (table, delimited.load(w.spark, path, table.schema))
     return delimited.reconcile(pairs)
@@ -126,7 +127,7 @@ def orders_by_year_partition(w: Warehouse) -> DataFrame:
     orders = w.orders.withColumn("order_date", F.to_date("o_orderdate"))
     partitioned.write_by_range(orders, "order_date", YEARS, path)
     return partitioned.read_by_range(w.spark, path).select(
-        "o_orderkey", cal.iso(F.col("order_date")).alias("order_day"), number("o_totalprice").alias("amount"), "part_id"
+        "o_orderkey", cal.iso(F.col("order_date")).alias("order_day"), F.col("o_totalprice").alias("amount"), "part_id"
     )
 
 

@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
-from ledgerlark.functions.money import mean, number
+from ledgerlark.functions.money import hundredths, mean, number, total, units
 from ledgerlark.operators.months import item_month_grid, month_calendar, zero_filled
 from ledgerlark.plans.registry import plan
 from ledgerlark.tables import Warehouse
 
 
 def order_totals(w: Warehouse) -> DataFrame:
-    """Lines summed per order, before they meet the order's date: an order
+    """Lines summed (in hundredths) per order, before they meet the order's date: an order
     with very many lines is one row per task when it is shuffled."""
     return w.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum("l_extendedprice").alias("amount"), F.count("*").alias("lines")
+        total("l_extendedprice").alias("amount"), F.count("*").alias("lines")
     )
 
 
@@ -31,7 +31,7 @@ def by_month(w: Warehouse) -> DataFrame:
             "year",
             "month",
             mean(F.col("amount"), F.col("lines")).alias("average_amount"),
-            number("amount").alias("total_amount"),
+            units("amount").alias("total_amount"),
         )
     )
 
@@ -71,15 +71,15 @@ def months_over_threshold(w: Warehouse) -> DataFrame:
     per_order = (
         w.lineitem.join(w.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(F.col("l_quantity") * F.col("p_retailprice")).alias("amount"))
+        .agg(F.sum(hundredths("l_quantity") * hundredths("p_retailprice")).alias("amount"))
     )
     return (
         w.orders.select("o_orderkey", "o_orderdate")
         .join(per_order, "o_orderkey")
         .groupBy(F.year(day).alias("year"), F.month(day).alias("month"))
-        .agg(F.sum("amount").alias("amount"))
-        .filter(F.col("amount") > 17_500_000)
-        .select("year", "month", number("amount").alias("total_amount"))
+        .agg(F.sum(F.col("amount").cast("decimal(20,0)")).alias("amount"))
+        .filter(F.col("amount") > 17_500_000 * 100 * 100)
+        .select("year", "month", (number("amount") / 10_000).alias("total_amount"))
         .orderBy("year", "month")
     )
 
@@ -102,7 +102,7 @@ def calendar_zero_fill(w: Warehouse) -> DataFrame:
 
 
 def by_month_and_item(w: Warehouse) -> DataFrame:
-    """Amount, first day and quantity per month and item."""
+    """Amount, first day and quantity per month and item; sums in hundredths."""
     return (
         w.lineitem.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
@@ -115,9 +115,9 @@ def by_month_and_item(w: Warehouse) -> DataFrame:
         )
         .groupBy("year", "month", "p_partkey")
         .agg(
-            F.sum("l_extendedprice").alias("amount"),
+            total("l_extendedprice").alias("amount"),
             F.min("o_orderdate").alias("first_day"),
-            F.sum("l_quantity").alias("quantity"),
+            total("l_quantity").alias("quantity"),
         )
     )
 
@@ -138,9 +138,9 @@ MONTH_ITEM_SQL = """
 def _shown(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "amount": number("amount"),
+            "amount": units("amount"),
             "first_day": cal.iso(F.col("first_day")),
-            "quantity": number("quantity"),
+            "quantity": units("quantity"),
         }
     )
 
@@ -153,7 +153,7 @@ def _shown(df: DataFrame) -> DataFrame:
     """,
 )
 def monthly_item_low_sellers(w: Warehouse) -> DataFrame:
-    low = by_month_and_item(w).filter(F.col("quantity") < LOW_SELLER)
+    low = by_month_and_item(w).filter(units("quantity") < LOW_SELLER)
     named = low.join(w.part.select("p_partkey", "p_name"), "p_partkey")
     return _shown(named.select("year", "month", "p_partkey", "p_name", "amount", "first_day", "quantity"))
 
@@ -176,7 +176,7 @@ def calendar_zero_fill_items(w: Warehouse) -> DataFrame:
     filled from all sold months; the facts need not be joined to it.
     """
     sold = by_month_and_item(w)
-    low = sold.filter(F.col("quantity") < LOW_SELLER).join(w.part.select("p_partkey", "p_name"), "p_partkey", "left")
+    low = sold.filter(units("quantity") < LOW_SELLER).join(w.part.select("p_partkey", "p_name"), "p_partkey", "left")
     months = (
         w.orders.join(w.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey", "left_semi")
         .select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
@@ -209,5 +209,5 @@ def calendar_item_zero_fill(w: Warehouse) -> DataFrame:
     """Every item in every month, where it sold little or nothing."""
     grid = item_month_grid(w.part.select("p_partkey", "p_name"), w.orders, "o_orderdate")
     filled = zero_filled(grid, by_month_and_item(w), ["year", "month", "p_partkey"], {"amount": 0, "quantity": 0})
-    low = filled.filter(F.col("quantity") < LOW_SELLER)
+    low = filled.filter(units("quantity") < LOW_SELLER)
     return _shown(low.select("year", "month", "p_partkey", "p_name", "amount", "first_day", "quantity"))

@@ -46,7 +46,7 @@ REFERENCES = [
 )
 def dq_orphan_rows(w: Warehouse) -> DataFrame:
     found = [
-        dq.orphans(w.raw(r.child), r.child_key, w.raw(r.parent), r.parent_key).select(
+        dq.orphans(w.table(r.child), r.child_key, w.table(r.parent), r.parent_key).select(
             F.lit(f"{r.child}.{r.child_key}").alias("reference"),
             F.col("missing_key").cast("bigint").alias("missing_key"),
             "child_rows",
@@ -86,7 +86,7 @@ def dq_text_checks(w: Warehouse) -> DataFrame:
 def dq_numeric_checks(w: Warehouse) -> DataFrame:
     rules = [("customer", "c_custkey", "c_acctbal"), ("supplier", "s_suppkey", "s_acctbal"), ("lineitem", "l_orderkey", "l_quantity")]
     found = [
-        w.raw(table)
+        w.table(table)
         .filter(dq.is_negative(F.col(column)))
         .select(F.lit(table).alias("table_name"), F.col(key).alias("key"), F.col(column).alias("wrong_value"))
         for table, key, column in rules
@@ -113,7 +113,7 @@ CASCADE = [
 )
 def cascade_delete(w: Warehouse) -> DataFrame:
     """Customers in debt go with their orders and lines; rows kept and gone."""
-    tables = {name: w.typed(name) for name in ("customer", "orders", "lineitem")}
+    tables = {name: w.table(name) for name in ("customer", "orders", "lineitem")}
     done = dq.cascade_delete(tables, CASCADE, "customer", F.col("c_acctbal") < 0)
     counts = [
         part.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.lit(state).alias("state"), "n")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
-from ledgerlark.functions.money import number
+from ledgerlark.functions.money import hundredths, total, units
 from ledgerlark.operators.lookups import equal_to_least, not_above_any, with_match_count
 from ledgerlark.operators.topk import top_n, top_n_with_ties
 from ledgerlark.plans.registry import plan
@@ -34,7 +34,7 @@ PRICE_SQL = "SELECT p_partkey, p_name, CAST(p_retailprice AS DOUBLE) AS price FR
 
 
 def _priced(items: DataFrame) -> DataFrame:
-    return items.select("p_partkey", "p_name", number("p_retailprice").alias("price"))
+    return items.select("p_partkey", "p_name", F.col("p_retailprice").alias("price"))
 
 
 @plan("min_price_items", PRICE_SQL + "= (SELECT min(p_retailprice) FROM part)")
@@ -71,7 +71,7 @@ def top5_payments(w: Warehouse) -> DataFrame:
     """One row per payment."""
     best = top_n(w.orders, 5, F.desc("o_totalprice"), F.asc("o_orderkey"))
     paid = w.customer.join(best, F.col("c_custkey") == F.col("o_custkey"))
-    return paid.select("c_custkey", "c_name", number("o_totalprice").alias("amount")).orderBy(F.desc("amount"))
+    return paid.select("c_custkey", "c_name", F.col("o_totalprice").alias("amount")).orderBy(F.desc("amount"))
 
 
 @plan(
@@ -83,11 +83,11 @@ def top5_payments(w: Warehouse) -> DataFrame:
     """,
 )
 def top5_customers_total(w: Warehouse) -> DataFrame:
-    totals = w.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("total"))
+    totals = w.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(total("o_totalprice").alias("total"))
     best = top_n(totals, 5, F.desc("total"), F.asc("c_custkey"))
     return (
         w.customer.join(best, "c_custkey")
-        .select("c_custkey", "c_name", number("total").alias("total"))
+        .select("c_custkey", "c_name", units("total").alias("total"))
         .orderBy(F.desc("total"))
     )
 
@@ -150,11 +150,11 @@ PICKED_SQL = f"""
 def invoice_totals_over(w: Warehouse) -> DataFrame:
     """Orders above a total, and what was picked of the finished ones. Both
     sums come from one pass over the lines."""
-    picked = F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice"))
+    picked = F.when(F.col("l_linestatus") == "F", hundredths("l_extendedprice"))
     totals = (
         w.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum("l_extendedprice").alias("total"), F.sum(picked).alias("picked"))
-        .filter(F.col("total") > BIG_ORDER)
+        .agg(total("l_extendedprice").alias("total"), F.sum(picked).alias("picked"))
+        .filter(units("total") > BIG_ORDER)
     )
     return (
         w.orders.join(totals, "o_orderkey")
@@ -163,8 +163,8 @@ def invoice_totals_over(w: Warehouse) -> DataFrame:
             "o_orderkey",
             cal.iso(F.col("o_orderdate")).alias("order_day"),
             F.col("c_name").alias("customer_name"),
-            number("total").alias("total_amount"),
-            F.when(F.col("o_orderstatus") == "F", number("picked")).alias("picked_amount"),
+            units("total").alias("total_amount"),
+            F.when(F.col("o_orderstatus") == "F", units("picked")).alias("picked_amount"),
         )
         .orderBy(F.desc("total_amount"))
     )
@@ -178,19 +178,19 @@ def invoice_picked_totals_correlated(w: Warehouse) -> DataFrame:
         """
         SELECT o_orderkey, date_format(o_orderdate, 'yyyy-MM-dd') AS order_day,
                (SELECT max(c_name) FROM {customer} WHERE c_custkey = o.o_custkey) AS customer_name,
-               CAST(t.total AS DOUBLE) AS total_amount,
+               CAST(t.total AS DOUBLE) / 100 AS total_amount,
                CASE WHEN o_orderstatus = 'F' THEN
-                   CAST((SELECT sum(l_extendedprice) FROM {lineitem}
-                         WHERE l_linestatus = 'F' AND l_orderkey = o.o_orderkey) AS DOUBLE)
+                   CAST((SELECT sum(amount) FROM {lines}
+                         WHERE l_linestatus = 'F' AND l_orderkey = o.o_orderkey) AS DOUBLE) / 100
                END AS picked_amount
         FROM {orders} o
-        JOIN (SELECT l_orderkey, sum(l_extendedprice) AS total FROM {lineitem}
-              GROUP BY l_orderkey HAVING sum(l_extendedprice) > :least) t ON t.l_orderkey = o.o_orderkey
+        JOIN (SELECT l_orderkey, sum(amount) AS total FROM {lines}
+              GROUP BY l_orderkey HAVING sum(amount) > :least) t ON t.l_orderkey = o.o_orderkey
         ORDER BY t.total DESC
         """,
-        args={"least": BIG_ORDER},
+        args={"least": BIG_ORDER * 100},
         customer=w.customer,
-        lineitem=w.lineitem,
+        lines=w.lineitem.withColumn("amount", hundredths("l_extendedprice")),
         orders=w.orders,
     )
 
@@ -199,8 +199,8 @@ GOOD_CUSTOMER = 3_000_000
 
 
 def _good_customers(w: Warehouse) -> DataFrame:
-    totals = w.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"))
-    return totals.filter(F.col("total") > GOOD_CUSTOMER).select("o_custkey")
+    totals = w.orders.groupBy("o_custkey").agg(total("o_totalprice").alias("total"))
+    return totals.filter(units("total") > GOOD_CUSTOMER).select("o_custkey")
 
 
 def _report_lines(w: Warehouse, same_day) -> DataFrame:
@@ -241,8 +241,8 @@ def fanout_raw_report(w: Warehouse) -> DataFrame:
         with_match_count(lines, w.lineitem.select("l_partkey"), ["l_partkey"], "moves")
         .groupBy("o_custkey", "l_partkey")
         .agg(
-            number(F.sum(F.col("l_extendedprice") * moves)).alias("sum_price"),
-            number(F.sum(F.col("l_quantity") * moves)).alias("sum_quantity"),
+            units(F.sum(hundredths("l_extendedprice") * moves)).alias("sum_price"),
+            units(F.sum(hundredths("l_quantity") * moves)).alias("sum_quantity"),
             F.sum(moves).alias("orders_counted"),
         )
         .orderBy("o_custkey", "l_partkey")
@@ -271,8 +271,8 @@ def fanout_fixed_report(w: Warehouse) -> DataFrame:
     return (
         lines.groupBy("o_custkey", "l_partkey")
         .agg(
-            number(F.sum("l_extendedprice")).alias("sum_price"),
-            number(F.sum("l_quantity")).alias("sum_quantity"),
+            units(total("l_extendedprice")).alias("sum_price"),
+            units(total("l_quantity")).alias("sum_quantity"),
             F.count("o_orderkey").alias("orders_counted"),
         )
         .orderBy("o_custkey", "l_partkey")

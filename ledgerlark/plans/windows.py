@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import text
-from ledgerlark.functions.money import number
+from ledgerlark.functions.money import total, units
 from ledgerlark.operators.months import running_month_totals
 from ledgerlark.operators.position import tile, with_neighbours, with_position
 from ledgerlark.operators.topk import best_per_key, best_per_key_with_ties, latest_per_key
@@ -34,8 +34,8 @@ def _running_columns(df: DataFrame) -> DataFrame:
         "o_orderkey",
         F.col("c_name").alias("customer_name"),
         cal.iso(F.col("o_orderdate")).alias("order_day"),
-        number("o_totalprice").alias("amount"),
-        number("running_total").alias("running_total"),
+        F.col("o_totalprice").alias("amount"),
+        units("running_total").alias("running_total"),
     )
 
 
@@ -98,7 +98,7 @@ BRAND_MONTH_SQL = """
     """,
 )
 def top2_items_per_month(w: Warehouse) -> DataFrame:
-    sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(number(F.sum("l_quantity")).alias("quantity"))
+    sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(units(total("l_quantity")).alias("quantity"))
     best = best_per_key(sums, ["sale_month"], [F.desc("quantity"), F.asc("p_brand")], 2)
     return best.orderBy("sale_month", F.desc("quantity"))
 
@@ -115,7 +115,7 @@ def top2_items_per_month(w: Warehouse) -> DataFrame:
 def top2_by_theta_rank(w: Warehouse) -> DataFrame:
     """Fewer than two better brands; ties stay. The same as counting better
     rows in a self-join, without building the pairs."""
-    sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(number(F.sum("l_quantity")).alias("quantity"))
+    sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(units(total("l_quantity")).alias("quantity"))
     best = best_per_key_with_ties(stage(sums, "brand-months"), ["sale_month"], "quantity", 2)
     return best.orderBy("sale_month", F.desc("quantity"))
 
@@ -185,7 +185,7 @@ def item_windows(items: DataFrame, letter=None) -> DataFrame:
         "p_partkey",
         "p_name",
         "p_brand",
-        number("p_retailprice").alias("price"),
+        F.col("p_retailprice").alias("price"),
         (F.col("place") - F.col("letter_start") + 1).alias("number_in_letter"),
         "items",
         "items_of_letter",
@@ -220,7 +220,7 @@ def last_customer_per_salesperson(w: Warehouse) -> DataFrame:
     deals = (
         w.lineitem.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_suppkey", "o_custkey", "o_orderdate", "o_orderkey")
-        .agg(F.sum("l_extendedprice").alias("amount"))
+        .agg(total("l_extendedprice").alias("amount"))
     )
     last = latest_per_key(deals, ["l_suppkey"], ["o_orderdate", "o_orderkey"])
     return (
@@ -232,7 +232,7 @@ def last_customer_per_salesperson(w: Warehouse) -> DataFrame:
             "c_custkey",
             "c_name",
             cal.iso(F.col("o_orderdate")).alias("order_day"),
-            number("amount").alias("deal_amount"),
+            units("amount").alias("deal_amount"),
         )
         .orderBy("s_suppkey")
     )
@@ -257,7 +257,7 @@ def _dearest_two(w: Warehouse, lines: DataFrame, price: str) -> DataFrame:
     )
     best = best_per_key(bought, ["c_custkey"], [F.desc(price), *[F.asc(c) for c in LINE_TIES]], 2)
     return best.join(w.customer, "c_custkey").select(
-        "c_custkey", "c_name", "l_partkey", number(price).alias("price"), cal.iso(F.col("o_orderdate")).alias("order_day")
+        "c_custkey", "c_name", "l_partkey", F.col(price).alias("price"), cal.iso(F.col("o_orderdate")).alias("order_day")
     )
 
 
@@ -271,7 +271,7 @@ def apply_top2_sale_price(w: Warehouse) -> DataFrame:
     """The lookup form: for every customer, the first two of an ordered list."""
     return w.spark.sql(
         """
-        SELECT c_custkey, c_name, t.l_partkey, CAST(t.l_extendedprice AS DOUBLE) AS price,
+        SELECT c_custkey, c_name, t.l_partkey, t.l_extendedprice AS price,
                date_format(t.o_orderdate, 'yyyy-MM-dd') AS order_day
         FROM {customer} c JOIN LATERAL (
             SELECT l_partkey, l_extendedprice, o_orderdate FROM {lines}

@@ -1,13 +1,11 @@
-"""The input tables, with declared schemas, money as decimal and days as date."""
+"""The input tables with their declared schemas."""
 
 from __future__ import annotations
 
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlark.functions.money import money
 from ledgerlark.session import prepare
 
 SCHEMAS = {
@@ -25,68 +23,52 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
-MONEY_COLUMNS = {"c_acctbal", "s_acctbal", "p_retailprice", "o_totalprice", "l_extendedprice"}
-QUANTITY_COLUMNS = {"l_quantity"}
-
-
 class Warehouse:
-    """Lazy, typed access to one folder of parquet tables.
+    """Lazy access to one folder of parquet tables.
 
-    ``o_orderdate`` and ``l_shipdate`` keep their stored type, so that a plain
-    range on them reaches the parquet scan; use ``to_date`` for calendar work.
+    Columns keep their stored type, so that plain comparisons reach the
+    parquet scan; sums and calendar work convert where they need to.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
 
-    def raw(self, name: str) -> DataFrame:
+    def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def typed(self, name: str) -> DataFrame:
-        df = self.raw(name)
-        columns = []
-        for field in df.columns:
-            if field in MONEY_COLUMNS:
-                columns.append(money(field).alias(field))
-            elif field in QUANTITY_COLUMNS:
-                columns.append(F.col(field).cast("decimal(12,2)").alias(field))
-            else:
-                columns.append(F.col(field))
-        return df.select(*columns)
-
     @cached_property
     def region(self) -> DataFrame:
-        return self.typed("region")
+        return self.table("region")
 
     @cached_property
     def nation(self) -> DataFrame:
-        return self.typed("nation")
+        return self.table("nation")
 
     @cached_property
     def customer(self) -> DataFrame:
-        return self.typed("customer")
+        return self.table("customer")
 
     @cached_property
     def supplier(self) -> DataFrame:
-        return self.typed("supplier")
+        return self.table("supplier")
 
     @cached_property
     def part(self) -> DataFrame:
-        return self.typed("part")
+        return self.table("part")
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.typed("orders")
+        return self.table("orders")
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return self.typed("lineitem")
+        return self.table("lineitem")
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.typed("events")
+        return self.table("events")
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.typed("documents")
+        return self.table("documents")
