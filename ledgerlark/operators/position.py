@@ -27,13 +27,12 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     Give an order without ties where the places must be repeatable; it also
     lets a value that many rows share spread over several ranges.
     """
-    spark = df.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = df.repartitionByRange(slots, *order).sortWithinPartitions(*order)
+    # Without a number, Spark joins small ranges; they stay in order.
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stage(sorted_rows.withColumn("__id", F.monotonically_increasing_id()), "placed")
     slot = F.shiftright("__id", ROW_BITS)
     in_slot = F.col("__id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    # One row per partition of the range exchange above: at most ``slots``.
+    # One row per range: at most spark.sql.shuffle.partitions rows.
     before = Window.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(slot.alias("__slot"))

@@ -66,6 +66,10 @@ class BlockedDelete(ValueError):
     """A row to be deleted is still in use and the rule forbids to follow."""
 
 
+class BlockedChange(ValueError):
+    """A key to be changed is still in use and the rule forbids to follow."""
+
+
 def cascade_delete(
     tables: dict[str, DataFrame], references: Sequence[Reference], root: str, condition: Column
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
@@ -98,6 +102,44 @@ def cascade_delete(
     return result
 
 
+def cascade_key_change(
+    tables: dict[str, DataFrame], references: Sequence[Reference], root: str, key: str, new_keys: DataFrame
+) -> dict[str, DataFrame]:
+    """Give rows of ``root`` new keys and let references to them follow.
+
+    ``new_keys`` has old_key and new_key. A reference that does not cascade
+    stops the job when it holds a key that would change. Where a changed
+    column is itself referenced, the change travels on.
+    """
+    result = dict(tables)
+    waiting = [(root, key)]
+    seen = set(waiting)
+    while waiting:
+        table, column = waiting.pop()
+        result[table] = _with_new_keys(result[table], column, new_keys)
+        for ref in references:
+            if (ref.parent, ref.parent_key) != (table, column) or (ref.child, ref.child_key) in seen:
+                continue
+            if not ref.cascades:
+                old = new_keys.select(F.col("old_key").alias(ref.child_key))
+                if tables[ref.child].join(old, ref.child_key, "left_semi").limit(1).count():
+                    raise BlockedChange(f"{ref.child}.{ref.child_key} still uses {ref.parent}")
+                continue
+            seen.add((ref.child, ref.child_key))
+            waiting.append((ref.child, ref.child_key))
+    return result
+
+
+def _with_new_keys(df: DataFrame, column: str, new_keys: DataFrame) -> DataFrame:
+    kind = df.schema[column].dataType
+    changed = F.coalesce("new_key", F.col(column)).cast(kind)
+    return (
+        df.join(new_keys, F.col(column) == F.col("old_key"), "left")
+        .withColumn(column, changed)
+        .select(*df.columns)
+    )
+
+
 def _parents_first(references: Sequence[Reference], root: str) -> list[str]:
     """Tables reachable from ``root``, each after all of its parents."""
     reach = {root}

@@ -121,3 +121,41 @@ def cascade_delete(w: Warehouse) -> DataFrame:
         for state, part in (("kept", kept), ("deleted", gone))
     ]
     return reduce(DataFrame.unionByName, counts).groupBy("table_name").pivot("state", ["kept", "deleted"]).sum("n")
+
+
+NATION_USERS = [
+    dq.Reference("customer", "c_nationkey", "nation", "n_nationkey"),
+    dq.Reference("supplier", "s_nationkey", "nation", "n_nationkey"),
+]
+
+
+@plan(
+    "cascade_key_change",
+    """
+    WITH renumbered AS (SELECT n_nationkey AS old_key, n_nationkey + 100 AS new_key FROM nation
+                        JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'EUROPE')
+    SELECT 'nation' AS table_name, CAST(n_nationkey AS BIGINT) AS key,
+           CAST(coalesce(new_key, n_nationkey) AS INTEGER) AS nationkey FROM nation
+    LEFT JOIN renumbered ON old_key = n_nationkey
+    UNION ALL SELECT 'customer', c_custkey, CAST(coalesce(new_key, c_nationkey) AS INTEGER) FROM customer
+    LEFT JOIN renumbered ON old_key = c_nationkey
+    UNION ALL SELECT 'supplier', s_suppkey, CAST(coalesce(new_key, s_nationkey) AS INTEGER) FROM supplier
+    LEFT JOIN renumbered ON old_key = s_nationkey
+    """,
+)
+def cascade_key_change(w: Warehouse) -> DataFrame:
+    """European nations get new numbers; customers and suppliers follow."""
+    new_keys = (
+        w.nation.join(w.region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .filter(F.col("r_name") == "EUROPE")
+        .select(F.col("n_nationkey").alias("old_key"), (F.col("n_nationkey") + 100).alias("new_key"))
+    )
+    nation = w.nation.withColumn("id", F.col("n_nationkey").cast("bigint"))
+    tables = {"nation": nation, "customer": w.customer, "supplier": w.supplier}
+    done = dq.cascade_key_change(tables, NATION_USERS, "nation", "n_nationkey", new_keys)
+    shown = [("nation", "id", "n_nationkey"), ("customer", "c_custkey", "c_nationkey"), ("supplier", "s_suppkey", "s_nationkey")]
+    rows = [
+        done[name].select(F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(nation_key).alias("nationkey"))
+        for name, key, nation_key in shown
+    ]
+    return reduce(DataFrame.unionByName, rows)

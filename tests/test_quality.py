@@ -107,3 +107,24 @@ def test_circle_is_refused(spark):
     table = spark.createDataFrame([(1, 1, 1)], "id int, a int, b int")
     with pytest.raises(ValueError):
         dq.cascade_delete({"a": table, "b": table}, rules, "a", F.lit(True))
+
+
+def test_key_change_travels(spark, rows):
+    tables = {
+        "a": spark.createDataFrame([(1,), (2,)], "id int"),
+        "b": spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "a int, v string"),
+        "c": spark.createDataFrame([(1,), (2,)], "ba int"),
+        "d": spark.createDataFrame([(2,)], "a int"),
+    }
+    rules = [
+        dq.Reference("b", "a", "a", "id"),
+        dq.Reference("c", "ba", "b", "a"),
+        dq.Reference("d", "a", "a", "id", cascades=False),
+    ]
+    new = spark.createDataFrame([(1, 100)], "old_key int, new_key int")
+    done = dq.cascade_key_change(tables, rules, "a", "id", new)
+    assert rows(done["a"]) == [(100,), (2,)]
+    assert rows(done["b"]) == [(None, "z"), (100, "x"), (2, "y")]
+    assert rows(done["c"]) == [(100,), (2,)]
+    with pytest.raises(dq.BlockedChange):
+        dq.cascade_key_change(tables, rules, "a", "id", spark.createDataFrame([(2, 9)], "old_key int, new_key int"))
