@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.session import is_small
+
 
 def not_above_any(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFrame:
     """Rows with ``column <= ALL (values)``.
@@ -59,17 +61,20 @@ def counts_in_periods(
     Measures are summed per key and day, accumulated over the days of a key,
     and read at both ends of a period. A key's window holds at most one row
     per calendar day, so neither many facts nor many periods of one key
-    collect in a task, and facts and periods are never paired.
+    collect in a task, and facts and periods are never paired. Facts of other
+    keys are dropped where they are read when a count shows few keys.
     """
     spans = periods.select(key, first, last).distinct()
-    daily = facts.groupBy(key, F.col(day).alias("__day")).agg(*[F.sum(m).alias(m) for m in measures])
-    ends = spans.select(key, F.date_sub(first, 1).alias("__day")).union(
-        spans.select(key, F.col(last).alias("__day"))
+    asked = periods.select(key).distinct()
+    if is_small(asked):
+        facts = facts.join(F.broadcast(asked), key, "left_semi")
+    ends = periods.select(key, F.explode(F.array(F.date_sub(first, 1), last)).alias("__day"))
+    marks = ends.filter(F.col("__day").isNotNull()).select(
+        "*", *[F.lit(0).alias(m) for m in measures], F.lit(1).alias("__mark")
     )
-    marks = ends.filter(F.col("__day").isNotNull()).distinct()
     line = (
-        daily.withColumn("__mark", F.lit(0))
-        .unionByName(marks.select("*", *[F.lit(0).alias(m) for m in measures], F.lit(1).alias("__mark")))
+        facts.select(key, F.col(day).alias("__day"), *measures, F.lit(0).alias("__mark"))
+        .unionByName(marks)
         .groupBy(key, "__day")
         .agg(*[F.sum(m).alias(m) for m in measures], F.max("__mark").alias("__mark"))
     )

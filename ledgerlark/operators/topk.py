@@ -68,6 +68,19 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
 
 
+def apply_best(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, order: Sequence[Column], n: int,
+    keep_empty: bool = False,
+) -> DataFrame:
+    """For every row of ``left``, the first n rows of ``right`` with its key.
+
+    Evaluated once for all keys: ``right`` is cut to n rows per key before it
+    is joined. With ``keep_empty`` a row without matches stays, with NULLs.
+    """
+    best = best_per_key(right, [right_key], order, n)
+    return left.join(best, F.col(left_key) == F.col(right_key), "left" if keep_empty else "inner")
+
+
 def best_per_key_with_ties(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
     """Rows with fewer than n rows of a greater ``value`` in their group.
 

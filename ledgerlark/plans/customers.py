@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions.money import total, units
-from ledgerlark.operators.topk import best_per_key, top_n, top_n_with_ties
+from ledgerlark.operators.topk import apply_best, top_n, top_n_with_ties
 from ledgerlark.plans.months import order_totals
 from ledgerlark.plans.registry import plan
 from ledgerlark.tables import Warehouse
@@ -91,9 +91,8 @@ def purchase_sum_checked(w: Warehouse) -> DataFrame:
 def last_orders(customers: DataFrame, orders: DataFrame, n: int, keep_idle: bool = True) -> DataFrame:
     """The last n orders of every customer. With ``keep_idle`` a customer
     without orders has one row of NULLs, otherwise none."""
-    best = best_per_key(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")], n)
-    how = "left" if keep_idle else "inner"
-    return customers.join(best, F.col("c_custkey") == F.col("o_custkey"), how).select(
+    latest = [F.desc("o_orderdate"), F.desc("o_orderkey")]
+    return apply_best(customers, orders, "c_custkey", "o_custkey", latest, n, keep_empty=keep_idle).select(
         "c_custkey", "c_name", "o_orderkey", cal.iso(F.col("o_orderdate")).alias("order_day")
     )
 

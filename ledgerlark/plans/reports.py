@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.plans.registry import plan
-from ledgerlark.session import scratch
+from ledgerlark.session import scratch, stage
 from ledgerlark.streaming import reports
 from ledgerlark.tables import Warehouse
 
@@ -110,7 +110,7 @@ def customer_period_report(w: Warehouse) -> DataFrame:
     back out of their XML."""
     inbox, outbox = scratch(w.spark, "requests"), scratch(w.spark, "answers")
     reports.request_messages(requests(w), invoices(w)).write.parquet(inbox)
-    reports.answer_requests(inbox, activity(w), outbox).awaitTermination()
+    reports.answer_requests(inbox, stage(activity(w), "activity"), outbox).awaitTermination()
     answers = reports.reports_table(w.spark, outbox)
     fields = F.from_xml("report_xml", reports.RESPONSE_SHAPE)
     return answers.select("request_id", fields.alias("m")).select(

@@ -10,7 +10,7 @@ from ledgerlark.functions import text
 from ledgerlark.functions.money import total, units
 from ledgerlark.operators.months import running_month_totals
 from ledgerlark.operators.position import tile, with_neighbours, with_position
-from ledgerlark.operators.topk import best_per_key, best_per_key_with_ties, latest_per_key
+from ledgerlark.operators.topk import apply_best, best_per_key, best_per_key_with_ties, latest_per_key
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import stage
 from ledgerlark.tables import Warehouse
@@ -250,40 +250,44 @@ TOP2_SQL = """
 """
 
 
+def _bought(w: Warehouse, lines: DataFrame, price: str) -> DataFrame:
+    """Lines with the buyer and the day of the order."""
+    return lines.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_custkey", *LINE_TIES, price, "o_orderdate"
+    )
+
+
 def _dearest_two(w: Warehouse, lines: DataFrame, price: str) -> DataFrame:
     """Two dearest lines of every customer; names are joined to the survivors."""
-    bought = lines.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("c_custkey"), "l_partkey", price, "o_orderdate", *(c for c in LINE_TIES if c != "l_partkey")
-    )
-    best = best_per_key(bought, ["c_custkey"], [F.desc(price), *[F.asc(c) for c in LINE_TIES]], 2)
-    return best.join(w.customer, "c_custkey").select(
+    order = [F.desc(price), *[F.asc(c) for c in LINE_TIES]]
+    found = apply_best(w.customer, _bought(w, lines, price), "c_custkey", "o_custkey", order, 2)
+    return found.select(
         "c_custkey", "c_name", "l_partkey", F.col(price).alias("price"), cal.iso(F.col("o_orderdate")).alias("order_day")
     )
 
 
 @plan("top2_items_per_customer", TOP2_SQL.format(price="l_extendedprice"))
 def top2_items_per_customer(w: Warehouse) -> DataFrame:
-    return _dearest_two(w, w.lineitem, "l_extendedprice")
+    """By the price of the line, ranked within the customer."""
+    order = [F.desc("l_extendedprice"), *[F.asc(c) for c in LINE_TIES]]
+    best = best_per_key(_bought(w, w.lineitem, "l_extendedprice"), ["o_custkey"], order, 2)
+    return best.join(w.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "c_custkey",
+        "c_name",
+        "l_partkey",
+        F.col("l_extendedprice").alias("price"),
+        cal.iso(F.col("o_orderdate")).alias("order_day"),
+    )
 
 
 @plan("apply_top2_sale_price", TOP2_SQL.format(price="l_extendedprice"))
 def apply_top2_sale_price(w: Warehouse) -> DataFrame:
     """The lookup form: for every customer, the first two of an ordered list."""
-    return w.spark.sql(
-        """
-        SELECT c_custkey, c_name, t.l_partkey, t.l_extendedprice AS price,
-               date_format(t.o_orderdate, 'yyyy-MM-dd') AS order_day
-        FROM {customer} c JOIN LATERAL (
-            SELECT l_partkey, l_extendedprice, o_orderdate FROM {lines}
-            WHERE o_custkey = c.c_custkey
-            ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 2) t
-        """,
-        customer=w.customer,
-        lines=w.lineitem.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey")),
-    )
+    return _dearest_two(w, w.lineitem, "l_extendedprice")
 
 
 @plan("apply_top2_list_price", TOP2_SQL.format(price="p_retailprice"))
 def apply_top2_list_price(w: Warehouse) -> DataFrame:
+    """The same by list price of the item."""
     lines = w.lineitem.join(w.part, F.col("l_partkey") == F.col("p_partkey")).select(*LINE_TIES, "p_retailprice")
     return _dearest_two(w, lines, "p_retailprice")

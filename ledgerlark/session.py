@@ -66,12 +66,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def is_small(df: DataFrame, most_rows: int = 100_000) -> bool:
+    """Whether ``df`` has few rows; the count stops at the limit."""
+    return df.limit(most_rows + 1).count() <= most_rows
+
+
 def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` if a count shows that it is small, else leave the join
-    to Spark. The count stops at the limit."""
-    if df.limit(most_rows + 1).count() <= most_rows:
-        return F.broadcast(df)
-    return df
+    to Spark."""
+    return F.broadcast(df) if is_small(df, most_rows) else df
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -22,6 +22,10 @@ REPORT_COLUMNS = (
     "first_day date, last_day date, orders_in_invoices bigint, orders_quantity bigint"
 )
 
+RECEIVED_COLUMNS = (
+    "request_id string, body string, customer_id bigint, first_day date, last_day date, is_valid boolean"
+)
+
 # Message texts.
 REQUEST_TEXT = "Требуется отчёт по данному клиенту за указанный период"
 REPORT_TEXT = "Отчёт о количестве заказов данного клиента за указанный период"
@@ -105,27 +109,34 @@ def reports_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(REPORT_COLUMNS + ", batch_id bigint").parquet(os.path.join(folder, "reports"))
 
 
+def received_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages with their parsed fields; those with a false ``is_valid``
+    were set aside."""
+    return spark.read.schema(RECEIVED_COLUMNS + ", batch_id bigint").parquet(os.path.join(folder, "received"))
+
+
 def answer_requests(
     requests_folder: str, activity: DataFrame, out_folder: str, now: Column | None = None, available_now: bool = True,
     every: str = "10 seconds", files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Start the stream that answers requests as their files arrive.
 
-    Every micro-batch replaces its own ``batch_id`` folder, so a batch that is
-    run again after a failure leaves one copy; a request that an earlier batch
-    answered is dropped by id, and one repeated inside a batch counts once.
-    Messages that are no valid request go to ``rejected``.
+    Every micro-batch replaces its own ``batch_id`` folders, so a batch that
+    is run again after a failure leaves one copy; a request that an earlier
+    batch answered is dropped by id, and one repeated inside a batch counts
+    once. Messages that are no valid request are kept, but not answered. Every
+    batch reads ``activity``, so give a stored table of daily sums.
     """
     spark = activity.sparkSession
-    reports = os.path.join(out_folder, "reports")
-    rejected = os.path.join(out_folder, "rejected")
     clock = F.current_timestamp() if now is None else now
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = read_requests(batch)
-        parsed.filter(~F.col("is_valid")).select("request_id", "body").write.mode("overwrite").parquet(
-            os.path.join(rejected, f"batch_id={batch_id}")
-        )
+        own = f"batch_id={batch_id}"
+        received = os.path.join(out_folder, "received", own)
+        read_requests(batch).write.mode("overwrite").parquet(received)
+        # A stream plans without adaptive execution; the stored batch is read
+        # with the outer session, which has it.
+        parsed = spark.read.schema(RECEIVED_COLUMNS).parquet(received)
         requests = parsed.filter("is_valid").drop("is_valid", "body").dropDuplicates(["request_id"])
         if batch_id > 0:
             earlier = reports_table(spark, out_folder).filter(F.col("batch_id") < batch_id)
@@ -143,7 +154,7 @@ def answer_requests(
                 "orders_quantity",
             )
             .write.mode("overwrite")
-            .parquet(os.path.join(reports, f"batch_id={batch_id}"))
+            .parquet(os.path.join(out_folder, "reports", own))
         )
 
     stream = (
