@@ -47,12 +47,12 @@ def rows_on_last_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.filter(F.col(column) >= edge)
 
 
-def page(df: DataFrame, number: int, size: int, *order: Column) -> DataFrame:
+def page(df: DataFrame, number: int, size: int, *order: Column, shallow_end: int = SHALLOW_PAGE_END) -> DataFrame:
     """Page ``number`` (from 1) of ``size`` rows; give a total order."""
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
     skip = (number - 1) * size
-    if skip + size <= SHALLOW_PAGE_END:
+    if skip + size <= shallow_end:
         return df.orderBy(*order).offset(skip).limit(size)
     placed = with_position(df, order, "__position")
     return placed.filter(F.col("__position").between(skip + 1, skip + size)).drop("__position")

@@ -113,6 +113,44 @@ def orders_page_11(w: Warehouse) -> DataFrame:
     return page(order_lines_with_calendar(w), 11, 100, *order).drop("order_date")
 
 
+@plan(
+    "orders_page_by_position",
+    ATTRIBUTES_SQL
+    + """
+    ORDER BY quarter_number, third_of_year, o_orderdate, o_orderkey, l_linenumber, l_partkey, l_suppkey
+    LIMIT 100 OFFSET 5000
+    """,
+)
+def orders_page_by_position(w: Warehouse) -> DataFrame:
+    """Page 51, found the way a page far into a large result is found."""
+    order = [F.col(name) for name in REPORT_ORDER]
+    return page(order_lines_with_calendar(w), 51, 100, *order, shallow_end=0).drop("order_date")
+
+
+@plan(
+    "items_by_name_any_case",
+    """
+    SELECT lower(name) AS name, count(*) AS items, count(DISTINCT name) AS spellings
+    FROM (SELECT CASE WHEN p_type = 'PROMO' THEN upper(p_name) ELSE p_name END AS name FROM part) GROUP BY lower(name)
+    """,
+)
+def items_by_name_any_case(w: Warehouse) -> DataFrame:
+    """Items by name without regard to letter case."""
+    spelled = F.when(F.col("p_type") == "PROMO", F.upper("p_name")).otherwise(F.col("p_name"))
+    grouped = (
+        w.part.select(spelled.alias("spelling"))
+        .groupBy(text.any_case(F.col("spelling")).alias("key"), "spelling")
+        .agg(F.count("*").alias("items"))
+        .groupBy("key")
+        .agg(
+            F.min(F.lower("spelling")).alias("name"),
+            F.sum("items").alias("items"),
+            F.count("*").alias("spellings"),
+        )
+    )
+    return grouped.drop("key")
+
+
 @plan(
     "filter_between_or_eq",
     """

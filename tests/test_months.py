@@ -30,6 +30,6 @@ def test_item_grid(spark, sales):
     assert months.item_month_grid(items, sales, "day").distinct().count() == 3 * 24
 
 
-def test_running_totals_share_a_month(sales):
+def test_running_totals_in_hundredths(sales):
     totals = months.running_month_totals(sales.filter("day is not null"), cal.month_number(F.col("day")), "qty")
-    assert {r.month_number: r.running_total for r in totals.collect()} == {201501: 10, 201503: 22, 201712: 23}
+    assert {r.month_number: r.running_total for r in totals.collect()} == {201501: 1000, 201503: 2200, 201712: 2300}

@@ -97,3 +97,29 @@ def test_many_requests_of_one_customer(spark, activity):
     got = reports.period_reports(asked, activity)
     assert got.count() == 300
     assert {(r.first_day.day == 1, r.orders_quantity) for r in got.collect()} == {(True, 6), (False, 4)}
+
+
+def test_running_stream_picks_up_arrivals(spark, activity, tmp_path):
+    inbox, outbox = str(tmp_path / "in"), str(tmp_path / "out")
+    messages(spark, activity, ("a", 1, *JANUARY)).write.parquet(inbox)
+    query = reports.answer_requests(inbox, activity, outbox, now=F.lit(NOW), available_now=False, every="100 milliseconds")
+    try:
+        query.processAllAvailable()
+        messages(spark, activity, ("b", 2, *JANUARY)).write.mode("append").parquet(inbox)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert counts(spark, outbox) == {"a": (1, 2, 3), "b": (2, 1, 1)}
+
+
+def test_batch_that_runs_again_leaves_one_copy(spark, activity, tmp_path):
+    """The second run is made to repeat the last batch: its commit is lost."""
+    inbox, outbox = str(tmp_path / "in"), str(tmp_path / "out")
+    messages(spark, activity, ("a", 1, *JANUARY), ("b", 2, *JANUARY)).write.parquet(inbox)
+    run(activity, inbox, outbox)
+    commits = tmp_path / "out" / "progress" / "commits"
+    for file in commits.iterdir():
+        if file.name in ("0", ".0.crc"):
+            file.unlink()
+    run(activity, inbox, outbox)
+    assert reports.reports_table(spark, outbox).count() == 2
