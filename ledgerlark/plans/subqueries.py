@@ -134,15 +134,13 @@ def star_join_cities(w: Warehouse) -> DataFrame:
 BIG_ORDER = 500_000
 
 PICKED_SQL = f"""
-    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day,
-           (SELECT c_name FROM customer WHERE c_custkey = o_custkey) AS customer_name,
-           CAST(total AS DOUBLE) AS total_amount,
-           CAST((SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lineitem WHERE l_linestatus = 'F' AND l_orderkey =
-               (SELECT x.o_orderkey FROM orders x WHERE x.o_orderstatus = 'F' AND x.o_orderkey = orders.o_orderkey)
-           ) AS DOUBLE) AS picked_amount
-    FROM orders JOIN (
-        SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem
-        GROUP BY l_orderkey HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > {BIG_ORDER}) ON l_orderkey = o_orderkey
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day, c_name AS customer_name,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)))
+                FILTER (l_linestatus = 'F' AND o_orderstatus = 'F') AS DOUBLE) AS picked_amount
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey
+    GROUP BY o_orderkey, o_orderdate, c_name
+    HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > {BIG_ORDER}
 """
 
 
@@ -224,10 +222,11 @@ def _report_lines(w: Warehouse, same_day) -> DataFrame:
            CAST(sum(det.l_quantity) AS DOUBLE) AS sum_quantity, count(o.o_orderkey) AS orders_counted
     FROM orders o JOIN lineitem det ON det.l_orderkey = o.o_orderkey
     JOIN customer c ON c.c_custkey = o.o_custkey
+    JOIN supplier s ON s.s_suppkey = det.l_suppkey
     JOIN lineitem moves ON moves.l_partkey = det.l_partkey
-    WHERE (SELECT s_acctbal FROM supplier WHERE s_suppkey = det.l_suppkey) > 0
-      AND (SELECT s_nationkey FROM supplier WHERE s_suppkey = det.l_suppkey) <> c.c_nationkey
-      AND (SELECT sum(CAST(t.o_totalprice AS DECIMAL(18,2))) FROM orders t WHERE t.o_custkey = o.o_custkey) > {GOOD_CUSTOMER}
+    WHERE s.s_acctbal > 0 AND s.s_nationkey <> c.c_nationkey
+      AND o.o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey
+                          HAVING sum(CAST(o_totalprice AS DECIMAL(18,2))) > {GOOD_CUSTOMER})
       AND datediff('day', det.l_shipdate, o.o_orderdate) = 0
     GROUP BY ALL
     """,

@@ -106,10 +106,8 @@ def top2_items_per_month(w: Warehouse) -> DataFrame:
 @plan(
     "top2_by_theta_rank",
     f"""
-    WITH sales AS ({BRAND_MONTH_SQL})
-    SELECT a.sale_month, a.p_brand, a.quantity
-    FROM sales a LEFT JOIN sales b ON b.sale_month = a.sale_month AND b.quantity > a.quantity
-    GROUP BY ALL HAVING count(b.p_brand) < 2
+    SELECT sale_month, p_brand, quantity FROM ({BRAND_MONTH_SQL})
+    QUALIFY rank() OVER (PARTITION BY sale_month ORDER BY quantity DESC) <= 2
     """,
 )
 def top2_by_theta_rank(w: Warehouse) -> DataFrame:
@@ -199,16 +197,12 @@ def item_windows(items: DataFrame, letter=None) -> DataFrame:
 @plan(
     "last_customer_per_salesperson",
     """
-    WITH deals AS (
-        SELECT l_suppkey, o_custkey, o_orderdate, o_orderkey,
-               sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS amount
-        FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)
     SELECT s_suppkey, s_name, c_custkey, c_name, strftime(o_orderdate, '%Y-%m-%d') AS order_day,
-           CAST(amount AS DOUBLE) AS deal_amount
-    FROM deals d JOIN supplier ON s_suppkey = l_suppkey JOIN customer ON c_custkey = o_custkey
-    WHERE NOT EXISTS (
-        SELECT 1 FROM deals x WHERE x.l_suppkey = d.l_suppkey
-        AND (x.o_orderdate > d.o_orderdate OR (x.o_orderdate = d.o_orderdate AND x.o_orderkey > d.o_orderkey)))
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS deal_amount
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey
+    JOIN customer ON c_custkey = o_custkey
+    GROUP BY s_suppkey, s_name, c_custkey, c_name, o_orderdate, o_orderkey
+    QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
     """,
 )
 def last_customer_per_salesperson(w: Warehouse) -> DataFrame:
