@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,14 +54,16 @@ def export(df: DataFrame, path: str, separator: str = "|", encoding: str = "UTF-
     )
 
 
-def _reader(spark: SparkSession, schema: T.StructType, separator: str, encoding: str):
+def _reader(spark: SparkSession, schema: T.StructType, separator: str, encoding: str, cut_files: bool):
+    if cut_files and encoding.upper().startswith(("UTF-16", "UTF-32", "UTF16", "UTF32")):
+        raise ValueError("files of wide characters cannot be cut")
     return (
         spark.read.schema(schema)
         .option("sep", separator)
         .option("encoding", encoding)
         .option("lineSep", "\n")
         .option("nullValue", NULL_MARK)
-        .option("multiLine", True)
+        .option("multiLine", not cut_files)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -66,14 +72,28 @@ def _reader(spark: SparkSession, schema: T.StructType, separator: str, encoding:
 
 
 def load(
-    spark: SparkSession, path: str, schema: T.StructType, separator: str = "|", encoding: str = "UTF-16LE"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    separator: str = "|",
+    encoding: str = "UTF-16LE",
+    cut_files: bool = False,
 ) -> DataFrame:
-    """Load strictly: the first line that does not fit stops the job."""
-    return _unmarked(_reader(spark, schema, separator, encoding).option("mode", "FAILFAST").csv(path))
+    """Load strictly: the first line that does not fit stops the job.
+
+    ``cut_files`` lets many tasks share a large file of narrow characters in
+    which no value holds a line end.
+    """
+    return _unmarked(_reader(spark, schema, separator, encoding, cut_files).option("mode", "FAILFAST").csv(path))
 
 
 def load_with_quarantine(
-    spark: SparkSession, path: str, schema: T.StructType, separator: str = "|", encoding: str = "UTF-16LE"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    separator: str = "|",
+    encoding: str = "UTF-16LE",
+    cut_files: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, lines that do not fit the schema).
 
@@ -81,7 +101,7 @@ def load_with_quarantine(
     """
     wide = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
     rows = stage(
-        _reader(spark, wide, separator, encoding)
+        _reader(spark, wide, separator, encoding, cut_files)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .csv(path),
@@ -92,12 +112,32 @@ def load_with_quarantine(
     return good, bad
 
 
-def try_load(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> tuple[DataFrame | None, str | None]:
-    """(rows, None), or (None, message) when the file cannot be opened."""
+class LoadError(NamedTuple):
+    code: str
+    message: str
+
+
+def try_load(
+    spark: SparkSession, path: str, schema: T.StructType, target: str, **options
+) -> tuple[DataFrame | None, LoadError | None]:
+    """Load strictly into the new table folder ``target``.
+
+    (rows, None), or (None, error) when the file is missing or a line does not
+    fit; nothing is left in ``target`` to read then.
+    """
     try:
-        return load(spark, path, schema, **options), None
-    except Exception as error:  # the message is the result
-        return None, str(error).splitlines()[0]
+        load(spark, path, schema, **options).write.parquet(target)
+        return spark.read.schema(schema).parquet(target), None
+    except (PySparkException, Py4JJavaError) as error:
+        return None, _described(error)
+
+
+def _described(error: Exception) -> LoadError:
+    """Spark puts the error's name in brackets before its text."""
+    found = re.search(r"\[([A-Z][A-Z0-9_.]+)\]\s*(.*)", str(error))
+    if found:
+        return LoadError(*found.groups())
+    return LoadError(type(error).__name__, str(error))
 
 
 def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -26,6 +26,10 @@ ITEM_PATHS = {
 }
 
 
+# One task reads one file, so files are cut to a bounded length.
+ROWS_PER_FILE = 500_000
+
+
 def item_elements(items: DataFrame) -> DataFrame:
     """Item columns in the nested form of an item element."""
     return items.select(nested({path: F.col(name) for name, path in ITEM_PATHS.items()}).alias("item")).select("item.*")
@@ -44,12 +48,13 @@ def write_items(items: DataFrame, path: str) -> None:
         .write.format("xml")
         .option("rootTag", "StockItems")
         .option("rowTag", "Item")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .save(path)
     )
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items of XML files; Spark cuts the files at item elements."""
+    """Items of XML files, one task per file."""
     return item_columns(
         spark.read.format("xml").schema(ITEM_SHAPE).option("rowTag", "Item").option("mode", "FAILFAST").load(path)
     )

@@ -67,9 +67,37 @@ def test_strict_load_stops(spark, tmp_path):
         delimited.load(spark, path, SCHEMA).collect()
 
 
-def test_missing_file_is_reported(spark, tmp_path):
-    df, message = delimited.try_load(spark, str(tmp_path / "none"), SCHEMA)
-    assert df is None and "PATH_NOT_FOUND" in message
+def test_load_errors_are_reported(spark, tmp_path, rows):
+    df, error = delimited.try_load(spark, str(tmp_path / "none"), SCHEMA, str(tmp_path / "t1"))
+    assert df is None and error.code == "PATH_NOT_FOUND"
+
+    wrong = str(tmp_path / "wrong")
+    delimited.export(spark.createDataFrame([("one", "b", "y")], "id string, name string, note string"), wrong)
+    df, error = delimited.try_load(spark, wrong, SCHEMA, str(tmp_path / "t2"))
+    assert df is None and error.code.isupper() and error.message
+
+    right = str(tmp_path / "right")
+    delimited.export(spark.createDataFrame(VALUES, SCHEMA), right)
+    df, error = delimited.try_load(spark, right, SCHEMA, str(tmp_path / "t3"))
+    assert error is None and rows(df) == rows(spark.createDataFrame(VALUES, SCHEMA))
+
+
+def test_large_narrow_file_is_shared_by_tasks(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(20_000).select(F.col("id").cast("int"), F.lit("name").alias("name"), F.lit("").alias("note"))
+    delimited.export(df.coalesce(1), path, encoding="UTF-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50KB")
+    try:
+        whole = delimited.load(spark, path, SCHEMA, encoding="UTF-8")
+        cut = delimited.load(spark, path, SCHEMA, encoding="UTF-8", cut_files=True)
+        assert whole.rdd.getNumPartitions() == 1 < cut.rdd.getNumPartitions()
+        assert cut.count() == whole.count() == 20_000
+        assert cut.agg(F.sum("id")).head()[0] == 19_999 * 10_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(ValueError):
+        delimited.load(spark, path, SCHEMA, cut_files=True)
 
 
 def test_reconcile(spark, rows):
