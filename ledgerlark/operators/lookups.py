@@ -96,15 +96,13 @@ def counts_in_periods(
             )
         ).alias("__end"),
     ).select(key, first, last, "__end.*")
-    return (
+    sums = (
         readings.join(reached, [key, "__day"], "left")
         .groupBy(key, first, last)
-        .agg(
-            *[
-                F.greatest(F.coalesce(F.sum(F.col(m) * F.col("__sign")), F.lit(0)), F.lit(0))
-                .cast("long")
-                .alias(m)
-                for m in measures
-            ]
-        )
+        .agg(*[F.sum(F.col(m) * F.col("__sign")).alias(m) for m in measures])
+    )
+    # A period that ends before it starts, or lacks an end, holds nothing.
+    real = F.col(first) <= F.col(last)
+    return sums.withColumns(
+        {m: F.when(real, F.coalesce(m, F.lit(0))).otherwise(0).cast("long") for m in measures}
     )

@@ -135,7 +135,8 @@ def merge_upsert_log(w: Warehouse) -> DataFrame:
     SELECT c_custkey, c_name, coalesce(s_nationkey, c_nationkey) AS c_nationkey, c_acctbal, c_mktsegment
     FROM customer LEFT JOIN {SOURCE_SQL} ON src_name = c_name
     UNION ALL
-    SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY src_name), src_name, 3, s_acctbal, 'NEW' FROM {SOURCE_SQL} WHERE src_name NOT IN (SELECT c_name FROM customer)
+    SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY src_name), src_name, 3, s_acctbal, 'NEW'
+    FROM {SOURCE_SQL} WHERE src_name NOT IN (SELECT c_name FROM customer)
     """,
 )
 def merge_new_state(w: Warehouse) -> DataFrame:

@@ -184,7 +184,8 @@ def calendar_zero_fill_items(w: Warehouse) -> DataFrame:
     )
     idle = month_calendar(w.orders, "o_orderdate").join(months, ["year", "month"], "left_anti")
     return _shown(
-        low.select("year", "month", F.coalesce("p_name", F.lit("-")).alias("p_name"), "p_partkey", "amount", "first_day", "quantity")
+        low.withColumn("p_name", F.coalesce("p_name", F.lit("-")))
+        .select("year", "month", "p_name", "p_partkey", "amount", "first_day", "quantity")
         .unionByName(idle.withColumn("p_name", F.lit("-")), allowMissingColumns=True)
         .withColumns(
             {

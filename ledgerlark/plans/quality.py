@@ -84,7 +84,11 @@ def dq_text_checks(w: Warehouse) -> DataFrame:
     """,
 )
 def dq_numeric_checks(w: Warehouse) -> DataFrame:
-    rules = [("customer", "c_custkey", "c_acctbal"), ("supplier", "s_suppkey", "s_acctbal"), ("lineitem", "l_orderkey", "l_quantity")]
+    rules = [
+        ("customer", "c_custkey", "c_acctbal"),
+        ("supplier", "s_suppkey", "s_acctbal"),
+        ("lineitem", "l_orderkey", "l_quantity"),
+    ]
     found = [
         w.table(table)
         .filter(dq.is_negative(F.col(column)))
