@@ -46,7 +46,8 @@ def with_new_ids(target: DataFrame, source: DataFrame, key: str, id_column: str)
     names = target.select(key)
     fresh = source.join(names, key, "left_anti").select(*source.columns)
     known = source.join(names, key, "left_semi").select(*source.columns)
-    numbered = number_after(fresh, [F.col(key)], id_column, target)
+    # The hash spreads rows that share a key, or lack one, over several ranges.
+    numbered = number_after(fresh, [F.col(key), F.xxhash64(*source.columns)], id_column, target)
     return numbered.unionByName(known, allowMissingColumns=True)
 
 
