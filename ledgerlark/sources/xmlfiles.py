@@ -41,10 +41,13 @@ def item_columns(elements: DataFrame) -> DataFrame:
 
 
 def write_items(items: DataFrame, path: str) -> None:
-    """Indented XML files below ``path``, items sorted by name over all files."""
+    """Indented XML files below ``path``, items sorted by name over all files.
+
+    The hash as second key lets items of one name fill several files.
+    """
+    elements = item_elements(items)
     (
-        item_elements(items)
-        .orderBy("_Name")
+        elements.orderBy("_Name", F.xxhash64(*elements.columns))
         .write.format("xml")
         .option("rootTag", "StockItems")
         .option("rowTag", "Item")
