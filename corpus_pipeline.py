@@ -3,10 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from ledgerlark.llm import quality_classifier
+from ledgerlark.llm.decontamination import drop_documents
+from ledgerlark.llm.mixing import apply_mix
+from ledgerlark.llm.near_duplicates import deduplicate
+from ledgerlark.llm.queries_native import SHARDS, SLOTS
+from ledgerlark.llm.registry import read, ready
+from ledgerlark.llm.sharding import place
+from ledgerlark.session import stage
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier accepts."""
+    ready(spark)
+    return quality_classifier.accepted(docs, quality_classifier.train(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    ready(spark)
+    return deduplicate(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a window of a benchmark item."""
+    ready(spark)
+    return drop_documents(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, once for every reading."""
+    ready(spark)
+    return apply_mix(docs)
+
+
+def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their slot and shard."""
+    ready(spark)
+    return place(docs, SHARDS, SLOTS, F.col("doc_id"))
+
+
+STAGES = [
+    ("quality_classifier", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("sharding", assign_shards),
+]
+
+# The classifier's model is no SQL expression.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each stored before the next one reads it."""
+    docs = read(ready(spark), sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

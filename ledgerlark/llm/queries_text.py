@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+from ledgerlark.llm import quality_classifier, quality_rules
 from ledgerlark.llm.near_duplicates import report
 from ledgerlark.llm.registry import query, read
 
 
+@query("op4_quality_classifier")
+def quality_classes(spark, folder):
+    """A quality score for every document."""
+    docs = read(spark, folder, "documents")
+    return quality_classifier.classify(docs, quality_classifier.train(docs, read(spark, folder, "labels")))
+
+
+@query("op9_quality_rules")
+def rules(spark, folder):
+    """Base counts and the verdict of the likelihood ratio for every document."""
+    docs = read(spark, folder, "documents")
+    return quality_rules.judge(docs, *quality_rules.train(docs, read(spark, folder, "labels")))
+
+
 @query("op10_near_duplicates")
 def near_duplicates(spark, folder):
     """The class of near-duplicates of every document."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import ledgerlark
 from ledgerlark.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,13 +18,30 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+_sent: set[str] = set()
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Set the session up; Python workers get this package from the driver."""
+    context = spark.sparkContext
+    if context.applicationId not in _sent:
+        top = Path(ledgerlark.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="ledgerlark-code-")) / "ledgerlark.zip"
+        with zipfile.ZipFile(archive, "w") as packed:
+            for source in sorted(top.rglob("*.py")):
+                packed.write(source, source.relative_to(top.parent))
+        context.addPyFile(str(archive))
+        _sent.add(context.applicationId)
+    return prepare(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register a function from (session, data folder) to DataFrame."""
 
     def add(build: Query) -> Query:
         if name in QUERIES:
             raise KeyError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, folder: build(prepare(spark), folder)
+        QUERIES[name] = lambda spark, folder: build(ready(spark), folder)
         if sql is not None:
             SQL[name] = sql
         return build
