@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlark.llm import quality_classifier, quality_rules
+from ledgerlark.llm import context_tree, quality_classifier, quality_rules
 from ledgerlark.llm.near_duplicates import report
 from ledgerlark.llm.registry import query, read
 
@@ -14,6 +14,12 @@ def quality_classes(spark, folder):
     return quality_classifier.classify(docs, quality_classifier.train(docs, read(spark, folder, "labels")))
 
 
+@query("op6_context_tree")
+def context_tree_scores(spark, folder):
+    """Model and unigram score of every document."""
+    return context_tree.score(read(spark, folder, "documents"))
+
+
 @query("op9_quality_rules")
 def rules(spark, folder):
     """Base counts and the verdict of the likelihood ratio for every document."""
