@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlark.llm import context_tree, quality_classifier, quality_rules
+from ledgerlark.llm import context_tree, main_text, quality_classifier, quality_rules
 from ledgerlark.llm.near_duplicates import report
 from ledgerlark.llm.registry import query, read
 
@@ -20,6 +20,13 @@ def context_tree_scores(spark, folder):
     return context_tree.score(read(spark, folder, "documents"))
 
 
+@query("op7_main_text")
+def main_texts(spark, folder):
+    """The main text of every page."""
+    pages = read(spark, folder, "pages")
+    return main_text.extract(pages, main_text.train(pages))
+
+
 @query("op9_quality_rules")
 def rules(spark, folder):
     """Base counts and the verdict of the likelihood ratio for every document."""
