@@ -14,11 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import ALPHANUMERIC, U64, encode, fold, hash_words, mix64, shingles, slices, weighted
-from ledgerlark.llm.components import components
+from ledgerlark.llm.buckets import crowded, nodes_of, settle
 from ledgerlark.session import stage
 
 WORDS = 5
@@ -153,41 +153,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
         "texts",
     )
     spread = members.select("t", F.explode("bands").alias("bucket"))
-    shared = (
-        spread.groupBy("bucket")
-        .agg(F.min("t").alias("center"), F.max("t").alias("other"), F.count("*").alias("rows"))
-        .filter("center <> other")
-        .drop("other")
-    )
-    crowded = stage(spread.join(shared, "bucket").distinct(), "buckets")
-    wanted = crowded.select("t").distinct().join(texts, "t").select("t", "first")
-    chosen = rows.join(wanted, "t").filter(F.col("id").eqNullSafe(F.col("first"))).select("t", "text")
+    rows_of = crowded(spread)
+    wanted = nodes_of(rows_of)
+    first = texts.select(F.col("t").alias("of"), "first")
+    near = rows.join(wanted, "t").select("id", "t", "text")
+    chosen = near.join(first, (F.col("t") == F.col("of")) & F.col("id").eqNullSafe(F.col("first"))).select("t", "text")
     sketches = stage(chosen.mapInPandas(_sketch, "t bigint, e array<bigint>, w array<int>"), "sketches")
-    pairs = crowded.filter("t <> center").select(F.col("center").alias("a"), F.col("t").alias("b")).distinct()
-    links = stage(_links(pairs, sketches).distinct(), "links")
-    labels = stage(components(links), "labels")
-    for turn in range(1, rounds):
-        named = crowded.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn(
-            "label", F.coalesce("label", "t")
-        )
-        split = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        open_ = named.join(split.filter("low <> high").select("bucket"), "bucket", "left_semi")
-        draw = F.xxhash64("t", "bucket", F.lit(turn))
-        part = F.pmod(F.xxhash64("t", F.lit(-turn)), F.ceil(F.col("rows") / 500).cast("long"))
-        order = Window.partitionBy("bucket", "part").orderBy("draw", "t")
-        beside = (
-            open_.withColumn("draw", draw)
-            .withColumn("part", part)
-            .select("t", "label", F.lag("t").over(order).alias("s"), F.lag("label").over(order).alias("beside"))
-            .filter("label <> beside")
-            .select(F.least("t", "s").alias("a"), F.greatest("t", "s").alias("b"))
-            .distinct()
-        )
-        found = stage(_links(beside, sketches).distinct(), "links")
-        if found.isEmpty():
-            break
-        links = links.union(found)
-        labels = stage(components(links), "labels")
+    labels = settle(rows_of, lambda pairs: _links(pairs, sketches), rounds)
     named = texts.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn("label", F.coalesce("label", "t"))
     heads = (
         named.groupBy("label")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlark.llm import context_tree, main_text, quality_classifier, quality_rules
+from ledgerlark.llm import context_tree, line_dedup, main_text, quality_classifier, quality_rules
 from ledgerlark.llm.near_duplicates import report
 from ledgerlark.llm.registry import query, read
 
@@ -27,6 +27,12 @@ def main_texts(spark, folder):
     return main_text.extract(pages, main_text.train(pages))
 
 
+@query("op8_line_dedup")
+def line_duplicates(spark, folder):
+    """The lines of every document that repeat, exactly or nearly, an earlier line of the corpus."""
+    return line_dedup.report(read(spark, folder, "documents"))
+
+
 @query("op9_quality_rules")
 def rules(spark, folder):
     """Base counts and the verdict of the likelihood ratio for every document."""
