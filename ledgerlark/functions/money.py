@@ -2,8 +2,9 @@
 
 Tables store them as doubles with two decimals. A sum is taken over whole
 hundredths in 64-bit integers: exact, independent of the order of rows, and
-several times cheaper than decimal arithmetic. A sum above 9e16 units stops
-the job with an overflow error, it never wraps.
+several times cheaper than decimal arithmetic. A value with more decimals stops
+the job, and so does a sum above 9e16 units (``prepare`` sets the ANSI mode,
+in which integers do not wrap). Products are taken in ``wide`` numbers.
 """
 
 from __future__ import annotations
@@ -21,13 +22,23 @@ def money(column: str | Column) -> Column:
     return _column(column).cast("decimal(18,2)")
 
 
-def hundredths(column: str | Column) -> Column:
-    return F.rint(_column(column) * 100).cast("long")
+def hundredths(column: str | Column, scale: int = 2) -> Column:
+    """The value in whole units of its last decimal; more decimals are an error."""
+    exact = _column(column) * 10**scale
+    whole = F.rint(exact)
+    wrong = F.abs(exact - whole) > 1e-5 + F.abs(exact) * 1e-15
+    refused = F.raise_error(F.lit(f"a value has more than {scale} decimals")).cast("long")
+    return F.when(wrong, refused).otherwise(whole.cast("long"))
 
 
-def total(column: str | Column) -> Column:
+def total(column: str | Column, scale: int = 2) -> Column:
     """Aggregate: the sum in hundredths."""
-    return F.sum(hundredths(column))
+    return F.sum(hundredths(column, scale))
+
+
+def wide(column: str | Column) -> Column:
+    """For products: 38 digits."""
+    return _column(column).cast("decimal(38,0)")
 
 
 def units(column: str | Column) -> Column:

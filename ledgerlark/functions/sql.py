@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from ledgerlark.functions.text import BLANKS
 from ledgerlark.tables import SCHEMAS, Warehouse
 
 # The body of a table function is merged into the query that calls it. A LIMIT
 # in such a body would apply to all calls together, so "the last two" is a row
 # number.
+_BLANKS = "".join(f"\\u{ord(c):04x}" for c in BLANKS)
+
 FUNCTIONS = [
-    r"""
+    rf"""
     split_string(value STRING, delimiters STRING) RETURNS TABLE (part_number INT, part STRING)
-    RETURN SELECT pos + 1, trim(BOTH ' \t\n\r' FROM col) FROM posexplode(filter(
-        split(value, concat('[', regexp_replace(delimiters, '([\\[\\]^\\-\\\\&])', '\\\\$1'), ']')), p -> p <> ''))
+    RETURN SELECT pos + 1, trim(BOTH '{_BLANKS}' FROM col) FROM posexplode(filter(
+        split(value, concat('[', regexp_replace(if(delimiters = '', '{_BLANKS}', delimiters),
+              '([\\[\\]^\\-\\\\&])', '\\\\$1'), ']')), p -> p <> ''))
     """,
     """
     purchases() RETURNS TABLE (custkey BIGINT, hundredths BIGINT)

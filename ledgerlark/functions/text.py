@@ -16,13 +16,13 @@ BLANKS = (
 
 
 def contains(column: Column, part: str) -> Column:
-    """Any letter case."""
-    return column.ilike(f"%{part}%")
+    """Any letter case; every character of ``part`` stands for itself."""
+    return F.lower(column).contains(F.lower(F.lit(part)))
 
 
 def begins(column: Column, part: str) -> Column:
-    """Any letter case."""
-    return column.ilike(f"{part}%")
+    """Any letter case; every character of ``part`` stands for itself."""
+    return F.lower(column).startswith(F.lower(F.lit(part)))
 
 
 def any_case(column: Column) -> Column:
@@ -56,8 +56,9 @@ def replace_at(column: Column, start: int, count: int, new: str) -> Column:
 
 def parts(column: Column, delimiters: str) -> Column:
     """Split at any one of the ``delimiters``; empty parts are dropped before
-    the others are trimmed, so a part of blanks only stays as ''."""
-    pieces = F.split(column, "[" + re.escape(delimiters) + "]", -1)
+    the others are trimmed, so a part of blanks only stays as ''. Without
+    delimiters it is split at white space."""
+    pieces = F.split(column, "[" + re.escape(delimiters or BLANKS) + "]", -1)
     kept = F.filter(pieces, lambda piece: piece != "")
     return F.transform(kept, lambda piece: F.btrim(piece, F.lit(BLANKS)))
 

@@ -9,14 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.position import with_position
 
-# Up to this many new rows are numbered by one sort; more go through positions.
-SMALL_INSERT = 100_000
-
 
 class Change(NamedTuple):
     table: DataFrame
@@ -27,16 +24,10 @@ class AmbiguousMerge(ValueError):
     """A target row would be changed by more than one source row."""
 
 
-def number_after(rows: DataFrame, order: Sequence[Column], key: str, target: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Give new rows the ids that follow the highest id of ``target``.
-
-    ``at_most`` states a known bound on the number of rows.
-    """
+def number_after(rows: DataFrame, order: Sequence[Column], key: str, target: DataFrame) -> DataFrame:
+    """Give new rows the ids that follow the highest id of ``target``."""
     highest = target.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    if at_most is not None and at_most <= SMALL_INSERT:
-        placed = rows.withColumn("__n", F.row_number().over(Window.orderBy(*order)))
-    else:
-        placed = with_position(rows, order, "__n")
+    placed = with_position(rows, order, "__n")
     return placed.withColumn(key, (F.col("__n") + highest).cast("long")).drop("__n")
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.session import is_small
-
 
 def not_above_any(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFrame:
     """Rows with ``column <= ALL (values)``.
@@ -62,12 +60,11 @@ def counts_in_periods(
     and read at both ends of a period. A key's window holds at most one row
     per calendar day, so neither many facts nor many periods of one key
     collect in a task, and facts and periods are never paired. Facts of other
-    keys are dropped where they are read when a count shows few keys.
+    keys are dropped by a semi-join; Spark broadcasts few keys.
     """
     spans = periods.select(key, first, last).distinct()
     asked = periods.select(key).distinct()
-    if is_small(asked):
-        facts = facts.join(F.broadcast(asked), key, "left_semi")
+    facts = facts.join(asked, key, "left_semi")
     ends = periods.select(key, F.explode(F.array(F.date_sub(first, 1), last)).alias("__day"))
     marks = ends.filter(F.col("__day").isNotNull()).select(
         "*", *[F.lit(0).alias(m) for m in measures], F.lit(1).alias("__mark")

@@ -12,13 +12,12 @@ class NoPivotColumns(ValueError):
     """The list of columns for a pivot came out empty."""
 
 
-def pivot_columns(names: DataFrame, column: str) -> list[str]:
+def pivot_columns(names: DataFrame, column: str, limit: int = 10_000) -> list[str]:
     """The distinct names as a sorted list.
 
-    Only names travel to the driver, and no more than Spark allows a pivot to
-    have; a longer list is refused, since it could not become columns.
+    Only names travel to the driver, and at most ``limit`` of them; a longer
+    list is refused, never cut.
     """
-    limit = int(names.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     found = names.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(found) > limit:
         raise ValueError(f"more than {limit} pivot columns")

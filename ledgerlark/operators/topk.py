@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.position import with_position
 
-# A page that ends before this row is cut by a bounded sort in every task; a
-# deeper one is found by row position, so no task holds all rows before it.
-SHALLOW_PAGE_END = 100_000
-
 
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
@@ -47,13 +43,14 @@ def rows_on_last_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.filter(F.col(column) >= edge)
 
 
-def page(df: DataFrame, number: int, size: int, *order: Column, shallow_end: int = SHALLOW_PAGE_END) -> DataFrame:
-    """Page ``number`` (from 1) of ``size`` rows; give a total order."""
+def page(df: DataFrame, number: int, size: int, *order: Column) -> DataFrame:
+    """Page ``number`` (from 1) of ``size`` rows; give a total order.
+
+    Found by row position at any depth, so no task holds the rows before it.
+    """
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
     skip = (number - 1) * size
-    if skip + size <= shallow_end:
-        return df.orderBy(*order).offset(skip).limit(size)
     placed = with_position(df, order, "__position")
     return placed.filter(F.col("__position").between(skip + 1, skip + size)).drop("__position")
 

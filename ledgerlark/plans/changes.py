@@ -24,7 +24,7 @@ def new_customers(w: Warehouse, rows: int) -> DataFrame:
         F.lit(0.0).alias("c_acctbal"),
         F.lit("NEW").alias("c_mktsegment"),
     )
-    return ch.number_after(shaped, [F.asc("c_name")], "c_custkey", w.customer, at_most=rows)
+    return ch.number_after(shaped, [F.asc("c_name")], "c_custkey", w.customer)
 
 
 INSERTED_SQL = """

@@ -102,12 +102,39 @@ def last_orders(customers: DataFrame, orders: DataFrame, n: int, keep_idle: bool
     """
     SELECT c_custkey, c_name, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day
     FROM customer LEFT JOIN (
-        SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01 00:00:00'
-        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 2
+        SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 2
     ) ON o_custkey = c_custkey
     """,
 )
 def last2_orders_per_customer(w: Warehouse) -> DataFrame:
-    """Orders since June 2001, so that some customers have none."""
-    recent = w.orders.filter(cal.days_since(F.col("o_orderdate"), "2001-06-01"))
-    return last_orders(w.customer, recent, 2)
+    return last_orders(w.customer, w.orders, 2)
+
+
+@plan(
+    "last2_orders_by_loop",
+    """
+    SELECT c_custkey, c_name, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day
+    FROM customer JOIN orders ON o_custkey = c_custkey
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 2
+    """,
+)
+def last2_orders_by_loop(w: Warehouse) -> DataFrame:
+    """What a loop over the customers collects: those without orders are missing."""
+    return last_orders(w.customer, w.orders, 2, keep_idle=False)
+
+
+@plan(
+    "last2_lines_per_order",
+    """
+    SELECT o_orderkey, l_linenumber, l_partkey, CAST(l_extendedprice AS DOUBLE) AS price
+    FROM orders LEFT JOIN (
+        SELECT * FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) <= 2
+    ) ON l_orderkey = o_orderkey
+    """,
+)
+def last2_lines_per_order(w: Warehouse) -> DataFrame:
+    """The last two lines of every order; an order without lines has a row of NULLs."""
+    last = [F.desc("l_linenumber"), F.desc("l_partkey"), F.desc("l_suppkey")]
+    found = apply_best(w.orders, w.lineitem, "o_orderkey", "l_orderkey", last, 2, keep_empty=True)
+    return found.select("o_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").alias("price"))

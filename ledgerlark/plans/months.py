@@ -9,6 +9,7 @@ from ledgerlark.functions import calendar as cal
 from ledgerlark.functions.money import hundredths, mean, number, total, units
 from ledgerlark.operators.months import item_month_grid, month_calendar, zero_filled
 from ledgerlark.plans.registry import plan
+from ledgerlark.session import stage
 from ledgerlark.tables import Warehouse
 
 
@@ -71,13 +72,13 @@ def months_over_threshold(w: Warehouse) -> DataFrame:
     per_order = (
         w.lineitem.join(w.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(hundredths("l_quantity") * hundredths("p_retailprice")).alias("amount"))
+        .agg(F.sum(hundredths("l_quantity").cast("decimal(19,0)") * hundredths("p_retailprice")).alias("amount"))
     )
     return (
         w.orders.select("o_orderkey", "o_orderdate")
         .join(per_order, "o_orderkey")
         .groupBy(F.year(day).alias("year"), F.month(day).alias("month"))
-        .agg(F.sum(F.col("amount").cast("decimal(20,0)")).alias("amount"))
+        .agg(F.sum("amount").alias("amount"))
         .filter(F.col("amount") > 17_500_000 * 100 * 100)
         .select("year", "month", (number("amount") / 10_000).alias("total_amount"))
         .orderBy("year", "month")
@@ -175,13 +176,9 @@ def calendar_zero_fill_items(w: Warehouse) -> DataFrame:
     A month without low sellers but with sales has no row, so the calendar is
     filled from all sold months; the facts need not be joined to it.
     """
-    sold = by_month_and_item(w)
+    sold = stage(by_month_and_item(w), "sold")
     low = sold.filter(units("quantity") < LOW_SELLER).join(w.part.select("p_partkey", "p_name"), "p_partkey", "left")
-    months = (
-        w.orders.join(w.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey", "left_semi")
-        .select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-        .distinct()
-    )
+    months = sold.select("year", "month").distinct()
     idle = month_calendar(w.orders, "o_orderdate").join(months, ["year", "month"], "left_anti")
     return _shown(
         low.withColumn("p_name", F.coalesce("p_name", F.lit("-")))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
-from ledgerlark.functions.money import hundredths, total, units
+from ledgerlark.functions.money import hundredths, number, total, units, wide
 from ledgerlark.operators.lookups import equal_to_least, not_above_any, with_match_count
 from ledgerlark.operators.topk import top_n, top_n_with_ties
 from ledgerlark.plans.registry import plan
-from ledgerlark.session import small_side
 from ledgerlark.tables import Warehouse
 
 
@@ -114,7 +113,7 @@ def star_join_cities(w: Warehouse) -> DataFrame:
     """Where the dearest items went and who sold them. Rows are made distinct
     after every step that drops a key, so later joins see few of them."""
     dear = top_n_with_ties(w.part, 3, "p_retailprice", nullable=False).select(F.col("p_partkey").alias("l_partkey"))
-    lines = w.lineitem.join(small_side(dear), "l_partkey", "left_semi").select("l_orderkey", "l_suppkey").distinct()
+    lines = w.lineitem.join(dear, "l_partkey", "left_semi").select("l_orderkey", "l_suppkey").distinct()
     pairs = (
         lines.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_suppkey").distinct()
     )
@@ -193,86 +192,111 @@ def invoice_picked_totals_correlated(w: Warehouse) -> DataFrame:
     )
 
 
-GOOD_CUSTOMER = 3_000_000
+GOOD_CUSTOMER = 250_000
+SUPPLIER = 12
 
-
-def _good_customers(w: Warehouse) -> DataFrame:
-    totals = w.orders.groupBy("o_custkey").agg(total("o_totalprice").alias("total"))
-    return totals.filter(units("total") > GOOD_CUSTOMER).select("o_custkey")
-
-
-def _report_lines(w: Warehouse, same_day) -> DataFrame:
-    """Lines shipped on the day of the order, by suppliers in credit, for
-    customers of another nation who ordered much."""
-    return (
-        w.lineitem.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .filter(same_day)
-        .join(w.supplier.filter(F.col("s_acctbal") > 0), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(w.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .filter(F.col("s_nationkey") != F.col("c_nationkey"))
-        .join(_good_customers(w), "o_custkey", "left_semi")
-    )
-
-
-@plan(
-    "fanout_raw_report",
-    f"""
+# What both reports ask for: lines of chosen suppliers that left on the day of the
+# order, for customers of another nation whose lines sum up to much.
+_FANOUT_SQL = """
     SELECT o.o_custkey, det.l_partkey,
            CAST(sum(CAST(det.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price,
            CAST(sum(det.l_quantity) AS DOUBLE) AS sum_quantity, count(o.o_orderkey) AS orders_counted
     FROM orders o JOIN lineitem det ON det.l_orderkey = o.o_orderkey
     JOIN customer c ON c.c_custkey = o.o_custkey
     JOIN supplier s ON s.s_suppkey = det.l_suppkey
-    JOIN lineitem moves ON moves.l_partkey = det.l_partkey
-    WHERE s.s_acctbal > 0 AND s.s_nationkey <> c.c_nationkey
-      AND o.o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey
-                          HAVING sum(CAST(o_totalprice AS DECIMAL(18,2))) > {GOOD_CUSTOMER})
-      AND datediff('day', det.l_shipdate, o.o_orderdate) = 0
+    {joins}
+    WHERE {suppliers} AND s.s_nationkey <> c.c_nationkey
+      AND o.o_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey
+                          HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > {good})
+      AND {same_day}
     GROUP BY ALL
-    """,
-)
-def fanout_raw_report(w: Warehouse) -> DataFrame:
-    """Sums inflated by a join to all movements of the item, computed from
-    the number of movements instead of the pairs."""
-    lines = _report_lines(w, cal.day_gap(F.col("l_shipdate"), F.col("o_orderdate")) == 0)
-    moves = F.col("moves")
-    return (
-        with_match_count(lines, w.lineitem.select("l_partkey"), ["l_partkey"], "moves")
+"""
+
+
+def _report_lines(w: Warehouse, suppliers: Column, same_day: Column) -> DataFrame:
+    """Sums per customer and item of the lines both reports are about.
+
+    The suppliers' lines are cut out before they meet orders (a condition on
+    the key reaches their scan) and summed up before the customers' totals are
+    looked up; only totals of customers that are left are computed.
+    """
+    lines = (
+        w.lineitem.join(w.supplier.filter(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .filter(same_day)
+        .join(w.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .filter(F.col("s_nationkey") != F.col("c_nationkey"))
         .groupBy("o_custkey", "l_partkey")
         .agg(
-            units(F.sum(hundredths("l_extendedprice") * moves)).alias("sum_price"),
-            units(F.sum(hundredths("l_quantity") * moves)).alias("sum_quantity"),
-            F.sum(moves).alias("orders_counted"),
+            total("l_extendedprice").alias("price"),
+            total("l_quantity").alias("quantity"),
+            F.count("o_orderkey").alias("orders"),
         )
-        .orderBy("o_custkey", "l_partkey")
     )
+    mine = w.orders.join(lines.select("o_custkey").distinct(), "o_custkey", "left_semi")
+    good = (
+        w.lineitem.join(mine, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("o_custkey")
+        .agg(total("l_extendedprice").alias("total"))
+        .filter(units("total") > GOOD_CUSTOMER)
+    )
+    return lines.join(good, "o_custkey", "left_semi")
 
 
-@plan(
-    "fanout_fixed_report",
-    f"""
-    SELECT o.o_custkey, det.l_partkey,
-           CAST(sum(CAST(det.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price,
-           CAST(sum(det.l_quantity) AS DOUBLE) AS sum_quantity, count(o.o_orderkey) AS orders_counted
-    FROM orders o JOIN lineitem det ON det.l_orderkey = o.o_orderkey
-    JOIN customer c ON c.c_custkey = o.o_custkey
-    JOIN supplier s ON s.s_suppkey = det.l_suppkey
-    JOIN (SELECT o_custkey FROM orders GROUP BY o_custkey
-          HAVING sum(CAST(o_totalprice AS DECIMAL(18,2))) > {GOOD_CUSTOMER}) g ON g.o_custkey = o.o_custkey
-    WHERE s.s_acctbal > 0 AND s.s_nationkey <> c.c_nationkey
-      AND CAST(det.l_shipdate AS DATE) = CAST(o.o_orderdate AS DATE)
-    GROUP BY ALL
-    """,
-)
-def fanout_fixed_report(w: Warehouse) -> DataFrame:
-    """The report without the join to movements; days are compared directly."""
-    lines = _report_lines(w, F.to_date("l_shipdate") == F.to_date("o_orderdate"))
-    return (
-        lines.groupBy("o_custkey", "l_partkey")
-        .agg(
-            units(total("l_extendedprice")).alias("sum_price"),
-            units(total("l_quantity")).alias("sum_quantity"),
-            F.count("o_orderkey").alias("orders_counted"),
-        )
-        .orderBy("o_custkey", "l_partkey")
-    )
+RAW_JOINS = "JOIN orders trans ON trans.o_custkey = o.o_custkey JOIN lineitem moves ON moves.l_partkey = det.l_partkey"
+RAW_DAY = "datediff('day', det.l_shipdate, o.o_orderdate) = 0"
+FIXED_DAY = "CAST(det.l_shipdate AS DATE) = CAST(o.o_orderdate AS DATE)"
+
+
+def _fanout_sql(joins: str, suppliers: str, same_day: str) -> str:
+    return _FANOUT_SQL.format(joins=joins, suppliers=suppliers, good=GOOD_CUSTOMER, same_day=same_day)
+
+
+def _raw(w: Warehouse, suppliers: Column) -> DataFrame:
+    """Sums inflated by joins to all transactions of the customer and all
+    movements of the item. Both are read off counts; no pair is built."""
+    lines = _report_lines(w, suppliers, cal.day_gap(F.col("l_shipdate"), F.col("o_orderdate")) == 0)
+    moves = w.lineitem.join(lines.select("l_partkey").distinct(), "l_partkey", "left_semi").select("l_partkey")
+    deals = w.orders.join(lines.select("o_custkey").distinct(), "o_custkey", "left_semi").select("o_custkey")
+    counted = with_match_count(with_match_count(lines, moves, ["l_partkey"], "moves"), deals, ["o_custkey"], "deals")
+    times = wide("moves") * F.col("deals")
+    return counted.select(
+        "o_custkey",
+        "l_partkey",
+        (number(wide("price") * times) / 100).alias("sum_price"),
+        (number(wide("quantity") * times) / 100).alias("sum_quantity"),
+        (F.col("orders") * times).cast("long").alias("orders_counted"),
+    ).orderBy("o_custkey", "l_partkey")
+
+
+def _fixed(w: Warehouse, suppliers: Column) -> DataFrame:
+    """The report without both joins; days are compared directly."""
+    lines = _report_lines(w, suppliers, F.to_date("l_shipdate") == F.to_date("o_orderdate"))
+    return lines.select(
+        "o_custkey",
+        "l_partkey",
+        units("price").alias("sum_price"),
+        units("quantity").alias("sum_quantity"),
+        F.col("orders").alias("orders_counted"),
+    ).orderBy("o_custkey", "l_partkey")
+
+
+@plan("fanout_raw_report", _fanout_sql(RAW_JOINS, f"s.s_suppkey = {SUPPLIER}", RAW_DAY))
+def fanout_raw_report(w: Warehouse, supplier: int = SUPPLIER) -> DataFrame:
+    return _raw(w, F.col("s_suppkey") == supplier)
+
+
+@plan("fanout_fixed_report", _fanout_sql("", f"s.s_suppkey = {SUPPLIER}", FIXED_DAY))
+def fanout_fixed_report(w: Warehouse, supplier: int = SUPPLIER) -> DataFrame:
+    return _fixed(w, F.col("s_suppkey") == supplier)
+
+
+@plan("fanout_raw_report_in_credit", _fanout_sql(RAW_JOINS, "s.s_acctbal > 0", RAW_DAY))
+def fanout_raw_report_in_credit(w: Warehouse) -> DataFrame:
+    """All suppliers in credit instead of one."""
+    return _raw(w, F.col("s_acctbal") > 0)
+
+
+@plan("fanout_fixed_report_in_credit", _fanout_sql("", "s.s_acctbal > 0", FIXED_DAY))
+def fanout_fixed_report_in_credit(w: Warehouse) -> DataFrame:
+    return _fixed(w, F.col("s_acctbal") > 0)

@@ -71,66 +71,85 @@ def running_total_correlated(w: Warehouse) -> DataFrame:
     return _running_columns(named.withColumn("running_total", F.element_at(by_month, F.col("month_number"))))
 
 
-def _brand_months(w: Warehouse) -> DataFrame:
-    """Lines of 1997 with the month of the order and the brand."""
+def _sale_months(w: Warehouse, item: str) -> DataFrame:
+    """Lines of 1997 with the month of the order and ``item``: the key of the
+    item, or its brand."""
     orders = w.orders.filter(cal.days_from_until(F.col("o_orderdate"), "1997-01-01", "1998-01-01"))
-    return (
-        w.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(w.part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.month("o_orderdate").alias("sale_month"), "p_brand", "l_quantity", "l_orderkey")
+    sold = w.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if item == "p_brand":
+        sold = sold.join(w.part, F.col("l_partkey") == F.col("p_partkey"))
+    return sold.withColumn("p_partkey", F.col("l_partkey")).select(
+        F.month("o_orderdate").alias("sale_month"), item, "l_quantity", "l_orderkey"
     )
 
 
-BRAND_MONTH_SQL = """
-    SELECT CAST(month(o_orderdate) AS INTEGER) AS sale_month, p_brand, CAST(sum(l_quantity) AS DOUBLE) AS quantity,
+def _month_sql(item: str) -> str:
+    return f"""
+    SELECT CAST(month(o_orderdate) AS INTEGER) AS sale_month, {item}, CAST(sum(l_quantity) AS DOUBLE) AS quantity,
            count(DISTINCT l_orderkey) AS sales
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
     WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
     GROUP BY ALL
-"""
+    """
 
 
-@plan(
-    "top2_items_per_month",
-    f"""
-    SELECT sale_month, p_brand, quantity FROM ({BRAND_MONTH_SQL})
-    QUALIFY row_number() OVER (PARTITION BY sale_month ORDER BY quantity DESC, p_brand) <= 2
-    """,
-)
-def top2_items_per_month(w: Warehouse) -> DataFrame:
-    sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(units(total("l_quantity")).alias("quantity"))
-    best = best_per_key(sums, ["sale_month"], [F.desc("quantity"), F.asc("p_brand")], 2)
+def _top2_sql(item: str, value: str, function: str, tie: str) -> str:
+    return f"""
+    SELECT sale_month, {item}, {value} FROM ({_month_sql(item)})
+    QUALIFY {function}() OVER (PARTITION BY sale_month ORDER BY {value} DESC{tie}) <= 2
+    """
+
+
+def _top2(w: Warehouse, item: str) -> DataFrame:
+    sums = _sale_months(w, item).groupBy("sale_month", item).agg(units(total("l_quantity")).alias("quantity"))
+    best = best_per_key(sums, ["sale_month"], [F.desc("quantity"), F.asc(item)], 2)
     return best.orderBy("sale_month", F.desc("quantity"))
 
 
-@plan(
-    "top2_by_theta_rank",
-    f"""
-    SELECT sale_month, p_brand, quantity FROM ({BRAND_MONTH_SQL})
-    QUALIFY rank() OVER (PARTITION BY sale_month ORDER BY quantity DESC) <= 2
-    """,
-)
-def top2_by_theta_rank(w: Warehouse) -> DataFrame:
-    """Fewer than two better brands; ties stay. The same as counting better
+def _top2_with_ties(w: Warehouse, item: str) -> DataFrame:
+    """Fewer than two better items; ties stay. The same as counting better
     rows in a self-join, without building the pairs."""
-    sums = _brand_months(w).groupBy("sale_month", "p_brand").agg(units(total("l_quantity")).alias("quantity"))
-    best = best_per_key_with_ties(stage(sums, "brand-months"), ["sale_month"], "quantity", 2)
+    sums = _sale_months(w, item).groupBy("sale_month", item).agg(units(total("l_quantity")).alias("quantity"))
+    best = best_per_key_with_ties(stage(sums, "item-months"), ["sale_month"], "quantity", 2)
     return best.orderBy("sale_month", F.desc("quantity"))
 
 
-@plan(
-    "top2_items_by_sales_count",
-    f"""
-    SELECT sale_month, p_brand, sales FROM ({BRAND_MONTH_SQL})
-    QUALIFY row_number() OVER (PARTITION BY sale_month ORDER BY sales DESC, p_brand) <= 2
-    """,
-)
-def top2_items_by_sales_count(w: Warehouse) -> DataFrame:
-    counts = _brand_months(w).groupBy("sale_month", "p_brand").agg(F.countDistinct("l_orderkey").alias("sales"))
-    best = best_per_key(counts, ["sale_month"], [F.desc("sales"), F.asc("p_brand")], 2)
+def _top2_by_sales(w: Warehouse, item: str) -> DataFrame:
+    counts = _sale_months(w, item).groupBy("sale_month", item).agg(F.countDistinct("l_orderkey").alias("sales"))
+    best = best_per_key(counts, ["sale_month"], [F.desc("sales"), F.asc(item)], 2)
     return best.orderBy("sale_month", F.desc("sales"))
 
 
+@plan("top2_items_per_month", _top2_sql("p_partkey", "quantity", "row_number", ", p_partkey"))
+def top2_items_per_month(w: Warehouse) -> DataFrame:
+    return _top2(w, "p_partkey")
+
+
+@plan("top2_brands_per_month", _top2_sql("p_brand", "quantity", "row_number", ", p_brand"))
+def top2_brands_per_month(w: Warehouse) -> DataFrame:
+    return _top2(w, "p_brand")
+
+
+@plan("top2_by_theta_rank", _top2_sql("p_partkey", "quantity", "rank", ""))
+def top2_by_theta_rank(w: Warehouse) -> DataFrame:
+    return _top2_with_ties(w, "p_partkey")
+
+
+@plan("top2_brands_by_theta_rank", _top2_sql("p_brand", "quantity", "rank", ""))
+def top2_brands_by_theta_rank(w: Warehouse) -> DataFrame:
+    return _top2_with_ties(w, "p_brand")
+
+
+@plan("top2_items_by_sales_count", _top2_sql("p_partkey", "sales", "row_number", ", p_partkey"))
+def top2_items_by_sales_count(w: Warehouse) -> DataFrame:
+    return _top2_by_sales(w, "p_partkey")
+
+
+@plan("top2_brands_by_sales_count", _top2_sql("p_brand", "sales", "row_number", ", p_brand"))
+def top2_brands_by_sales_count(w: Warehouse) -> DataFrame:
+    return _top2_by_sales(w, "p_brand")
+
+
 @plan(
     "item_window_suite",
     """

@@ -7,11 +7,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+# Overflows and bad casts stop a job; they never give a wrong number.
 # A skewed join partition is split even where that costs one more shuffle, so
 # a single hot key never decides how long a stage takes.
-ADAPTIVE_SETTINGS = {
+SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -21,8 +22,8 @@ ADAPTIVE_SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive settings the operators count on."""
-    for key, value in ADAPTIVE_SETTINGS.items():
+    """Turn on the settings the operators count on."""
+    for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -39,7 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerlark-warehouse-"))
     )
-    for key, value in {**ADAPTIVE_SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -66,17 +67,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def is_small(df: DataFrame, most_rows: int = 100_000) -> bool:
-    """Whether ``df`` has few rows; the count stops at the limit."""
-    return df.limit(most_rows + 1).count() <= most_rows
-
-
-def small_side(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` if a count shows that it is small, else leave the join
-    to Spark."""
-    return F.broadcast(df) if is_small(df, most_rows) else df
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, never used before."""
     base = shared_folder(spark)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import documents as docs
-from ledgerlark.functions import text
+from ledgerlark.functions import money, text
 from ledgerlark.functions.buckets import bucket_right, year_starts
+from ledgerlark.session import prepare
 
 
 def one(spark, column):
@@ -73,6 +74,30 @@ def test_text_ignores_case(spark):
     assert sorted(r[1] for r in grouped.collect()) == [1, 2]
 
 
+def test_wildcards_stand_for_themselves(spark):
+    df = spark.createDataFrame([("a_b",), ("axb",), ("50%",), ("50 pct",)], "name string")
+    assert [r[0] for r in df.filter(text.contains(F.col("name"), "A_B")).collect()] == ["a_b"]
+    assert [r[0] for r in df.filter(text.begins(F.col("name"), "50%")).collect()] == ["50%"]
+
+
+def test_money_keeps_or_refuses_decimals(spark):
+    values = spark.createDataFrame([(0.07,), (1.1,), (-3.33,), (None,)], "v double")
+    assert values.agg(money.total("v")).head()[0] == -216
+    small = spark.createDataFrame([(0.004,)] * 1000, "v double")
+    assert small.agg(money.total("v", 3)).head()[0] == 4000
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        small.agg(money.total("v")).collect()
+    price = spark.createDataFrame([(5_000_000, 2_000_000_000_000)], "p long, n long")
+    assert price.select(money.wide("p") * F.col("n")).head()[0] == 10**19
+
+
+def test_overflow_is_an_error_even_if_ansi_was_off(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    large = prepare(spark).createDataFrame([(9e16,), (9e16,)], "v double")
+    with pytest.raises(Exception, match="(?i)overflow"):
+        large.agg(money.total("v")).collect()
+
+
 def test_text_functions(spark):
     assert one(spark, text.strip_chars(F.lit("(Gasport, NY)"), "()")) == "Gasport, NY"
     assert one(spark, text.length_unpadded(F.lit("ab  "))) == 2
@@ -94,6 +119,8 @@ def test_text_functions(spark):
         ("a.b", ".", ["a", "b"]),
         ("a/b|c", "/|", ["a", "b", "c"]),
         ("a]b^c", "]^", ["a", "b", "c"]),
+        ("a  b", "", ["a", "b"]),
+        ("\u00a0a\v/b", "/", ["a", "b"]),
     ],
 )
 def test_parts(spark, value, delimiter, wanted):

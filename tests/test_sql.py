@@ -20,6 +20,8 @@ def w(spark):
         ("//", "/", []),
         ("a.b]c^d", ".]^", ["a", "b", "c", "d"]),
         (r"a\b-c", "\\-", ["a", "b", "c"]),
+        ("a  b", "", ["a", "b"]),
+        ("\u00a0a\v/b", "/", ["a", "b"]),
     ],
 )
 def test_split_string(w, value, delimiters, wanted):
