@@ -34,14 +34,23 @@ def shuffle_key(doc_id: Column, text: Column, seed: str = "mix") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), digest))
 
 
-def golden_step(n: int) -> int:
-    """The integer nearest to ``n`` over the golden ratio that shares no factor with ``n``."""
-    start = max(1, round(n * GOLDEN))
-    for off in range(n + 1):
-        for step in (start + off, start - off):
-            if 0 < step and math.gcd(step, n) == 1:
-                return step
-    return 1
+def largest_quotient(a: int, b: int) -> int:
+    """The largest partial quotient of ``a / b``; small for evenly spread multiples."""
+    largest = 0
+    while b:
+        largest, a, b = max(largest, a // b), b, a % b
+    return largest
+
+
+def golden_step(n: int, tried: int = 200) -> int:
+    """A step near ``n`` over the golden ratio that shares no factor with ``n``.
+
+    Of the nearest integers, the one whose ratio to ``n`` is most like the
+    golden ratio: its largest partial quotient is the smallest.
+    """
+    start = round(n * GOLDEN)
+    near = [s for off in range(tried) for s in (start + off, start - off) if 0 < s < n and math.gcd(s, n) == 1]
+    return min(near, key=lambda s: (largest_quotient(n, s), abs(s - start)), default=1)
 
 
 def targets(sizes: DataFrame, weights=(5, 2, 1), share: Fraction = Fraction(3, 2), repeats: int = 2) -> DataFrame:
