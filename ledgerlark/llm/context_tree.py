@@ -8,12 +8,13 @@ byte of context. The weights give, on the path of a decision from no context to
 the longest, the share of each depth. A context that training never met ends
 the path: the deepest one met answers as a leaf.
 
-The tree is never in one place. Texts are cut into blocks; every block sends
-the distinct runs of six bytes and the distinct words that it needs, with its
-training counts; the counts of all blocks meet by key; answers go back to the
-blocks by a join. So what moves grows with the corpus, and no task holds more
-than a block and its answers, or the runs of one group of contexts, which share
-two bytes.
+The tree is never in one place. Texts are cut into blocks; every block asks for
+the distinct runs of six bytes and the distinct words that it holds, with its
+training counts. What is asked is packed by shard: runs whose contexts share
+three bytes are in one shard, words are dealt by hash. Shards add up the counts
+of all blocks and answer each block. So what moves grows with the corpus, and a
+task holds one block, or one shard of the distinct runs with some of the
+questions to it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,13 @@ from ledgerlark.session import stage
 DEPTH = 5
 FOLDS, HELD_OUT = 10, 0
 BLOCK_BYTES = 40_000_000
+SLICE_BYTES = 2_000_000
+# Depth from which on a shard holds all of a node; above it sums go to the
+# driver, a row for each pair of bytes and known bits.
+TOP = 3
+MOST_SHARDS = 4096
+# Partial counts that one task merges.
+FAN = 16
 # Never a byte of UTF-8: stands before a text and after it.
 EDGE = 0xFF
 # Words have negative keys, byte runs positive ones.
@@ -117,47 +126,104 @@ class Lookup:
         return found
 
 
-def _requests(block: int, texts: list[bytes], trained: np.ndarray) -> Iterator[pd.DataFrame]:
-    """The runs and words that a block needs, with their counts in its training texts."""
+def pack(numbers: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers as compressed byte planes; ascending ones as differences."""
+    if ascending and len(numbers):
+        numbers = np.concatenate([numbers[:1], numbers[1:] - numbers[:-1]])
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(blob: bytes, kind, ascending: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    numbers = np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(numbers, dtype=kind) if ascending else numbers
+
+
+def _asked(block: int, texts: list[bytes], trained: np.ndarray, shards: int) -> pd.DataFrame:
+    """The runs and words that a block holds, with their counts in its training texts, by shard."""
     runs = Counter()
     words, counted = [], []
-    for start, end in slices(texts):
+    for start, end in slices(texts, SLICE_BYTES):
         learn = trained[start:end]
         run, text = byte_runs(texts[start:end])
         runs.add(run, learn[text])
         hashes, counts = hash_words(texts[start:end], BY_SPACE)
         words.append(hashes | WORD)
         counted.append(np.repeat(learn, counts))
-    hashes, back = np.unique(np.concatenate(words), return_inverse=True)
-    seen = np.bincount(back, weights=np.concatenate(counted), minlength=len(hashes)).astype(np.int64)
+    hashes, back = np.unique(np.concatenate([*words, END]), return_inverse=True)
+    seen = np.bincount(back, np.concatenate([*counted, trained.sum(keepdims=True)]), len(hashes)).astype(np.int64)
     keys, counts = runs.result()
-    for key, n in ((keys, counts), (np.append(hashes, END), np.append(seen, trained.sum()))):
-        yield pd.DataFrame(
-            {"id": None, "held": None, "text": None, "block": np.int64(block), "key": key.view(np.int64), "n": n}
-        )
+    rows = []
+    for first, key, n, dealt in (
+        (0, keys, counts, mix64(keys >> U64(8 * (DEPTH + 1 - TOP)))),
+        (shards, hashes, seen, mix64(hashes)),
+    ):
+        shard = (dealt % U64(shards)).astype(np.int64)
+        order = np.lexsort((key, shard))
+        key, n, shard = key[order], n[order], shard[order]
+        cuts = np.searchsorted(shard, np.arange(shards + 1))
+        rows += [
+            (first + i, pack(key[a:b], ascending=True), pack(n[a:b]))
+            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+            if b > a
+        ]
+    return pd.DataFrame(rows, columns=["shard", "keys", "numbers"]).assign(
+        block=block, ids=None, held=None, sizes=None
+    )
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Blocks of texts, each followed by its requests; a block has rows of one task only."""
-    context = TaskContext.get()
-    block = (context.partitionId() if context else 0) << 32
-    texts: list[bytes] = []
-    trained: list[bool] = []
-    size = 0
-    for batch in batches:
-        coded = encode(batch["text"], lower=True)
-        learn = ~batch["held"].to_numpy(bool)
-        for start, end in slices(coded):
-            if size >= BLOCK_BYTES:
-                yield from _requests(block, texts, np.array(trained))
-                block, texts, trained, size = block + 1, [], [], 0
-            part = coded[start:end]
-            texts += part
-            trained += learn[start:end].tolist()
-            size += sum(map(len, part))
-            yield batch.iloc[start:end][["id", "held", "text"]].assign(block=block, key=None, n=None)
-    if texts:
-        yield from _requests(block, texts, np.array(trained))
+def cutter(shards: int):
+    """Blocks of texts, packed, each followed by what it asks; a block is within one task."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        block = (context.partitionId() if context else 0) << 32
+        texts: list[bytes] = []
+        trained: list[bool] = []
+        size = 0
+        for batch in batches:
+            coded = encode(batch["text"], lower=True)
+            held = batch["held"].to_numpy(bool)
+            for start, end in slices(coded):
+                if size >= BLOCK_BYTES:
+                    yield _asked(block, texts, np.array(trained), shards)
+                    block, texts, trained, size = block + 1, [], [], 0
+                part = coded[start:end]
+                texts += part
+                trained += (~held[start:end]).tolist()
+                size += sum(map(len, part))
+                yield pd.DataFrame(
+                    {
+                        "block": [block],
+                        "shard": [-1],
+                        "keys": [zstandard.ZstdCompressor(level=1).compress(b"".join(part))],
+                        "numbers": [None],
+                        "ids": [batch["id"].iloc[start:end].tolist()],
+                        "held": [held[start:end].tolist()],
+                        "sizes": [[len(c) for c in part]],
+                    }
+                )
+        if texts:
+            yield _asked(block, texts, np.array(trained), shards)
+
+    return cut
+
+
+def _merge(group: pd.DataFrame) -> pd.DataFrame:
+    """Counts of a shard, added up."""
+    keys = np.concatenate([unpack(b, U64, ascending=True) for b in group["keys"]])
+    numbers = np.concatenate([unpack(b, np.int64) for b in group["numbers"]])
+    found, back = np.unique(keys, return_inverse=True)
+    counts = np.bincount(back, numbers, len(found)).astype(np.int64)
+    return pd.DataFrame(
+        {
+            "shard": group["shard"].iloc[:1].to_numpy(),
+            "part": group["part"].iloc[:1].to_numpy(),
+            "keys": [pack(found, ascending=True)],
+            "numbers": [pack(counts)],
+        }
+    )
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -223,24 +289,32 @@ def grow(run: np.ndarray, n: np.ndarray, top: int) -> tuple[list[Nodes], list[np
     return levels, places, bit
 
 
-TOP = 2
-
-
-def _upper(group: pd.DataFrame) -> pd.DataFrame:
-    """Sums for the tree above two bytes of context."""
-    node = grow(group["key"].to_numpy(), group["n"].to_numpy(), TOP)[0][-1]
-    return pd.DataFrame(
-        {"node": ((node.ids >> 16) << 8) | (node.ids & 255), "zeros": node.zeros, "ones": node.ones, "below": node.weighted}
-    )
+def _upper(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums by node of depth ``TOP - 1``."""
+    for batch in batches:
+        for keys, numbers in zip(batch["keys"], batch["numbers"], strict=True):
+            runs, n = unpack(keys, U64, ascending=True).view(np.int64), unpack(numbers, np.int64)
+            node = grow(runs, n, TOP)[0][-1]
+            yield pd.DataFrame(
+                {
+                    "node": ((node.ids >> 16) << 8) | (node.ids & 255),
+                    "zeros": node.zeros,
+                    "ones": node.ones,
+                    "below": node.weighted,
+                }
+            ).groupby("node", as_index=False).sum()
 
 
 def upper_levels(rows: pd.DataFrame) -> list[Nodes]:
-    """Depth 1 and depth 0 from sums by node of depth 1 (at most 256 times 255)."""
+    """The nodes of the depths below ``TOP``, from sums by node of the deepest of them."""
     rows = rows.sort_values("node")
-    one = Nodes(*(rows[c].to_numpy() for c in ("node", "zeros", "ones", "below")))
-    known, at = np.unique(one.ids & 255, return_inverse=True)
-    sums = [np.bincount(at, weights=x, minlength=len(known)) for x in (one.zeros, one.ones, one.weighted)]
-    return [one, Nodes(known, *sums)]
+    levels = [Nodes(*(rows[c].to_numpy() for c in ("node", "zeros", "ones", "below")))]
+    for _ in range(TOP - 1):
+        child = levels[-1]
+        ids, at = np.unique(((child.ids >> 16) << 8) | (child.ids & 255), return_inverse=True)
+        sums = [np.bincount(at, weights=x, minlength=len(ids)) for x in (child.zeros, child.ones, child.weighted)]
+        levels.append(Nodes(ids, *sums))
+    return levels
 
 
 def log_probabilities(run: np.ndarray, n: np.ndarray, upper: list[Nodes]) -> np.ndarray:
@@ -250,8 +324,9 @@ def log_probabilities(run: np.ndarray, n: np.ndarray, upper: list[Nodes]) -> np.
     for nodes, at in zip(levels, places, strict=True):
         p = nodes.mix(at, bit, p)
     known, _ = decisions((run & 255).astype(np.int64))
-    latest = np.repeat((run >> (8 * DEPTH)).astype(np.int64), 8)
-    for nodes, ids in zip(upper, ((latest << 8) | known, known), strict=True):
+    context = np.repeat((run >> 8).astype(np.int64), 8)
+    for depth, nodes in zip(range(TOP - 1, -1, -1), upper, strict=True):
+        ids = ((context >> (8 * (DEPTH - depth))) << 8) | known
         p = nodes.mix(np.searchsorted(nodes.ids, ids), bit, p)
     return np.log(np.where(np.isnan(p), 0.5, p)).reshape(-1, 8).sum(axis=1) / LOG10
 
@@ -273,71 +348,127 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = docs.select(
         F.col(doc_id).alias("id"), (fold_of(F.col(doc_id), FOLDS) == HELD_OUT).alias("held"), F.col(text).alias("text")
     )
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = size // BLOCK_BYTES + 1
+    shards = min(MOST_SHARDS, max(16, 1 << (2 * blocks - 1).bit_length()))
+    # Questions to a shard meet in parts of a few million.
+    parts = -(-blocks // (4 * shards))
     cut = stage(
-        rows.mapInPandas(_cut, f"id {kind}, held boolean, text string, block bigint, key bigint, n bigint"),
+        rows.mapInPandas(
+            cutter(shards),
+            "block bigint, shard int, keys binary, numbers binary, "
+            f"ids array<{kind}>, held array<boolean>, sizes array<int>",
+        ),
         "context-blocks",
     )
-    asked = cut.filter("key IS NOT NULL")
-    counted = stage(asked.groupBy("key").agg(F.sum("n").alias("n")), "context-counts")
-    runs, words = counted.filter("key >= 0"), counted.filter("key < 0")
-    spread = counted.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    group = F.pmod(F.xxhash64(F.shiftright("key", 8 * (DEPTH + 1 - TOP))), F.lit(4 * int(spread)))
-    grouped = runs.withColumn("part", group).groupBy("part")
-    sums = grouped.applyInPandas(_upper, "node bigint, zeros double, ones double, below double")
-    upper = upper_levels(
-        sums.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toPandas()
+    asked = cut.filter("shard >= 0").select(
+        "shard", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part"), "block", "keys", "numbers"
     )
+    packed = "shard int, part int, keys binary, numbers binary"
+    counted = stage(asked.groupBy("shard", "part").applyInPandas(_merge, packed), "context-counts")
+    left = parts
+    while left > 1:
+        left = -(-left // FAN)
+        counted = stage(
+            counted.withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
+            .groupBy("shard", "part")
+            .applyInPandas(_merge, packed),
+            "context-counts",
+        )
+    runs, words = counted.filter(F.col("shard") < shards), counted.filter(F.col("shard") >= shards)
+    sums = runs.mapInPandas(_upper, "node bigint, zeros double, ones double, below double")
+    upper = upper_levels(sums.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toPandas())
     sent = docs.sparkSession.sparkContext.broadcast(upper)
 
-    def lower(part: pd.DataFrame) -> pd.DataFrame:
-        found = log_probabilities(part["key"].to_numpy(), part["n"].to_numpy(), sent.value)
-        return pd.DataFrame({"key": part["key"], "value": found})
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for shard, keys, numbers in zip(batch["shard"], batch["keys"], batch["numbers"], strict=True):
+                run, n = unpack(keys, U64, ascending=True).view(np.int64), unpack(numbers, np.int64)
+                found = log_probabilities(run, n, sent.value).astype(np.float32)
+                yield pd.DataFrame({"shard": [shard], "keys": [keys], "numbers": [pack(found)]})
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seen = [unpack(b, np.int64) for b in batch["numbers"]]
+            yield pd.DataFrame({"total": [int(n.sum()) for n in seen], "known": [int((n > 0).sum()) for n in seen]})
 
-    values = grouped.applyInPandas(lower, "key bigint, value double").union(
-        words.select("key", F.col("n").cast("double"))
+    valued = runs.mapInPandas(weigh, "shard int, keys binary, numbers binary").union(
+        words.select("shard", "keys", "numbers")
     )
-    total, distinct = words.agg(F.sum("n"), F.sum((F.col("n") > 0).cast("long"))).first()
-    total, distinct = total or 0, distinct or 0
-    scale = total + 0.1 * (distinct + 1)
-
-    def answer(asked_of: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        keys, found = answers["key"].to_numpy(), answers["value"].to_numpy()
-        run_values, word_counts = (Lookup(keys[part].view(U64), found[part]) for part in (keys >= 0, keys < 0))
-        coded = encode(asked_of["text"], lower=True)
-        out = asked_of[["id", "held"]].copy()
-        columns = {c: np.zeros(len(coded)) for c in ("n_tokens", "n_known", "base_score", "score", "bits_per_byte")}
-        for start, end in slices(coded):
-            n = end - start
-            run, owner = byte_runs(coded[start:end])
-            model = np.bincount(owner, weights=run_values(run), minlength=n)
-            hashes, counts = hash_words(coded[start:end], BY_SPACE)
-            word_owner = np.repeat(np.arange(n), counts)
-            seen = word_counts(hashes | WORD)
-            last = word_counts(END)[0]
-            base = np.bincount(word_owner, weights=np.log10((seen + 0.1) / scale), minlength=n)
-            columns["n_tokens"][start:end] = counts + 1
-            columns["n_known"][start:end] = np.bincount(word_owner, weights=seen > 0, minlength=n) + (last > 0)
-            columns["base_score"][start:end] = base + np.log10((last + 0.1) / scale)
-            columns["score"][start:end] = model
-            columns["bits_per_byte"][start:end] = -model * np.log2(10) / np.bincount(owner, minlength=n)
-        return out.assign(**columns)
-
-    back = asked.select("block", "key").join(values, "key").groupBy("block")
+    total, known = (
+        words.select("numbers").mapInPandas(tally, "total bigint, known bigint").agg(F.sum("total"), F.sum("known")).first()
+    )
+    total, known = total or 0, known or 0
+    scale = total + 0.1 * (known + 1)
+
+    def answer(asked_of: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+        keys = unpack(values["keys"].iloc[0], U64, ascending=True)
+        kind = np.float32 if values["of"].iloc[0] < shards else np.int64
+        numbers = unpack(values["numbers"].iloc[0], kind)
+        found = [
+            pack(numbers[np.searchsorted(keys, unpack(b, U64, ascending=True))]) for b in asked_of["keys"]
+        ]
+        return asked_of[["block", "shard", "keys"]].assign(numbers=found)
+
+    every = valued.select(
+        F.col("shard").alias("of"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("of_part"), "keys", "numbers"
+    )
+    answers = (
+        asked.groupBy("shard", "part")
+        .cogroup(every.groupBy("of", "of_part"))
+        .applyInPandas(answer, "block bigint, shard int, keys binary, numbers binary")
+    )
+
+    def judge(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        tables = []
+        for part, kind in ((answers["shard"] < shards, np.float32), (answers["shard"] >= shards, np.int64)):
+            keys = [unpack(b, U64, ascending=True) for b in answers["keys"][part]]
+            numbers = [unpack(b, kind) for b in answers["numbers"][part]]
+            tables.append(Lookup(np.concatenate(keys), np.concatenate(numbers).astype(float)))
+        run_values, word_counts = tables
+        last = word_counts(END)[0]
+        out = []
+        for ids, held, sizes, blob in zip(texts["ids"], texts["held"], texts["sizes"], texts["text"], strict=True):
+            whole = zstandard.ZstdDecompressor().decompress(blob)
+            ends = np.cumsum(sizes)
+            coded = [whole[b - n : b] for b, n in zip(ends, sizes, strict=True)]
+            for start, end in slices(coded, SLICE_BYTES):
+                n = end - start
+                run, owner = byte_runs(coded[start:end])
+                model = np.bincount(owner, weights=run_values(run), minlength=n)
+                hashes, counts = hash_words(coded[start:end], BY_SPACE)
+                seen = word_counts(hashes | WORD)
+                of = np.repeat(np.arange(n), counts)
+                out.append(
+                    pd.DataFrame(
+                        {
+                            "id": ids[start:end],
+                            "held": held[start:end],
+                            "n_tokens": counts + 1,
+                            "n_known": np.bincount(of, seen > 0, n).astype(np.int64) + int(last > 0),
+                            "base_score": np.bincount(of, np.log10((seen + 0.1) / scale), n) + np.log10((last + 0.1) / scale),
+                            "score": model,
+                            "bits_per_byte": -model * np.log2(10) / np.bincount(owner, minlength=n),
+                        }
+                    )
+                )
+        return pd.concat(out, ignore_index=True)
+
     scored = (
-        cut.filter("key IS NULL")
-        .select(F.col("block").alias("of"), "id", "held", "text")
+        cut.filter("shard < 0")
+        .select(F.col("block").alias("of"), "ids", "held", "sizes", F.col("keys").alias("text"))
         .groupBy("of")
-        .cogroup(back)
+        .cogroup(answers.groupBy("block"))
         .applyInPandas(
-            answer,
-            f"id {kind}, held boolean, n_tokens double, n_known double, base_score double, score double, bits_per_byte double",
+            judge,
+            f"id {kind}, held boolean, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double",
         )
     )
     return scored.select(
         F.col("id").alias("doc_id"),
         F.col("held").alias("held_out"),
-        F.col("n_tokens").cast("long").alias("n_tokens"),
-        F.col("n_known").cast("long").alias("n_known"),
+        "n_tokens",
+        "n_known",
         F.lit(int(total)).cast("long").alias("train_tokens"),
         "base_score",
         "score",
