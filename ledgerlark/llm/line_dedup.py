@@ -10,6 +10,7 @@ tables, and of each component one line of the corpus stays, the first.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, fold, mix64
-from ledgerlark.llm.buckets import crowded, nodes_of, settle
+from ledgerlark.llm.buckets import crowded, settle
 from ledgerlark.llm.near_duplicates import text_key
 from ledgerlark.session import stage
 
@@ -27,8 +28,10 @@ SIMILARITY = 0.8
 # A pair at the threshold shares none of the bands with probability 0.005.
 BANDS, ROWS = 10, 4
 SLICE_CHARS = 1_000_000
+# Hashes of candidate lines that are sent to all tasks at most, 8 bytes each.
+MOST_SENT = 1_000_000
 
-_MULTIPLY = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9))
+_BASE = 0x9E3779B97F4A7C15
 _BORROW = 0xD1B54A32D192ED03
 
 
@@ -41,10 +44,10 @@ def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     filled = [line.ljust(CHARS) for line in lines]
     data = np.frombuffer("".join(filled).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
     owner = np.repeat(np.arange(len(lines)), [len(line) for line in filled])
-    for step, factor in zip((1, 2, 4), _MULTIPLY, strict=True):
-        data = mix64(data[:-step] * factor + data[step:])
+    for step in (1, 2, 4):
+        data = data[:-step] * U64(pow(_BASE, step, 1 << 64)) + data[step:]
     whole = owner[: len(data)] == owner[CHARS - 1 :]
-    return data[whole], owner[: len(data)][whole]
+    return mix64(data[whole]), owner[: len(data)][whole]
 
 
 def signatures(lines: list[str]) -> np.ndarray:
@@ -56,27 +59,30 @@ def signatures(lines: list[str]) -> np.ndarray:
     least = np.full(len(lines) * size, empty, U64)
     np.minimum.at(least, slot, found)
     least = least.reshape(len(lines), size)
+    short = np.flatnonzero((least == empty).any(axis=1))
+    least[short] = _filled(least[short], empty)
+    parts = least.reshape(len(lines), BANDS, ROWS)
+    return fold([parts[:, :, j] for j in range(ROWS)]) ^ mix64(np.arange(1, BANDS + 1, dtype=U64))
+
+
+def _filled(least: np.ndarray, empty: int) -> np.ndarray:
+    """Empty components borrow from the next one that is not, marked by the distance."""
     full = least != empty
-    filled = least.copy()
-    todo = ~full
-    for step in range(1, size):
+    found, todo = least.copy(), ~full
+    for step in range(1, least.shape[1]):
         if not todo.any():
             break
-        near, known = np.roll(least, -step, axis=1), np.roll(full, -step, axis=1)
+        known = np.roll(full, -step, axis=1)
         take = todo & known
-        filled[take] = near[take] + U64(step * _BORROW % 2**64)
+        found[take] = np.roll(least, -step, axis=1)[take] + U64(step * _BORROW % 2**64)
         todo &= ~known
-    parts = filled.reshape(len(lines), BANDS, ROWS)
-    return fold([parts[:, :, j] for j in range(ROWS)]) ^ mix64(np.arange(1, BANDS + 1, dtype=U64))
+    return found
 
 
 def _line_hash(lines: list[str]) -> np.ndarray:
     """One hash of all characters of each line."""
-    data = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
-    sizes = np.fromiter((len(line) for line in lines), np.int64, len(lines))
-    begins = np.cumsum(sizes) - sizes
-    place = np.arange(len(data)) - np.repeat(begins, sizes)
-    return mix64(np.add.reduceat(mix64(data + mix64(place.astype(U64))), begins) + sizes.astype(U64))
+    digests = [hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest() for line in lines]
+    return np.frombuffer(b"".join(digests), U64)
 
 
 def _lines(texts) -> Iterator[tuple[int, list[int], list[str]]]:
@@ -125,12 +131,21 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.assign(place=places, line=hashes.view(np.int64), bands=bands)
 
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for _, _, held in _sliced(batch["text"]):
-            hashes = _line_hash(held)
-            first = np.unique(hashes, return_index=True)[1]
-            yield pd.DataFrame({"t": hashes[first].view(np.int64), "line": [held[i] for i in first]})
+def _texts(wanted: np.ndarray | None):
+    """Hash and text of the lines of a batch; with ``wanted`` (ascending), of those alone."""
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, _, held in _sliced(batch["text"]):
+                hashes, first = np.unique(_line_hash(held), return_index=True)
+                hashes = hashes.view(np.int64)
+                if wanted is not None:
+                    at = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
+                    kept = wanted[at] == hashes if len(wanted) else np.zeros(len(hashes), bool)
+                    hashes, first = hashes[kept], first[kept]
+                yield pd.DataFrame({"t": hashes, "line": [held[i] for i in first]})
+
+    return find
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,8 +184,14 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
     spread = signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), F.explode("bands").alias("bucket"))
     shared = crowded(spread)
-    lines = rows.select("text").mapInPandas(_texts, "t bigint, line string")
-    kept = stage(lines.join(nodes_of(shared), "t", "left_semi").dropDuplicates(["t"]), "candidate-lines")
+    wanted = stage(shared.select("t").distinct(), "candidates")
+    if wanted.count() <= MOST_SENT:
+        # Few enough to look them up where the lines are read.
+        known = np.sort(wanted.toPandas()["t"].to_numpy(np.int64))
+        lines = rows.select("text").mapInPandas(_texts(known), "t bigint, line string")
+    else:
+        lines = rows.select("text").mapInPandas(_texts(None), "t bigint, line string").join(wanted, "t", "left_semi")
+    kept = stage(lines.dropDuplicates(["t"]), "candidate-lines")
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = kept.select(F.col("t").alias("a"), F.col("line").alias("line_a"))

@@ -18,6 +18,9 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+# Python workers hold a batch several times over, so batches are cut by size.
+BATCH_BYTES = str(8 << 20)
+
 _sent: set[str] = set()
 
 
@@ -32,6 +35,7 @@ def ready(spark: SparkSession) -> SparkSession:
                 packed.write(source, source.relative_to(top.parent))
         context.addPyFile(str(archive))
         _sent.add(context.applicationId)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return prepare(spark)
 
 
