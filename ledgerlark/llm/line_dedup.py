@@ -143,7 +143,8 @@ def _texts(wanted: np.ndarray | None):
                     at = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
                     kept = wanted[at] == hashes if len(wanted) else np.zeros(len(hashes), bool)
                     hashes, first = hashes[kept], first[kept]
-                yield pd.DataFrame({"t": hashes, "line": [held[i] for i in first]})
+                if len(first):
+                    yield pd.DataFrame({"t": hashes, "line": [held[i] for i in first]})
 
     return find
 
