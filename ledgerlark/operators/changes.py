@@ -6,13 +6,16 @@ changed in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.position import with_position
+from ledgerlark.session import stage
+
+Match = Callable[[Column], Column]
 
 
 class Change(NamedTuple):
@@ -31,12 +34,31 @@ def number_after(rows: DataFrame, order: Sequence[Column], key: str, target: Dat
     return placed.withColumn(key, (F.col("__n") + highest).cast("long")).drop("__n")
 
 
-def with_new_ids(target: DataFrame, source: DataFrame, key: str, id_column: str) -> DataFrame:
+def same(key: Column) -> Column:
+    """Keys as they are; ``text.any_case`` and the like compare otherwise."""
+    return key
+
+
+def with_known(target: DataFrame, source: DataFrame, key: str, match: Match = same) -> DataFrame:
+    """The source with ``__known``: whether the target holds its key.
+
+    The only step of a merge that compares the source with the target's keys;
+    the result is stored, since all others read it.
+    """
+    held = target.select(match(F.col(key)).alias("__match")).distinct().withColumn("__known", F.lit(True))
+    return stage(
+        source.withColumn("__match", match(F.col(key)))
+        .join(held, "__match", "left")
+        .select(*source.columns, F.coalesce("__known", F.lit(False)).alias("__known")),
+        "merge-source",
+    )
+
+
+def with_new_ids(target: DataFrame, source: DataFrame, key: str, id_column: str, match: Match = same) -> DataFrame:
     """Number the source rows that a merge on ``key`` would insert; the others
-    get NULL."""
-    names = target.select(key)
-    fresh = source.join(names, key, "left_anti").select(*source.columns)
-    known = source.join(names, key, "left_semi").select(*source.columns)
+    get NULL. Carries ``__known`` on to the merge."""
+    flagged = with_known(target, source, key, match)
+    fresh, known = flagged.filter("NOT __known"), flagged.filter("__known")
     # The hash spreads rows that share a key, or lack one, over several ranges.
     numbered = number_after(fresh, [F.col(key), F.xxhash64(*source.columns)], id_column, target)
     return numbered.unionByName(known, allowMissingColumns=True)
@@ -71,11 +93,10 @@ def update(target: DataFrame, condition: Column, values: dict[str, Column], key:
     return Change(table, target.filter(hit).select(key, *pairs))
 
 
-def check_merge(target: DataFrame, source: DataFrame, key: str) -> None:
-    """Refuse a source that holds one key twice when the target has that key."""
-    repeated = source.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key)
-    if repeated.join(target.select(key), key, "left_semi").limit(1).count():
-        raise AmbiguousMerge(f"two source rows match one target row on {key}")
+def ambiguous_keys(flagged: DataFrame, key: str, match: Match = same) -> DataFrame:
+    """Keys that the target holds and several source rows have, with their number."""
+    counted = flagged.filter("__known").groupBy(match(F.col(key)).alias("__match"))
+    return counted.agg(F.min(key).alias(key), F.count("*").alias("source_rows")).filter("source_rows > 1").drop("__match")
 
 
 def merge(
@@ -85,22 +106,25 @@ def merge(
     on_match: dict[str, Column],
     on_insert: dict[str, Column],
     check: bool = True,
+    match: Match = same,
 ) -> Change:
     """Upsert by ``key``.
 
     ``on_match`` and ``on_insert`` are written over the columns of ``source``;
-    columns not named there keep the old value, or NULL for a new row. The log
-    has one row per touched row: action, the key, and old and new values of
-    the columns in ``on_match``.
+    columns not named there keep the old value, or NULL for a new row. ``match``
+    says how keys are compared. The log has one row per touched row: action, the
+    key, and old and new values of the columns in ``on_match``. A source that
+    would change a target row twice is refused.
     """
-    if check:
-        check_merge(target, source, key)
-    setters = source.select(
-        F.col(key).alias("__key"), *[value.alias(f"__set_{name}") for name, value in on_match.items()]
+    flagged = source if "__known" in source.columns else with_known(target, source, key, match)
+    if check and not ambiguous_keys(flagged, key, match).isEmpty():
+        raise AmbiguousMerge(f"two source rows match one target row on {key}")
+    setters = flagged.filter("__known").select(
+        match(F.col(key)).alias("__key"), *[value.alias(f"__set_{name}") for name, value in on_match.items()]
     ).withColumn("__hit", F.lit(True))
     # A left join leaves Spark free to broadcast a small source, and to split
     # a hot key of the target; a full join would allow neither.
-    touched = target.join(setters, F.col(key) == F.col("__key"), "left")
+    touched = target.join(setters, match(F.col(key)) == F.col("__key"), "left")
     hit = F.col("__hit").isNotNull()
 
     dtypes = {field.name: field.dataType for field in target.schema.fields}
@@ -114,8 +138,7 @@ def merge(
         default = F.col(key) if name == key else F.lit(None)
         return on_insert.get(name, default).cast(dtypes[name])
 
-    fresh = source.join(target.select(key).distinct(), key, "left_anti")
-    added = fresh.select(*[inserted(name).alias(name) for name in target.columns])
+    added = flagged.filter("NOT __known").select(*[inserted(name).alias(name) for name in target.columns])
     table = touched.select(*[updated(name).alias(name) for name in target.columns]).unionByName(added)
 
     def log_row(action: str, rows: DataFrame, old, new) -> DataFrame:

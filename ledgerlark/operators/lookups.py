@@ -64,7 +64,9 @@ def counts_in_periods(
     """
     spans = periods.select(key, first, last).distinct()
     asked = periods.select(key).distinct()
-    facts = facts.join(asked, key, "left_semi")
+    # Days before all periods cancel out, those after them are never read.
+    bounds = periods.agg(F.struct(F.min(first).alias("low"), F.max(last).alias("high"))).scalar()
+    facts = facts.filter(F.col(day).between(bounds["low"], bounds["high"])).join(asked, key, "left_semi")
     ends = periods.select(key, F.explode(F.array(F.date_sub(first, 1), last)).alias("__day"))
     marks = ends.filter(F.col("__day").isNotNull()).select(
         "*", *[F.lit(0).alias(m) for m in measures], F.lit(1).alias("__mark")

@@ -14,16 +14,26 @@ def month_calendar(days: DataFrame, day: str, year: str = "year", month: str = "
     return years.select(year, F.explode(F.sequence(F.lit(1), F.lit(12))).alias(month))
 
 
-def item_month_grid(items: DataFrame, days: DataFrame, day: str, year: str = "year", month: str = "month") -> DataFrame:
-    """Every item in every month of every year that occurs in ``days``.
-
-    The list of years is one short array (a calendar bounds it), handed to all
-    tasks as a constant; items are expanded where they are read.
+def item_months(
+    items: DataFrame, facts: DataFrame, item: str, days: DataFrame, day: str, measures: list[str]
+) -> DataFrame:
+    """Every item in every month of every year that occurs in ``days``, with the
+    measures of that month, or NULLs.
+
+    ``facts`` has year, month, the item and the measures. The months of an item
+    are one map, as long as the calendar at most; items meet them once and are
+    expanded after, so nothing that is shuffled holds an empty month.
     """
     years = days.select(F.year(day).alias("y")).filter(F.col("y").isNotNull())
     year_list = years.agg(F.collect_set("y")).scalar()
-    return items.withColumn(year, F.explode(year_list)).withColumn(
-        month, F.explode(F.sequence(F.lit(1), F.lit(12)))
+    entry = F.struct((F.col("year") * 100 + F.col("month")).alias("key"), F.struct(*measures).alias("value"))
+    dated = facts.filter(F.col("year").isNotNull())
+    sold = dated.groupBy(item).agg(F.map_from_entries(F.collect_list(entry)).alias("__sold"))
+    wide = items.join(sold, item, "left")
+    every = wide.withColumn("year", F.explode(year_list)).withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    found = F.try_element_at("__sold", F.col("year") * 100 + F.col("month"))
+    return every.select(*items.columns, "year", "month", found.alias("__found")).select(
+        *items.columns, "year", "month", *[F.col(f"__found.{m}").alias(m) for m in measures]
     )
 
 

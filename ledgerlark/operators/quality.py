@@ -70,36 +70,50 @@ class BlockedChange(ValueError):
     """A key to be changed is still in use and the rule forbids to follow."""
 
 
-def cascade_delete(
+def cascade_flags(
     tables: dict[str, DataFrame], references: Sequence[Reference], root: str, condition: Column
-) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """Delete from ``root`` and, table by table, from all that points at it.
+) -> dict[str, DataFrame]:
+    """``root`` and all that points at it, every row with ``__gone``: whether a
+    delete from ``root`` takes it along.
 
-    Returns (kept, deleted) for every table. A reference that does not cascade
-    stops the job when a row it protects would go. Each row to be deleted is
-    found by semi-joins, kept rows by the matching anti-joins.
+    A reference that does not cascade stops the job when a row it protects
+    would go. A table is joined once with the keys that go of each parent.
     """
-    hit = F.coalesce(condition, F.lit(False))
-    gone = {root: tables[root].filter(hit)}
-    result = {root: (tables[root].filter(~hit), gone[root])}
+    flagged = {root: tables[root].withColumn("__gone", F.coalesce(condition, F.lit(False)))}
     for name in _parents_first(references, root):
-        incoming = [ref for ref in references if ref.child == name and ref.parent in gone]
         if name == root:
             continue
-        columns = tables[name].columns
-        kept = tables[name]
-        cuts = []
-        for ref in incoming:
-            keys = gone[ref.parent].select(F.col(ref.parent_key).alias(ref.child_key)).distinct()
-            if ref.cascades:
-                cuts.append(kept.join(keys, ref.child_key, "left_semi").select(*columns))
-                kept = kept.join(keys, ref.child_key, "left_anti").select(*columns)
-            elif tables[name].join(keys, ref.child_key, "left_semi").limit(1).count():
-                raise BlockedDelete(f"{ref.child}.{ref.child_key} still uses {ref.parent}")
-        if cuts:
-            gone[name] = reduce(DataFrame.unionByName, cuts)
-            result[name] = (kept, gone[name])
-    return result
+        found = tables[name]
+        marks = []
+        for ref in references:
+            if ref.child != name or ref.parent not in flagged:
+                continue
+            gone = flagged[ref.parent].filter("__gone").select(F.col(ref.parent_key).alias("__key")).distinct()
+            if not ref.cascades:
+                if not tables[name].join(gone, F.col(ref.child_key) == F.col("__key"), "left_semi").isEmpty():
+                    raise BlockedDelete(f"{ref.child}.{ref.child_key} still uses {ref.parent}")
+                continue
+            mark = f"__gone_{len(marks)}"
+            keys = gone.select(F.col("__key").alias(f"__key_{mark}"), F.lit(True).alias(mark))
+            found = found.join(keys, F.col(ref.child_key) == F.col(f"__key_{mark}"), "left")
+            marks.append(mark)
+        if marks:
+            hit = reduce(lambda a, b: a | b, [F.coalesce(mark, F.lit(False)) for mark in marks])
+            flagged[name] = found.select(*tables[name].columns, hit.alias("__gone"))
+    return flagged
+
+
+def cascade_delete(
+    tables: dict[str, DataFrame], references: Sequence[Reference], root: str, condition: Column
+) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Delete from ``root`` and, table by table, from all that points at it.
+
+    Returns (kept, deleted) for every table.
+    """
+    return {
+        name: (rows.filter("NOT __gone").drop("__gone"), rows.filter("__gone").drop("__gone"))
+        for name, rows in cascade_flags(tables, references, root, condition).items()
+    }
 
 
 def cascade_key_change(
@@ -109,8 +123,11 @@ def cascade_key_change(
 
     ``new_keys`` has old_key and new_key. A reference that does not cascade
     stops the job when it holds a key that would change. Where a changed
-    column is itself referenced, the change travels on.
+    column is itself referenced, the change travels on. An old key may be
+    listed once.
     """
+    if not duplicate_keys(new_keys, ["old_key"]).isEmpty():
+        raise ValueError("an old key has several new keys")
     result = dict(tables)
     waiting = [(root, key)]
     seen = set(waiting)
@@ -143,6 +160,9 @@ def _with_new_keys(df: DataFrame, column: str, new_keys: DataFrame) -> DataFrame
 def _parents_first(references: Sequence[Reference], root: str) -> list[str]:
     """Tables reachable from ``root``, each after all of its parents."""
     reach = {root}
+    # Rows of such a table would have to be followed to any depth.
+    if any(ref.child == ref.parent for ref in references):
+        raise ValueError("a table refers to itself")
     grown = True
     while grown:
         more = {ref.child for ref in references if ref.parent in reach} - reach

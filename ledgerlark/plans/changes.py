@@ -143,18 +143,34 @@ def merge_new_state(w: Warehouse) -> DataFrame:
     return _customers(merge_customers(w).table)
 
 
+@plan(
+    "merge_ambiguous_keys",
+    """
+    SELECT c_name, count(*) AS source_rows FROM orders JOIN customer ON c_custkey = o_custkey
+    GROUP BY c_name HAVING count(*) > 1
+    """,
+)
+def merge_ambiguous_keys(w: Warehouse) -> DataFrame:
+    """Orders as changes of their customer: the names that a merge would refuse."""
+    source = w.orders.join(w.customer, F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey")
+    return ch.ambiguous_keys(ch.with_known(w.customer, source, "c_name"), "c_name")
+
+
 @plan(
     "merge_items_from_xml",
     f"""
     WITH items AS ({ITEMS_SQL}),
     src AS (SELECT CASE WHEN lead_time_days > 10 THEN 'New ' || item_name ELSE item_name END AS item_name, supplier_id,
                    unit_package_id, typical_weight, lead_time_days + 1 AS lead_time_days, is_chiller_stock,
+                   quantity_per_outer * 2 AS quantity_per_outer, tax_rate + CAST(0.125 AS DOUBLE) AS tax_rate,
                    CAST(CAST(unit_price AS DECIMAL(18,2)) + 10 AS DOUBLE) AS unit_price FROM items)
     SELECT 'UPDATE' AS action, item_name, i.lead_time_days AS old_lead_time_days, s.lead_time_days AS new_lead_time_days,
+           i.quantity_per_outer AS old_quantity_per_outer, s.quantity_per_outer AS new_quantity_per_outer,
+           i.tax_rate AS old_tax_rate, s.tax_rate AS new_tax_rate,
            i.unit_price AS old_unit_price, s.unit_price AS new_unit_price
     FROM items i JOIN src s USING (item_name)
     UNION ALL
-    SELECT 'INSERT', item_name, NULL, lead_time_days, NULL, unit_price FROM src
+    SELECT 'INSERT', item_name, NULL, lead_time_days, NULL, quantity_per_outer, NULL, tax_rate, NULL, unit_price FROM src
     WHERE item_name NOT IN (SELECT item_name FROM items)
     """,
 )
@@ -166,6 +182,8 @@ def merge_items_from_xml(w: Warehouse) -> DataFrame:
         {
             "item_name": renamed,
             "lead_time_days": F.col("lead_time_days") + 1,
+            "quantity_per_outer": F.col("quantity_per_outer") * 2,
+            "tax_rate": (F.col("tax_rate") + F.lit("0.125").cast("decimal(18,3)")).cast("decimal(18,3)"),
             "unit_price": (F.col("unit_price") + 10).cast("decimal(18,2)"),
         }
     )
@@ -179,6 +197,10 @@ def merge_items_from_xml(w: Warehouse) -> DataFrame:
         "item_name",
         "old_lead_time_days",
         "new_lead_time_days",
+        "old_quantity_per_outer",
+        "new_quantity_per_outer",
+        number("old_tax_rate").alias("old_tax_rate"),
+        number("new_tax_rate").alias("new_tax_rate"),
         number("old_unit_price").alias("old_unit_price"),
         number("new_unit_price").alias("new_unit_price"),
     )

@@ -22,12 +22,8 @@ JSON_SQL = """
 
 def items_with_fields(w: Warehouse) -> DataFrame:
     """Items with a JSON text column; promotional items have none."""
-    fields = F.concat(
-        F.lit('{"CountryOfManufacture":"'),
-        "p_brand",
-        F.lit('","Tags":["'),
-        F.replace("p_name", F.lit(" "), F.lit('","')),
-        F.lit('"]}'),
+    fields = F.to_json(
+        F.struct(F.col("p_brand").alias("CountryOfManufacture"), F.split("p_name", " ").alias("Tags"))
     )
     return w.part.select("p_partkey", "p_name", F.when(F.col("p_type") != "PROMO", fields).alias("fields"))
 
@@ -121,15 +117,20 @@ def stock_items(w: Warehouse) -> DataFrame:
         F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("item_name"),
         F.col("p_partkey").alias("supplier_id"),
         F.col("p_size").alias("unit_package_id"),
+        (F.col("p_size") + 1).alias("outer_package_id"),
+        (F.col("p_size") % 12 + 1).alias("quantity_per_outer"),
         (money("p_retailprice") / 4).cast("decimal(18,3)").alias("typical_weight"),
         F.length("p_name").alias("lead_time_days"),
         (F.col("p_type") == "PROMO").alias("is_chiller_stock"),
+        F.when(F.col("p_type") == "PROMO", F.lit("7.125")).otherwise("15").cast("decimal(18,3)").alias("tax_rate"),
         money("p_retailprice").alias("unit_price"),
     )
 
 
 ITEMS_SQL = """
     SELECT p_name || ' ' || p_partkey AS item_name, p_partkey AS supplier_id, p_size AS unit_package_id,
+           CAST(p_size + 1 AS INTEGER) AS outer_package_id, CAST(p_size % 12 + 1 AS INTEGER) AS quantity_per_outer,
+           CASE WHEN p_type = 'PROMO' THEN CAST(7.125 AS DOUBLE) ELSE CAST(15 AS DOUBLE) END AS tax_rate,
            CAST(CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 250 AS DECIMAL(18,0)) / 1000 AS DOUBLE) AS typical_weight,
            CAST(length(p_name) AS INTEGER) AS lead_time_days, p_type = 'PROMO' AS is_chiller_stock,
            CAST(p_retailprice AS DOUBLE) AS unit_price
@@ -138,7 +139,7 @@ ITEMS_SQL = """
 
 
 def item_report(items: DataFrame) -> DataFrame:
-    return items.withColumns({"typical_weight": number("typical_weight"), "unit_price": number("unit_price")})
+    return items.withColumns({name: number(name) for name in ("typical_weight", "tax_rate", "unit_price")})
 
 
 @plan("xml_shred_items", ITEMS_SQL)
@@ -176,3 +177,20 @@ def split_text_rows(w: Warehouse) -> DataFrame:
     return w.documents.select("doc_id", F.posexplode(text.parts(F.col("text"), DELIMITERS)).alias("at", "part")).select(
         "doc_id", (F.col("at") + 1).alias("part_number"), "part"
     )
+
+
+@plan(
+    "names_unpadded_and_overlaid",
+    """
+    SELECT p_partkey, CAST(length(rtrim(p_name || '  ')) AS INTEGER) AS name_length,
+           left(p_name, 1) || 'XY' || substr(p_name, 5) AS overlaid
+    FROM part
+    """,
+)
+def names_unpadded_and_overlaid(w: Warehouse) -> DataFrame:
+    """Lengths without trailing blanks, and three characters of the name replaced by two others."""
+    return w.part.select(
+        "p_partkey",
+        text.length_unpadded(F.concat("p_name", F.lit("  "))).alias("name_length"),
+        text.replace_at(F.col("p_name"), 2, 3, "XY").alias("overlaid"),
+    )

@@ -369,3 +369,16 @@ def outer_join_demoted(w: Warehouse) -> DataFrame:
         .filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45))
         .select("p_partkey", "p_name", "l_orderkey", F.col("l_quantity").alias("quantity"))
     )
+
+
+@plan(
+    "orders_by_text_date",
+    """
+    SELECT o_orderkey, strftime(strptime(strftime(o_orderdate, '%d.%m.%Y'), '%d.%m.%Y'), '%Y-%m-%d') AS order_day
+    FROM orders
+    """,
+)
+def orders_by_text_date(w: Warehouse) -> DataFrame:
+    """Days that arrive as text, day first, read as dates."""
+    arriving = w.orders.select("o_orderkey", cal.day_first(F.to_date("o_orderdate")).alias("day_text"))
+    return arriving.select("o_orderkey", cal.iso(cal.parse_day_first(F.col("day_text"))).alias("order_day"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions.money import hundredths, mean, number, total, units
-from ledgerlark.operators.months import item_month_grid, month_calendar, zero_filled
+from ledgerlark.operators.months import item_months, month_calendar, zero_filled
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import stage
 from ledgerlark.tables import Warehouse
@@ -205,7 +205,9 @@ def calendar_zero_fill_items(w: Warehouse) -> DataFrame:
 )
 def calendar_item_zero_fill(w: Warehouse) -> DataFrame:
     """Every item in every month, where it sold little or nothing."""
-    grid = item_month_grid(w.part.select("p_partkey", "p_name"), w.orders, "o_orderdate")
-    filled = zero_filled(grid, by_month_and_item(w), ["year", "month", "p_partkey"], {"amount": 0, "quantity": 0})
+    items = w.part.select("p_partkey", "p_name")
+    measures = ["amount", "first_day", "quantity"]
+    every = item_months(items, by_month_and_item(w), "p_partkey", w.orders, "o_orderdate", measures)
+    filled = every.withColumns({name: F.coalesce(name, F.lit(0)) for name in ("amount", "quantity")})
     low = filled.filter(units("quantity") < LOW_SELLER)
     return _shown(low.select("year", "month", "p_partkey", "p_name", "amount", "first_day", "quantity"))

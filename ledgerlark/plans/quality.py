@@ -118,13 +118,14 @@ CASCADE = [
 def cascade_delete(w: Warehouse) -> DataFrame:
     """Customers in debt go with their orders and lines; rows kept and gone."""
     tables = {name: w.table(name) for name in ("customer", "orders", "lineitem")}
-    done = dq.cascade_delete(tables, CASCADE, "customer", F.col("c_acctbal") < 0)
+    flagged = dq.cascade_flags(tables, CASCADE, "customer", F.col("c_acctbal") < 0)
     counts = [
-        part.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.lit(state).alias("state"), "n")
-        for name, (kept, gone) in done.items()
-        for state, part in (("kept", kept), ("deleted", gone))
+        rows.agg(F.count_if(~F.col("__gone")).alias("kept"), F.count_if(F.col("__gone")).alias("deleted")).select(
+            F.lit(name).alias("table_name"), "kept", "deleted"
+        )
+        for name, rows in flagged.items()
     ]
-    return reduce(DataFrame.unionByName, counts).groupBy("table_name").pivot("state", ["kept", "deleted"]).sum("n")
+    return reduce(DataFrame.unionByName, counts)
 
 
 NATION_USERS = [
@@ -163,3 +164,21 @@ def cascade_key_change(w: Warehouse) -> DataFrame:
         for name, key, nation_key in shown
     ]
     return reduce(DataFrame.unionByName, rows)
+
+
+CLOCK = "2024-05-05 10:00:00"
+
+
+@plan(
+    "default_ingest_time",
+    f"""
+    SELECT o_orderkey, strftime(coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END, TIMESTAMP '{CLOCK}'),
+                                '%Y-%m-%d %H:%M:%S') AS stored_at
+    FROM orders
+    """,
+)
+def default_ingest_time(w: Warehouse) -> DataFrame:
+    """Orders that arrive without a time get the time of arrival, here a fixed clock."""
+    arriving = w.orders.withColumn("stored_at", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
+    stored = dq.with_default_now(arriving, "stored_at", F.lit(CLOCK).cast("timestamp_ntz"))
+    return stored.select("o_orderkey", F.date_format("stored_at", "yyyy-MM-dd HH:mm:ss").alias("stored_at"))

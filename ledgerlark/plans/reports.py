@@ -55,14 +55,9 @@ def activity(w: Warehouse) -> DataFrame:
 
 
 def requests(w: Warehouse) -> DataFrame:
-    """One request per customer: from the first order to the end of 1998."""
-    spans = date_spans(w)
-    return spans.select(
-        F.concat(F.lit("R"), F.col("customer_id").cast("string")).alias("request_id"),
-        "customer_id",
-        "first_day",
-        F.make_date(F.lit(1998), F.lit(12), F.lit(31)).alias("last_day"),
-    )
+    """One request per customer: from the first order to the last."""
+    name = F.concat(F.lit("R"), F.col("customer_id").cast("string")).alias("request_id")
+    return date_spans(w).select(name, "customer_id", "first_day", "last_day")
 
 
 def invoices(w: Warehouse) -> DataFrame:
@@ -70,7 +65,7 @@ def invoices(w: Warehouse) -> DataFrame:
 
 
 REQUEST_SQL = f"""
-    SELECT 'R' || customer_id AS request_id, customer_id, first_day, DATE '1998-12-31' AS last_day FROM ({SPAN_SQL})
+    SELECT 'R' || customer_id AS request_id, customer_id, first_day, last_day FROM ({SPAN_SQL})
 """
 
 
@@ -125,14 +120,17 @@ def customer_period_report(w: Warehouse) -> DataFrame:
 
 @plan(
     "pending_requests",
-    f"""
-    SELECT request_id, customer_id FROM ({REQUEST_SQL})
-    WHERE customer_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01 00:00:00')
-    """,
+    f"SELECT request_id, customer_id FROM ({REQUEST_SQL}) WHERE customer_id % 4 = 0",
 )
 def pending_requests(w: Warehouse) -> DataFrame:
-    """Requests without a report, when only customers with a recent order have
-    been answered."""
-    recent = w.orders.filter(cal.days_since(F.col("o_orderdate"), "2001-06-01"))
-    answered = requests(w).join(recent, F.col("customer_id") == F.col("o_custkey"), "left_semi")
-    return reports.pending(requests(w), answered).select("request_id", "customer_id")
+    """Requests that wait: sent, but without a stored report.
+
+    The stream runs once; requests of every fourth customer arrive after it.
+    """
+    inbox, outbox = scratch(w.spark, "requests"), scratch(w.spark, "answers")
+    late = F.col("customer_id") % 4 == 0
+    reports.request_messages(requests(w).filter(~late), invoices(w)).write.parquet(inbox)
+    reports.answer_requests(inbox, stage(activity(w), "activity"), outbox).awaitTermination()
+    reports.request_messages(requests(w).filter(late), invoices(w)).write.mode("append").parquet(inbox)
+    sent = reports.read_requests(w.spark.read.schema(reports.REQUEST_COLUMNS).parquet(inbox)).filter("is_valid")
+    return reports.pending(sent, reports.reports_table(w.spark, outbox)).select("request_id", "customer_id")

@@ -9,8 +9,8 @@ from ledgerlark.functions.documents import nested
 
 ITEM_SHAPE = (
     "_Name string, SupplierID bigint, "
-    "Package struct<UnitPackageID: int, TypicalWeightPerUnit: decimal(18,3)>, "
-    "LeadTimeDays int, IsChillerStock boolean, UnitPrice decimal(18,2)"
+    "Package struct<UnitPackageID: int, OuterPackageID: int, QuantityPerOuter: int, TypicalWeightPerUnit: decimal(18,3)>, "
+    "LeadTimeDays int, IsChillerStock boolean, TaxRate decimal(18,3), UnitPrice decimal(18,2)"
 )
 
 # Element path (a leading underscore marks an attribute) of
@@ -19,9 +19,12 @@ ITEM_PATHS = {
     "item_name": "_Name",
     "supplier_id": "SupplierID",
     "unit_package_id": "Package/UnitPackageID",
+    "outer_package_id": "Package/OuterPackageID",
+    "quantity_per_outer": "Package/QuantityPerOuter",
     "typical_weight": "Package/TypicalWeightPerUnit",
     "lead_time_days": "LeadTimeDays",
     "is_chiller_stock": "IsChillerStock",
+    "tax_rate": "TaxRate",
     "unit_price": "UnitPrice",
 }
 

@@ -117,15 +117,17 @@ def received_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def answer_requests(
     requests_folder: str, activity: DataFrame, out_folder: str, now: Column | None = None, available_now: bool = True,
-    every: str = "10 seconds", files_per_batch: int = 1000,
+    every: str = "10 seconds", files_per_batch: int = 1000, horizon: str = "90 days",
 ) -> StreamingQuery:
     """Start the stream that answers requests as their files arrive.
 
-    Every micro-batch replaces its own ``batch_id`` folders, so a batch that
-    is run again after a failure leaves one copy; a request that an earlier
-    batch answered is dropped by id, and one repeated inside a batch counts
-    once. Messages that are no valid request are kept, but not answered. Every
-    batch reads ``activity``, so give a stored table of daily sums.
+    A valid request that repeats an id within ``horizon`` of its first arrival
+    is dropped by the stream's state, which holds the ids of that time and no
+    more; earlier answers are not read. Every micro-batch replaces its own
+    ``batch_id`` folders, so a batch that is run again after a failure leaves
+    one copy. Messages that are no valid request are kept, but not answered.
+    A batch reads ``activity`` for the days it asks for, so give a stored table
+    of daily sums.
     """
     spark = activity.sparkSession
     clock = F.current_timestamp() if now is None else now
@@ -133,14 +135,10 @@ def answer_requests(
     def store(batch: DataFrame, batch_id: int) -> None:
         own = f"batch_id={batch_id}"
         received = os.path.join(out_folder, "received", own)
-        read_requests(batch).write.mode("overwrite").parquet(received)
+        batch.drop("arrived", "once").write.mode("overwrite").parquet(received)
         # A stream plans without adaptive execution; the stored batch is read
         # with the outer session, which has it.
-        parsed = spark.read.schema(RECEIVED_COLUMNS).parquet(received)
-        requests = parsed.filter("is_valid").drop("is_valid", "body").dropDuplicates(["request_id"])
-        if batch_id > 0:
-            earlier = reports_table(spark, out_folder).filter(F.col("batch_id") < batch_id)
-            requests = pending(requests, earlier)
+        requests = spark.read.schema(RECEIVED_COLUMNS).parquet(received).filter("is_valid").drop("is_valid", "body")
         (
             period_reports(requests, activity)
             .select(
@@ -157,10 +155,17 @@ def answer_requests(
             .parquet(os.path.join(out_folder, "reports", own))
         )
 
+    arriving = spark.readStream.schema(REQUEST_COLUMNS).option("maxFilesPerTrigger", files_per_batch)
+    # A message that is no request is one of a kind by its id and text.
+    once = F.when(F.col("is_valid"), F.concat(F.lit("id:"), "request_id")).otherwise(
+        F.sha2(F.concat_ws(":", F.coalesce("request_id", F.lit("")), F.coalesce("body", F.lit(""))), 256)
+    )
     stream = (
-        spark.readStream.schema(REQUEST_COLUMNS)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(requests_folder)
+        read_requests(arriving.parquet(requests_folder))
+        .withColumn("once", once)
+        .withColumn("arrived", F.current_timestamp())
+        .withWatermark("arrived", horizon)
+        .dropDuplicatesWithinWatermark(["once"])
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", os.path.join(out_folder, "progress"))
     )

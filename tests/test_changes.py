@@ -92,3 +92,17 @@ def test_one_source_row_may_update_several_targets(spark, rows):
     change = merge(target, source_of(spark, [("hot", 5)]))
     assert change.log.count() == 30
     assert change.table.filter("qty = 5").count() == 30
+
+
+def test_merge_without_regard_to_case(spark, target):
+    from ledgerlark.functions.text import any_case
+
+    change = merge(target, source_of(spark, [("ANN", 11), ("Zed", 5)]), match=any_case)
+    assert sorted((r.action, r.new_qty) for r in change.log.collect()) == [("INSERT", 5), ("UPDATE", 11)]
+    with pytest.raises(ch.AmbiguousMerge):
+        merge(target, source_of(spark, [("ANN", 1), ("ann", 2)]), match=any_case)
+
+
+def test_ambiguous_keys(spark, target, rows):
+    flagged = ch.with_known(target, source_of(spark, [("ann", 1), ("ann", 2), ("new", 1), ("new", 2)]), "name")
+    assert rows(ch.ambiguous_keys(flagged, "name")) == [("ann", 2)]

@@ -25,9 +25,15 @@ def test_zero_fill(sales, rows):
     assert len(got) == 24 and got[(2015, 3)] == 12 and got[(2015, 2)] == 0
 
 
-def test_item_grid(spark, sales):
+def test_item_months(spark, sales):
     items = spark.createDataFrame([(1,), (2,), (3,)], "item int")
-    assert months.item_month_grid(items, sales, "day").distinct().count() == 3 * 24
+    sums = sales.groupBy("item", F.year("day").alias("year"), F.month("day").alias("month")).agg(F.sum("qty").alias("qty"))
+    rows = months.item_months(items, sums, "item", sales, "day", ["qty"]).collect()
+    got = {(r.item, r.year, r.month): r.qty for r in rows}
+    assert len(rows) == len(got) == 3 * 24
+    assert {key: qty for key, qty in got.items() if qty is not None} == {
+        (1, 2015, 1): 10, (1, 2015, 3): 5, (2, 2015, 3): 7, (2, 2017, 12): 1,
+    }
 
 
 def test_running_totals_in_hundredths(sales):

@@ -32,13 +32,10 @@ def test_column_list(counts):
 
 
 def test_too_many_columns_are_refused(spark):
-    before = spark.conf.get("spark.sql.pivotMaxValues")
-    spark.conf.set("spark.sql.pivotMaxValues", "5")
-    try:
-        with pytest.raises(ValueError):
-            pivots.pivot_columns(spark.range(6).withColumn("n", F.col("id").cast("string")), "n")
-    finally:
-        spark.conf.set("spark.sql.pivotMaxValues", before)
+    names = spark.range(6).withColumn("n", F.col("id").cast("string"))
+    assert len(pivots.pivot_columns(names, "n", limit=6)) == 6
+    with pytest.raises(ValueError):
+        pivots.pivot_columns(names, "n", limit=5)
 
 
 def test_all_customers_and_buyers_differ(spark):

@@ -128,3 +128,17 @@ def test_key_change_travels(spark, rows):
     assert rows(done["c"]) == [(100,), (2,)]
     with pytest.raises(dq.BlockedChange):
         dq.cascade_key_change(tables, rules, "a", "id", spark.createDataFrame([(2, 9)], "old_key int, new_key int"))
+
+
+def test_reference_to_itself_is_refused(spark):
+    tree = spark.createDataFrame([(1, None), (2, 1)], "id int, parent int")
+    rules = [dq.Reference("tree", "parent", "tree", "id")]
+    with pytest.raises(ValueError, match="itself"):
+        dq.cascade_delete({"tree": tree}, rules, "tree", F.col("id") == 1)
+
+
+def test_old_key_listed_twice_is_refused(spark):
+    table = spark.createDataFrame([(1,)], "id int")
+    new = spark.createDataFrame([(1, 8), (1, 9)], "old_key int, new_key int")
+    with pytest.raises(ValueError, match="several new keys"):
+        dq.cascade_key_change({"a": table}, [], "a", "id", new)
