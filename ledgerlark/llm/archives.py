@@ -242,9 +242,10 @@ class LoserTree:
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A range in order: its rows come as pieces of runs, each ascending."""
-    rows = pd.concat(list(batches), ignore_index=True) if batches else pd.DataFrame()
-    if not len(rows):
+    parts = [batch for batch in batches if len(batch)]
+    if not parts:
         return
+    rows = pd.concat(parts, ignore_index=True)
     runs: list[list[tuple]] = []
     for at, key in enumerate(zip(*(rows[c] for c in ORDER), strict=True)):
         if not runs or key < runs[-1][-1][0]:
