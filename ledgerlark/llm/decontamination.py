@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: bytes that separate words, after A-Z have been lowered.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same words before A-Z are lowered.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 WINDOW = 10
 
@@ -143,15 +145,18 @@ def drop_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
 def remove_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``doc_id`` and ``text`` of every row, with the words that are hit cut out.
 
-    A document without hits keeps its text; in the others the words that
-    remain are joined by one space, in lower case. A null text stays null.
+    With a word goes what stands between it and the next one; all else stays as
+    it was. A null text stays null.
     """
     found = scan(docs, items, doc_id, text, **options).filter(F.size("hits") > 0)
     hit = found.select(F.col("doc_id").alias("hit_id"), "words_hash", "hits")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn(
         "hash", F.xxhash64(words_of(F.col("text")))
     )
-    left = F.filter(words_of(F.col("text")), lambda word, at: ~F.array_contains(F.col("hits"), at))
+    words, gaps = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.split("text", WORD, -1)
+    pieces = F.zip_with(words, F.slice(gaps, F.lit(2), F.size(words)), lambda word, gap: F.concat(word, gap))
+    left = F.filter(pieces, lambda piece, at: ~F.array_contains(F.col("hits"), at))
+    cut = F.concat(F.get(gaps, F.lit(0)), F.array_join(left, ""))
     return rows.join(
         hit, (F.col("hash") == F.col("words_hash")) & F.col("doc_id").eqNullSafe(F.col("hit_id")), "left"
-    ).select("doc_id", F.when(F.col("hits").isNull(), F.col("text")).otherwise(F.concat_ws(" ", left)).alias("text"))
+    ).select("doc_id", F.when(F.col("hits").isNull(), F.col("text")).otherwise(cut).alias("text"))

@@ -140,6 +140,6 @@ def test_decontamination_edges(spark, table):
     docs = table((1, "Zero ONE two, three four five six seven eight nine ten; last.", "a"), (2, "clean text", "a"), (None, None, None))
     assert sorted(str(r.doc_id) for r in dc.drop_documents(docs, bench).collect()) == ["2", "None"]
     assert dc.drop_documents(docs, bench).columns == docs.columns
-    assert {r.doc_id: r.text for r in dc.remove_spans(docs, bench).collect()} == {1: "zero last", 2: "clean text", None: None}
+    assert {r.doc_id: r.text for r in dc.remove_spans(docs, bench).collect()} == {1: "Zero last.", 2: "clean text", None: None}
     assert dc.report(docs.limit(0), bench).count() == 0
     assert not any(r.contaminated for r in dc.report(docs, bench.limit(0)).collect())
