@@ -46,8 +46,7 @@ def settle(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: in
     round finds no link or ``rounds`` are done.
     """
     pairs = rows.filter("t <> center").select(F.col("center").alias("a"), F.col("t").alias("b")).distinct()
-    links = stage(verify(pairs).distinct(), "links")
-    labels = components(links)
+    labels = components(stage(verify(pairs).distinct(), "links"))
     for turn in range(1, rounds):
         named = rows.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn(
             "label", F.coalesce("label", "t")
@@ -66,6 +65,21 @@ def settle(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: in
         found = stage(verify(beside).distinct(), "links")
         if found.isEmpty():
             break
-        links = links.union(found)
-        labels = components(links)
+        labels = merged(labels, found)
     return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: only the labels at their ends are joined anew."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+    known = nodes.select("node", "label")
+    between = (
+        links.join(known.withColumnRenamed("node", "a").withColumnRenamed("label", "la"), "a")
+        .join(known.withColumnRenamed("node", "b").withColumnRenamed("label", "lb"), "b")
+        .select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    )
+    up = components(between).select(F.col("node").alias("label"), F.col("label").alias("above"))
+    return stage(
+        nodes.join(up, "label", "left").select("node", F.coalesce("above", "label").alias("label")), "labels"
+    )

@@ -19,25 +19,20 @@ def components(links: DataFrame) -> DataFrame:
     An empty table of links gives an empty table.
     """
     edges = stage(links.select("a", "b").filter("a <> b").distinct(), "links")
-    labels = None
+    steps = []
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        parents = stage(
-            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
-                "node", F.least("node", "low").alias("parent")
-            ),
-            "parents",
-        )
-        if labels is None:
-            labels = parents.select("node", F.col("parent").alias("label"))
-        else:
-            up = parents.select(F.col("node").alias("label"), "parent")
-            labels = labels.join(up, "label", "left").select("node", F.coalesce("parent", "label").alias("label"))
-        labels = stage(labels, "labels")
+        lowest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+        parents = stage(lowest.select("node", F.least("node", "low").alias("parent")), "parents")
+        steps.append(parents)
         for end in ("a", "b"):
             up = parents.select(F.col("node").alias(end), "parent")
             edges = edges.join(up, end).drop(end).withColumnRenamed("parent", end)
         edges = stage(edges.select("a", "b").filter("a <> b").distinct(), "links")
-    if labels is None:
+    if not steps:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return labels
+    labels = steps[0].select("node", F.col("parent").alias("label"))
+    for parents in steps[1:]:
+        up = parents.select(F.col("node").alias("label"), "parent")
+        labels = labels.join(up, "label", "left").select("node", F.coalesce("parent", "label").alias("label"))
+    return stage(labels, "labels")
