@@ -113,7 +113,7 @@ def lines(rows: DataFrame, rows_per_bucket: int = 1000) -> DataFrame:
     )
 
 
-def schedule(plan: DataFrame, block_tokens: int, slots_per_range: int = 8192) -> DataFrame:
+def schedule(plan: DataFrame, block_tokens: int, slots_per_range: int = 1024) -> DataFrame:
     """Deal the slots of the mix to the sources.
 
     ``plan`` has ``source_no`` and ``quota`` (blocks of the source). Slot i of N
