@@ -75,8 +75,8 @@ def scan(
     windows = item_windows(items, item_id, item_text, window)
     sizes = {row["length"]: row["count"] for row in windows.groupBy("length").count().collect()}
     lengths = sorted(sizes) or [window]
-    if sum(sizes.values()) <= most_broadcast:
-        windows = F.broadcast(windows)
+    few = sum(sizes.values()) <= most_broadcast
+    windows = F.broadcast(windows) if few else windows.hint("merge")
     rows = docs.select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("text_words"))
     rows = rows.select("doc_id", F.size("text_words").alias("n_words"), F.xxhash64("text_words").alias("words_hash"), "text_words")
     spots = rows.select("*", F.posexplode_outer("text_words").alias("at", "word"))

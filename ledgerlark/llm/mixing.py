@@ -124,7 +124,9 @@ def schedule(plan: DataFrame, block_tokens: int, slots_per_range: int = 1024) ->
     in its source comes from counts per slot range, never from one window per
     source.
 
-    Returns ``slot``, ``source_no`` and ``block`` (the rank).
+    Returns ``slot``, ``source_no`` and ``block`` (the rank). Spark takes rows out
+    of a sequence for as few as the rows the sequences are in, and would
+    broadcast them; joins with slots are hinted.
     """
     before = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
     placed = plan.select(
@@ -155,7 +157,7 @@ def schedule(plan: DataFrame, block_tokens: int, slots_per_range: int = 1024) ->
     inside = Window.partitionBy("source_no", "part").orderBy("slot")
     return (
         slots.withColumn("within", F.row_number().over(inside) - 1)
-        .join(ranks, ["source_no", "part"])
+        .join(ranks.hint("merge"), ["source_no", "part"])
         .select("slot", "source_no", (F.col("offset") + F.col("within")).cast("long").alias("block"))
     )
 
@@ -225,7 +227,7 @@ def mix(
     dealt = schedule(plan, block_tokens)
     row = ["source_no", "start", "shuffled", "doc_id", "source", "size", "source_size", "target"]
     taken = (
-        pieces.join(dealt, ["source_no", "block"], "left")
+        pieces.join(dealt.hint("merge"), ["source_no", "block"], "left")
         .groupBy(*row)
         .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0)).cast("long").alias("taken"))
     )
