@@ -35,12 +35,13 @@ ALPHANUMERIC = table(bytes(b for b in range(128) if not chr(b).isalnum()))
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit numbers (the splitmix64 finisher)."""
-    x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
-    x ^= x >> U64(27)
-    x = x * U64(0x94D049BB133111EB)
-    x ^= x >> U64(31)
-    return x
+    y = x >> U64(30)
+    y ^= x
+    y *= U64(0xBF58476D1CE4E5B9)
+    y ^= y >> U64(27)
+    y *= U64(0x94D049BB133111EB)
+    y ^= y >> U64(31)
+    return y
 
 
 def _powers(base: int, n: int) -> np.ndarray:

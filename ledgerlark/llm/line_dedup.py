@@ -35,17 +35,32 @@ _BASE = 0x9E3779B97F4A7C15
 _BORROW = 0xD1B54A32D192ED03
 
 
+# White space other than the space and the line end.
+_ODD_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f"
+_FAR_SPACES = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
 def normal(line: str) -> str:
     return " ".join(line.split()).lower()
 
 
+def normal_lines(text: str) -> list[str]:
+    """All lines in normal form; in one go where only single spaces stand between words."""
+    odd = _ODD_SPACES if text.isascii() else _ODD_SPACES + _FAR_SPACES
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in odd):
+        return [normal(line) for line in text.split("\n")]
+    return text.lower().split("\n")
+
+
 def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash and line number of all runs of eight characters; a shorter line is filled up."""
     filled = [line.ljust(CHARS) for line in lines]
     data = np.frombuffer("".join(filled).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
-    owner = np.repeat(np.arange(len(lines)), [len(line) for line in filled])
+    owner = np.repeat(np.arange(len(lines), dtype=np.int32), [len(line) for line in filled])
     for step in (1, 2, 4):
-        data = data[:-step] * U64(pow(_BASE, step, 1 << 64)) + data[step:]
+        later = data[step:]
+        data = data[:-step] * U64(pow(_BASE, step, 1 << 64))
+        data += later
     whole = owner[: len(data)] == owner[CHARS - 1 :]
     return mix64(data[whole]), owner[: len(data)][whole]
 
@@ -54,7 +69,7 @@ def signatures(lines: list[str]) -> np.ndarray:
     """Band hashes of every line."""
     size = BANDS * ROWS
     found, owner = runs(lines)
-    slot = owner * size + ((found >> U64(32)) % U64(size)).astype(np.int64)
+    slot = owner.astype(np.int64) * size + (((found >> U64(32)) * U64(size)) >> U64(32)).astype(np.int64)
     empty = np.iinfo(np.uint64).max
     least = np.full(len(lines) * size, empty, U64)
     np.minimum.at(least, slot, found)
@@ -85,27 +100,21 @@ def _line_hash(lines: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), U64)
 
 
-def _lines(texts) -> Iterator[tuple[int, list[int], list[str]]]:
-    """Number of the text, places and normal forms of its lines that are not blank."""
-    for number, text in enumerate(texts):
-        places, found = [], []
-        for place, line in enumerate((text or "").split("\n")):
-            line = normal(line)
-            if line:
-                places.append(place)
-                found.append(line)
-        yield number, places, found
-
-
 def _sliced(texts) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """Text numbers, places and lines, in slices of about a million characters."""
+    """Text numbers, places and normal forms of all lines that are not blank, in
+    slices of about a million characters; a long text fills several."""
     numbers, spots, held, size = [], [], [], 0
-    for number, places, found in _lines(texts):
-        for place, line in zip(places, found, strict=True):
-            numbers.append(number)
-            spots.append(place)
-            held.append(line)
-            size += len(line)
+    for number, text in enumerate(texts):
+        lines = normal_lines(text or "")
+        step = len(lines) if len(text or "") <= SLICE_CHARS else 100
+        for start in range(0, len(lines), step):
+            found = [(place, line) for place, line in enumerate(lines[start : start + step], start) if line]
+            if found:
+                places, kept = zip(*found, strict=True)
+                numbers += [number] * len(kept)
+                spots += places
+                held += kept
+                size += sum(map(len, kept))
             if size >= SLICE_CHARS:
                 yield np.array(numbers), np.array(spots), held
                 numbers, spots, held, size = [], [], [], 0
