@@ -35,7 +35,7 @@ from ledgerlark.session import stage
 DEPTH = 5
 FOLDS, HELD_OUT = 10, 0
 BLOCK_BYTES = 40_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 # Depth from which on a shard holds all of a node; above it sums go to the
 # driver, a row for each pair of bytes and known bits.
 TOP = 3
@@ -60,7 +60,7 @@ def byte_runs(part: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"".join(x for c in part for x in (pad, c)) + pad, np.uint8)
     sizes = np.fromiter((len(c) for c in part), np.int64, len(part)) + 1
     begins = np.concatenate([[0], np.cumsum(sizes - 1 + DEPTH)[:-1]]) + DEPTH
-    text = np.repeat(np.arange(len(part)), sizes)
+    text = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
     place = np.arange(len(text)) + np.repeat(begins - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
     run = data[place].astype(U64)
     for back in range(1, DEPTH + 1):
@@ -83,7 +83,7 @@ class Counter:
         free = self.key[slot] == 0
         self.key[slot[free]] = keys[free] + U64(1)
         hit = self.key[slot] == keys + U64(1)
-        self.count += np.bincount(slot[hit & counted], minlength=len(self.count))
+        np.add.at(self.count, slot[hit & counted], 1)
         if not hit.all():
             found, back = np.unique(keys[~hit], return_inverse=True)
             self.rest.append((found, np.bincount(back, weights=counted[~hit], minlength=len(found)).astype(np.int64)))
@@ -142,18 +142,16 @@ def unpack(blob: bytes, kind, ascending: bool = False) -> np.ndarray:
 
 def _asked(block: int, texts: list[bytes], trained: np.ndarray, shards: int) -> pd.DataFrame:
     """The runs and words that a block holds, with their counts in its training texts, by shard."""
-    runs = Counter()
-    words, counted = [], []
+    runs, words = Counter(), Counter()
     for start, end in slices(texts, SLICE_BYTES):
         learn = trained[start:end]
         run, text = byte_runs(texts[start:end])
         runs.add(run, learn[text])
         hashes, counts = hash_words(texts[start:end], BY_SPACE)
-        words.append(hashes | WORD)
-        counted.append(np.repeat(learn, counts))
-    hashes, back = np.unique(np.concatenate([*words, END]), return_inverse=True)
-    seen = np.bincount(back, np.concatenate([*counted, trained.sum(keepdims=True)]), len(hashes)).astype(np.int64)
+        words.add(hashes | WORD, np.repeat(learn, counts))
+    words.add(np.repeat(END, len(texts)), trained)
     keys, counts = runs.result()
+    hashes, seen = words.result()
     rows = []
     for first, key, n, dealt in (
         (0, keys, counts, mix64(keys >> U64(8 * (DEPTH + 1 - TOP)))),
