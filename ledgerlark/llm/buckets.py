@@ -1,17 +1,27 @@
-"""From band values to classes: linear numbers of exact comparisons per bucket."""
+"""From band values to classes: cheap exact comparisons first, then all that can still be similar."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.llm.arrays import U64, mix64
 from ledgerlark.llm.components import components
 from ledgerlark.session import stage
 
 # Nodes that are broadcast at most, 16 bytes each; beyond it Spark joins by shuffle.
 MOST_BROADCAST = 2_000_000
+# Hash slots that elements are counted by; the counts only order the elements.
+COUNTERS = 1 << 18
+# Rows of an element's group that meet in one key of the join.
+BLOCK = 500
+
+# Of a batch of sets: its rows, and row number (ascending), element and weight of every element.
+Elements = Callable[[pd.DataFrame], Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]]
 
 
 def crowded(spread: DataFrame) -> DataFrame:
@@ -36,26 +46,33 @@ def nodes_of(rows: DataFrame) -> DataFrame:
     return F.broadcast(found) if found.count() <= MOST_BROADCAST else found
 
 
-def settle(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 5) -> DataFrame:
+def settle(
+    rows: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    sets: DataFrame,
+    elements: Elements,
+    similarity: float,
+    rounds: int = 5,
+) -> DataFrame:
     """``node`` and ``label`` of all nodes that are linked.
 
     ``verify`` keeps the pairs (``a``, ``b``) that are similar. First every
     node is compared with the center of each of its buckets. Nodes of a bucket
     that are then in different components are compared with their neighbours
     in an order drawn anew in every round, in parts of about 500 rows, until a
-    round finds no link or ``rounds`` are done.
+    round finds no link or ``rounds`` are done. What is apart after that goes
+    through ``untested``, so any two similar nodes of a bucket end in one component.
+
+    ``sets`` has the nodes (``t``) with what ``elements`` reads. Pairs that
+    ``verify`` keeps need a plain or a probability Jaccard of ``similarity``.
     """
     pairs = rows.filter("t <> center").select(F.col("center").alias("a"), F.col("t").alias("b")).distinct()
     labels = components(stage(verify(pairs).distinct(), "links"))
     for turn in range(1, rounds):
-        named = rows.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn(
-            "label", F.coalesce("label", "t")
-        )
-        split = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        apart = named.join(split.filter("low <> high").select("bucket"), "bucket", "left_semi")
         order = Window.partitionBy("bucket", "part").orderBy("draw", "t")
         beside = (
-            apart.withColumn("draw", F.xxhash64("t", "bucket", F.lit(turn)))
+            _apart(rows, labels)
+            .withColumn("draw", F.xxhash64("t", "bucket", F.lit(turn)))
             .withColumn("part", F.pmod(F.xxhash64("t", F.lit(-turn)), F.ceil(F.col("rows") / 500).cast("long")))
             .select("t", "label", F.lag("t").over(order).alias("s"), F.lag("label").over(order).alias("beside"))
             .filter("label <> beside")
@@ -66,7 +83,123 @@ def settle(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: in
         if found.isEmpty():
             break
         labels = merged(labels, found)
-    return labels
+    nodes = stage(_apart(rows, labels).select("t", "label").distinct(), "apart")
+    if nodes.isEmpty():
+        return labels
+    found = stage(verify(untested(nodes, sets, elements, similarity)).distinct(), "links")
+    return labels if found.isEmpty() else merged(labels, found)
+
+
+def _apart(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several labels, with the label of their node."""
+    named = rows.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn("label", F.coalesce("label", "t"))
+    split = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return named.join(split.filter("low <> high").select("bucket"), "bucket", "left_semi")
+
+
+def _slot(found: np.ndarray) -> np.ndarray:
+    return (mix64(found) % U64(COUNTERS)).astype(np.int64)
+
+
+def _count(elements: Elements):
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for _, _, found, _ in elements(batch):
+                total += np.bincount(_slot(found), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": at, "n": total[at]})
+
+    return count
+
+
+def _rarest(elements: Elements, often: np.ndarray, similarity: float):
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part, owner, found, weight in elements(batch):
+                order = np.lexsort((found, often[_slot(found)], owner))
+                owner, found, weight = owner[order], found[order], weight[order].astype(np.int64)
+                n = np.bincount(owner, minlength=len(part))
+                begin = np.cumsum(n) - n
+                rank = np.arange(len(owner)) - begin[owner]
+                before = np.cumsum(weight) - weight
+                before -= before[begin[owner]]
+                total = np.bincount(owner, weights=weight, minlength=len(part))
+                rest = 1 - similarity + 1e-9
+                kept = (rank <= rest * n[owner]) | (before <= rest * total[owner])
+                of = owner[kept]
+                rows = part[["t", "label"]].iloc[of].reset_index(drop=True)
+                yield rows.assign(
+                    e=found[kept].view(np.int64), n=n[of], rank=rank[kept], share=before[kept] / total[of]
+                )
+
+    return find
+
+
+def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity: float) -> DataFrame:
+    """All pairs (``a``, ``b``) of ``nodes`` with different labels that can be similar.
+
+    A prefix filter. All sets are put in one order of the elements, those of
+    rare hash slots first. The elements that a similar set lacks are at most
+    1 - ``similarity`` of a set, by number for the plain Jaccard and by weight
+    for the other. So the first common element of two similar sets has at most
+    that much before it in both: only such elements are joined, and what is
+    before them bounds the similarity once more. With u and v the weight shares
+    before it, a probability Jaccard is at most the mean of (1-u)/(1+u) and
+    (1-v)/(1+v).
+
+    The label with most rows of an element is never joined with itself, and
+    groups are joined in blocks, so neither a large component nor a common
+    element is one task. Nothing is capped.
+    """
+    near = stage(sets.join(nodes, "t"), "apart-sets")
+    counted = near.mapInPandas(_count(elements), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = counted.toPandas()
+    often = np.zeros(COUNTERS, np.int64)
+    often[found["slot"].to_numpy()] = found["n"].to_numpy()
+    kind = nodes.schema["t"].dataType.simpleString()
+    marks = stage(
+        near.mapInPandas(
+            _rarest(elements, often, similarity), f"t {kind}, label {kind}, e long, n long, rank long, share double"
+        ),
+        "rarest",
+    )
+    groups = (
+        marks.groupBy("e", "label")
+        .agg(F.count("*").alias("rows"))
+        .groupBy("e")
+        .agg(F.max(F.struct("rows", "label")).alias("main"), F.sum("rows").alias("rows"))
+        .filter("rows > main.rows")
+        .select(
+            "e",
+            F.col("main.label").alias("main"),
+            F.ceil((F.col("rows") - F.col("main.rows")) / BLOCK).alias("lefts"),
+            F.ceil(F.col("rows") / BLOCK).alias("rights"),
+        )
+    )
+    cut = stage(marks.join(groups, "e"), "rarest-shared")
+    one = (
+        cut.filter("label <> main")
+        .withColumn("p", F.pmod(F.xxhash64("t"), F.col("lefts")))
+        .withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1)))
+        .select("e", "p", "q", *[F.col(c).alias(f"{c}_a") for c in ("t", "label", "n", "rank", "share")])
+    )
+    two = (
+        cut.withColumn("q", F.pmod(F.xxhash64("t"), F.col("rights")))
+        .withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1)))
+        .select("e", "p", "q", "main", *[F.col(c).alias(f"{c}_b") for c in ("t", "label", "n", "rank", "share")])
+    )
+    common = F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
+    plain = common * (1 + similarity) >= (F.col("n_a") + F.col("n_b")) * similarity - 1e-6
+    bounds = [(1 - F.col(f"share_{side}")) / (1 + F.col(f"share_{side}")) for side in "ab"]
+    weighted = (bounds[0] + bounds[1]) / 2 >= similarity - 1e-9
+    return (
+        one.join(two, ["e", "p", "q"])
+        .filter((F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("t_a") < F.col("t_b"))))
+        .filter(plain | weighted)
+        .select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
+        .distinct()
+    )
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -174,6 +174,15 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part.loc[common >= SIMILARITY * union, ["a", "b"]]
 
 
+def _elements(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """The runs of every line, each once."""
+    for start in range(0, len(batch), 500):
+        part = batch.iloc[start : start + 500]
+        found, owner = runs(part["line"].tolist())
+        first = np.sort(np.unique(found + mix64(owner.astype(U64)), return_index=True)[1])
+        yield part, owner[first], found[first], np.ones(len(first), np.int64)
+
+
 def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Which lines of every document go.
 
@@ -208,7 +217,7 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         two = kept.select(F.col("t").alias("b"), F.col("line").alias("line_b"))
         return pairs.join(one, "a").join(two, "b").mapInPandas(_verify, "a bigint, b bigint")
 
-    labels = settle(shared, verify).withColumnRenamed("node", "line")
+    labels = settle(shared, verify, kept, _elements, SIMILARITY).withColumnRenamed("node", "line")
     spots = signed.filter("place >= 0").select("id", "t", "place", "line")
     named = stage(
         spots.join(labels, "line", "left").select("id", "t", "place", F.coalesce("label", "line").alias("label")), "named"

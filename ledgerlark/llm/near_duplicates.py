@@ -112,6 +112,14 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[good, ["a", "b"]]
 
 
+def _elements(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """The runs of every text with their counts."""
+    for start in range(0, len(batch), 100):
+        part = batch.iloc[start : start + 100]
+        owner = np.repeat(np.arange(len(part)), [len(e) for e in part["e"]])
+        yield part, owner, np.concatenate(part["e"].tolist()).view(U64), np.concatenate(part["w"].tolist())
+
+
 def text_key(text: Column) -> Column:
     """A hash of the text; a null text counts as empty."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -134,9 +142,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     that several texts share, every text is compared with the first one; texts
     that are then still in different components are compared with their
     neighbours in an order that is drawn anew in every round, until a round
-    finds no link (at most ``rounds``). All comparisons are exact: linked is
-    what has a probability Jaccard, or a plain one, of at least 0.8. The number of
-    comparisons is linear in the rows whatever the size of a bucket.
+    finds no link (at most ``rounds``), and at last with every text that a prefix
+    filter on the rarest runs leaves. All comparisons are exact: linked is
+    what has a probability Jaccard, or a plain one, of at least 0.8. Similar
+    texts of a bucket are always in one class.
 
     Null and empty texts are equal texts; texts without words are near nothing
     but their equals; a text of fewer than five words is one run. A null id is
@@ -159,7 +168,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     near = rows.join(wanted, "t").select("id", "t", "text")
     chosen = near.join(first, (F.col("t") == F.col("of")) & F.col("id").eqNullSafe(F.col("first"))).select("t", "text")
     sketches = stage(chosen.mapInPandas(_sketch, "t bigint, e array<bigint>, w array<int>"), "sketches")
-    labels = settle(rows_of, lambda pairs: _links(pairs, sketches), rounds)
+    labels = settle(rows_of, lambda pairs: _links(pairs, sketches), sketches, _elements, SIMILARITY, rounds)
     named = texts.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn("label", F.coalesce("label", "t"))
     heads = (
         named.groupBy("label")
