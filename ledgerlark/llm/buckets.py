@@ -19,6 +19,8 @@ MOST_BROADCAST = 2_000_000
 COUNTERS = 1 << 18
 # Rows of an element's group that meet in one key of the join.
 BLOCK = 500
+# For each of 256 slots a bit: whether an odd number of a set's elements falls on it.
+MARKS = ("odd0", "odd1", "odd2", "odd3")
 
 # Of a batch of sets: its rows, and row number (ascending), element and weight of every element.
 Elements = Callable[[pd.DataFrame], Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]]
@@ -53,6 +55,7 @@ def settle(
     elements: Elements,
     similarity: float,
     rounds: int = 5,
+    weighted: bool = False,
 ) -> DataFrame:
     """``node`` and ``label`` of all nodes that are linked.
 
@@ -64,7 +67,8 @@ def settle(
     through ``untested``, so any two similar nodes of a bucket end in one component.
 
     ``sets`` has the nodes (``t``) with what ``elements`` reads. Pairs that
-    ``verify`` keeps need a plain or a probability Jaccard of ``similarity``.
+    ``verify`` keeps need a plain Jaccard of ``similarity`` or, if ``weighted``, a
+    plain or a probability Jaccard of it.
     """
     pairs = rows.filter("t <> center").select(F.col("center").alias("a"), F.col("t").alias("b")).distinct()
     labels = components(stage(verify(pairs).distinct(), "links"))
@@ -86,7 +90,7 @@ def settle(
     nodes = stage(_apart(rows, labels).select("t", "label").distinct(), "apart")
     if nodes.isEmpty():
         return labels
-    found = stage(verify(untested(nodes, sets, elements, similarity)).distinct(), "links")
+    found = stage(verify(untested(nodes, sets, elements, similarity, weighted)).distinct(), "links")
     return labels if found.isEmpty() else merged(labels, found)
 
 
@@ -113,7 +117,7 @@ def _count(elements: Elements):
     return count
 
 
-def _rarest(elements: Elements, often: np.ndarray, similarity: float):
+def _rarest(elements: Elements, often: np.ndarray, similarity: float, weighted: bool):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part, owner, found, weight in elements(batch):
@@ -126,17 +130,23 @@ def _rarest(elements: Elements, often: np.ndarray, similarity: float):
                 before -= before[begin[owner]]
                 total = np.bincount(owner, weights=weight, minlength=len(part))
                 rest = 1 - similarity + 1e-9
-                kept = (rank <= rest * n[owner]) | (before <= rest * total[owner])
+                kept = rank <= rest * n[owner]
+                if weighted:
+                    kept |= before <= rest * total[owner]
+                odd = np.zeros((len(part), len(MARKS)), U64)
+                bit = mix64(found) >> U64(56)
+                np.bitwise_xor.at(odd, (owner, (bit >> U64(6)).astype(np.int64)), U64(1) << (bit & U64(63)))
                 of = owner[kept]
                 rows = part[["t", "label"]].iloc[of].reset_index(drop=True)
                 yield rows.assign(
-                    e=found[kept].view(np.int64), n=n[of], rank=rank[kept], share=before[kept] / total[of]
+                    e=found[kept].view(np.int64), n=n[of], rank=rank[kept], share=before[kept] / total[of],
+                    **{c: odd[of, i].view(np.int64) for i, c in enumerate(MARKS)},
                 )
 
     return find
 
 
-def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity: float) -> DataFrame:
+def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity: float, weighted: bool) -> DataFrame:
     """All pairs (``a``, ``b``) of ``nodes`` with different labels that can be similar.
 
     A prefix filter. All sets are put in one order of the elements, those of
@@ -146,7 +156,8 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
     that much before it in both: only such elements are joined, and what is
     before them bounds the similarity once more. With u and v the weight shares
     before it, a probability Jaccard is at most the mean of (1-u)/(1+u) and
-    (1-v)/(1+v).
+    (1-v)/(1+v). For the plain one, a slot on which the numbers of elements of
+    two sets are odd and even holds an element that only one of them has.
 
     The label with most rows of an element is never joined with itself, and
     groups are joined in blocks, so neither a large component nor a common
@@ -160,7 +171,8 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
     kind = nodes.schema["t"].dataType.simpleString()
     marks = stage(
         near.mapInPandas(
-            _rarest(elements, often, similarity), f"t {kind}, label {kind}, e long, n long, rank long, share double"
+            _rarest(elements, often, similarity, weighted),
+            f"t {kind}, label {kind}, e long, n long, rank long, share double, " + ", ".join(f"{c} long" for c in MARKS),
         ),
         "rarest",
     )
@@ -182,21 +194,27 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
         cut.filter("label <> main")
         .withColumn("p", F.pmod(F.xxhash64("t"), F.col("lefts")))
         .withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1)))
-        .select("e", "p", "q", *[F.col(c).alias(f"{c}_a") for c in ("t", "label", "n", "rank", "share")])
+        .select("e", "p", "q", *[F.col(c).alias(f"{c}_a") for c in ("t", "label", "n", "rank", "share", *MARKS)])
     )
     two = (
         cut.withColumn("q", F.pmod(F.xxhash64("t"), F.col("rights")))
         .withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1)))
-        .select("e", "p", "q", "main", *[F.col(c).alias(f"{c}_b") for c in ("t", "label", "n", "rank", "share")])
+        .select("e", "p", "q", "main", *[F.col(c).alias(f"{c}_b") for c in ("t", "label", "n", "rank", "share", *MARKS)])
     )
     common = F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
     plain = common * (1 + similarity) >= (F.col("n_a") + F.col("n_b")) * similarity - 1e-6
-    bounds = [(1 - F.col(f"share_{side}")) / (1 + F.col(f"share_{side}")) for side in "ab"]
-    weighted = (bounds[0] + bounds[1]) / 2 >= similarity - 1e-9
+    apart = sum(
+        (F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in MARKS[1:]),
+        F.bit_count(F.col(f"{MARKS[0]}_a").bitwiseXOR(F.col(f"{MARKS[0]}_b"))),
+    )
+    possible = plain & (apart * (1 + similarity) <= (F.col("n_a") + F.col("n_b")) * (1 - similarity) + 1e-6)
+    if weighted:
+        bounds = [(1 - F.col(f"share_{side}")) / (1 + F.col(f"share_{side}")) for side in "ab"]
+        possible |= (bounds[0] + bounds[1]) / 2 >= similarity - 1e-9
     return (
         one.join(two, ["e", "p", "q"])
         .filter((F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("t_a") < F.col("t_b"))))
-        .filter(plain | weighted)
+        .filter(possible)
         .select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
         .distinct()
     )

@@ -168,7 +168,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     near = rows.join(wanted, "t").select("id", "t", "text")
     chosen = near.join(first, (F.col("t") == F.col("of")) & F.col("id").eqNullSafe(F.col("first"))).select("t", "text")
     sketches = stage(chosen.mapInPandas(_sketch, "t bigint, e array<bigint>, w array<int>"), "sketches")
-    labels = settle(rows_of, lambda pairs: _links(pairs, sketches), sketches, _elements, SIMILARITY, rounds)
+    labels = settle(rows_of, lambda pairs: _links(pairs, sketches), sketches, _elements, SIMILARITY, rounds, weighted=True)
     named = texts.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn("label", F.coalesce("label", "t"))
     heads = (
         named.groupBy("label")

@@ -44,7 +44,7 @@ def test_twins_in_one_bucket_meet(spark, rounds):
     texts = rows.withColumn("id", F.col("t")).withColumnRenamed("line", "text").select("id", "t", "text")
     sketches = texts.mapInPandas(near_duplicates._sketch, "t bigint, e array<bigint>, w array<int>").localCheckpoint()
     links = lambda pairs: near_duplicates._links(pairs, sketches)
-    found = settle(crowded(spread), links, sketches, near_duplicates._elements, near_duplicates.SIMILARITY, rounds)
+    found = settle(crowded(spread), links, sketches, near_duplicates._elements, near_duplicates.SIMILARITY, rounds, True)
     assert linked(found) == want
 
 
@@ -78,5 +78,5 @@ def test_weights_and_sizes_against_all_pairs(spark):
     want = sorted(tuple(sorted(group)) for group in groups.values() if len(group) > 1)
     spread = rows.select("t", F.lit(1).cast("long").alias("bucket"))
     links = lambda pairs: near_duplicates._links(pairs, sketches)
-    found = settle(crowded(spread), links, sketches, near_duplicates._elements, near_duplicates.SIMILARITY, 1)
+    found = settle(crowded(spread), links, sketches, near_duplicates._elements, near_duplicates.SIMILARITY, 1, True)
     assert linked(found) == want and len(want) > 20
