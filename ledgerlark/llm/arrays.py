@@ -94,6 +94,12 @@ def _piece(data: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def hash_words(coded: list[bytes], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the texts in order, and the number of words by text."""
+    hashes, counts, _ = place_words(coded, words)
+    return hashes, counts
+
+
+def place_words(coded: list[bytes], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``hash_words``, and where in the texts, joined by one byte, every word starts."""
     data = np.frombuffer(b" ".join(coded), np.uint8)
     lengths = np.fromiter((len(c) for c in coded), np.int64, len(coded))
     begins = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
@@ -111,10 +117,10 @@ def hash_words(coded: list[bytes], words: np.ndarray) -> tuple[np.ndarray, np.nd
         hashes.append(found)
         at = end
     if not places:
-        return np.zeros(0, U64), np.zeros(len(coded), np.int64)
+        return np.zeros(0, U64), np.zeros(len(coded), np.int64), np.zeros(0, np.int64)
     place = np.concatenate(places)
     counts = np.diff(np.append(np.searchsorted(place, begins), len(place)))
-    return np.concatenate(hashes), counts
+    return np.concatenate(hashes), counts, place
 
 
 def fold(parts: list[np.ndarray]) -> np.ndarray:
