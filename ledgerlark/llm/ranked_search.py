@@ -65,7 +65,7 @@ def _queries(rows: DataFrame) -> Queries:
     return Queries(numbers, np.append(begins, len(found)), at, found["times"].to_numpy(np.int64), vocabulary)
 
 
-def _index(vocabulary: np.ndarray, kind: pa.DataType):
+def _index(vocabulary: np.ndarray, kind: pa.DataType, most_docs: int, most_postings: int):
     """Blocks of documents: ids, lengths in terms, and the postings of the vocabulary by term."""
     ids_of = pa.list_(kind)
     numbers = pa.list_(pa.int32())
@@ -97,7 +97,7 @@ def _index(vocabulary: np.ndarray, kind: pa.DataType):
                 terms.append(keys % max(len(vocabulary), 1))
                 tf.append(np.minimum(times, 2**31 - 1))
                 count, size = count + end - start, size + len(keys)
-                if count >= BLOCK_DOCS or size >= BLOCK_POSTINGS:
+                if count >= most_docs or size >= most_postings:
                     yield block(ids, lengths, terms, docs, tf)
                     ids, lengths, terms, docs, tf, count, size = [], [], [], [], [], 0, 0
         if count:
@@ -233,7 +233,7 @@ def _pass(spark: SparkSession, docs: DataFrame, rows: DataFrame, kind: str) -> D
     queries = _queries(rows)
     arrow = to_arrow_type(docs.schema["id"].dataType)
     blocks = f"ids array<{kind}>, lengths array<bigint>, terms array<int>, docs array<int>, tf array<int>"
-    index = stage(docs.mapInArrow(_index(queries.vocabulary, arrow), blocks), "blocks")
+    index = stage(docs.mapInArrow(_index(queries.vocabulary, arrow, BLOCK_DOCS, BLOCK_POSTINGS), blocks), "blocks")
     lengths = F.filter("lengths", lambda n: n > 0)
     total = index.agg(
         F.sum(F.size(lengths)).alias("documents"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)).alias("words")
