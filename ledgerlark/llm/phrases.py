@@ -215,7 +215,8 @@ def _merge(chunk_rows: int):
             open_ = sorted({last, *(int(i) for i in above[:, last] if i >= 0)})
             done = np.setdiff1d(np.arange(len(sizes)), open_)
             yield _merged(data, done, parts, most, 0)
-            held = data.take(pa.array(open_)).set_column(data.schema.get_field_index("most"), "most", pa.array(most[open_]))
+            place = data.schema.get_field_index("most")
+            held = data.take(pa.array(open_)).set_column(place, data.schema.field(place), pa.array(most[open_]))
             tail = parts[:, open_]
         if held is not None:
             every = np.arange(len(held))
