@@ -30,6 +30,8 @@ BEST = 10
 LENGTH_SHARE, LENGTH_FACTOR, SCALE = 75, 8, 1_000_000_000
 # Documents and postings of a block at most; a document is never cut.
 BLOCK_DOCS, BLOCK_POSTINGS = 8192, 1_000_000
+# Blocks that a task searches at least, and tasks at most.
+BLOCKS_A_TASK, MOST_TASKS = 2, 50_000
 # Pairs of query and term that are searched for together, 24 bytes each in every task; more make more passes.
 MOST_PAIRS = 1_000_000
 # Queries that are searched together in a block, and intervals of each that are split in a step at most.
@@ -236,13 +238,16 @@ def _pass(spark: SparkSession, docs: DataFrame, rows: DataFrame, kind: str) -> D
     index = stage(docs.mapInArrow(_index(queries.vocabulary, arrow, BLOCK_DOCS, BLOCK_POSTINGS), blocks), "blocks")
     lengths = F.filter("lengths", lambda n: n > 0)
     total = index.agg(
+        F.count("*").alias("blocks"),
         F.sum(F.size(lengths)).alias("documents"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)).alias("words")
     ).first()
     held = index.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).toPandas()
     df = np.zeros(len(queries.vocabulary), np.int64)
     df[held["term"].to_numpy(np.int64)] = held["df"].to_numpy(np.int64)
     documents, words = int(total["documents"] or 0), max(int(total["words"] or 0), 1)
-    return index.mapInArrow(
+    # Blocks are short rows with much work each, so they are dealt out by number and not by bytes.
+    dealt = index.repartition(max(1, math.ceil(total["blocks"] / max(BLOCKS_A_TASK, total["blocks"] // MOST_TASKS))))
+    return dealt.mapInArrow(
         _search(queries, weights(df, documents), documents, words, arrow), f"q bigint, doc_id {kind}, score bigint"
     )
 
