@@ -70,97 +70,94 @@ def _sliced(batch: pa.RecordBatch):
 
 
 def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = keys % U64(MARKS)
+    slot = keys & U64(MARKS - 1)
     return (bits[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
 
 
-def _rows(named, lang, words: list[np.ndarray], counts: np.ndarray, text: list | None = None) -> pa.RecordBatch:
-    """A batch of phrases with their counts; absent words are null."""
-    columns = [pa.array(named, pa.string()).take(pa.array(lang))]
-    for k in range(LONGEST):
-        columns.append(pa.array(words[k].view(np.int64)) if k < len(words) else pa.nulls(len(lang), pa.int64()))
-    columns += [pa.array(counts, pa.int64()), pa.array(text, pa.string()) if text else pa.nulls(len(lang), pa.string())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", *WORDS, "n", "word"])
-
-
-def _distinct(named, lang, words: list[np.ndarray]) -> pa.RecordBatch:
-    """The distinct phrases that start at some places, with their counts."""
-    _, first, counts = np.unique(fold(words) if len(words) > 1 else words[0], return_index=True, return_counts=True)
-    return _rows(named, lang[first], [w[first] for w in words], counts)
+def _counted(keys: np.ndarray) -> pa.RecordBatch:
+    """Distinct keys with their counts."""
+    found, counts = np.unique(keys, return_counts=True)
+    columns = [pa.nulls(len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "key", "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words, and without a word how many there are."""
+    """Words by key, and without a key how many words a language has."""
     for batch in batches:
         for named, _, keys, _, lang, _ in _sliced(batch):
             if len(keys):
-                yield _distinct(named, lang, [keys])
+                yield _counted(keys)
                 total = np.bincount(lang, minlength=len(named))
-                yield _rows(named, np.flatnonzero(total), [], total[total > 0])
+                some = np.flatnonzero(total)
+                columns = [pa.array([named[i] for i in some]), pa.nulls(len(some), pa.int64()), pa.array(total[some])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "key", "n"])
 
 
 def _count_pairs(marks):
-    """Marked words with their text, and pairs of marked words that stand together in a piece."""
+    """Pairs of marked words that stand together in a piece, by key."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for named, joined, keys, places, lang, piece in _sliced(batch):
+            for _, _, keys, _, _, piece in _sliced(batch):
                 good = _marked(marks.value, keys)
-                at = np.flatnonzero(good)
-                _, first, counts = np.unique(keys[at], return_index=True, return_counts=True)
-                first = at[first]
-                if len(first):
-                    text = [_WORD.match(joined, p)[0].decode("utf-8", "surrogatepass") for p in places[first].tolist()]
-                    yield _rows(named, lang[first], [keys[first]], counts, text)
                 at = np.flatnonzero(good[:-1] & good[1:] & (piece[:-1] == piece[1:]))
                 if len(at):
-                    yield _distinct(named, lang[at], [keys[at], keys[at + 1]])
+                    yield _counted(fold([keys[at], keys[at + 1]]))
 
     return count
 
 
-def _count_longer(marks):
-    """Phrases of three and four words whose pairs are all marked."""
+def _phrases(named, lang, words: list[np.ndarray], text=None) -> pa.RecordBatch:
+    """The distinct phrases that start at some places, with their counts; absent words are null.
+
+    ``text`` gives the words themselves, for single words only.
+    """
+    _, first, counts = np.unique(fold(words) if len(words) > 1 else words[0], return_index=True, return_counts=True)
+    columns = [pa.array(named, pa.string()).take(pa.array(lang[first]))]
+    for k in range(LONGEST):
+        columns.append(pa.array(words[k][first].view(np.int64)) if k < len(words) else pa.nulls(len(first), pa.int64()))
+    columns += [pa.array(counts, pa.int64()), pa.array(text(first), pa.string()) if text else pa.nulls(len(first), pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", *WORDS, "n", "word"])
+
+
+def _count_phrases(word_marks, pair_marks):
+    """Marked words with their text, marked pairs, and phrases of three and four words whose pairs are all marked."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for named, _, keys, _, lang, piece in _sliced(batch):
-                if len(keys) < 3:
+            for named, joined, keys, places, lang, piece in _sliced(batch):
+                at = np.flatnonzero(_marked(word_marks.value, keys))
+                if not len(at):
                     continue
-                pair = (piece[:-1] == piece[1:]) & _marked(marks.value, fold([keys[:-1], keys[1:]]))
+
+                def text(first, at=at, joined=joined, places=places):
+                    return [_WORD.match(joined, p)[0].decode("utf-8", "surrogatepass") for p in places[at[first]].tolist()]
+
+                yield _phrases(named, lang[at], [keys[at]], text)
+                pair = piece[:-1] == piece[1:]
+                pair[pair] = _marked(pair_marks.value, fold([keys[:-1][pair], keys[1:][pair]]))
                 chain = pair
-                for size in range(3, LONGEST + 1):
-                    chain = chain[:-1] & pair[size - 2 :]
+                for size in range(2, LONGEST + 1):
                     at = np.flatnonzero(chain)
                     if len(at):
-                        yield _distinct(named, lang[at], [keys[at + k] for k in range(size)])
+                        yield _phrases(named, lang[at], [keys[at + k] for k in range(size)])
+                    chain = chain[:-1] & pair[size - 1 :]
 
     return count
 
 
-_COUNTED = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", n long, word string"
-
-
-def _fold_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words = [batch.column(i).to_numpy(zero_copy_only=False).view(U64) for i in range(batch.num_columns)]
-        slot = (fold(words) if len(words) > 1 else words[0]) % U64(MARKS)
-        place = (slot >> U64(6)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(place), pa.array((U64(1) << (slot & U64(63))).view(np.int64))], ["place", "bits"]
-        )
+_KEYS = "lang string, key long, n long"
+_PHRASES = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", n long, word string"
 
 
 def _marks(keys: DataFrame):
-    """Bits of all keys (one or two words), sent to the tasks: 8 MB, however many there are."""
-    found = keys.mapInArrow(_fold_keys, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(MARKS // 64, U64)
-    bits[found["place"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(U64)
-    return keys.sparkSession.sparkContext.broadcast(bits)
-
-
-def _summed(counted: DataFrame, *by: str) -> DataFrame:
-    return counted.groupBy("lang", *by).agg(F.sum("n").alias("n"))
+    """Bits of all keys (``key``), sent to the tasks: 8 MB, however many there are."""
+    slot = F.col("key").bitwiseAND(F.lit(MARKS - 1))
+    bits = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    found = keys.groupBy(F.shiftright(slot, 6).alias("place")).agg(F.bit_or(bits).alias("bits")).toPandas()
+    marks = np.zeros(MARKS // 64, U64)
+    marks[found["place"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(U64)
+    return keys.sparkSession.sparkContext.broadcast(marks)
 
 
 # --- merging in order --------------------------------------------------------
@@ -304,24 +301,20 @@ def _turned(rows: DataFrame) -> DataFrame:
 def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Counts of frequent phrases (``lang``, ``w1`` to ``w4``, ``n``, ``word`` of single words), and words by language.
 
-    Every level reads the texts anew and counts exactly what has no part that is known to be rare.
+    Every level reads the texts anew. Words and pairs are first counted by key alone; those that are
+    frequent mark bits, and phrases are counted where the bits of all their parts are set. A bit set by
+    another key only lets more be counted: what is returned is exact.
     """
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    words = stage(
-        _summed(rows.mapInArrow(_count_words, _COUNTED), "w1").filter(F.col("w1").isNull() | (F.col("n") >= LEAST)), "words"
-    )
-    totals = words.filter("w1 IS NULL").select("lang", F.col("n").alias("total"))
-    marks = _marks(words.filter("w1 IS NOT NULL").select("w1"))
-    short = stage(
-        _summed(rows.mapInArrow(_count_pairs(marks), _COUNTED), "w1", "w2", "word").filter(F.col("n") >= LEAST), "pairs"
-    )
-    marks = _marks(short.filter("w2 IS NOT NULL").select("w1", "w2"))
-    longer = _summed(rows.mapInArrow(_count_longer(marks), _COUNTED), *WORDS).filter(F.col("n") >= LEAST)
-    none = F.lit(None).cast("long")
-    both = short.select("lang", "w1", "w2", none.alias("w3"), none.alias("w4"), "n", "word").unionByName(
-        longer.withColumn("word", F.lit(None).cast("string"))
-    )
-    return stage(both, "counts"), totals
+    often = F.col("n") >= LEAST
+    words = rows.mapInArrow(_count_words, _KEYS).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    words = stage(words.filter(F.col("key").isNull() | often), "words")
+    totals = words.filter("key IS NULL").select("lang", F.col("n").alias("total"))
+    word_marks = _marks(words.filter("key IS NOT NULL"))
+    pairs = rows.mapInArrow(_count_pairs(word_marks), _KEYS).groupBy("key").agg(F.sum("n").alias("n")).filter(often)
+    pair_marks = _marks(pairs)
+    counted = rows.mapInArrow(_count_phrases(word_marks, pair_marks), _PHRASES)
+    return stage(counted.groupBy("lang", *WORDS, "word").agg(F.sum("n").alias("n")).filter(often), "counts"), totals
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", ranked: int = RANKED) -> DataFrame:
