@@ -82,4 +82,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def unstage(*stored: DataFrame) -> None:
+    """Delete stored steps once all that is derived from them is stored itself.
+
+    Only for what ``stage`` returned; other tables are left alone.
+    """
+    for df in stored:
+        path = getattr(df, "_stored_at", None)
+        if path is None:
+            continue
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        df._stored_at = None
