@@ -24,13 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, encode, fold, mix64, place_words, slices, table
+from ledgerlark.llm.bitmarks import marked, often, short_key
 from ledgerlark.session import stage
 
 LEAST = 30
 LONGEST = 4
 RANKED = 2000
-# Bits that frequent words or pairs are marked in; a bit set by another one only lets more be counted.
-MARKS = 1 << 26
 # Rows of a sorted stream that are merged at a time.
 CHUNK = 200_000
 # Parts of a language that are ranked apart.
@@ -69,42 +68,51 @@ def _sliced(batch: pa.RecordBatch):
         yield named, joined, keys, places, lang, text + np.searchsorted(ends, places)
 
 
-def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = keys & U64(MARKS - 1)
-    return (bits[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
+def _words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for _, _, keys, _, _, _ in _sliced(batch):
+        yield keys
 
 
-def _counted(keys: np.ndarray) -> pa.RecordBatch:
-    """Distinct keys with their counts."""
-    found, counts = np.unique(keys, return_counts=True)
-    columns = [pa.nulls(len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "key", "n"])
+def _pairs(words):
+    """Pairs of words that may be frequent and stand together in a piece."""
 
+    def of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, keys, _, _, piece in _sliced(batch):
+            good = marked(words.value, short_key(keys))
+            at = np.flatnonzero(good[:-1] & good[1:] & (piece[:-1] == piece[1:]))
+            yield fold([keys[at], keys[at + 1]])
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words by key, and without a key how many words a language has."""
-    for batch in batches:
-        for named, _, keys, _, lang, _ in _sliced(batch):
-            if len(keys):
-                yield _counted(keys)
-                total = np.bincount(lang, minlength=len(named))
-                some = np.flatnonzero(total)
-                columns = [pa.array([named[i] for i in some]), pa.nulls(len(some), pa.int64()), pa.array(total[some])]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "key", "n"])
+    return of
 
 
-def _count_pairs(marks):
-    """Pairs of marked words that stand together in a piece, by key."""
+def _chained(keys: np.ndarray, piece: np.ndarray, pairs) -> np.ndarray:
+    """Where a pair stands that may be frequent."""
+    pair = piece[:-1] == piece[1:]
+    pair[pair] = marked(pairs.value, short_key(fold([keys[:-1][pair], keys[1:][pair]])))
+    return pair
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, keys, _, _, piece in _sliced(batch):
-                good = _marked(marks.value, keys)
-                at = np.flatnonzero(good[:-1] & good[1:] & (piece[:-1] == piece[1:]))
-                if len(at):
-                    yield _counted(fold([keys[at], keys[at + 1]]))
 
-    return count
+def _longer(pairs):
+    """Phrases of three and four words whose pairs may all be frequent."""
+
+    def of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, keys, _, _, piece in _sliced(batch):
+            pair = _chained(keys, piece, pairs)
+            chain = pair
+            for size in range(3, LONGEST + 1):
+                chain = chain[:-1] & pair[size - 2 :]
+                at = np.flatnonzero(chain)
+                yield fold([keys[at + k] for k in range(size)])
+
+    return of
+
+
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words each language has."""
+    for batch in batches:
+        for named, _, _, _, lang, _ in _sliced(batch):
+            total = np.bincount(lang, minlength=len(named))
+            yield pa.RecordBatch.from_arrays([pa.array(named, pa.string()), pa.array(total, pa.int64())], ["lang", "n"])
 
 
 def _phrases(named, lang, words: list[np.ndarray], text=None) -> pa.RecordBatch:
@@ -120,13 +128,13 @@ def _phrases(named, lang, words: list[np.ndarray], text=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["lang", *WORDS, "n", "word"])
 
 
-def _count_phrases(word_marks, pair_marks):
-    """Marked words with their text, marked pairs, and phrases of three and four words whose pairs are all marked."""
+def _count_phrases(words, pairs, longer):
+    """Exact counts of phrases that may be frequent, in a slice: words with their text, and two to four words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for named, joined, keys, places, lang, piece in _sliced(batch):
-                at = np.flatnonzero(_marked(word_marks.value, keys))
+                at = np.flatnonzero(marked(words.value, short_key(keys)))
                 if not len(at):
                     continue
 
@@ -134,37 +142,28 @@ def _count_phrases(word_marks, pair_marks):
                     return [_WORD.match(joined, p)[0].decode("utf-8", "surrogatepass") for p in places[at[first]].tolist()]
 
                 yield _phrases(named, lang[at], [keys[at]], text)
-                pair = piece[:-1] == piece[1:]
-                pair[pair] = _marked(pair_marks.value, fold([keys[:-1][pair], keys[1:][pair]]))
-                chain = pair
+                pair = chain = _chained(keys, piece, pairs)
                 for size in range(2, LONGEST + 1):
                     at = np.flatnonzero(chain)
+                    parts = [keys[at + k] for k in range(size)]
+                    if size > 2:
+                        good = marked(longer.value, short_key(fold(parts)))
+                        at, parts = at[good], [part[good] for part in parts]
                     if len(at):
-                        yield _phrases(named, lang[at], [keys[at + k] for k in range(size)])
+                        yield _phrases(named, lang[at], parts)
                     chain = chain[:-1] & pair[size - 1 :]
 
     return count
 
 
-_KEYS = "lang string, key long, n long"
 _PHRASES = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", n long, word string"
 
 
-def _marks(keys: DataFrame):
-    """Bits of all keys (``key``), sent to the tasks: 8 MB, however many there are."""
-    slot = F.col("key").bitwiseAND(F.lit(MARKS - 1))
-    bits = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
-    found = keys.groupBy(F.shiftright(slot, 6).alias("place")).agg(F.bit_or(bits).alias("bits")).toPandas()
-    marks = np.zeros(MARKS // 64, U64)
-    marks[found["place"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(U64)
-    return keys.sparkSession.sparkContext.broadcast(marks)
-
-
 # --- merging in order --------------------------------------------------------
 
 _PARTS = [f"part{k}" for k in range(1, LONGEST)]
 _MERGED = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", " + ", ".join(f"{p} long" for p in _PARTS)
-_OPEN, _LATE = 1, 2
+_OPEN, _LATE, _OWNER = 1, 2, 3
 
 
 def merge_step(sizes: np.ndarray, counts: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +216,7 @@ def _merge(chunk_rows: int):
             tail = parts[:, open_]
         if held is not None:
             every = np.arange(len(held))
-            yield _merged(held, every, tail, held["most"].to_numpy(), 0)
+            yield _merged(held, every, tail, held["most"].to_numpy(), _OWNER)
             yield _merged(held, every, tail, np.zeros(len(held), np.int64), _OPEN)
         if late:
             rows = pa.Table.from_pylist(list(late.values()), schema=held.schema)
@@ -265,24 +264,40 @@ def _in_order(counts: DataFrame) -> DataFrame:
         "merged",
     )
     # At most four open and three late phrases a range.
-    edges = F.broadcast(
-        merged.filter("mark > 0").groupBy("lang", *WORDS).agg(
-            F.max(F.when(F.col("mark") == _OPEN, F.col("n"))).alias("edge_n"),
-            F.max(F.when(F.col("mark") == _LATE, F.col("most"))).alias("edge_most"),
-        )
-    )
-    found = merged.filter("mark = 0").drop("mark")
-    size = _size()
-    for k in range(1, LONGEST):
-        edge = edges.select("lang", *[F.col(w).alias(f"e_{w}") for w in WORDS], "edge_n", "edge_most").withColumnRenamed("lang", "e_lang")
-        same = F.col("lang") == F.col("e_lang")
-        for place, w in enumerate(WORDS, 1):
-            same &= F.col(w) == F.col(f"e_{w}") if place <= k else F.col(f"e_{w}").isNull()
-        found = found.join(edge, same, "left")
-        found = found.withColumn(_PARTS[k - 1], F.when(size > k, F.coalesce(_PARTS[k - 1], "edge_n")))
-        found = found.withColumn("most", F.when(size == k, F.greatest("most", "edge_most")).otherwise(F.col("most")))
-        found = found.drop("e_lang", *[f"e_{w}" for w in WORDS], "edge_n", "edge_most")
-    return found
+    edges: dict[tuple, list[int]] = {}
+    for row in merged.filter(F.col("mark").isin(_OPEN, _LATE)).collect():
+        known = edges.setdefault((row["lang"], *[row[w] for w in WORDS]), [0, 0])
+        known[0] = max(known[0], row["n"] if row["mark"] == _OPEN else 0)
+        known[1] = max(known[1], row["most"] if row["mark"] == _LATE else 0)
+    kept = merged.filter(F.col("mark").isin(0, _OWNER))
+    return kept.mapInArrow(_joined(edges), kept.schema).drop("mark")
+
+
+def _joined(edges: dict[tuple, list[int]]):
+    """Puts in what other ranges know: counts of beginnings, and continuations of a range's last phrases."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            words = [data[w].is_valid().to_numpy(zero_copy_only=False) for w in WORDS]
+            size = sum(w.astype(np.int64) for w in words)
+            for k, part in enumerate(_PARTS, 1):
+                lost = np.flatnonzero((size > k) & ~data[part].is_valid().to_numpy(zero_copy_only=False))
+                if len(lost):
+                    rows = zip(*(data[c].take(pa.array(lost)).to_pylist() for c in ("lang", *WORDS[:k])), strict=True)
+                    found = data[part].to_pandas().astype("Int64")
+                    found.iloc[lost] = [edges[(*row, *[None] * (LONGEST - k))][0] for row in rows]
+                    data[part] = pa.array(found, pa.int64())
+            owners = np.flatnonzero(data["mark"].to_numpy() == _OWNER)
+            if len(owners):
+                most = data["most"].to_numpy().copy()
+                rows = zip(*(data[c].take(pa.array(owners)).to_pylist() for c in ("lang", *WORDS)), strict=True)
+                for at, row in zip(owners, rows, strict=True):
+                    most[at] = max(most[at], edges[row][1])
+                data["most"] = pa.array(most)
+            yield pa.RecordBatch.from_arrays(list(data.values()), batch.schema.names)
+
+    return join
 
 
 def _size() -> Column:
@@ -301,20 +316,17 @@ def _turned(rows: DataFrame) -> DataFrame:
 def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Counts of frequent phrases (``lang``, ``w1`` to ``w4``, ``n``, ``word`` of single words), and words by language.
 
-    Every level reads the texts anew. Words and pairs are first counted by key alone; those that are
-    frequent mark bits, and phrases are counted where the bits of all their parts are set. A bit set by
-    another key only lets more be counted: what is returned is exact.
+    Every level reads the texts anew. Words, then pairs, then longer phrases are first counted by short
+    keys, each only where all its parts may be frequent; what reaches the least count sets a bit, and
+    phrases with their bits set are counted exactly.
     """
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    often = F.col("n") >= LEAST
-    words = rows.mapInArrow(_count_words, _KEYS).groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    words = stage(words.filter(F.col("key").isNull() | often), "words")
-    totals = words.filter("key IS NULL").select("lang", F.col("n").alias("total"))
-    word_marks = _marks(words.filter("key IS NOT NULL"))
-    pairs = rows.mapInArrow(_count_pairs(word_marks), _KEYS).groupBy("key").agg(F.sum("n").alias("n")).filter(often)
-    pair_marks = _marks(pairs)
-    counted = rows.mapInArrow(_count_phrases(word_marks, pair_marks), _PHRASES)
-    return stage(counted.groupBy("lang", *WORDS, "word").agg(F.sum("n").alias("n")).filter(often), "counts"), totals
+    totals = rows.mapInArrow(_total, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("total"))
+    words = often(rows, _words, LEAST)
+    pairs = often(rows, _pairs(words), LEAST)
+    counted = rows.mapInArrow(_count_phrases(words, pairs, often(rows, _longer(pairs), LEAST)), _PHRASES)
+    summed = counted.groupBy("lang", *WORDS, "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+    return stage(summed, "counts"), stage(totals, "totals")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", ranked: int = RANKED) -> DataFrame:
