@@ -6,21 +6,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, mix64
 from ledgerlark.llm.components import components
-from ledgerlark.session import stage
+from ledgerlark.session import stage, unstage
 
 # Nodes that are broadcast at most, 16 bytes each; beyond it Spark joins by shuffle.
 MOST_BROADCAST = 2_000_000
-# Hash slots that elements are counted by; the counts only order the elements.
-COUNTERS = 1 << 18
+# Hash slots that elements are counted by, four bytes each in every task; the counts only order the elements.
+COUNTERS = 1 << 22
 # Rows of an element's group that meet in one key of the join.
 BLOCK = 500
+# Buckets of so many rows are compared pair by pair: at most 15 pairs a row.
+SMALL = 16
 # For each of 256 slots a bit: whether an odd number of a set's elements falls on it.
-MARKS = ("odd0", "odd1", "odd2", "odd3")
+ODD = ("odd0", "odd1", "odd2", "odd3")
+# What is known of a set without its elements: their number, their weight and which slots are odd.
+FACTS = ("n", "heavy", *ODD)
+FACT_TYPES = "n long, heavy double, " + ", ".join(f"{c} long" for c in ODD)
 
 # Of a batch of sets: its rows, and row number (ascending), element and weight of every element.
 Elements = Callable[[pd.DataFrame], Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]]
@@ -52,6 +57,7 @@ def settle(
     rows: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     sets: DataFrame,
+    known: DataFrame,
     elements: Elements,
     similarity: float,
     rounds: int = 5,
@@ -59,39 +65,56 @@ def settle(
 ) -> DataFrame:
     """``node`` and ``label`` of all nodes that are linked.
 
-    ``verify`` keeps the pairs (``a``, ``b``) that are similar. First every
-    node is compared with the center of each of its buckets. Nodes of a bucket
-    that are then in different components are compared with their neighbours
-    in an order drawn anew in every round, in parts of about 500 rows, until a
-    round finds no link or ``rounds`` are done. What is apart after that goes
-    through ``untested``, so any two similar nodes of a bucket end in one component.
+    ``verify`` keeps the pairs (``a``, ``b``) that are similar; it sees only pairs whose facts
+    (``known``) allow that. In buckets of up to 16 rows every pair is compared; these buckets are
+    done. In larger ones every node is compared with the center first. Nodes of a bucket that are
+    then in different components are compared with their neighbours in an order drawn anew in every
+    round, in parts of about 500 rows, until a round finds no link or ``rounds`` are done. What is apart
+    after that goes through ``untested``, so any two similar nodes of a bucket end in one component.
 
     ``sets`` has the nodes (``t``) with what ``elements`` reads. Pairs that
     ``verify`` keeps need a plain Jaccard of ``similarity`` or, if ``weighted``, a
     plain or a probability Jaccard of it.
     """
-    pairs = rows.filter("t <> center").select(F.col("center").alias("a"), F.col("t").alias("b")).distinct()
-    labels = components(stage(verify(pairs).distinct(), "links"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return stage(verify(hopeful(pairs, known, similarity, weighted)).distinct(), "links")
+
+    few, many = rows.filter(F.col("rows") <= SMALL), rows.filter(F.col("rows") > SMALL)
+    inside = few.select("bucket", F.col("t").alias("a")).join(few.select("bucket", F.col("t").alias("b")), "bucket")
+    pairs = inside.filter("a < b").select("a", "b").unionByName(
+        many.filter("t <> center").select(F.col("center").alias("a"), F.col("t").alias("b"))
+    )
+    found = linked(pairs.distinct())
+    labels = components(found)
+    unstage(found)
     for turn in range(1, rounds):
-        order = Window.partitionBy("bucket", "part").orderBy("draw", "t")
+        # One key of bucket and part: by two columns Spark would leave the rows dealt by the bucket alone.
+        part = F.pmod(F.xxhash64("t", F.lit(-turn)), F.ceil(F.col("rows") / 500).cast("long"))
+        order = Window.partitionBy("spot").orderBy("draw", "t")
         beside = (
-            _apart(rows, labels)
+            _apart(many, labels)
             .withColumn("draw", F.xxhash64("t", "bucket", F.lit(turn)))
-            .withColumn("part", F.pmod(F.xxhash64("t", F.lit(-turn)), F.ceil(F.col("rows") / 500).cast("long")))
+            .withColumn("spot", F.xxhash64("bucket", part))
             .select("t", "label", F.lag("t").over(order).alias("s"), F.lag("label").over(order).alias("beside"))
             .filter("label <> beside")
             .select(F.least("t", "s").alias("a"), F.greatest("t", "s").alias("b"))
             .distinct()
         )
-        found = stage(verify(beside).distinct(), "links")
+        found = linked(beside)
         if found.isEmpty():
+            unstage(found)
             break
         labels = merged(labels, found)
-    nodes = stage(_apart(rows, labels).select("t", "label").distinct(), "apart")
-    if nodes.isEmpty():
-        return labels
-    found = stage(verify(untested(nodes, sets, elements, similarity, weighted)).distinct(), "links")
-    return labels if found.isEmpty() else merged(labels, found)
+    nodes = stage(_apart(many, labels).select("t", "label").distinct(), "apart")
+    if not nodes.isEmpty():
+        left = untested(nodes, sets, elements, similarity, weighted)
+        found = stage(verify(left).distinct(), "links")
+        unstage(left)
+        if not found.isEmpty():
+            labels = merged(labels, found)
+    unstage(nodes)
+    return labels
 
 
 def _apart(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -101,6 +124,58 @@ def _apart(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(split.filter("low <> high").select("bucket"), "bucket", "left_semi")
 
 
+def facts(owner: np.ndarray, found: np.ndarray, weight: np.ndarray, sets: int) -> dict[str, np.ndarray]:
+    """The facts of sets from the owners (ascending), elements (each once) and weights of all elements."""
+    odd = np.zeros((sets, len(ODD)), U64)
+    for start in range(0, sets, 4096):
+        end = min(start + 4096, sets)
+        a, b = np.searchsorted(owner, [start, end])
+        slot = (mix64(found[a:b]) >> U64(56)).astype(np.int64)
+        times = np.bincount((owner[a:b] - start) * 256 + slot, minlength=(end - start) * 256)
+        odd[start:end] = np.packbits((times & 1).astype(np.uint8), bitorder="little").view(U64).reshape(-1, len(ODD))
+    return {
+        "n": np.bincount(owner, minlength=sets),
+        "heavy": np.bincount(owner, weights=weight, minlength=sets).astype(float),
+        **{c: odd[:, i].view(np.int64) for i, c in enumerate(ODD)},
+    }
+
+
+def _can_be_similar(similarity: float, weighted: bool, before: bool) -> Column:
+    """Whether the sets with facts ``..._a`` and ``..._b`` can be similar.
+
+    A slot on which the numbers of elements of two sets are odd and even holds an
+    element that only one of them has. Their number bounds the plain similarity,
+    and, as every element weighs 1 or more, the probability Jaccard too: with u
+    and v the weight shares of what only one has, that is at most the mean of
+    (1-u)/(1+u) and (1-v)/(1+v), which is greatest if all of it is in the heavier
+    set. With ``before``, so many elements (``rank``) and weight shares (``share``) stand before
+    the first common element as well.
+    """
+    apart = sum(
+        (F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ODD[1:]),
+        F.bit_count(F.col(f"{ODD[0]}_a").bitwiseXOR(F.col(f"{ODD[0]}_b"))),
+    )
+    both = F.col("n_a") + F.col("n_b")
+    left = [F.col(f"n_{s}") - (F.col(f"rank_{s}") if before else F.lit(0)) for s in "ab"]
+    possible = F.least(*left) * (1 + similarity) >= both * similarity - 1e-6
+    possible &= apart * (1 + similarity) <= both * (1 - similarity) + 1e-6
+    if weighted:
+        also = apart * similarity <= F.greatest("heavy_a", "heavy_b") * (1 - similarity) + 1e-6
+        if before:
+            bounds = [(1 - F.col(f"share_{side}")) / (1 + F.col(f"share_{side}")) for side in "ab"]
+            also &= (bounds[0] + bounds[1]) / 2 >= similarity - 1e-9
+        possible |= also
+    return possible
+
+
+def hopeful(pairs: DataFrame, known: DataFrame, similarity: float, weighted: bool) -> DataFrame:
+    """The pairs whose facts (``known``: ``t`` and the facts) allow that they are similar; texts are not read."""
+    one = known.select(*[F.col(c).alias(f"{c}_a") for c in ("t", *FACTS)])
+    two = known.select(*[F.col(c).alias(f"{c}_b") for c in ("t", *FACTS)])
+    joined = pairs.join(one, F.col("a") == F.col("t_a")).join(two, F.col("b") == F.col("t_b"))
+    return joined.filter(_can_be_similar(similarity, weighted, before=False)).select("a", "b")
+
+
 def _slot(found: np.ndarray) -> np.ndarray:
     return (mix64(found) % U64(COUNTERS)).astype(np.int64)
 
@@ -117,11 +192,11 @@ def _count(elements: Elements):
     return count
 
 
-def _rarest(elements: Elements, often: np.ndarray, similarity: float, weighted: bool):
+def _rarest(elements: Elements, often, similarity: float, weighted: bool):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part, owner, found, weight in elements(batch):
-                order = np.lexsort((found, often[_slot(found)], owner))
+                order = np.lexsort((found, often.value[_slot(found)], owner))
                 owner, found, weight = owner[order], found[order], weight[order].astype(np.int64)
                 n = np.bincount(owner, minlength=len(part))
                 begin = np.cumsum(n) - n
@@ -133,15 +208,10 @@ def _rarest(elements: Elements, often: np.ndarray, similarity: float, weighted:
                 kept = rank <= rest * n[owner]
                 if weighted:
                     kept |= before <= rest * total[owner]
-                odd = np.zeros((len(part), len(MARKS)), U64)
-                bit = mix64(found) >> U64(56)
-                np.bitwise_xor.at(odd, (owner, (bit >> U64(6)).astype(np.int64)), U64(1) << (bit & U64(63)))
                 of = owner[kept]
                 rows = part[["t", "label"]].iloc[of].reset_index(drop=True)
-                yield rows.assign(
-                    e=found[kept].view(np.int64), n=n[of], rank=rank[kept], share=before[kept] / total[of],
-                    **{c: odd[of, i].view(np.int64) for i, c in enumerate(MARKS)},
-                )
+                known = {name: values[of] for name, values in facts(owner, found, weight, len(part)).items()}
+                yield rows.assign(e=found[kept].view(np.int64), rank=rank[kept], share=before[kept] / total[of], **known)
 
     return find
 
@@ -156,8 +226,7 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
     that much before it in both: only such elements are joined, and what is
     before them bounds the similarity once more. With u and v the weight shares
     before it, a probability Jaccard is at most the mean of (1-u)/(1+u) and
-    (1-v)/(1+v). For the plain one, a slot on which the numbers of elements of
-    two sets are odd and even holds an element that only one of them has.
+    (1-v)/(1+v). The facts of both sets bound it once more.
 
     The label with most rows of an element is never joined with itself, and
     groups are joined in blocks, so neither a large component nor a common
@@ -166,13 +235,14 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
     near = stage(sets.join(nodes, "t"), "apart-sets")
     counted = near.mapInPandas(_count(elements), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     found = counted.toPandas()
-    often = np.zeros(COUNTERS, np.int64)
-    often[found["slot"].to_numpy()] = found["n"].to_numpy()
+    counts = np.zeros(COUNTERS, np.int32)
+    counts[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**31 - 1)
+    often = nodes.sparkSession.sparkContext.broadcast(counts)
     kind = nodes.schema["t"].dataType.simpleString()
     marks = stage(
         near.mapInPandas(
             _rarest(elements, often, similarity, weighted),
-            f"t {kind}, label {kind}, e long, n long, rank long, share double, " + ", ".join(f"{c} long" for c in MARKS),
+            f"t {kind}, label {kind}, e long, rank long, share double, {FACT_TYPES}",
         ),
         "rarest",
     )
@@ -190,38 +260,33 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
         )
     )
     cut = stage(marks.join(groups, "e"), "rarest-shared")
+    columns = ["t", "label", "rank", "share", *FACTS]
     one = (
         cut.filter("label <> main")
         .withColumn("p", F.pmod(F.xxhash64("t"), F.col("lefts")))
         .withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1)))
-        .select("e", "p", "q", *[F.col(c).alias(f"{c}_a") for c in ("t", "label", "n", "rank", "share", *MARKS)])
+        .select("e", "p", "q", *[F.col(c).alias(f"{c}_a") for c in columns])
     )
     two = (
         cut.withColumn("q", F.pmod(F.xxhash64("t"), F.col("rights")))
         .withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1)))
-        .select("e", "p", "q", "main", *[F.col(c).alias(f"{c}_b") for c in ("t", "label", "n", "rank", "share", *MARKS)])
-    )
-    common = F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
-    plain = common * (1 + similarity) >= (F.col("n_a") + F.col("n_b")) * similarity - 1e-6
-    apart = sum(
-        (F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in MARKS[1:]),
-        F.bit_count(F.col(f"{MARKS[0]}_a").bitwiseXOR(F.col(f"{MARKS[0]}_b"))),
+        .select("e", "p", "q", "main", *[F.col(c).alias(f"{c}_b") for c in columns])
     )
-    possible = plain & (apart * (1 + similarity) <= (F.col("n_a") + F.col("n_b")) * (1 - similarity) + 1e-6)
-    if weighted:
-        bounds = [(1 - F.col(f"share_{side}")) / (1 + F.col(f"share_{side}")) for side in "ab"]
-        possible |= (bounds[0] + bounds[1]) / 2 >= similarity - 1e-9
-    return (
+    possible = _can_be_similar(similarity, weighted, before=True)
+    pairs = stage(
         one.join(two, ["e", "p", "q"])
         .filter((F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("t_a") < F.col("t_b"))))
         .filter(possible)
         .select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
-        .distinct()
+        .distinct(),
+        "pairs",
     )
+    unstage(near, marks, cut)
+    return pairs
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after more links: only the labels at their ends are joined anew."""
+    """Labels after more links: only the labels at their ends are joined anew. What is given is dropped."""
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     nodes = labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
     known = nodes.select("node", "label")
@@ -231,6 +296,8 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         .select(F.col("la").alias("a"), F.col("lb").alias("b"))
     )
     up = components(between).select(F.col("node").alias("label"), F.col("label").alias("above"))
-    return stage(
+    found = stage(
         nodes.join(up, "label", "left").select("node", F.coalesce("above", "label").alias("label")), "labels"
     )
+    unstage(labels, links)
+    return found

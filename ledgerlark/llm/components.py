@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.session import stage
+from ledgerlark.session import stage, unstage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def components(links: DataFrame) -> DataFrame:
     An empty table of links gives an empty table.
     """
     edges = stage(links.select("a", "b").filter("a <> b").distinct(), "links")
-    steps = []
+    steps, rounds = [], [edges]
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         lowest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
@@ -29,10 +29,13 @@ def components(links: DataFrame) -> DataFrame:
             up = parents.select(F.col("node").alias(end), "parent")
             edges = edges.join(up, end).drop(end).withColumnRenamed("parent", end)
         edges = stage(edges.select("a", "b").filter("a <> b").distinct(), "links")
+        rounds.append(edges)
     if not steps:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = steps[0].select("node", F.col("parent").alias("label"))
     for parents in steps[1:]:
         up = parents.select(F.col("node").alias("label"), "parent")
         labels = labels.join(up, "label", "left").select("node", F.coalesce("parent", "label").alias("label"))
-    return stage(labels, "labels")
+    found = stage(labels, "labels")
+    unstage(*steps, *rounds)
+    return found

@@ -19,17 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, fold, mix64
-from ledgerlark.llm.buckets import crowded, settle
+from ledgerlark.llm.bitmarks import marked, marks_of
+from ledgerlark.llm.buckets import FACT_TYPES, crowded, facts, settle
 from ledgerlark.llm.near_duplicates import text_key
-from ledgerlark.session import stage
+from ledgerlark.session import stage, unstage
 
 CHARS = 8
 SIMILARITY = 0.8
 # A pair at the threshold shares none of the bands with probability 0.005.
 BANDS, ROWS = 10, 4
 SLICE_CHARS = 1_000_000
-# Hashes of candidate lines that are sent to all tasks at most, 8 bytes each.
-MOST_SENT = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _BORROW = 0xD1B54A32D192ED03
@@ -140,20 +139,16 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.assign(place=places, line=hashes.view(np.int64), bands=bands)
 
 
-def _texts(wanted: np.ndarray | None):
-    """Hash and text of the lines of a batch; with ``wanted`` (ascending), of those alone."""
+def _texts(wanted):
+    """Hash and text of the lines of a batch whose bits are set in ``wanted``, each once in a slice."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, _, held in _sliced(batch["text"]):
                 hashes, first = np.unique(_line_hash(held), return_index=True)
-                hashes = hashes.view(np.int64)
-                if wanted is not None:
-                    at = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
-                    kept = wanted[at] == hashes if len(wanted) else np.zeros(len(hashes), bool)
-                    hashes, first = hashes[kept], first[kept]
-                if len(first):
-                    yield pd.DataFrame({"t": hashes, "line": [held[i] for i in first]})
+                kept = marked(wanted.value, hashes)
+                if kept.any():
+                    yield pd.DataFrame({"t": hashes[kept].view(np.int64), "line": [held[i] for i in first[kept]]})
 
     return find
 
@@ -183,12 +178,20 @@ def _elements(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, n
         yield part, owner[first], found[first], np.ones(len(first), np.int64)
 
 
+def _known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The facts of every line."""
+    for batch in batches:
+        for part, owner, found, weight in _elements(batch):
+            yield part[["t"]].reset_index(drop=True).assign(**facts(owner, found, weight, len(part)))
+
+
 def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Which lines of every document go.
 
     One row per row of ``docs``: ``doc_id``, ``t`` (a hash of the text),
     ``copy`` (from 1 among rows equal in id and text), ``n_lines`` (lines that
-    are not blank) and ``dropped`` (their places from 0, ascending).
+    are not blank), ``dropped`` (their places from 0, ascending) and ``kept`` (for each
+    of them the document and place of the line that stays for its component).
 
     Of a component the line stays whose document has the smallest id (a null
     id is the smallest, then the smaller text hash), and in it the first. Rows equal
@@ -204,20 +207,18 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     spread = signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), F.explode("bands").alias("bucket"))
     shared = crowded(spread)
     wanted = stage(shared.select("t").distinct(), "candidates")
-    if wanted.count() <= MOST_SENT:
-        # Few enough to look them up where the lines are read.
-        known = np.sort(wanted.toPandas()["t"].to_numpy(np.int64))
-        lines = rows.select("text").mapInPandas(_texts(known), "t bigint, line string")
-    else:
-        lines = rows.select("text").mapInPandas(_texts(None), "t bigint, line string").join(wanted, "t", "left_semi")
-    kept = stage(lines.dropDuplicates(["t"]), "candidate-lines")
+    # Bits of the hashes let a task drop most other lines; the join drops the rest.
+    lines = rows.select("text").mapInPandas(_texts(marks_of(wanted, "t")), "t bigint, line string")
+    kept = stage(lines.join(wanted, "t", "left_semi").dropDuplicates(["t"]), "candidate-lines")
+    known = stage(kept.mapInPandas(_known, f"t bigint, {FACT_TYPES}"), "facts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = kept.select(F.col("t").alias("a"), F.col("line").alias("line_a"))
         two = kept.select(F.col("t").alias("b"), F.col("line").alias("line_b"))
         return pairs.join(one, "a").join(two, "b").mapInPandas(_verify, "a bigint, b bigint")
 
-    labels = settle(shared, verify, kept, _elements, SIMILARITY).withColumnRenamed("node", "line")
+    labels = settle(shared, verify, kept, known, _elements, SIMILARITY).withColumnRenamed("node", "line")
+    unstage(shared, wanted, kept, known)
     spots = signed.filter("place >= 0").select("id", "t", "place", "line")
     named = stage(
         spots.join(labels, "line", "left").select("id", "t", "place", F.coalesce("label", "line").alias("label")), "named"
@@ -226,24 +227,36 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     gone = (
         named.join(heads, "label")
         .filter(~F.struct("id", "t", "place").eqNullSafe(F.col("head")))
-        .select("id", "t", "place", F.lit(True).alias("goes"))
+        .select("id", "t", "place", F.struct(F.col("head.id").alias("doc_id"), F.col("head.place").alias("place")).alias("head"))
     )
-    places = (
-        signed.select("id", "t", "place", F.lit(False).alias("goes"))
+    own = F.struct(F.col("id").alias("doc_id"), F.col("place"))
+    line = F.struct("place", F.col("head").isNotNull().alias("goes"), F.coalesce("head", own).alias("kept"))
+    # Every line comes once with its own place, and once more with its head if it goes.
+    found = (
+        signed.select("id", "t", "place", F.lit(None).cast(gone.schema["head"].dataType).alias("head"))
         .unionByName(gone)
         .groupBy("id", "t")
         .agg(
             F.sum((F.col("place") < 0).cast("int")).alias("copies"),
-            F.collect_set(F.when(~F.col("goes") & (F.col("place") >= 0), F.col("place"))).alias("places"),
-            F.collect_set(F.when(F.col("goes"), F.col("place"))).alias("gone"),
+            F.collect_set(F.when(F.col("place") >= 0, line)).alias("lines"),
         )
     )
-    return places.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        F.col("id").alias("doc_id"),
-        "t",
-        "copy",
-        F.size("places").alias("n_lines"),
-        F.array_sort(F.when(F.col("copy") == 1, F.col("gone")).otherwise(F.col("places"))).alias("dropped"),
+    # False sorts before true: of a line that goes the second entry counts.
+    every = F.array_sort("lines")
+    last = F.filter(every, lambda x, i: ~F.coalesce(F.get(every, i + 1)["place"] == x["place"], F.lit(False)))
+    lost = F.filter("each", lambda x: x["goes"] | (F.col("copy") > 1))
+    return (
+        found.select("id", "t", "copies", last.alias("each"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        .withColumn("lost", lost)
+        .select(
+            F.col("id").alias("doc_id"),
+            "t",
+            "copy",
+            F.size("each").alias("n_lines"),
+            F.transform("lost", lambda x: x["place"]).alias("dropped"),
+            F.transform("lost", lambda x: x["kept"]).alias("kept"),
+        )
     )
 
 
@@ -262,10 +275,12 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: lines, lines that go, and their places."""
+    """Per document: lines, lines that go, their places, and where the line stands that stays for each."""
     return decide(docs, doc_id, text).select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
         F.size("dropped").cast("long").alias("n_dropped"),
         "dropped",
+        F.transform("kept", lambda x: x["doc_id"]).alias("kept_doc_ids"),
+        F.transform("kept", lambda x: x["place"]).alias("kept_places"),
     )

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import ALPHANUMERIC, U64, encode, fold, hash_words, mix64, shingles, slices, weighted
-from ledgerlark.llm.buckets import crowded, nodes_of, settle
-from ledgerlark.session import stage
+from ledgerlark.llm.buckets import FACT_TYPES, FACTS, crowded, facts, nodes_of, settle
+from ledgerlark.session import stage, unstage
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -77,6 +77,9 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows
 
 
+SKETCH = f"t bigint, e array<bigint>, w array<int>, {FACT_TYPES}"
+
+
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for start, end, elements, owner, counts in _weighted_texts(batch["text"]):
@@ -86,7 +89,7 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             orders = [np.argsort(elements[a:b]) for a, b in spans]
             rows["e"] = [elements[a:b][o].view(np.int64) for (a, b), o in zip(spans, orders, strict=True)]
             rows["w"] = [counts[a:b][o].astype(np.int32) for (a, b), o in zip(spans, orders, strict=True)]
-            yield rows
+            yield rows.assign(**facts(owner, elements, counts, end - start))
 
 
 def similarity(e1, w1, e2, w2) -> tuple[float, float]:
@@ -139,11 +142,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     hash among the rows with that id) and ``class_size`` (rows).
 
     Equal texts are one node from the start. In a bucket, that is a band value
-    that several texts share, every text is compared with the first one; texts
-    that are then still in different components are compared with their
-    neighbours in an order that is drawn anew in every round, until a round
-    finds no link (at most ``rounds``), and at last with every text that a prefix
-    filter on the rarest runs leaves. All comparisons are exact: linked is
+    that several texts share, all pairs are compared if the bucket is small. In a
+    larger one every text is compared with the first one; texts that are then
+    still in different components are compared with their neighbours in an order
+    that is drawn anew in every round, until a round finds no link (at most
+    ``rounds``), and at last with every text that a prefix filter on the rarest
+    runs leaves. All comparisons are exact: linked is
     what has a probability Jaccard, or a plain one, of at least 0.8. Similar
     texts of a bucket are always in one class.
 
@@ -167,8 +171,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     first = texts.select(F.col("t").alias("of"), "first")
     near = rows.join(wanted, "t").select("id", "t", "text")
     chosen = near.join(first, (F.col("t") == F.col("of")) & F.col("id").eqNullSafe(F.col("first"))).select("t", "text")
-    sketches = stage(chosen.mapInPandas(_sketch, "t bigint, e array<bigint>, w array<int>"), "sketches")
-    labels = settle(rows_of, lambda pairs: _links(pairs, sketches), sketches, _elements, SIMILARITY, rounds, weighted=True)
+    sketches = stage(chosen.mapInPandas(_sketch, SKETCH), "sketches")
+    labels = settle(
+        rows_of,
+        lambda pairs: _links(pairs, sketches),
+        sketches.select("t", "e", "w"),
+        sketches.select("t", *FACTS),
+        _elements,
+        SIMILARITY,
+        rounds,
+        weighted=True,
+    )
+    unstage(sketches, rows_of)
     named = texts.join(labels.withColumnRenamed("node", "t"), "t", "left").withColumn("label", F.coalesce("label", "t"))
     heads = (
         named.groupBy("label")

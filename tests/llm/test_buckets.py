@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import line_dedup, near_duplicates
-from ledgerlark.llm.buckets import crowded, settle
+from ledgerlark.llm.buckets import FACT_TYPES, FACTS, crowded, settle
+from ledgerlark.session import stage
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -38,30 +39,36 @@ def test_twins_in_one_bucket_meet(spark, rounds):
         two = rows.select(F.col("t").alias("b"), F.col("line").alias("line_b"))
         return pairs.join(one, "a").join(two, "b").mapInPandas(line_dedup._verify, "a bigint, b bigint")
 
-    found = settle(crowded(spread), verify, rows, line_dedup._elements, line_dedup.SIMILARITY, rounds)
+    known = rows.mapInPandas(line_dedup._known, f"t bigint, {FACT_TYPES}")
+    found = settle(crowded(spread), verify, rows, known, line_dedup._elements, line_dedup.SIMILARITY, rounds)
     assert linked(found) == want
 
     texts = rows.withColumn("id", F.col("t")).withColumnRenamed("line", "text").select("id", "t", "text")
-    sketches = texts.mapInPandas(near_duplicates._sketch, "t bigint, e array<bigint>, w array<int>").localCheckpoint()
+    sketches = stage(texts.mapInPandas(near_duplicates._sketch, near_duplicates.SKETCH), "sketches")
     links = lambda pairs: near_duplicates._links(pairs, sketches)
-    found = settle(crowded(spread), links, sketches, near_duplicates._elements, near_duplicates.SIMILARITY, rounds, True)
+    sets, known = sketches.select("t", "e", "w"), sketches.select("t", *FACTS)
+    found = settle(crowded(spread), links, sets, known, near_duplicates._elements, near_duplicates.SIMILARITY, rounds, True)
     assert linked(found) == want
 
 
-def test_weights_and_sizes_against_all_pairs(spark):
-    """Few words, so that elements are shared by texts that are not similar; weights and lengths differ."""
+@pytest.mark.parametrize("width", [1000, 12])
+def test_weights_and_sizes_against_all_pairs(spark, width):
+    """Few words, so that elements are shared by texts that are not similar; weights and lengths differ.
+
+    All texts are one bucket, or every twelve are.
+    """
     draw = random.Random(9)
     texts = []
     for _ in range(60):
         words = [draw.choice("abcdefgh") for _ in range(draw.randrange(8, 40))]
         texts += [words, words + words[: draw.randrange(12)], words * draw.randrange(1, 4), words[draw.randrange(4) :]]
     rows = spark.createDataFrame([(i, i, " ".join(words)) for i, words in enumerate(texts)], "id bigint, t bigint, text string")
-    sketches = rows.mapInPandas(near_duplicates._sketch, "t bigint, e array<bigint>, w array<int>").localCheckpoint()
+    sketches = stage(rows.mapInPandas(near_duplicates._sketch, near_duplicates.SKETCH), "sketches")
     held = {r.t: (r.e, r.w) for r in sketches.collect()}
     near = [
         (a, b)
         for a, b in combinations(held, 2)
-        if max(near_duplicates.similarity(*held[a], *held[b])) >= near_duplicates.SIMILARITY
+        if a // width == b // width and max(near_duplicates.similarity(*held[a], *held[b])) >= near_duplicates.SIMILARITY
     ]
     parent = {t: t for t in held}
 
@@ -76,7 +83,8 @@ def test_weights_and_sizes_against_all_pairs(spark):
     for t in held:
         groups.setdefault(top(t), set()).add(t)
     want = sorted(tuple(sorted(group)) for group in groups.values() if len(group) > 1)
-    spread = rows.select("t", F.lit(1).cast("long").alias("bucket"))
     links = lambda pairs: near_duplicates._links(pairs, sketches)
-    found = settle(crowded(spread), links, sketches, near_duplicates._elements, near_duplicates.SIMILARITY, 1, True)
+    sets, known = sketches.select("t", "e", "w"), sketches.select("t", *FACTS)
+    spread = rows.select("t", F.floor(F.col("t") / width).alias("bucket"))
+    found = settle(crowded(spread), links, sets, known, near_duplicates._elements, near_duplicates.SIMILARITY, 1, True)
     assert linked(found) == want and len(want) > 20
