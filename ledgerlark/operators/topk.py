@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.position import with_position
+from ledgerlark.operators.selection import Key, rows_at
 
 
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -43,16 +43,14 @@ def rows_on_last_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.filter(F.col(column) >= edge)
 
 
-def page(df: DataFrame, number: int, size: int, *order: Column) -> DataFrame:
+def page(df: DataFrame, number: int, size: int, *order: str | Key) -> DataFrame:
     """Page ``number`` (from 1) of ``size`` rows; give a total order.
 
-    Found by row position at any depth, so no task holds the rows before it.
+    Found by counting at any depth: nothing is stored, and only rows near the page are sorted.
     """
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
-    skip = (number - 1) * size
-    placed = with_position(df, order, "__position")
-    return placed.filter(F.col("__position").between(skip + 1, skip + size)).drop("__position")
+    return rows_at(df, (number - 1) * size, size, *order)
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import text
-from ledgerlark.functions.money import total, units
+from ledgerlark.functions.money import hundredths, total, units
 from ledgerlark.operators.months import running_month_totals
 from ledgerlark.operators.position import tile, with_neighbours, with_position
+from ledgerlark.operators.running import with_running_sum
 from ledgerlark.operators.topk import apply_best, best_per_key, best_per_key_with_ties, latest_per_key
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import stage
@@ -71,6 +72,37 @@ def running_total_correlated(w: Warehouse) -> DataFrame:
     return _running_columns(named.withColumn("running_total", F.element_at(by_month, F.col("month_number"))))
 
 
+def _running_sql(over: str) -> str:
+    return f"""
+    SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day, CAST(o_totalprice AS DOUBLE) AS amount,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({over}) AS DOUBLE) AS running_total
+    FROM orders
+    """
+
+
+def _running(w: Warehouse, order: list[str], keys: list[str]) -> DataFrame:
+    found = with_running_sum(w.orders, order, hundredths("o_totalprice"), keys, "running_total")
+    return found.select(
+        "o_orderkey",
+        "o_custkey",
+        cal.iso(F.col("o_orderdate")).alias("order_day"),
+        F.col("o_totalprice").alias("amount"),
+        units("running_total").alias("running_total"),
+    )
+
+
+@plan("running_total_by_time", _running_sql("ORDER BY o_orderdate"))
+def running_total_by_time(w: Warehouse) -> DataFrame:
+    """Every order with the total up to its time; orders of one time share it."""
+    return _running(w, ["o_orderdate"], [])
+
+
+@plan("running_total_per_customer", _running_sql("PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey"))
+def running_total_per_customer(w: Warehouse) -> DataFrame:
+    """The same within the customer, order by order."""
+    return _running(w, ["o_orderdate", "o_orderkey"], ["o_custkey"])
+
+
 def _sale_months(w: Warehouse, item: str) -> DataFrame:
     """Lines of 1997 with the month of the order and ``item``: the key of the
     item, or its brand."""
@@ -171,34 +203,37 @@ def item_window_suite(w: Warehouse) -> DataFrame:
 def item_windows(items: DataFrame, letter=None) -> DataFrame:
     """Numbering, counts, neighbours and size groups of items by name.
 
+    Both orders are made of the key and the columns that the order needs; the
+    full rows meet the places by their key at the end, so they are neither stored
+    nor sorted. Item keys are unique.
+
     Nothing here collects the table, or the items of one letter, in a task:
     both orders are range-partitioned positions; the number within a letter is
     a difference of positions, since a letter is one run of the name order;
     neighbours come from chunks of fixed length.
     """
-    by_size = with_position(items, [F.col("p_size"), F.col("p_partkey")], "size_place")
-    by_name = with_position(by_size, [F.col("p_name"), F.col("p_partkey")], "place")
-    by_name = by_name.withColumn("letter", text.first_letter(F.col("p_name")) if letter is None else letter)
-    # One row per first character: the character set bounds it.
-    letters = by_name.groupBy("letter").agg(
-        F.count("*").alias("items_of_letter"), F.min("place").alias("letter_start")
-    )
+    first = text.first_letter(F.col("p_name")) if letter is None else letter
+    names = items.select("p_partkey", "p_name", first.alias("letter"))
+    by_name = with_position(names, [F.col("p_name"), F.col("p_partkey")], "place")
+    by_size = with_position(items.select("p_partkey", "p_size"), [F.col("p_size"), F.col("p_partkey")], "size_place")
     # No name is a letter of its own, as it would be for a window.
-    counted = (
-        by_name.withColumn("items", items.agg(F.count("*")).scalar())
-        .alias("item")
-        .join(F.broadcast(letters).alias("letters"), F.col("item.letter").eqNullSafe(F.col("letters.letter")))
+    letters = by_name.groupBy(F.col("letter").alias("of_letter")).agg(
+        F.count("*").alias("items_of_letter"), F.min("place").alias("letter_start")
     )
     seen = with_neighbours(
-        counted.select("item.*", "items_of_letter", "letter_start"),
+        by_name,
         "place",
         {
             "next_item": ("p_partkey", 1, None),
             "previous_item": ("p_partkey", -1, None),
             "name_two_before": ("p_name", -2, "No items"),
         },
+    ).drop("p_name")
+    places = seen.join(letters, F.col("letter").eqNullSafe(F.col("of_letter"))).join(
+        by_size.select("p_partkey", "size_place"), "p_partkey"
     )
-    return seen.select(
+    whole = items.withColumn("items", items.agg(F.count("*")).scalar())
+    return whole.join(places, "p_partkey").select(
         "p_partkey",
         "p_name",
         "p_brand",

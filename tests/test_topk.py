@@ -61,11 +61,10 @@ def test_latest_per_key(spark, rows):
 
 def test_pages(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    order = [F.asc("v"), F.asc("id")]
-    found = sorted((tuple(r) for r in topk.page(df, 3, 50, *order).collect()), key=lambda r: (r[1], r[0]))
+    found = [tuple(r) for r in topk.page(df, 3, 50, "v", "id").collect()]
     assert found == sorted(((i, i % 7) for i in range(1000)), key=lambda r: (r[1], r[0]))[100:150]
     with pytest.raises(ValueError):
-        topk.page(df, 0, 50, *order)
+        topk.page(df, 0, 50, "v", "id")
 
 
 def test_position_and_neighbours(spark):
