@@ -12,6 +12,7 @@ from ledgerlark.plans.documents import ITEMS_SQL, stock_items
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import scratch
 from ledgerlark.sources import xmlfiles
+from ledgerlark.sources.sliced import SlicedTable
 from ledgerlark.tables import Warehouse
 
 
@@ -204,3 +205,55 @@ def merge_items_from_xml(w: Warehouse) -> DataFrame:
         number("old_unit_price").alias("old_unit_price"),
         number("new_unit_price").alias("new_unit_price"),
     )
+
+
+CUSTOMER_SLICES = 16
+
+
+def merge_into_slices(w: Warehouse) -> tuple[SlicedTable, DataFrame]:
+    """Customers kept in slices, and the log of a merge of one nation's suppliers into them."""
+    customers = SlicedTable(w.spark, scratch(w.spark, "customers"), w.customer.schema, "c_name", CUSTOMER_SLICES)
+    customers.write(w.customer)
+    source = supplier_source(w).filter(F.col("s_nationkey") == 3)
+    log = customers.merge(
+        ch.with_new_ids(customers.read(), source, "c_name", "c_custkey"),
+        on_match={"c_nationkey": F.col("s_nationkey")},
+        on_insert={
+            "c_custkey": F.col("c_custkey"),
+            "c_nationkey": F.lit(4),
+            "c_acctbal": F.col("s_acctbal"),
+            "c_mktsegment": F.lit("NEW"),
+        },
+    )
+    return customers, log
+
+
+NATION_SQL = SOURCE_SQL.replace("FROM supplier", "FROM supplier WHERE s_nationkey = 3")
+
+
+@plan(
+    "merge_sliced_state",
+    f"""
+    SELECT c_custkey, c_name, coalesce(s_nationkey, c_nationkey) AS c_nationkey, c_acctbal, c_mktsegment
+    FROM customer LEFT JOIN {NATION_SQL} ON src_name = c_name
+    UNION ALL
+    SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY src_name), src_name, 4, s_acctbal, 'NEW'
+    FROM {NATION_SQL} WHERE src_name NOT IN (SELECT c_name FROM customer)
+    """,
+)
+def merge_sliced_state(w: Warehouse) -> DataFrame:
+    """The table after a merge that replaced only the slices it met."""
+    return _customers(merge_into_slices(w)[0].read())
+
+
+@plan(
+    "merge_sliced_log",
+    f"""
+    SELECT 'UPDATE' AS action, c_name, c_nationkey AS old_c_nationkey, s_nationkey AS new_c_nationkey
+    FROM customer JOIN {NATION_SQL} ON src_name = c_name
+    UNION ALL
+    SELECT 'INSERT', src_name, NULL, 4 FROM {NATION_SQL} WHERE src_name NOT IN (SELECT c_name FROM customer)
+    """,
+)
+def merge_sliced_log(w: Warehouse) -> DataFrame:
+    return merge_into_slices(w)[1]

@@ -64,6 +64,42 @@ def suppliers_idle_for_two_weeks(w: Warehouse) -> DataFrame:
     return w.supplier.join(keys, "s_suppkey", "left_anti").select("s_suppkey", "s_name")
 
 
+@plan(
+    "suppliers_without_region_year",
+    """
+    SELECT s_suppkey, s_name, r_regionkey, year FROM supplier, region,
+           (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+                      JOIN nation ON n_nationkey = c_nationkey
+                      WHERE l_suppkey = s_suppkey AND n_regionkey = r_regionkey AND year(o_orderdate) = year
+                        AND o_orderpriority = '1-URGENT' AND l_quantity > 45)
+    """,
+)
+def suppliers_without_region_year(w: Warehouse) -> DataFrame:
+    """Regions and years in which a supplier sold nothing large that was urgent.
+
+    The grid is expanded from a list of pairs (a region has one row, a year one of
+    the calendar), and what was sold shrinks to keys before it meets the grid.
+    """
+    urgent = w.orders.filter(F.col("o_orderpriority") == "1-URGENT").withColumn("year", F.year("o_orderdate"))
+    homes = w.customer.join(w.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey")
+    sold = (
+        w.lineitem.filter(F.col("l_quantity") > 45)
+        .join(urgent, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(homes, F.col("o_custkey") == F.col("c_custkey"))
+        .select(F.col("l_suppkey").alias("s_suppkey"), F.col("n_regionkey").alias("r_regionkey"), "year")
+        .distinct()
+    )
+    years = w.orders.agg(F.collect_set(F.year("o_orderdate"))).scalar()
+    regions = w.region.agg(F.collect_set("r_regionkey")).scalar()
+    grid = (
+        w.supplier.select("s_suppkey", "s_name")
+        .withColumn("r_regionkey", F.explode(regions))
+        .withColumn("year", F.explode(years))
+    )
+    return grid.join(sold, ["s_suppkey", "r_regionkey", "year"], "left_anti")
+
+
 LINE_ID = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions.buckets import bucket_right, year_starts
-from ledgerlark.functions.money import money, number
+from ledgerlark.functions.money import money, number, total, units
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import scratch
 from ledgerlark.sources import delimited, partitioned
+from ledgerlark.sources.aligned import join_aligned, read_aligned, write_aligned
+from ledgerlark.sources.catalog import empty_like, ensure_table
+from ledgerlark.sources.probes import probe, write_for_probes
 from ledgerlark.tables import Warehouse
 
 # A separator of several characters that no value contains.
@@ -204,3 +207,92 @@ def migrate_lines_partitioned(w: Warehouse) -> DataFrame:
         (F.coalesce("source_rows", F.lit(0)) - F.coalesce("loaded_rows", F.lit(0))).alias("difference"),
         number("loaded_amount").alias("loaded_amount"),
     )
+
+
+BUCKETS = 16
+
+
+def aligned_orders_and_lines(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Both tables cut and sorted by the key of the order."""
+    orders = write_aligned(w.orders, "o_orderkey", BUCKETS)
+    lines = write_aligned(w.lineitem, "l_orderkey", BUCKETS)
+    return read_aligned(w.spark, orders), read_aligned(w.spark, lines)
+
+
+@plan(
+    "reconcile_aligned",
+    """
+    SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS order_total, count(*) AS lines,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS lines_total
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice
+    """,
+)
+def reconcile_aligned(w: Warehouse) -> DataFrame:
+    """Orders next to the sums of their lines, from tables that lie ready for it: no row is shuffled."""
+    orders, lines = aligned_orders_and_lines(w)
+    sums = lines.groupBy("l_orderkey").agg(F.count("*").alias("lines"), total("l_extendedprice").alias("sum"))
+    return join_aligned(orders, sums, "o_orderkey", "l_orderkey").select(
+        "o_orderkey", F.col("o_totalprice").alias("order_total"), "lines", units("sum").alias("lines_total")
+    )
+
+
+@plan(
+    "probe_by_bloom",
+    """
+    SELECT c_custkey, c_name, c_nationkey FROM customer
+    WHERE c_name IN ('Customer#000000042', 'Customer#000000077', 'Customer#none')
+    """,
+)
+def probe_by_bloom(w: Warehouse) -> DataFrame:
+    """Customers asked for by name in a table that lies in the order of nations."""
+    path = scratch(w.spark, "customers-for-probes")
+    write_for_probes(w.customer, path, ["c_nationkey", "c_custkey"], {"c_name": 100_000})
+    return probe(w.spark, path, F.col("c_name").isin("Customer#000000042", "Customer#000000077", "Customer#none")).select(
+        "c_custkey", "c_name", "c_nationkey"
+    )
+
+
+def _columns_sql(table: str) -> str:
+    return f"SELECT column_name, count(*) AS times, 0 AS rows FROM (DESCRIBE {table}) GROUP BY column_name"
+
+
+@plan("clone_empty", _columns_sql("lineitem"))
+def clone_empty(w: Warehouse) -> DataFrame:
+    """The columns of an empty copy of a table, stored and read again, and its rows."""
+    path = scratch(w.spark, "lines-clone")
+    empty_like(w.lineitem).write.parquet(path)
+    copy = w.spark.read.parquet(path)
+    names = F.explode(F.array(*[F.lit(name) for name in copy.columns])).alias("column_name")
+    listed = w.region.limit(1).select(names).groupBy("column_name").agg(F.count("*").alias("times"))
+    return listed.withColumn("rows", copy.agg(F.count("*")).scalar().cast("int"))
+
+
+@plan(
+    "table_made_once",
+    "SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY n_regionkey",
+)
+def table_made_once(w: Warehouse) -> DataFrame:
+    """A table that is created if it is missing, filled, and left alone by the next creation."""
+    name = "made_once_" + scratch(w.spark, "x").rsplit("-", 1)[1]
+    ensure_table(w.spark, name, w.nation.schema)
+    w.nation.write.insertInto(name)
+    ensure_table(w.spark, name, w.nation.schema)
+    return w.spark.table(name).groupBy("n_regionkey").agg(F.count("*").alias("nations"))
+
+
+@plan(
+    "whole_file_values",
+    """
+    SELECT r_regionkey, count(*) AS lines, sum(length(n_name)) + count(*) AS characters
+    FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey
+    """,
+)
+def whole_file_values(w: Warehouse) -> DataFrame:
+    """Files of names, one folder a region, each read as one value."""
+    path = scratch(w.spark, "names")
+    names = w.nation.join(w.region, F.col("n_regionkey") == F.col("r_regionkey")).select("r_regionkey", "n_name")
+    names.repartition("r_regionkey").write.partitionBy("r_regionkey").text(path)
+    files = w.spark.read.text(path, wholetext=True)
+    return files.groupBy("r_regionkey").agg(
+        F.sum(F.regexp_count("value", F.lit("\n"))).alias("lines"), F.sum(F.length("value")).alias("characters")
+    )

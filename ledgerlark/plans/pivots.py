@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import text
-from ledgerlark.operators.pivots import count_pivot, pivot_columns, unpivot_known
+from ledgerlark.operators.pivots import NoPivotColumns, count_pivot, pivot_columns, unpivot_known
 from ledgerlark.plans.registry import plan
 from ledgerlark.session import stage
 from ledgerlark.tables import Warehouse
@@ -173,3 +173,20 @@ def unpivot_codes(w: Warehouse) -> DataFrame:
         .drop("kind")
         .orderBy("n_nationkey")
     )
+
+
+@plan(
+    "pivot_without_names",
+    """
+    SELECT strftime(date_trunc('month', o_orderdate), '%d.%m.%Y') AS order_month, count(*) AS orders
+    FROM orders GROUP BY 1
+    """,
+)
+def pivot_without_names(w: Warehouse) -> DataFrame:
+    """A dynamic pivot over names that nobody has is refused; the report falls back to plain counts."""
+    counts = month_counts(w.orders, w.customer, F.col("c_mktsegment"))
+    try:
+        names = pivot_columns(w.customer.filter(F.col("c_custkey") < 0), "c_mktsegment")
+    except NoPivotColumns:
+        return _by_month(counts.groupBy("month_start").agg(F.sum("orders").alias("orders")))
+    return _by_month(count_pivot(counts, "month_start", "label", names, "orders"))

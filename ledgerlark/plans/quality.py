@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import quality as dq
+from ledgerlark.operators.closure import cascade_closure, closure
 from ledgerlark.plans.registry import plan
 from ledgerlark.tables import Warehouse
 
@@ -182,3 +183,74 @@ def default_ingest_time(w: Warehouse) -> DataFrame:
     arriving = w.orders.withColumn("stored_at", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
     stored = dq.with_default_now(arriving, "stored_at", F.lit(CLOCK).cast("timestamp_ntz"))
     return stored.select("o_orderkey", F.date_format("stored_at", "yyyy-MM-dd HH:mm:ss").alias("stored_at"))
+
+
+# Items that are parts of others: item n belongs to item n / 3, so a tree of all items.
+ITEM_TREE_SQL = "(SELECT p_partkey, CASE WHEN p_partkey >= 3 THEN p_partkey // 3 END AS whole_key FROM part)"
+
+
+def item_tree(w: Warehouse) -> DataFrame:
+    return w.part.select("p_partkey", F.when(F.col("p_partkey") >= 3, F.expr("p_partkey div 3")).alias("whole_key"))
+
+
+@plan(
+    "cascade_item_tree",
+    f"""
+    WITH RECURSIVE gone(p_partkey) AS (
+      SELECT p_partkey FROM part WHERE p_partkey IN (2, 7)
+      UNION SELECT t.p_partkey FROM {ITEM_TREE_SQL} t JOIN gone ON t.whole_key = gone.p_partkey
+    )
+    SELECT 'items' AS table_name, count(*) AS deleted, (SELECT count(*) FROM part) - count(*) AS kept FROM gone
+    UNION ALL
+    SELECT 'lines', count(*) FILTER (l_partkey IN (SELECT p_partkey FROM gone)),
+           count(*) FILTER (l_partkey NOT IN (SELECT p_partkey FROM gone)) FROM lineitem
+    """,
+)
+def cascade_item_tree(w: Warehouse) -> DataFrame:
+    """Two items go with all that is part of them, at any depth, and with the lines that sold it."""
+    lines = w.lineitem.select("l_partkey", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line"))
+    tables = {"items": item_tree(w), "lines": lines}
+    references = [
+        dq.Reference("items", "whole_key", "items", "p_partkey"),
+        dq.Reference("lines", "l_partkey", "items", "p_partkey"),
+    ]
+    found = cascade_closure(tables, {"items": "p_partkey", "lines": "line"}, references, "items", F.col("p_partkey").isin(2, 7))
+    counts = [
+        gone.agg(F.lit(name).alias("table_name"), F.count("*").alias("deleted")).withColumn("kept", kept.agg(F.count("*")).scalar())
+        for name, (kept, gone) in found.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# Suppliers that stand in for each other: the deputy of supplier n is number 7 n modulo their count, so circles.
+DEPUTY_SQL = "(SELECT s_suppkey, (s_suppkey * 7) % (SELECT count(*) FROM supplier) AS deputy FROM supplier)"
+
+
+def _reach_sql(start: int, up: bool) -> str:
+    step = "t.deputy AS s_suppkey FROM {d} t JOIN found ON t.s_suppkey = found.s_suppkey" if up else (
+        "t.s_suppkey FROM {d} t JOIN found ON t.deputy = found.s_suppkey"
+    )
+    return f"""
+    WITH RECURSIVE found(s_suppkey) AS (SELECT CAST({start} AS BIGINT) UNION SELECT {step.format(d=DEPUTY_SQL)})
+    SELECT s_suppkey FROM found
+    """
+
+
+def _reach(w: Warehouse, start: int, up: bool) -> DataFrame:
+    deputies = w.supplier.select("s_suppkey", F.pmod(F.col("s_suppkey") * 7, w.supplier.agg(F.count("*")).scalar()).alias("deputy"))
+    first = w.supplier.filter(F.col("s_suppkey") == start).select("s_suppkey")
+    links = [dq.Reference("supplier", "deputy", "supplier", "s_suppkey")]
+    found = closure({"supplier": deputies}, {"supplier": "s_suppkey"}, links, {"supplier": first}, up)
+    return found["supplier"].select(F.col("key").alias("s_suppkey"))
+
+
+@plan("reach_deputies", _reach_sql(3, True))
+def reach_deputies(w: Warehouse) -> DataFrame:
+    """Who stands in for supplier 3, for that one, and so on round the circle."""
+    return _reach(w, 3, True)
+
+
+@plan("reach_represented", _reach_sql(5, False))
+def reach_represented(w: Warehouse) -> DataFrame:
+    """All whom supplier 5 stands in for, directly or through others."""
+    return _reach(w, 5, False)

@@ -118,6 +118,51 @@ def customer_period_report(w: Warehouse) -> DataFrame:
     )
 
 
+@plan(
+    "customer_period_report_live",
+    f"""
+    SELECT request_id, customer_id, strftime(first_day, '%Y-%m-%d') AS first_day,
+           strftime(last_day, '%Y-%m-%d') AS last_day,
+           count(DISTINCT l_orderkey) AS orders_in_invoices, count(DISTINCT o_orderkey) AS orders_quantity
+    FROM ({REQUEST_SQL})
+    LEFT JOIN orders ON o_custkey = customer_id AND CAST(o_orderdate AS DATE) BETWEEN first_day AND last_day
+                        AND (customer_id % 2 = 1 OR o_orderkey % 2 = 0)
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    GROUP BY ALL
+    """,
+)
+def customer_period_report_live(w: Warehouse) -> DataFrame:
+    """Answers from orders that arrive while requests are answered.
+
+    First the even orders arrive and the even customers ask, then the others. Both
+    streams stop and go on in between; the second answers count all orders.
+    """
+    orders_in, orders_out = scratch(w.spark, "orders-in"), scratch(w.spark, "orders-out")
+    inbox, outbox = scratch(w.spark, "requests"), scratch(w.spark, "answers")
+    lines = w.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("is_invoiced", F.lit(True))
+    arriving = w.orders.join(lines, "o_orderkey", "left").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.to_date("o_orderdate").alias("day"),
+        F.coalesce("is_invoiced", F.lit(False)).alias("is_invoiced"),
+    )
+    for turn in (0, 1):
+        arriving.filter(F.col("order_id") % 2 == turn).write.mode("append").parquet(orders_in)
+        reports.keep_activity(w.spark, orders_in, orders_out).awaitTermination()
+        asking = requests(w).filter(F.col("customer_id") % 2 == turn)
+        reports.request_messages(asking, invoices(w)).write.mode("append").parquet(inbox)
+        reports.answer_requests(inbox, lambda: reports.activity_now(w.spark, orders_out), outbox).awaitTermination()
+    answers = reports.reports_table(w.spark, outbox)
+    return answers.select(
+        "request_id",
+        "customer_id",
+        cal.iso(F.col("first_day")).alias("first_day"),
+        cal.iso(F.col("last_day")).alias("last_day"),
+        "orders_in_invoices",
+        "orders_quantity",
+    )
+
+
 @plan(
     "pending_requests",
     f"SELECT request_id, customer_id FROM ({REQUEST_SQL}) WHERE customer_id % 4 = 0",

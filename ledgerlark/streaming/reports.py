@@ -7,6 +7,7 @@ customer's orders in the period and appends the answer to the report table.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,8 +116,49 @@ def received_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(RECEIVED_COLUMNS + ", batch_id bigint").parquet(os.path.join(folder, "received"))
 
 
+ORDER_COLUMNS = "order_id bigint, customer_id bigint, day date, is_invoiced boolean"
+
+ACTIVITY_COLUMNS = "customer_id bigint, day date, orders_in_invoices bigint, orders_quantity bigint"
+
+
+def keep_activity(
+    spark: SparkSession, orders_folder: str, out_folder: str, available_now: bool = True, every: str = "10 seconds",
+    files_per_batch: int = 1000, horizon: str = "90 days",
+) -> StreamingQuery:
+    """Start the stream that keeps daily sums of the orders that arrive.
+
+    Every micro-batch adds its sums as a folder of its own, which it replaces if it is
+    run again. An order that arrives twice within ``horizon`` counts once.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sums = batch.groupBy("customer_id", "day").agg(
+            F.count_if("is_invoiced").alias("orders_in_invoices"), F.count("*").alias("orders_quantity")
+        )
+        sums.write.mode("overwrite").parquet(os.path.join(out_folder, "activity", f"batch_id={batch_id}"))
+
+    arriving = spark.readStream.schema(ORDER_COLUMNS).option("maxFilesPerTrigger", files_per_batch).parquet(orders_folder)
+    stream = (
+        arriving.withColumn("arrived", F.current_timestamp())
+        .withWatermark("arrived", horizon)
+        .dropDuplicatesWithinWatermark(["order_id"])
+        .writeStream.foreachBatch(store)
+        .option("checkpointLocation", os.path.join(out_folder, "progress"))
+    )
+    trigger = stream.trigger(availableNow=True) if available_now else stream.trigger(processingTime=every)
+    return trigger.start()
+
+
+def activity_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily sums of all orders that have arrived by now. Each call lists the folder anew."""
+    added = spark.read.schema(ACTIVITY_COLUMNS + ", batch_id bigint").parquet(os.path.join(folder, "activity"))
+    return added.groupBy("customer_id", "day").agg(
+        F.sum("orders_in_invoices").alias("orders_in_invoices"), F.sum("orders_quantity").alias("orders_quantity")
+    )
+
+
 def answer_requests(
-    requests_folder: str, activity: DataFrame, out_folder: str, now: Column | None = None, available_now: bool = True,
+    requests_folder: str, activity: DataFrame | Callable[[], DataFrame], out_folder: str, now: Column | None = None, available_now: bool = True,
     every: str = "10 seconds", files_per_batch: int = 1000, horizon: str = "90 days",
 ) -> StreamingQuery:
     """Start the stream that answers requests as their files arrive.
@@ -127,9 +169,12 @@ def answer_requests(
     ``batch_id`` folders, so a batch that is run again after a failure leaves
     one copy. Messages that are no valid request are kept, but not answered.
     A batch reads ``activity`` for the days it asks for, so give a stored table
-    of daily sums.
+    of daily sums. A table is read as it was when the stream started; a function,
+    such as one that calls ``activity_now``, is called by every batch, so its answers
+    count what has arrived by then. An id that comes back after ``horizon`` is answered again.
     """
-    spark = activity.sparkSession
+    current = activity if callable(activity) else lambda: activity
+    spark = current().sparkSession
     clock = F.current_timestamp() if now is None else now
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -140,7 +185,7 @@ def answer_requests(
         # with the outer session, which has it.
         requests = spark.read.schema(RECEIVED_COLUMNS).parquet(received).filter("is_valid").drop("is_valid", "body")
         (
-            period_reports(requests, activity)
+            period_reports(requests, current())
             .select(
                 "request_id",
                 response_text().alias("report_xml"),
