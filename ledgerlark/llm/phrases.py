@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, encode, fold, mix64, place_words, slices, table
-from ledgerlark.llm.bitmarks import marked, often, short_key
+from ledgerlark.llm.bitmarks import GATHERED, KEY_BITS, marked, often, short_key
 from ledgerlark.session import stage
 
 LEAST = 30
@@ -115,48 +115,124 @@ def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(named, pa.string()), pa.array(total, pa.int64())], ["lang", "n"])
 
 
-def _phrases(named, lang, words: list[np.ndarray], text=None) -> pa.RecordBatch:
-    """The distinct phrases that start at some places, with their counts; absent words are null.
-
-    ``text`` gives the words themselves, for single words only.
-    """
-    _, first, counts = np.unique(fold(words) if len(words) > 1 else words[0], return_index=True, return_counts=True)
-    columns = [pa.array(named, pa.string()).take(pa.array(lang[first]))]
-    for k in range(LONGEST):
-        columns.append(pa.array(words[k][first].view(np.int64)) if k < len(words) else pa.nulls(len(first), pa.int64()))
-    columns += [pa.array(counts, pa.int64()), pa.array(text(first), pa.string()) if text else pa.nulls(len(first), pa.string())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", *WORDS, "n", "word"])
-
-
-def _count_phrases(words, pairs, longer):
-    """Exact counts of phrases that may be frequent, in a slice: words with their text, and two to four words."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Run:
+    """Distinct phrases of one language and length in order, with their counts and, for single words, their texts."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, texts: np.ndarray | None):
+        self.words, self.counts, self.texts = words, counts, texts
+
+    @classmethod
+    def joined(cls, runs: list[_Run]) -> _Run:
+        words = np.concatenate([r.words for r in runs], axis=1)
+        counts = np.concatenate([r.counts for r in runs])
+        order = np.lexsort(words[::-1])
+        words, counts = words[:, order], counts[order]
+        first = np.flatnonzero(np.append(True, (words[:, 1:] != words[:, :-1]).any(axis=0)))
+        texts = np.concatenate([r.texts for r in runs])[order[first]] if runs[0].texts is not None else None
+        return cls(words[:, first], np.add.reduceat(counts, first), texts)
+
+
+_RUNS = "lang string, size int, bucket long, " + ", ".join(f"{w} binary" for w in WORDS) + ", n binary, texts array<string>"
+_RUN_FIELDS = pa.schema(
+    [("lang", pa.string()), ("size", pa.int32()), ("bucket", pa.int64()), *[(w, pa.binary()) for w in WORDS],
+     ("n", pa.binary()), ("texts", pa.list_(pa.string()))]
+)
+_COUNTS = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", n long, word string"
+
+
+def _cut(lang: str, size: int, run: _Run, buckets: int) -> pa.RecordBatch:
+    """A run as one row for each bucket of first two words: columns of words that repeat shrink to little."""
+    key = run.words[0] if size == 1 else fold([run.words[0], run.words[1]])
+    bucket = (short_key(key) * U64(buckets) >> U64(KEY_BITS)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    rows = []
+    for at in np.split(order, first[1:]):
+        words = [w[at].tobytes() for w in run.words]
+        n = run.counts[at].view(np.uint8).reshape(-1, 8).T.tobytes()
+        texts = run.texts[at].tolist() if run.texts is not None else None
+        rows.append((lang, size, int(bucket[at[0]]), *words, *[None] * (LONGEST - size), n, texts))
+    return pa.RecordBatch.from_pylist([dict(zip(_RUN_FIELDS.names, row, strict=True)) for row in rows], _RUN_FIELDS)
+
+
+def _send_runs(words, pairs, longer, buckets: int):
+    """Sorted runs of the phrases that may be frequent: words with their text, and two to four words."""
+
+    def found(batch: pa.RecordBatch) -> Iterator[tuple[str, int, _Run]]:
+        for named, joined, keys, places, lang, piece in _sliced(batch):
+            at = np.flatnonzero(marked(words.value, short_key(keys)))
+            if not len(at):
+                continue
+            for size, at in [(1, at), *_frequent(keys, piece, pairs, longer)]:
+                parts = [keys[at + k] for k in range(size)]
+                _, first, counts = np.unique(fold(parts) if size > 1 else parts[0], return_index=True, return_counts=True)
+                of = lang[at[first]]
+                for one in np.unique(of):
+                    mine = np.flatnonzero(of == one)
+                    texts = None
+                    if size == 1:
+                        places_of = places[at[first[mine]]].tolist()
+                        texts = np.array([_WORD.match(joined, p)[0].decode("utf-8", "surrogatepass") for p in places_of], object)
+                    yield named[one], size, _Run(np.stack([part[first[mine]] for part in parts]), counts[mine], texts)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list[_Run]] = {}
+        count = 0
         for batch in batches:
-            for named, joined, keys, places, lang, piece in _sliced(batch):
-                at = np.flatnonzero(marked(words.value, short_key(keys)))
-                if not len(at):
-                    continue
-
-                def text(first, at=at, joined=joined, places=places):
-                    return [_WORD.match(joined, p)[0].decode("utf-8", "surrogatepass") for p in places[at[first]].tolist()]
-
-                yield _phrases(named, lang[at], [keys[at]], text)
-                pair = chain = _chained(keys, piece, pairs)
-                for size in range(2, LONGEST + 1):
-                    at = np.flatnonzero(chain)
-                    parts = [keys[at + k] for k in range(size)]
-                    if size > 2:
-                        good = marked(longer.value, short_key(fold(parts)))
-                        at, parts = at[good], [part[good] for part in parts]
-                    if len(at):
-                        yield _phrases(named, lang[at], parts)
-                    chain = chain[:-1] & pair[size - 1 :]
-
-    return count
-
-
-_PHRASES = "lang string, " + ", ".join(f"{w} long" for w in WORDS) + ", n long, word string"
+            for lang, size, run in found(batch):
+                held.setdefault((lang, size), []).append(run)
+                count += len(run.counts)
+                if count >= GATHERED:
+                    held = {key: [_Run.joined(runs)] for key, runs in held.items()}
+                    count = sum(len(runs[0].counts) for runs in held.values())
+                    if count >= GATHERED // 2:
+                        for (of, n), runs in held.items():
+                            yield _cut(of, n, runs[0], buckets)
+                        held, count = {}, 0
+        for (of, n), runs in held.items():
+            yield _cut(of, n, _Run.joined(runs), buckets)
+
+    return send
+
+
+def _frequent(keys: np.ndarray, piece: np.ndarray, pairs, longer) -> Iterator[tuple[int, np.ndarray]]:
+    """Sizes, and where phrases of that size start that may be frequent."""
+    pair = chain = _chained(keys, piece, pairs)
+    for size in range(2, LONGEST + 1):
+        at = np.flatnonzero(chain)
+        if size > 2:
+            at = at[marked(longer.value, short_key(fold([keys[at + k] for k in range(size)])))]
+        if len(at):
+            yield size, at
+        chain = chain[:-1] & pair[size - 1 :]
+
+
+def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of one bucket as phrases with exact counts; rare ones go."""
+
+    def found(lang: str, size: int, runs: list[_Run]) -> pa.RecordBatch:
+        run = _Run.joined(runs)
+        kept = np.flatnonzero(run.counts >= LEAST)
+        columns = [pa.array([lang] * len(kept), pa.string())]
+        columns += [pa.array(w[kept].view(np.int64)) for w in run.words]
+        columns += [pa.nulls(len(kept), pa.int64()) for _ in range(LONGEST - size)]
+        texts = run.texts[kept].tolist() if run.texts is not None else [None] * len(kept)
+        columns += [pa.array(run.counts[kept]), pa.array(texts, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", *WORDS, "n", "word"])
+
+    now, runs = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            key = (row["lang"], row["size"], row["bucket"])
+            if key != now and runs:
+                yield found(*now[:2], runs)
+                runs = []
+            now = key
+            words = np.stack([np.frombuffer(row[w], U64) for w in WORDS[: row["size"]]])
+            counts = np.ascontiguousarray(np.frombuffer(row["n"], np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+            runs.append(_Run(words, counts, np.array(row["texts"], object) if row["texts"] is not None else None))
+    if runs:
+        yield found(*now[:2], runs)
 
 
 # --- merging in order --------------------------------------------------------
@@ -317,16 +393,18 @@ def count_phrases(docs: DataFrame, lang: str = "lang", text: str = "text") -> tu
     """Counts of frequent phrases (``lang``, ``w1`` to ``w4``, ``n``, ``word`` of single words), and words by language.
 
     Every level reads the texts anew. Words, then pairs, then longer phrases are first counted by short
-    keys, each only where all its parts may be frequent; what reaches the least count sets a bit, and
-    phrases with their bits set are counted exactly.
+    keys, each only where all its parts may be frequent; what reaches the least count sets a bit.
+    Phrases with their bits set leave the tasks as sorted runs, which are merged into exact counts.
     """
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     totals = rows.mapInArrow(_total, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("total"))
     words = often(rows, _words, LEAST)
     pairs = often(rows, _pairs(words), LEAST)
-    counted = rows.mapInArrow(_count_phrases(words, pairs, often(rows, _longer(pairs), LEAST)), _PHRASES)
-    summed = counted.groupBy("lang", *WORDS, "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-    return stage(summed, "counts"), stage(totals, "totals")
+    longer = often(rows, _longer(pairs), LEAST)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = ["lang", "size", "bucket"]
+    runs = rows.mapInArrow(_send_runs(words, pairs, longer, buckets), _RUNS).repartition(buckets, *by)
+    return stage(runs.sortWithinPartitions(*by).mapInArrow(_merge_runs, _COUNTS), "counts"), stage(totals, "totals")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", ranked: int = RANKED) -> DataFrame:
