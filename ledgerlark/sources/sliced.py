@@ -19,19 +19,32 @@ SLICE = "key_slice"
 
 
 class SlicedTable:
-    """Rows below ``path`` by slices of ``key``; ``match`` says how keys are compared, as in a merge."""
+    """Rows below ``path`` by slices of ``key``.
+
+    ``match`` says how keys are compared, as in a merge; ``normal`` gives one and the same bytes for
+    all keys that match, such as ``lower`` where letter case does not count.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, key: str, slices: int, match: ch.Match = ch.same
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        key: str,
+        slices: int,
+        match: ch.Match = ch.same,
+        normal: ch.Match | None = None,
     ):
         if SLICE in schema.names:
             raise ValueError(f"a column is called {SLICE}")
+        if match is not ch.same and normal is None:
+            raise ValueError("a hash does not know which keys match: give their normal form")
         self.spark, self.path, self.schema = spark, path, schema
-        self.key, self.slices, self.match = key, slices, match
+        self.key, self.slices, self.match, self.normal = key, slices, match, normal or ch.same
 
     def _slice(self, key: str) -> Column:
         """Rows without a key are one slice more: no merge meets them."""
-        of = F.pmod(F.xxhash64(self.match(F.col(key))), F.lit(self.slices)).cast("int")
+        of = F.pmod(F.xxhash64(self.normal(F.col(key))), F.lit(self.slices)).cast("int")
         return F.when(F.col(key).isNull(), F.lit(self.slices)).otherwise(of)
 
     def write(self, rows: DataFrame) -> SlicedTable:

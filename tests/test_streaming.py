@@ -123,3 +123,28 @@ def test_batch_that_runs_again_leaves_one_copy(spark, activity, tmp_path):
             file.unlink()
     run(activity, inbox, outbox)
     assert reports.reports_table(spark, outbox).count() == 2
+
+
+def orders(spark, *data):
+    return spark.createDataFrame(list(data), reports.ORDER_COLUMNS)
+
+
+def test_answers_count_orders_that_arrive_between_batches(spark, tmp_path):
+    into, kept = str(tmp_path / "orders"), str(tmp_path / "kept")
+    inbox, outbox = str(tmp_path / "in"), str(tmp_path / "out")
+    known = spark.createDataFrame([(1,), (2,)], "customer_id long")
+
+    def ask(*data):
+        reports.request_messages(spans(spark, *data), known).write.mode("append").parquet(inbox)
+        live = lambda: reports.activity_now(spark, kept)
+        reports.answer_requests(inbox, live, outbox, now=F.lit(NOW)).awaitTermination()
+
+    first = [(10, 1, D(2015, 1, 2), True), (11, 1, D(2015, 1, 2), False), (12, 2, D(2015, 3, 1), True)]
+    orders(spark, *first).write.parquet(into)
+    reports.keep_activity(spark, into, kept).awaitTermination()
+    ask(("a", 1, *JANUARY))
+    # One order comes again, two are new.
+    orders(spark, first[0], (13, 1, D(2015, 1, 2), True), (14, 1, D(2015, 1, 31), True)).write.mode("append").parquet(into)
+    reports.keep_activity(spark, into, kept).awaitTermination()
+    ask(("b", 1, *JANUARY), ("a", 1, *JANUARY))
+    assert counts(spark, outbox) == {"a": (1, 1, 2), "b": (1, 3, 4)}
