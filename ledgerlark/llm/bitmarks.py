@@ -43,6 +43,19 @@ def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (marks[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
 
 
+def keep_marked(rows: DataFrame, key: str, marks) -> DataFrame:
+    """The rows whose bit is set, and so some others; null keys go."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(key))
+            known = keys.is_valid().to_numpy(zero_copy_only=False)
+            good = marked(marks.value, keys.fill_null(0).to_numpy().view(U64)) & known
+            yield batch.filter(pa.array(good))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def short_key(hashes: np.ndarray) -> np.ndarray:
     """The first bits of a hash. Two hashes with one short key are counted together, so counts are upper bounds."""
     return hashes >> U64(64 - KEY_BITS)

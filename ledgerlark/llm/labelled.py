@@ -11,14 +11,18 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1))
 
 
+CELLS = 1 << 20
+
+
 def sample(rows: DataFrame, most: int, *by: Column) -> DataFrame:
-    """About ``most`` rows, chosen by a hash of ``by``; all, if there are fewer.
+    """At most about ``most`` distinct rows, chosen by a hash of ``by``; all, if there are fewer rows.
 
-    Run again, it gives the same rows. The draw is a filter, so that the rows do
-    not meet anywhere.
+    Rows that are equal in ``by`` are one, so a row with any number of copies counts once; give
+    columns that tell rows with one id apart. Run again, it gives the same rows. The draw is a
+    filter before rows meet, so what meets is the sample, whatever key is hot.
     """
     count = rows.count()
-    if count <= most:
-        return rows
-    cells = 1 << 20
-    return rows.filter(F.pmod(F.xxhash64(*by, F.lit("sample")), F.lit(cells)) < most * cells // count)
+    picked = rows.withColumn("__key", F.xxhash64(*by, F.lit("sample")))
+    if count > most:
+        picked = picked.filter(F.pmod("__key", F.lit(CELLS)) < most * CELLS // count)
+    return picked.dropDuplicates(["__key"]).drop("__key")

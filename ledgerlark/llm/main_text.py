@@ -21,14 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.labelled import sample
-from ledgerlark.llm.page_blocks import Block, leaf_blocks
+from ledgerlark.llm.page_blocks import STRUCTURE, Block, leaf_blocks
 
 # Bounds of the training sample: pages, and characters of a page.
 MOST_PAGES = 300
 MOST_CHARS = 60_000
 LAYOUTS = 240
 
-STRUCTURE = frozenset("article main nav header footer aside".split())
 # Class words that speak for and against main text.
 FOR = frozenset("article body content entry main post prose story text".split())
 AGAINST = frozenset(
@@ -41,17 +40,20 @@ AGAINST = frozenset(
 )
 
 
+KNOWN = FOR | AGAINST
+
+
 def block_features(blocks: list[Block], hide_structure: bool = False) -> list[list[str]]:
     """The names of the features that hold for each block."""
     found = []
     for at, block in enumerate(blocks):
-        tags = [t for t in block.tags if not (hide_structure and t in STRUCTURE)]
+        inside = block.inside - STRUCTURE if hide_structure else block.inside
         text = block.text
         words = text.count(" ") + 1
         share = block.linked / len(text)
-        row = ["bias", f"tag:{tags[-1] if tags else ''}"]
-        row += {f"in:{t}" for t in tags}
-        row += [f"name:{n}" for n in block.names]
+        row = ["bias", f"tag:{block.plain_tag if hide_structure else block.tag}"]
+        row += [f"in:{t}" for t in sorted(inside)]
+        row += [f"name:{n}" for n in sorted(block.names)]
         row += ["names for"] * bool(block.names & FOR) + ["names against"] * bool(block.names & AGAINST)
         row.append(f"words:{min(words.bit_length(), 7)}")
         row.append(f"linked:{0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.9 else 3}")
@@ -235,29 +237,33 @@ def layouts(count: int = LAYOUTS, seed: int = 7) -> Iterator[str]:
 
 def own_labels(blocks: list[Block]) -> list[int] | None:
     """Labels of a page that marks its article itself; otherwise None."""
-    inside = [{"article", "main"} & set(b.tags) for b in blocks]
+    inside = [{"article", "main"} & b.inside for b in blocks]
     if not any(inside):
         return None
     out = {"nav", "aside", "footer", "form", "header"}
-    return [int(bool(i) and not out & set(b.tags) and not b.names & AGAINST) for i, b in zip(inside, blocks, strict=True)]
+    return [int(bool(i) and not out & b.inside and not b.names & AGAINST) for i, b in zip(inside, blocks, strict=True)]
 
 
 def train(pages: DataFrame, html: str = "html", page_id: str = "page_id", most_pages: int = MOST_PAGES) -> Field:
-    """Fit on at most about ``most_pages`` pages of up to 60,000 characters that mark
-    their article, chosen by a hash, and on the layouts built here."""
+    """Fit on about ``most_pages`` pages of up to 60,000 characters that mark
+    their article, chosen by a hash of id and text, and on the layouts built here.
+
+    A page counts whole, with all that comes before and after its article; a page that the
+    table holds several times counts once. Null pages are not chosen; without any page that marks
+    its article the layouts are all there is.
+    """
     fits = pages.select(F.col(page_id).alias("id"), F.col(html).alias("html")).filter(F.length("html") <= MOST_CHARS)
     marked = fits.filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
     labelled = []
-    for row in sample(marked, most_pages, F.col("id")).collect():
-        blocks = leaf_blocks(row["html"])
+    for row in sample(marked, most_pages, F.col("id"), F.col("html")).collect():
+        blocks = leaf_blocks(row["html"], KNOWN)
         labels = own_labels(blocks)
         if labels:
             labelled.append((blocks, labels))
     for page in layouts():
-        blocks = leaf_blocks(page)
+        blocks = leaf_blocks(page, KNOWN)
         labelled.append((blocks, [b.mark or 0 for b in blocks]))
-    shown = [(block_features(b, hide), y) for b, y in labelled for hide in (False, True)]
-    return Field([(rows[:400], y[:400]) for rows, y in shown])
+    return Field([(block_features(b, hide), y) for b, y in labelled for hide in (False, True)])
 
 
 def extract(pages: DataFrame, field: Field, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -274,7 +280,7 @@ def extract(pages: DataFrame, field: Field, page_id: str = "page_id", url: str =
         for batch in batches:
             texts = []
             for page in batch["html"]:
-                blocks = leaf_blocks(page) if page else []
+                blocks = leaf_blocks(page, KNOWN) if page else []
                 labels = field.decode(block_features(blocks))
                 texts.append(" ".join(b.text for b, label in zip(blocks, labels, strict=True) if label))
             yield batch[["page_id", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])

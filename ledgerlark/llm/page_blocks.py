@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 # Fixed values of HTML: elements without an end tag, elements inside a line of
@@ -24,17 +26,28 @@ SIBLINGS = {
     "th": {"td", "th"},
     "option": {"option"},
 }
-SCOPES = frozenset("ul ol dl table select tbody thead tfoot tr".split())
+SCOPES = frozenset("ul ol dl table select tbody thead tfoot".split())
+# Fixed values of HTML: elements that lay out a page. Others are not remembered once another one opens inside.
+LAYOUT = frozenset(
+    "address article aside blockquote body button canvas caption center dd details dialog div dl dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html label legend li main menu nav object ol optgroup option "
+    "p picture pre search section select summary table tbody td tfoot th thead tr ul video".split()
+)
+STRUCTURE = frozenset("article main nav header footer aside".split())
+# Words of class attributes are remembered for so many open elements that have some, from the innermost; words
+# that a caller asks for are remembered always.
+NAMED = 16
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<[!?][^>]*+>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>"
     r"|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
+_TAIL = re.compile(r"(?P<text>.+)(?P<tag>(?!))?(?P<tag2>(?!))?", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _MARK = re.compile(r"\bdata-main=\"?([01])")
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -43,7 +56,9 @@ _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 class Block(NamedTuple):
     text: str
-    tags: tuple[str, ...]  # of the open elements, outermost first
+    tag: str  # of the innermost open element
+    plain_tag: str  # of the innermost one that is no page structure
+    inside: frozenset[str]  # layout tags of all open elements
     names: frozenset[str]  # words of their class, id, role and itemprop attributes
     linked: int  # characters inside links
     mark: int | None  # of the nearest element with a data-main attribute
@@ -51,10 +66,59 @@ class Block(NamedTuple):
 
 class _Open(NamedTuple):
     tag: str
-    names: frozenset[str]
+    plain_tag: str
+    inside: frozenset[str]
+    known: frozenset[str]  # words asked for
+    near: tuple[frozenset[str], ...]  # words of the innermost elements that have some
     mark: int | None
 
 
+_NOTHING = _Open("", "", frozenset(), frozenset(), (), None)
+
+
+class _Stack:
+    """Open elements, and how many of each tag are open, in all and since the last list or table began.
+
+    What an end tag or a sibling looks for is known to be open before the stack is searched for it,
+    and what the search passes is closed; so a page takes time linear in its tags.
+    """
+
+    def __init__(self) -> None:
+        self.items: list[_Open] = []
+        self._open: Counter[str] = Counter()
+        self._scopes: list[Counter[str]] = [Counter()]
+
+    def top(self) -> _Open:
+        return self.items[-1] if self.items else _NOTHING
+
+    def push(self, item: _Open) -> None:
+        self.items.append(item)
+        self._open[item.tag] += 1
+        self._scopes[-1][item.tag] += 1
+        if item.tag in SCOPES:
+            self._scopes.append(Counter())
+
+    def pop(self) -> str:
+        tag = self.items.pop().tag
+        if tag in SCOPES:
+            self._scopes.pop()
+        self._open[tag] -= 1
+        self._scopes[-1][tag] -= 1
+        return tag
+
+    def close(self, tag: str) -> None:
+        """Close the innermost element of a tag and all in it; nothing, if none is open."""
+        if self._open[tag] > 0:
+            while self.pop() != tag:
+                pass
+
+    def close_sibling(self, tags: set[str]) -> None:
+        """Close the innermost element of one of the tags that the current list or table holds."""
+        if any(self._scopes[-1][tag] > 0 for tag in tags):
+            while self.pop() not in tags:
+                pass
+
+
 def _names(attributes: str) -> frozenset[str]:
     found: set[str] = set()
     for groups in _NAMES.findall(attributes):
@@ -63,15 +127,25 @@ def _names(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
-def leaf_blocks(page: str) -> list[Block]:
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Tags and texts. After the last end of a tag there can only be text or an open comment, so nothing
+    there is read as a tag and given up at the end of the page again and again."""
+    end = page.rfind(">") + 1
+    comment = page.find("<!--", end)
+    yield from _TOKEN.finditer(page, 0, end)
+    yield from _TAIL.finditer(page, end, len(page) if comment < 0 else comment)
+
+
+def leaf_blocks(page: str, known: frozenset[str] = frozenset()) -> list[Block]:
     """The blocks of a page in order, without scripts, styles, comments and titles.
 
     White space in a block is one space; character references are decoded.
     A break inside a line is a space. End tags without a start are ignored; a
-    start tag closes what it cannot stand in.
+    start tag closes what it cannot stand in. ``known`` are class words that are
+    remembered at any depth.
     """
     blocks: list[Block] = []
-    stack: list[_Open] = []
+    stack = _Stack()
     pieces: list[str] = []
     linked = 0
     link_depth = 0
@@ -81,12 +155,13 @@ def leaf_blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                top = stack[-1] if stack else _Open("", frozenset(), None)
-                blocks.append(Block(text, tuple(o.tag for o in stack), top.names, min(linked, len(text)), top.mark))
+                top = stack.top()
+                names = top.known.union(*top.near)
+                blocks.append(Block(text, top.tag, top.plain_tag, top.inside, names, min(linked, len(text)), top.mark))
             pieces.clear()
         linked = 0
 
-    for token in _TOKEN.finditer(page):
+    for token in _tokens(page):
         text = token["text"]
         if text is not None:
             pieces.append(text)
@@ -108,25 +183,26 @@ def leaf_blocks(page: str) -> list[Block]:
         flush()
         link_depth = 0
         if closing:
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at].tag == tag:
-                    del stack[at:]
-                    break
+            stack.close(tag)
             continue
-        if stack and stack[-1].tag == "p":
+        if stack.top().tag == "p":
             stack.pop()
         if tag in SIBLINGS:
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at].tag in SIBLINGS[tag]:
-                    del stack[at:]
-                    break
-                if stack[at].tag in SCOPES and stack[at].tag != "tr":
-                    break
+            stack.close_sibling(SIBLINGS[tag])
         if tag in VOID:
             continue
-        above = stack[-1] if stack else _Open("", frozenset(), None)
+        above = stack.top()
         own = _names(attributes) if attributes else frozenset()
         mark = _MARK.search(attributes) if "data-main" in attributes else None
-        stack.append(_Open(tag, above.names | own if own else above.names, int(mark[1]) if mark else above.mark))
+        stack.push(
+            _Open(
+                tag,
+                above.plain_tag if tag in STRUCTURE else tag,
+                above.inside | {tag} if tag in LAYOUT and tag not in above.inside else above.inside,
+                above.known | (own & known) if own & known else above.known,
+                (own, *above.near)[:NAMED] if own else above.near,
+                int(mark[1]) if mark else above.mark,
+            )
+        )
     flush()
     return blocks

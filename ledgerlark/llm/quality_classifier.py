@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import BY_SPACE, U64, encode, hash_words, mix64, slices
 from ledgerlark.llm.labelled import fold_of, sample
+from ledgerlark.session import stage
 
 FOLDS, HELD_OUT = 4, 2
 ACCEPT = 0.7
@@ -123,11 +124,11 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, slack: float =
 class Model:
     """Scaling and weights; without two positives every score is 0.5."""
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray):
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, mean: np.ndarray, spread: np.ndarray):
         self.prior = None
         if len(positive) < 2 or len(unlabelled) < 2:
             return
-        self.mean, self.spread = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
+        self.mean, self.spread = mean, spread + 1e-3
         good, mixed = self.scaled(positive), self.scaled(unlabelled)
         # The share is read off texts that the first fits have not seen.
         shares = []
@@ -153,6 +154,29 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"features": list(features(batch["text"]))})
 
 
+def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows, sums and sums of squares of every feature in a task."""
+    total = np.zeros((2, FEATURES + 1))
+    for batch in batches:
+        found = np.hstack([features(batch["text"]).astype(float), np.ones((len(batch), 1))])
+        total += [found.sum(axis=0), (found**2).sum(axis=0)]
+    yield pd.DataFrame({"feature": np.arange(FEATURES + 1), "total": total[0], "squares": total[1]})
+
+
+def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of every feature over all ``rows`` (``text``)."""
+    sums = rows.select("text").mapInPandas(_sums, "feature int, total double, squares double")
+    found = sums.groupBy("feature").agg(F.sum("total").alias("total"), F.sum("squares").alias("squares")).toPandas()
+    found = found.sort_values("feature")
+    if not len(found) or not found["total"].iloc[-1]:
+        return np.zeros(FEATURES), np.zeros(FEATURES)
+    count = found["total"].iloc[-1]
+    mean = found["total"].to_numpy()[:-1] / count
+    spread = np.sqrt(np.maximum(found["squares"].to_numpy()[:-1] / count - mean**2, 0))
+    # Sums of many tasks differ in their last digits from run to run.
+    return mean.astype(np.float32).astype(float), spread.astype(np.float32).astype(float)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -164,27 +188,34 @@ def train(
 ) -> Model:
     """Fit on rows outside the held-out fold.
 
-    At most about ``most_positive`` trusted rows (quality 1) and
-    ``most_unlabelled`` others of ``docs``, labelled or not, chosen by a hash.
-    The features of these are what the driver holds.
+    Means and spreads of the features are those of all these rows. The weights and the class prior
+    are fitted on about ``most_positive`` trusted rows (quality 1) and ``most_unlabelled`` others of
+    ``docs``, labelled or not, chosen by a hash of id and text; equal rows count once. The features
+    of these are what the driver holds, whatever id has most rows.
+
+    Null ids are in no fold and carry no label; labels without a document, and null qualities, count
+    for nothing; an id labelled twice is trusted if one of its labels is 1.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(
         fold_of(F.col("id"), FOLDS) != HELD_OUT
     )
     trusted = (
         labels.filter(F.col(quality) == 1)
-        .select(F.col(doc_id).alias("trusted"))
-        .filter(fold_of(F.col("trusted"), FOLDS) != HELD_OUT)
+        .select(F.col(doc_id).alias("id"))
+        .filter(fold_of(F.col("id"), FOLDS) != HELD_OUT)
         .distinct()
     )
-    chosen = F.broadcast(sample(trusted, most_positive, F.col("trusted")))
-    positive = rows.join(chosen, F.col("id") == F.col("trusted"), "left_semi")
-    unlabelled = sample(rows, most_unlabelled, F.col("id"), F.xxhash64("text"))
+    by = (F.col("id"), F.xxhash64("text"))
+    named = rows.select("id", by[1].alias("hash")).join(trusted, "id", "left_semi")
+    # Ids and hashes alone are joined; the sample of them is small enough to be sent to the texts.
+    chosen = F.broadcast(stage(sample(named, most_positive, F.col("id"), F.col("hash")), "trusted"))
+    positive = rows.withColumn("hash", by[1]).join(chosen, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    unlabelled = sample(rows, most_unlabelled, *by)
     found = []
     for part in (positive, unlabelled):
         table = part.select("text").mapInPandas(_features, "features array<float>").toPandas()
         found.append(np.array(table["features"].tolist(), np.float32).reshape(-1, FEATURES))
-    return Model(*found)
+    return Model(*found, *moments(rows))
 
 
 def classify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -209,7 +240,11 @@ def classify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    """The rows of ``docs`` that the classifier accepts, with all their columns, whatever their names.
+
+    A null text counts as empty; a score equal to the bound is accepted; repeated rows stay or go
+    together. An empty table gives no rows.
+    """
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:

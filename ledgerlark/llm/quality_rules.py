@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import BY_SPACE, U64, encode, fold, hash_words, mix64, slices
-from ledgerlark.llm.labelled import sample
+from ledgerlark.llm.bitmarks import keep_marked, marks_of
+from ledgerlark.session import stage
 
 # Cells of the hashed multinomials, and what is added to each count.
 BITS = 16
 SMOOTHING = 1.0
-# Labelled rows that give the target and the threshold at most.
-MOST_LABELLED = 50_000
+# Steps that the scores of labelled rows are counted in, to place the threshold.
+STEP = 0.0001
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WORDS = 8
@@ -78,68 +79,74 @@ def ratio(hashes: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.nda
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    totals = np.zeros((2, 1 << BITS), np.int64)
+    total = np.zeros(1 << BITS, np.int64)
     for batch in batches:
-        coded, trusted = encode(batch["text"], lower=False), batch["trusted"].to_numpy(bool)
+        coded = encode(batch["text"], lower=False)
         for start, end in slices(coded):
-            cell, text = cells(*hash_words(coded[start:end], BY_SPACE))
-            totals[0] += np.bincount(cell, minlength=1 << BITS)
-            totals[1] += np.bincount(cell[trusted[start:end][text]], minlength=1 << BITS)
-    used = np.flatnonzero(totals[0])
-    yield pd.DataFrame({"cell": used.astype(np.int32), "raw": totals[0][used], "target": totals[1][used]})
+            cell, _ = cells(*hash_words(coded[start:end], BY_SPACE))
+            total += np.bincount(cell, minlength=1 << BITS)
+    used = np.flatnonzero(total)
+    yield pd.DataFrame({"cell": used.astype(np.int32), "n": total[used]})
+
+
+def counted(texts: DataFrame) -> np.ndarray:
+    """Words and word pairs of all rows (``text``) by cell: 65,536 numbers at most leave a task."""
+    found = texts.select("text").mapInPandas(_count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(1 << BITS)
+    total[found["cell"]] = found["n"]
+    return total
+
+
+def labelled(rows: DataFrame, judged: DataFrame) -> DataFrame:
+    """``quality`` and ``text`` of the rows (``id``, ``text``) with a label (``judged``, ``quality``).
+
+    Bits of the ids let a task drop most other texts before the join, however many labels there are.
+    """
+    marks = marks_of(judged.select(F.xxhash64("judged").alias("key")), "key")
+    near = keep_marked(rows.withColumn("key", F.when(F.col("id").isNotNull(), F.xxhash64("id"))), "key", marks)
+    return near.join(judged, F.col("id") == F.col("judged")).select("quality", "text")
 
 
 def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    quality: str = "quality",
-    most_labelled: int = MOST_LABELLED,
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality"
 ) -> tuple[np.ndarray, float]:
     """The log ratio of every cell, and the threshold.
 
-    The raw counts cover all rows of ``docs``. The target is the documents with
-    quality 1 of a sample of at most about ``most_labelled`` labelled rows; the
-    threshold is the one that best parts the sample's qualities, among texts
-    that the base rules pass (mean of both hit rates; in the middle of the gap).
-    Tasks add up their counts, so what is shuffled is at most 65,536 rows a task
-    and what the driver gets is 65,536 rows. Without labels of both kinds the
-    threshold is minus infinity.
+    The raw counts cover all rows of ``docs``, the target all rows with quality 1. The threshold is
+    the one that best parts all rows with a label, among texts that the base rules pass (mean of both
+    hit rates; in the middle of the gap); it is read off counts of scores in steps of 0.0001. Without
+    labels of both kinds it is minus infinity.
+
+    An id labelled twice has the lower quality; null ids and qualities, and labels without a
+    document, count for nothing. Rows that repeat an id count one by one.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    judged = (
+    judged = stage(
         labels.select(F.col(doc_id).alias("judged"), F.col(quality).alias("quality"))
         .filter("judged IS NOT NULL AND quality IN (0, 1)")
         .groupBy("judged")
-        .agg(F.min("quality").alias("quality"))
+        .agg(F.min("quality").cast("int").alias("quality")),
+        "judged",
     )
-    chosen = F.broadcast(sample(judged, most_labelled, F.col("judged")))
-    flagged = rows.join(chosen, F.col("id") == F.col("judged"), "left")
-    counted = (
-        flagged.select("text", (F.coalesce("quality", F.lit(0)) == 1).alias("trusted"))
-        .mapInPandas(_count, "cell int, raw bigint, target bigint")
-        .groupBy("cell")
-        .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-        .toPandas()
-    )
-    totals = np.zeros((2, 1 << BITS))
-    totals[0, counted["cell"]], totals[1, counted["cell"]] = counted["raw"], counted["target"]
+    totals = np.stack([counted(rows), counted(labelled(rows, judged.filter("quality = 1")))])
     shares = (totals + SMOOTHING) / (totals.sum(axis=1, keepdims=True) + SMOOTHING * (1 << BITS))
     weights = np.log(shares[1]) - np.log(shares[0])
-    sampled = rows.join(chosen, F.col("id") == F.col("judged")).select("id", "quality", "text")
-    scored = _scored(sampled, weights, "quality int").filter(~F.col("base_failed")).select("quality", "score").toPandas()
-    return weights, threshold(scored["score"].to_numpy(float), scored["quality"].to_numpy(int))
+    passed = _scored(labelled(rows, judged), weights, "quality int").filter(~F.col("base_failed"))
+    steps = passed.groupBy(F.round(F.col("score") / STEP).alias("step"), "quality").agg(F.count("*").alias("n")).toPandas()
+    return weights, threshold(
+        steps["step"].to_numpy(float) * STEP, steps["quality"].to_numpy(int), steps["n"].to_numpy(np.int64)
+    )
 
 
-def threshold(scores: np.ndarray, good: np.ndarray) -> float:
-    """The cut with the best mean of both hit rates."""
+def threshold(scores: np.ndarray, good: np.ndarray, times: np.ndarray | None = None) -> float:
+    """The cut with the best mean of both hit rates; ``times`` says how often a score occurs."""
     if not (good == 1).any() or not (good == 0).any():
         return -np.inf
     order = np.argsort(scores, kind="stable")
     s, g = scores[order], good[order]
-    lost = np.cumsum(g == 1) / (g == 1).sum()
-    caught = np.cumsum(g == 0) / (g == 0).sum()
+    n = np.ones(len(s)) if times is None else times[order].astype(float)
+    lost = np.cumsum(n * (g == 1)) / n[g == 1].sum()
+    caught = np.cumsum(n * (g == 0)) / n[g == 0].sum()
     ends = np.flatnonzero(np.append(s[1:] > s[:-1], True))
     best = ends[np.argmax((caught - lost)[ends])]
     if caught[best] <= lost[best]:

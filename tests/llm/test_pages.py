@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -115,7 +116,7 @@ STORY = (
 
 def test_leaf_blocks():
     blocks = leaf_blocks(PAGE % ("<article>", "</article>"))
-    assert [b.text for b in blocks if "article" in b.tags and b.tags[-1] == "p"] == [
+    assert [b.text for b in blocks if "article" in b.inside and b.tag == "p"] == [
         "The first bold words, and more of them — plainly said.",
         "Unclosed one, with a break. It goes on.",
     ]
@@ -171,3 +172,56 @@ def test_main_text_edges(spark, field):
     assert all(r.n_chars == len(r.text) for r in got)
     assert main_text.extract(pages.limit(0), field).count() == 0
     assert main_text.train(pages.limit(0)).index
+
+
+BAD = {
+    "nested": "<div>x",
+    "nested with classes": '<div class="a{i} b{i}">x',
+    "own elements": "<x-{i}>x",
+    "open ends": "</b",
+    "open quotes": '<a x="',
+    "quoted ends": '<a "b>c"',
+    "end tags without a start": "</p>",
+    "list items": "<li></li>",
+    "comments": "<!--",
+    "less than": "<",
+}
+
+
+@pytest.mark.parametrize("piece", list(BAD), ids=str)
+@pytest.mark.parametrize("start", ["", "<div>" * 5000, "<li>" + "<ul>" + "<div>" * 5000])
+def test_bad_pages_take_linear_time(piece, start):
+    size = 1_000_000
+    parts, length, i = [start], 0, 0
+    while length < size:
+        parts.append(BAD[piece].replace("{i}", str(i)))
+        length += len(parts[-1])
+        i += 1
+    begin = time.process_time()
+    blocks = leaf_blocks("".join(parts), main_text.KNOWN)
+    assert time.process_time() - begin < 20
+    assert len(blocks) <= i + 1
+
+
+def test_tail_of_a_page_is_text():
+    assert [b.text for b in leaf_blocks("<p>one</p> two < three </b")] == ["one", "two < three </b"]
+    assert [b.text for b in leaf_blocks("<p>one</p> two <!-- not this")] == ["one", "two"]
+    assert [b.text for b in leaf_blocks("no tags")] == ["no tags"]
+    assert leaf_blocks("") == [] == leaf_blocks("<!-- <p>x</p>")
+
+
+def test_long_chains_are_learned_to_their_end(spark):
+    """What follows an article of more than 400 blocks is told from it, though it looks the same."""
+    page = "<article>" + "<p>It is, as said, a line of text.</p>" * 500 + '</article><div class="zzz"><p>It is, as said, a line.</p></div>'
+    pages = spark.createDataFrame([(i, "u", page + f"<!-- {i} -->") for i in range(30)], "page_id long, url string, html string")
+    field = main_text.train(pages)
+    assert "name:zzz" in field.index
+
+
+def test_one_id_on_most_pages_does_not_pass_the_bound(spark):
+    rows = [(1, f"<article><p>Page {i} is a page, no more.</p></article>") for i in range(400)] + [(2, "<main><p>x</p></main>")] * 400
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    from ledgerlark.llm.labelled import sample
+
+    assert 5 < sample(pages, 40, F.col("page_id"), F.col("html")).count() <= 80
+    assert sample(pages, 2000, F.col("page_id"), F.col("html")).count() == 401

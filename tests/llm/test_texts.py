@@ -339,3 +339,33 @@ def test_context_tree_in_many_blocks_and_parts(table, monkeypatch):
     assert [r[:5] for r in whole] == [r[:5] for r in again]
     assert np.allclose([r[5:] for r in whole], [r[5:] for r in again])
     assert context_tree.score(docs.limit(0)).count() == 0
+
+
+def test_threshold_of_counted_scores():
+    scores, good = np.array([0.0, 1.0, 3.0, 4.0]), np.array([0, 1, 0, 1])
+    times = np.array([5, 1, 1, 7])
+    spread = np.repeat(np.arange(4), times)
+    assert quality_rules.threshold(scores, good, times) == quality_rules.threshold(scores[spread], good[spread])
+
+
+def test_one_id_on_most_rows_does_not_fill_the_driver(spark):
+    """A trusted id with a third of the rows: the fit holds no more rows than the bound."""
+    rows = [(1, f"text number {i} of one id") for i in range(900)] + [(i, f"other text {i}") for i in range(2, 1800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    seen = []
+    old = quality_classifier.Model
+    try:
+        quality_classifier.Model = lambda positive, unlabelled, *_: seen.append((len(positive), len(unlabelled)))
+        quality_classifier.train(docs, labels, most_positive=50, most_unlabelled=80)
+    finally:
+        quality_classifier.Model = old
+    assert 10 < seen[0][0] <= 100 and 30 < seen[0][1] <= 150
+
+
+def test_moments_cover_all_rows(spark):
+    texts = [f"Text {i}, with {i % 7} words!" * (i % 5) for i in range(200)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    mean, spread = quality_classifier.moments(rows)
+    found = quality_classifier.features(texts).astype(float)
+    assert np.allclose(mean, found.mean(axis=0), rtol=1e-5) and np.allclose(spread, found.std(axis=0), atol=1e-4)
