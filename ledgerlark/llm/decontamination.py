@@ -76,7 +76,6 @@ def scan(
     sizes = {row["length"]: row["count"] for row in windows.groupBy("length").count().collect()}
     lengths = sorted(sizes) or [window]
     few = sum(sizes.values()) <= most_broadcast
-    windows = F.broadcast(windows) if few else windows.hint("merge")
     rows = docs.select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("text_words"))
     rows = rows.select("doc_id", F.size("text_words").alias("n_words"), F.xxhash64("text_words").alias("words_hash"), "text_words")
     spots = rows.select("*", F.posexplode_outer("text_words").alias("at", "word"))
@@ -88,6 +87,9 @@ def scan(
     fits = F.col("at") + F.col("span") <= F.col("n_words")
     part = F.slice("text_words", F.col("at") + 1, F.col("span"))
     spots = spots.filter(fits | first).withColumn("window_hash", F.when(fits, F.xxhash64(part)))
+    if not few:
+        return _covered(_by_shuffle(rows, spots.filter(fits).withColumn("hash", F.xxhash64(part)), windows))
+    windows = F.broadcast(windows)
     same = (F.col("window_hash") == F.col("hash")) & (part == F.col("words"))
     found = (
         spots.join(windows, same, "left")
@@ -104,6 +106,40 @@ def scan(
     grouped = found.groupBy("doc_id", "words_hash", "n_words").agg(
         F.sum("first").alias("copies"), F.collect_set("spot").alias("spots"), F.collect_set("items").alias("found")
     )
+    return _covered(grouped)
+
+
+def _by_shuffle(rows: DataFrame, spots: DataFrame, windows: DataFrame) -> DataFrame:
+    """Windows that are too many to be sent to the texts.
+
+    Hashes of spots meet hashes of windows first; no text crosses a shuffle for each of its words. Then
+    the texts that have such spots meet them once, and the few words of each are compared.
+    """
+    near = (
+        spots.select("doc_id", "words_hash", "at", "span", "hash")
+        .join(windows.select("hash").distinct().hint("merge"), "hash", "left_semi")
+        .groupBy(F.col("doc_id").alias("near_id"), F.col("words_hash").alias("near_hash"))
+        .agg(F.collect_set(F.struct("at", "span")).alias("near"))
+    )
+    mine = (F.col("words_hash") == F.col("near_hash")) & F.col("doc_id").eqNullSafe(F.col("near_id"))
+    maybe = (
+        rows.join(near, mine)
+        .select("doc_id", "words_hash", "text_words", F.explode("near").alias("s"))
+        .select("doc_id", "words_hash", "s", F.slice("text_words", F.col("s.at") + 1, F.col("s.span")).alias("part"))
+    )
+    hits = (
+        maybe.withColumn("part_hash", F.xxhash64("part"))
+        .join(windows, (F.col("part_hash") == F.col("hash")) & (F.col("part") == F.col("words")))
+        .groupBy(F.col("doc_id").alias("near_id"), F.col("words_hash").alias("near_hash"))
+        .agg(F.collect_set("s").alias("spots"), F.collect_set("items").alias("found"))
+    )
+    every = rows.groupBy("doc_id", "words_hash", "n_words").agg(F.count("*").cast("long").alias("copies"))
+    joined = every.join(hits, mine, "left")
+    empty = {name: F.array().cast(hits.schema[name].dataType) for name in ("spots", "found")}
+    return joined.withColumns({name: F.coalesce(name, none) for name, none in empty.items()})
+
+
+def _covered(grouped: DataFrame) -> DataFrame:
     covered = F.transform("spots", lambda s: F.sequence(s["at"], s["at"] + s["span"] - 1))
     return grouped.select(
         "doc_id",

@@ -184,6 +184,63 @@ def mix(
     source of their own; a null id is a value like any other; repeated rows
     count one by one. An empty table gives no rows. Other columns are not read.
     """
+    known, pieces = _dealt(docs, doc_id, text, source, weights, share, repeats, block_tokens, seed)
+    row = ["source_no", "start", "shuffled", "doc_id", "source", "size", "source_size", "target"]
+    taken = pieces.groupBy(*row).agg(
+        F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0)).cast("long").alias("taken")
+    )
+    columns = ["doc_id", "shuffled", "size", "source", "source_size", "target", "taken"]
+    unread = known.filter(F.col("size") == 0).withColumn("taken", F.lit(0).cast("long"))
+    return taken.select(columns).unionByName(unread.select(columns))
+
+
+def mixed(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights=(5, 2, 1),
+    share: Fraction = Fraction(3, 2),
+    repeats: int = 2,
+    block_tokens: int = 1024,
+    seed: str = "mix",
+) -> DataFrame:
+    """The mix itself, to be read in the order of ``slot`` and ``at``.
+
+    One row per stretch of a document in a block: ``slot`` (from 0, without gaps), ``source``, ``block``
+    (of the source), ``at`` (where in the block the stretch starts), ``doc_id``, ``shuffled``, ``first`` (number of
+    its first word in the document), ``words`` (how many) and ``text`` (those words, joined by a space). A
+    block has ``block_tokens`` words, the last one of a source what is left of its target.
+
+    The words of a row's stretches add up to what ``mix`` says it takes; nulls, copies and empty tables are as there.
+    """
+    _, pieces = _dealt(docs, doc_id, text, source, weights, share, repeats, block_tokens, seed)
+    begin = F.greatest(F.col("begin"), F.col("block") * block_tokens)
+    spans = pieces.filter((F.col("words") > 0) & F.col("slot").isNotNull()).select(
+        "slot",
+        "source",
+        "block",
+        (begin - F.col("block") * block_tokens).cast("int").alias("at"),
+        "doc_id",
+        "shuffled",
+        (begin - F.col("begin")).cast("long").alias("first"),
+        F.col("words").cast("long").alias("words"),
+    )
+    # Rows equal in id, source and text have one key and one text.
+    texts = docs.select(
+        shuffle_key(F.col(doc_id), F.col(text), seed).alias("key"),
+        F.col(source).alias("of"),
+        F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)).alias("every"),
+    ).dropDuplicates(["key", "of"])
+    named = spans.join(texts, (F.col("shuffled") == F.col("key")) & F.col("source").eqNullSafe(F.col("of")))
+    cut = F.slice("every", (F.col("first") + 1).cast("int"), F.col("words").cast("int"))
+    return named.select(*spans.columns, F.array_join(cut, " ").alias("text"))
+
+
+def _dealt(
+    docs: DataFrame, doc_id: str, text: str, source: str, weights, share: Fraction, repeats: int, block_tokens: int, seed: str
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with their source's target, and the stretches of those with words in blocks that have a slot."""
     narrow = stage(
         docs.select(
             F.col(doc_id).alias("doc_id"),
@@ -225,15 +282,7 @@ def mix(
         )
     )
     dealt = schedule(plan, block_tokens)
-    row = ["source_no", "start", "shuffled", "doc_id", "source", "size", "source_size", "target"]
-    taken = (
-        pieces.join(dealt.hint("merge"), ["source_no", "block"], "left")
-        .groupBy(*row)
-        .agg(F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0)).cast("long").alias("taken"))
-    )
-    columns = ["doc_id", "shuffled", "size", "source", "source_size", "target", "taken"]
-    unread = known.filter(F.col("size") == 0).withColumn("taken", F.lit(0).cast("long"))
-    return taken.select(columns).unionByName(unread.select(columns))
+    return known, pieces.join(dealt.hint("merge"), ["source_no", "block"], "left")
 
 
 def apply_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:

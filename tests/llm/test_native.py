@@ -143,3 +143,40 @@ def test_decontamination_edges(spark, table):
     assert {r.doc_id: r.text for r in dc.remove_spans(docs, bench).collect()} == {1: "Zero last.", 2: "clean text", None: None}
     assert dc.report(docs.limit(0), bench).count() == 0
     assert not any(r.contaminated for r in dc.report(docs, bench.limit(0)).collect())
+
+
+def test_mixed_stretches_are_the_mix(spark, table):
+    draw = random.Random(8)
+    rows = [(i, " ".join(f"w{i}-{k}" for k in range(draw.randrange(40))), draw.choice(["a", "a", "b", "c", None])) for i in range(80)]
+    rows += [(7, "x y z", "b"), (7, "x y z", "b"), (None, "n o", "a"), (200, None, "a"), (201, "", "z")]
+    docs = table(*rows)
+    found = mixing.mixed(docs, block_tokens=16).orderBy("slot", "at").collect()
+    taken = Counter()
+    blocks = {}
+    for r in found:
+        taken[r.doc_id, r.source] += r.words
+        blocks.setdefault((r.slot, r.source, r.block), []).append(r)
+        assert len(r.text.split(" ")) == r.words
+    wanted = Counter()
+    for r in mixing.mix(docs, block_tokens=16).collect():
+        wanted[r.doc_id, r.source] += r.taken
+    assert +taken == +wanted
+    assert sorted(slot for slot, _, _ in blocks) == list(range(len(blocks)))
+    texts = {}
+    for i, text, source in rows:
+        texts.setdefault((i, source), set()).add(text)
+    last = {source: max(b for _, s, b in blocks if s == source) for _, source, _ in blocks}
+    for (_, source, block), stretches in blocks.items():
+        # Stretches fill a block without gaps; only the last block of a source may be short.
+        assert [r.at for r in stretches] == [sum(o.words for o in stretches[:k]) for k in range(len(stretches))]
+        assert sum(r.words for r in stretches) == 16 or block == last[source]
+        for r in stretches:
+            assert any((t or "").split()[r["first"] : r["first"] + r.words] == r.text.split(" ") for t in texts[r.doc_id, r.source])
+    assert mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_large_decontamination_moves_no_text_per_word(spark, table):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    plan = dc.report(table((1, "a b c", "s")), bench, most_broadcast=0)._jdf.queryExecution().optimizedPlan().toString()
+    generates = [line for line in plan.split("\n") if "posexplode" in line.lower()]
+    assert generates and "Join LeftSemi" in plan
