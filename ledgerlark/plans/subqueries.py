@@ -10,6 +10,7 @@ from ledgerlark.functions.money import hundredths, number, total, units, wide
 from ledgerlark.operators.lookups import equal_to_least, not_above_any, with_match_count
 from ledgerlark.operators.topk import top_n, top_n_with_ties
 from ledgerlark.plans.registry import plan
+from ledgerlark.session import stage
 from ledgerlark.tables import Warehouse
 
 
@@ -218,12 +219,12 @@ def _report_lines(w: Warehouse, suppliers: Column, same_day: Column) -> DataFram
 
     The suppliers' lines are cut out before they meet orders (a condition on
     the key reaches their scan) and summed up before the customers' totals are
-    looked up; only totals of customers that are left are computed.
+    looked up; only totals of customers that are left are computed. The few sums
+    are stored, since all later steps start from them.
     """
-    lines = (
+    lines = stage(
         w.lineitem.join(w.supplier.filter(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .filter(same_day)
+        .join(w.orders, (F.col("l_orderkey") == F.col("o_orderkey")) & same_day)
         .join(w.customer, F.col("o_custkey") == F.col("c_custkey"))
         .filter(F.col("s_nationkey") != F.col("c_nationkey"))
         .groupBy("o_custkey", "l_partkey")
@@ -231,7 +232,8 @@ def _report_lines(w: Warehouse, suppliers: Column, same_day: Column) -> DataFram
             total("l_extendedprice").alias("price"),
             total("l_quantity").alias("quantity"),
             F.count("o_orderkey").alias("orders"),
-        )
+        ),
+        "report-lines",
     )
     mine = w.orders.join(lines.select("o_custkey").distinct(), "o_custkey", "left_semi")
     good = (
@@ -240,7 +242,7 @@ def _report_lines(w: Warehouse, suppliers: Column, same_day: Column) -> DataFram
         .agg(total("l_extendedprice").alias("total"))
         .filter(units("total") > GOOD_CUSTOMER)
     )
-    return lines.join(good, "o_custkey", "left_semi")
+    return stage(lines.join(good, "o_custkey", "left_semi"), "report-lines")
 
 
 RAW_JOINS = "JOIN orders trans ON trans.o_custkey = o.o_custkey JOIN lineitem moves ON moves.l_partkey = det.l_partkey"

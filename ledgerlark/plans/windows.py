@@ -263,10 +263,11 @@ def last_customer_per_salesperson(w: Warehouse) -> DataFrame:
     """Customer, day and amount of every supplier's latest deal.
 
     Lines are shuffled once: summing by supplier and order can use the
-    partitions that the join on the order left.
+    partitions that the join on the order left. The hint keeps Spark from sending
+    the orders to the lines instead, which leaves the sums where the lines were read.
     """
     deals = (
-        w.lineitem.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        w.lineitem.join(w.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_suppkey", "o_custkey", "o_orderdate", "o_orderkey")
         .agg(total("l_extendedprice").alias("amount"))
     )
@@ -300,7 +301,7 @@ TOP2_SQL = """
 
 def _bought(w: Warehouse, lines: DataFrame, price: str) -> DataFrame:
     """Lines with the buyer and the day of the order."""
-    return lines.join(w.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.join(w.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         "o_custkey", *LINE_TIES, price, "o_orderdate"
     )
 
