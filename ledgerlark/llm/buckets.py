@@ -6,17 +6,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, mix64
+from ledgerlark.llm.bitmarks import marked, often, short_key
 from ledgerlark.llm.components import components
 from ledgerlark.session import stage, unstage
 
 # Nodes that are broadcast at most, 16 bytes each; beyond it Spark joins by shuffle.
 MOST_BROADCAST = 2_000_000
 # Hash slots that elements are counted by, four bytes each in every task; the counts only order the elements.
-COUNTERS = 1 << 22
+COUNTERS = 1 << 21
 # Rows of an element's group that meet in one key of the join.
 BLOCK = 500
 # Buckets of so many rows are compared pair by pair: at most 15 pairs a row.
@@ -31,13 +33,34 @@ FACT_TYPES = "n long, heavy double, " + ", ".join(f"{c} long" for c in ODD)
 Elements = Callable[[pd.DataFrame], Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def crowded(spread: DataFrame) -> DataFrame:
-    """Rows of ``spread`` (``t``, ``bucket``) whose bucket has several nodes.
+def _values(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).flatten().to_numpy(zero_copy_only=False).view(U64)
+
+
+def _shared(marks):
+    """Nodes with those of their band values whose bits are set."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column(1)
+            found = bands.flatten()
+            owner = np.repeat(np.arange(len(bands)), bands.value_lengths().fill_null(0).to_numpy())
+            good = marked(marks.value, short_key(found.to_numpy(zero_copy_only=False).view(U64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[good])), found.filter(pa.array(good))], ["t", "bucket"])
+
+    return keep
+
+
+def crowded(signed: DataFrame) -> DataFrame:
+    """The buckets (``t``, ``bucket``) of ``signed`` (``t``, ``bands``) that have several nodes.
 
     Adds ``center``, the smallest node of the bucket, and ``rows``, how many
-    rows it has. Buckets are found by an aggregate with partial results and
+    rows it has. Most buckets have one row: sorted runs of short keys find those that may have more, so
+    that only they are shuffled. Buckets are then found by an aggregate with partial results and
     their rows by a join that Spark can split, so a bucket may have most rows.
     """
+    marks = often(signed.select("bands"), _values, 2)
+    spread = signed.select("t", "bands").mapInArrow(_shared(marks), f"t {signed.schema['t'].dataType.simpleString()}, bucket bigint")
     shared = (
         spread.groupBy("bucket")
         .agg(F.min("t").alias("center"), F.max("t").alias("other"), F.count("*").alias("rows"))

@@ -28,6 +28,8 @@ CHARS = 8
 SIMILARITY = 0.8
 # A pair at the threshold shares none of the bands with probability 0.005.
 BANDS, ROWS = 10, 4
+# Rounds of cheap comparisons in large buckets, before all that is left is compared.
+ROUNDS = 2
 SLICE_CHARS = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
@@ -204,8 +206,7 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     signed = stage(
         rows.mapInPandas(_sign, f"id {kind}, t bigint, place int, line bigint, bands array<bigint>"), "lines"
     )
-    spread = signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), F.explode("bands").alias("bucket"))
-    shared = crowded(spread)
+    shared = crowded(signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), "bands"))
     wanted = stage(shared.select("t").distinct(), "candidates")
     # Bits of the hashes let a task drop most other lines; the join drops the rest.
     lines = rows.select("text").mapInPandas(_texts(marks_of(wanted, "t")), "t bigint, line string")
@@ -217,7 +218,7 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         two = kept.select(F.col("t").alias("b"), F.col("line").alias("line_b"))
         return pairs.join(one, "a").join(two, "b").mapInPandas(_verify, "a bigint, b bigint")
 
-    labels = settle(shared, verify, kept, known, _elements, SIMILARITY).withColumnRenamed("node", "line")
+    labels = settle(shared, verify, kept, known, _elements, SIMILARITY, ROUNDS).withColumnRenamed("node", "line")
     unstage(shared, wanted, kept, known)
     spots = signed.filter("place >= 0").select("id", "t", "place", "line")
     named = stage(

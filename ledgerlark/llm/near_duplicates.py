@@ -165,8 +165,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
         ),
         "texts",
     )
-    spread = members.select("t", F.explode("bands").alias("bucket"))
-    rows_of = crowded(spread)
+    rows_of = crowded(members)
     wanted = nodes_of(rows_of)
     first = texts.select(F.col("t").alias("of"), "first")
     near = rows.join(wanted, "t").select("id", "t", "text")

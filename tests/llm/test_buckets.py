@@ -31,7 +31,7 @@ def linked(labels):
 def test_twins_in_one_bucket_meet(spark, rounds):
     texts = family(random.Random(5), 600, 40)
     rows = spark.createDataFrame([(i * 7919 % 1_000_003, " ".join(words)) for i, words in enumerate(texts)], "t bigint, line string")
-    spread = rows.select("t", F.lit(1).cast("long").alias("bucket"))
+    spread = rows.select("t", F.array(F.lit(1).cast("long")).alias("bands"))
     want = sorted(tuple(sorted((i * 7919 % 1_000_003, (600 + i) * 7919 % 1_000_003))) for i in range(40))
 
     def verify(pairs):
@@ -85,6 +85,6 @@ def test_weights_and_sizes_against_all_pairs(spark, width):
     want = sorted(tuple(sorted(group)) for group in groups.values() if len(group) > 1)
     links = lambda pairs: near_duplicates._links(pairs, sketches)
     sets, known = sketches.select("t", "e", "w"), sketches.select("t", *FACTS)
-    spread = rows.select("t", F.floor(F.col("t") / width).alias("bucket"))
+    spread = rows.select("t", F.array(F.xxhash64(F.floor(F.col("t") / width))).alias("bands"))
     found = settle(crowded(spread), links, sets, known, near_duplicates._elements, near_duplicates.SIMILARITY, 1, True)
     assert linked(found) == want and len(want) > 20
