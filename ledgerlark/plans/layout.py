@@ -16,7 +16,7 @@ from ledgerlark.sources.catalog import empty_like, ensure_table
 from ledgerlark.sources.probes import probe, write_for_probes
 from ledgerlark.tables import Warehouse
 
-# A separator of several characters that no value contains.
+# Fixed value: the separator of the exchange format, which no value contains.
 WIDE_SEPARATOR = "@eu&$"
 
 YEARS = year_starts(1995, 2002)

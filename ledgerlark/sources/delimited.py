@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.session import stage
+from ledgerlark.sources.ranges import records
 
 NULL_MARK = "\\N"
 BAD_LINE = "bad_line"
 
-# A quoted value may hold a line end, and a UTF-16 file cannot be cut at an
-# arbitrary byte, so one task reads one file from its start; exports are
-# therefore cut into files of bounded length.
+# A quoted value may hold a line end, so one task reads one file from its start
+# unless the caller lets it be cut; exports are therefore cut into files of
+# bounded length.
 ROWS_PER_FILE = 1_000_000
 
 
@@ -54,21 +55,25 @@ def export(df: DataFrame, path: str, separator: str = "|", encoding: str = "UTF-
     )
 
 
-def _reader(spark: SparkSession, schema: T.StructType, separator: str, encoding: str, cut_files: bool):
+def _rows(
+    spark: SparkSession, path: str, schema: T.StructType, separator: str, encoding: str, cut_files: bool, **mode: str
+) -> DataFrame:
+    options = {
+        "sep": separator,
+        "lineSep": "\n",
+        "nullValue": NULL_MARK,
+        "quote": '"',
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+        **mode,
+    }
     if cut_files and encoding.upper().startswith(("UTF-16", "UTF-32", "UTF16", "UTF32")):
-        raise ValueError("files of wide characters cannot be cut")
-    return (
-        spark.read.schema(schema)
-        .option("sep", separator)
-        .option("encoding", encoding)
-        .option("lineSep", "\n")
-        .option("nullValue", NULL_MARK)
-        .option("multiLine", not cut_files)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parsed = F.from_csv("record", ddl, {**options, "multiLine": "true"})
+        return records(spark, path, encoding).select(parsed.alias("row")).select("row.*")
+    reader = spark.read.schema(schema).option("encoding", encoding).option("multiLine", not cut_files)
+    return reader.options(**options).csv(path)
 
 
 def load(
@@ -81,10 +86,11 @@ def load(
 ) -> DataFrame:
     """Load strictly: the first line that does not fit stops the job.
 
-    ``cut_files`` lets many tasks share a large file of narrow characters in
-    which no value holds a line end.
+    ``cut_files`` lets many tasks share a large file. One of narrow characters is read
+    line by line then, so no value may hold a line end; one of wide characters is read in
+    byte ranges, where values may hold line ends.
     """
-    return _unmarked(_reader(spark, schema, separator, encoding, cut_files).option("mode", "FAILFAST").csv(path))
+    return _unmarked(_rows(spark, path, schema, separator, encoding, cut_files, mode="FAILFAST"))
 
 
 def load_with_quarantine(
@@ -100,13 +106,8 @@ def load_with_quarantine(
     The text is parsed once; both results read the stored outcome.
     """
     wide = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
-    rows = stage(
-        _reader(spark, wide, separator, encoding, cut_files)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_LINE)
-        .csv(path),
-        "parsed-text",
-    )
+    permissive = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    rows = stage(_rows(spark, path, wide, separator, encoding, cut_files, **permissive), "parsed-text")
     good = _unmarked(rows.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE))
     bad = rows.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
     return good, bad

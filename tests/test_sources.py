@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,8 +97,58 @@ def test_large_narrow_file_is_shared_by_tasks(spark, tmp_path):
         assert cut.agg(F.sum("id")).head()[0] == 19_999 * 10_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.fixture
+def small_ranges(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3001")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-16BE"])
+def test_wide_file_is_shared_by_tasks(spark, tmp_path, rows, small_ranges, encoding):
+    """Values with line ends, quotes, separators and long texts, cut anywhere."""
+    draw = random.Random(1)
+    notes = ["", None, "a\nb", '"', 'x"\n"y', "|", "\\N", "\n\n\n", " Чашка 😀 ", "long \n" * 700, "plain"]
+    data = [(i, draw.choice(notes), draw.choice(notes)) for i in range(700)]
+    df = spark.createDataFrame(data, SCHEMA)
+    path = str(tmp_path / "out")
+    delimited.export(df.coalesce(1), path, encoding=encoding)
+    cut = delimited.load(spark, path, SCHEMA, encoding=encoding, cut_files=True)
+    lines = spark.read.option("encoding", encoding).option("lineSep", "\n").text(path)
+    assert lines.rdd.getNumPartitions() > 8
+    assert rows(cut) == rows(df) == rows(delimited.load(spark, path, SCHEMA, encoding=encoding))
+
+
+def test_quarantine_of_a_cut_file_is_that_of_a_whole_one(spark, tmp_path, rows, small_ranges):
+    path = tmp_path / "in.txt"
+    lines = [f"{i}|name {i}|note" for i in range(600)]
+    for at, bad in ((50, "x|not a number|n"), (300, "1|too|many|parts"), (301, ""), (450, "77"), (599, '5|"open value|n')):
+        lines[at] = bad
+    lines[200] = '200|"two\nlines ""quoted"""|n'
+    path.write_bytes(("\ufeff" + "\n".join(lines) + "\n").encode("utf-16-le"))
+    whole = delimited.load_with_quarantine(spark, str(path), SCHEMA)
+    cut = delimited.load_with_quarantine(spark, str(path), SCHEMA, cut_files=True)
+    # A whole file keeps the mark of the byte order in its first value; a cut one drops it.
+    good = [r for r in rows(cut[0]) if r[0] != 0]
+    assert good == [r for r in rows(whole[0]) if r[0] != 0] and len(good) == 594
+    assert (0, "name 0", "note") in rows(cut[0])
+    named = sorted(r[0].rstrip("\n") for r in rows(cut[1]))
+    assert named == sorted(r[0].rstrip("\n") for r in rows(whole[1]) if "name 0" not in r[0])
+
+
+def test_line_ends_inside_characters_are_refused(spark, tmp_path, small_ranges):
+    path = tmp_path / "in.txt"
+    path.write_bytes("".join(f"{i}|\u0a05\u0100|n\n" for i in range(300)).encode("utf-16-le"))
+    with pytest.raises(ValueError):
+        delimited.load(spark, str(path), SCHEMA, cut_files=True)
     with pytest.raises(ValueError):
-        delimited.load(spark, path, SCHEMA, cut_files=True)
+        delimited.load(spark, str(path), SCHEMA, encoding="UTF-16", cut_files=True)
+    empty = tmp_path / "empty.txt"
+    empty.write_bytes(b"")
+    assert delimited.load(spark, str(empty), SCHEMA, cut_files=True).count() == 0
 
 
 def test_reconcile(spark, rows):
