@@ -20,7 +20,11 @@ FUNCTIONS = [
     """
     purchases() RETURNS TABLE (custkey BIGINT, hundredths BIGINT)
     RETURN SELECT o_custkey, sum(amount) FROM orders JOIN (
-        SELECT l_orderkey, sum(CAST(rint(l_extendedprice * 100) AS BIGINT)) AS amount FROM lineitem GROUP BY l_orderkey)
+        SELECT l_orderkey, sum(CASE
+            WHEN abs(l_extendedprice * 100 - rint(l_extendedprice * 100)) > 1e-5 + abs(l_extendedprice * 100) * 1e-15
+            THEN CAST(raise_error('a value has more than 2 decimals') AS BIGINT)
+            ELSE CAST(rint(l_extendedprice * 100) AS BIGINT) END) AS amount
+        FROM lineitem GROUP BY l_orderkey)
         ON l_orderkey = o_orderkey GROUP BY o_custkey
     """,
     """

@@ -73,6 +73,15 @@ def query_export_roundtrip(w: Warehouse) -> DataFrame:
     return _line_report(delimited.load(w.spark, path, lines.schema, WIDE_SEPARATOR))
 
 
+@plan("wide_file_in_ranges", LINES_SQL)
+def wide_file_in_ranges(w: Warehouse) -> DataFrame:
+    """The same with files of wide characters that many tasks share."""
+    lines = lines_with_day(w)
+    path = scratch(w.spark, "lines-text")
+    delimited.export(lines, path)
+    return _line_report(delimited.load(w.spark, path, lines.schema, cut_files=True))
+
+
 @plan(
     "bulk_load_quarantine",
     """
