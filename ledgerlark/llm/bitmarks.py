@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.arrays import U64
 
 MARKS = 1 << 26
+# Words of 64 bits that are gathered in one row.
+PIECE = 1 << 13
 # Bits of a hash that keys are counted by.
 KEY_BITS = 40
 # Keys that a task gathers before it sends them on.
@@ -31,9 +33,23 @@ def marks_of(keys: DataFrame, key: str):
 
 
 def _sent(bits: DataFrame):
-    found = bits.groupBy("place").agg(F.bit_or("bits").alias("bits")).toPandas()
+    """All bits (``place``, ``bits``) as one array; the driver gets them in pieces of 64 KB."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place, found = (batch.column(i).to_numpy() for i in range(2))
+            for piece in np.unique(place // PIECE).tolist():
+                mine = place // PIECE == piece
+                held = pieces.setdefault(piece, np.zeros(PIECE, U64))
+                np.bitwise_or.at(held, place[mine] % PIECE, found[mine].view(U64))
+        columns = [pa.array(list(pieces), pa.int64()), pa.array([held.tobytes() for held in pieces.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["piece", "held"])
+
+    dealt = bits.repartition(F.floor(F.col("place") / PIECE))
     marks = np.zeros(MARKS // 64, U64)
-    marks[found["place"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(U64)
+    for row in dealt.mapInArrow(gather, "piece long, held binary").collect():
+        marks[row["piece"] * PIECE : (row["piece"] + 1) * PIECE] |= np.frombuffer(row["held"], U64)
     return bits.sparkSession.sparkContext.broadcast(marks)
 
 
