@@ -70,3 +70,22 @@ def test_empty_corpus(spark, folder):
     for _, step in corpus_pipeline.STAGES:
         docs = stage(step(spark, docs, folder), "t")
         assert docs.count() == 0
+
+
+CLASHING = "doc id t hash of copy copies class_id class_t hit_id words_hash text_words shuffled chosen chosen_source size taken found".split()
+
+
+def test_columns_with_names_used_inside(spark, folder):
+    """Extra columns stay as they are, whatever they are called."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain = docs
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs, plain = stage(step(spark, docs, folder), "t"), stage(step(spark, plain, folder), "t")
+        assert docs.columns == [*plain.columns, *CLASHING], name
+        assert sorted(map(tuple, docs.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+        for extra in CLASHING:
+            assert docs.filter(~F.col(extra).eqNullSafe(F.concat(F.lit(f"{extra} of "), F.col("doc_id").cast("string")))).isEmpty()
+    placed = corpus_pipeline.assign_shards(spark, docs.withColumn("slot", F.lit("old")), folder)
+    assert placed.columns == [*plain.columns, *CLASHING, "slot", "shard"]
