@@ -97,14 +97,14 @@ def counted(texts: DataFrame) -> np.ndarray:
     return total
 
 
-def labelled(rows: DataFrame, judged: DataFrame) -> DataFrame:
-    """``quality`` and ``text`` of the rows (``id``, ``text``) with a label (``judged``, ``quality``).
+def perhaps(rows: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows (``id``, ``text``) that may have a label (``judged``), and a few others.
 
-    Bits of the ids let a task drop most other texts before the join, however many labels there are.
+    Bits of the ids let a task drop the rest, however many labels there are.
     """
     marks = marks_of(judged.select(F.xxhash64("judged").alias("key")), "key")
-    near = keep_marked(rows.withColumn("key", F.when(F.col("id").isNotNull(), F.xxhash64("id"))), "key", marks)
-    return near.join(judged, F.col("id") == F.col("judged")).select("quality", "text")
+    keyed = rows.withColumn("key", F.when(F.col("id").isNotNull(), F.xxhash64("id")))
+    return keep_marked(keyed, "key", marks).select("id", "text")
 
 
 def train(
@@ -128,10 +128,16 @@ def train(
         .agg(F.min("quality").cast("int").alias("quality")),
         "judged",
     )
-    totals = np.stack([counted(rows), counted(labelled(rows, judged.filter("quality = 1")))])
+    same = F.col("id") == F.col("judged")
+    trusted = judged.filter("quality = 1")
+    # One plan at every size: the hint keeps Spark from sending few labels to the texts.
+    totals = np.stack([counted(rows), counted(perhaps(rows, trusted).join(trusted.hint("merge"), same, "left_semi"))])
     shares = (totals + SMOOTHING) / (totals.sum(axis=1, keepdims=True) + SMOOTHING * (1 << BITS))
     weights = np.log(shares[1]) - np.log(shares[0])
-    passed = _scored(labelled(rows, judged), weights, "quality int").filter(~F.col("base_failed"))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    # Scores meet their labels, not texts.
+    scored = _scored(perhaps(rows, judged), weights, f"id {kind}").filter(~F.col("base_failed")).select("id", "score")
+    passed = scored.join(judged.hint("merge"), same)
     steps = passed.groupBy(F.round(F.col("score") / STEP).alias("step"), "quality").agg(F.count("*").alias("n")).toPandas()
     return weights, threshold(
         steps["step"].to_numpy(float) * STEP, steps["quality"].to_numpy(int), steps["n"].to_numpy(np.int64)
