@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_a_query():
-    assert [n for n in range(1, 11) if not any(name.startswith(f"op{n}_") for name in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(name.startswith(f"op{n}_") for name in QUERIES)] == []
 
 
 @pytest.mark.parametrize("name", list(SQL))
@@ -27,6 +27,7 @@ COLUMNS = {
     "op6_context_tree": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op7_main_text": "page_id url text n_chars",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op11_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
 }
 
 
