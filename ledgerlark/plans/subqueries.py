@@ -242,7 +242,7 @@ def _report_lines(w: Warehouse, suppliers: Column, same_day: Column) -> DataFram
         .agg(total("l_extendedprice").alias("total"))
         .filter(units("total") > GOOD_CUSTOMER)
     )
-    return stage(lines.join(good, "o_custkey", "left_semi"), "report-lines")
+    return lines.join(good, "o_custkey", "left_semi")
 
 
 RAW_JOINS = "JOIN orders trans ON trans.o_custkey = o.o_custkey JOIN lineitem moves ON moves.l_partkey = det.l_partkey"
@@ -257,7 +257,7 @@ def _fanout_sql(joins: str, suppliers: str, same_day: str) -> str:
 def _raw(w: Warehouse, suppliers: Column) -> DataFrame:
     """Sums inflated by joins to all transactions of the customer and all
     movements of the item. Both are read off counts; no pair is built."""
-    lines = _report_lines(w, suppliers, cal.day_gap(F.col("l_shipdate"), F.col("o_orderdate")) == 0)
+    lines = stage(_report_lines(w, suppliers, cal.day_gap(F.col("l_shipdate"), F.col("o_orderdate")) == 0), "report-lines")
     moves = w.lineitem.join(lines.select("l_partkey").distinct(), "l_partkey", "left_semi").select("l_partkey")
     deals = w.orders.join(lines.select("o_custkey").distinct(), "o_custkey", "left_semi").select("o_custkey")
     counted = with_match_count(with_match_count(lines, moves, ["l_partkey"], "moves"), deals, ["o_custkey"], "deals")
