@@ -25,13 +25,22 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], primary: bool = False) ->
 
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child keys without a parent, with the number of child rows. The child
-    shrinks to distinct keys before it meets the parent."""
-    held = child.filter(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("missing_key")).agg(
-        F.count("*").alias("child_rows")
+    """Child keys without a parent, with the number of child rows.
+
+    One aggregate over the keys of both sides: every task shrinks its rows to distinct keys
+    before the shuffle, so nothing is sorted and a key that most rows have is one row a task.
+    """
+    kind = child.schema[child_key].dataType
+    rows = child.select(F.col(child_key).alias("missing_key"), F.lit(True).alias("is_child")).unionByName(
+        parent.select(F.col(parent_key).alias("missing_key"), F.lit(False).alias("is_child"))
+    )
+    return (
+        rows.filter(F.col("missing_key").isNotNull())
+        .groupBy("missing_key")
+        .agg(F.count_if("is_child").alias("child_rows"), F.bool_and("is_child").alias("missing"))
+        .filter("missing")
+        .select(F.col("missing_key").cast(kind).alias("missing_key"), "child_rows")
     )
-    known = parent.select(F.col(parent_key).alias("missing_key"))
-    return held.join(known, "missing_key", "left_anti")
 
 
 def is_padded_or_blank(column: Column) -> Column:

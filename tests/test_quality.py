@@ -25,6 +25,30 @@ def test_orphans(spark, rows):
     assert rows(dq.orphans(child, "parent", parent, "id")) == [(7, 2)]
 
 
+def test_orphans_of_other_types_and_repeated_parents(spark, rows):
+    child = spark.createDataFrame([(1,), (7,), (7,), (8,), (None,)], "parent int")
+    parent = spark.createDataFrame([(1,), (1,), (8,), (None,), (2,)], "id bigint")
+    found = dq.orphans(child, "parent", parent, "id")
+    assert rows(found) == [(7, 2)]
+    assert found.schema.simpleString() == "struct<missing_key:int,child_rows:bigint>"
+    assert rows(dq.orphans(child, "parent", parent.limit(0), "id")) == [(1, 1), (7, 2), (8, 1)]
+
+
+def test_orphans_sort_no_rows_and_move_each_key_once_a_task(spark):
+    """Rows of the parent went to the join one by one, to be sorted there."""
+    child = spark.range(100, numPartitions=2).select(F.col("id").alias("key"))
+    parent = spark.range(100_000, numPartitions=2).select((F.col("id") % 50).alias("key"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dq.orphans(child, "key", parent, "key")
+        assert found.count() == 50
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Sort" not in plan and plan.count("HashAggregate(") == 2
+
+
 @pytest.mark.parametrize(
     ("value", "broken"),
     [("", True), ("   ", True), (" a", True), ("a ", True), ("a b", False), ("a", False), (None, False)],
