@@ -38,6 +38,13 @@ def days_since(column: Column, first: str | dt.date) -> Column:
     return column >= _midnight(_day(first))
 
 
+def micros(time: Column) -> Column:
+    """Microseconds since 1970 of a time without zone, whatever the zone of the session."""
+    day = F.unix_date(time.cast("date")).cast("bigint")
+    second = (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
+    return ((day * 24 + F.hour(time)) * 60 + F.minute(time)) * 60_000_000 + second
+
+
 def iso(day: Column) -> Column:
     """A day as text for reports."""
     return F.date_format(day, "yyyy-MM-dd")

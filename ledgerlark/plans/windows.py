@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import calendar as cal
 from ledgerlark.functions import text
-from ledgerlark.functions.money import hundredths, total, units
+from ledgerlark.functions.money import hundredths, total, units, wide
 from ledgerlark.operators.months import running_month_totals
 from ledgerlark.operators.position import tile, with_neighbours, with_position
 from ledgerlark.operators.running import with_running_sum
@@ -248,6 +250,24 @@ def item_windows(items: DataFrame, letter=None) -> DataFrame:
     )
 
 
+def _last_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """``last_order``, the last by date and number, of every ``seller`` with lines.
+
+    The greatest of a number needs one row for each supplier in memory, the greatest of a
+    struct a sort of all lines; so date and number become one number. No date is before any.
+    The hint keeps Spark from sending the orders to the lines instead.
+    """
+    time = F.coalesce(cal.micros(F.col("o_orderdate")), F.lit(-9 * 10**17))
+    place = wide(time) * F.lit(Decimal(10**20)) + wide("o_orderkey") + F.lit(Decimal(2**63))
+    dated = orders.select("o_orderkey", place.alias("place"))
+    return (
+        lines.select("l_orderkey", "l_suppkey")
+        .join(dated.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy(F.col("l_suppkey").alias("seller"))
+        .agg(F.max_by("o_orderkey", "place").alias("last_order"))
+    )
+
+
 @plan(
     "last_customer_per_salesperson",
     """
@@ -262,12 +282,17 @@ def item_windows(items: DataFrame, letter=None) -> DataFrame:
 def last_customer_per_salesperson(w: Warehouse) -> DataFrame:
     """Customer, day and amount of every supplier's latest deal.
 
-    Lines are shuffled once: summing by supplier and order can use the
-    partitions that the join on the order left. The hint keeps Spark from sending
-    the orders to the lines instead, which leaves the sums where the lines were read.
+    The number of the last order is found first, from keys and dates; only the
+    lines of these orders are summed. It is stored, so that Spark knows its size.
     """
+    last_order = stage(_last_orders(w.lineitem, w.orders), "last-orders")
+    ended = (F.col("l_suppkey") == F.col("seller")) & (F.col("l_orderkey") == F.col("last_order"))
     deals = (
-        w.lineitem.join(w.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        w.lineitem.join(last_order, ended, "left_semi")
+        .join(
+            w.orders.join(last_order, F.col("o_orderkey") == F.col("last_order"), "left_semi"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
         .groupBy("l_suppkey", "o_custkey", "o_orderdate", "o_orderkey")
         .agg(total("l_extendedprice").alias("amount"))
     )
