@@ -53,6 +53,28 @@ def _sent(bits: DataFrame):
     return bits.sparkSession.sparkContext.broadcast(marks)
 
 
+def counts_of(counted: DataFrame, slots: int):
+    """The sums of ``n`` for all ``slots`` as a broadcast array of 32 bits, where they stop; the driver gets them in pieces of 32 KB."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slot, n = (batch.column(i).to_numpy() for i in range(2))
+            for piece in np.unique(slot // PIECE).tolist():
+                mine = slot // PIECE == piece
+                held = pieces.setdefault(piece, np.zeros(PIECE, np.int64))
+                np.add.at(held, slot[mine] % PIECE, n[mine])
+        most = np.iinfo(np.int32).max
+        held = [np.minimum(n, most).astype(np.int32).tobytes() for n in pieces.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int64()), pa.array(held, pa.binary())], ["piece", "held"])
+
+    dealt = counted.select("slot", "n").repartition(F.floor(F.col("slot") / PIECE))
+    counts = np.zeros(-(-slots // PIECE) * PIECE, np.int32)
+    for row in dealt.mapInArrow(gather, "piece long, held binary").collect():
+        counts[row["piece"] * PIECE : (row["piece"] + 1) * PIECE] = np.frombuffer(row["held"], np.int32)
+    return counted.sparkSession.sparkContext.broadcast(counts[:slots])
+
+
 def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys may be in the set."""
     slot = keys & U64(MARKS - 1)

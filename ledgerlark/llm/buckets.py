@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, mix64
-from ledgerlark.llm.bitmarks import marked, often, short_key
+from ledgerlark.llm.bitmarks import counts_of, marked, often, short_key
 from ledgerlark.llm.components import components
 from ledgerlark.session import stage, unstage
 
@@ -256,11 +256,7 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
     element is one task. Nothing is capped.
     """
     near = stage(sets.join(nodes, "t"), "apart-sets")
-    counted = near.mapInPandas(_count(elements), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()
-    counts = np.zeros(COUNTERS, np.int32)
-    counts[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**31 - 1)
-    often = nodes.sparkSession.sparkContext.broadcast(counts)
+    often = counts_of(near.mapInPandas(_count(elements), "slot long, n long"), COUNTERS)
     kind = nodes.schema["t"].dataType.simpleString()
     marks = stage(
         near.mapInPandas(

@@ -3,10 +3,12 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import line_dedup, near_duplicates
+from ledgerlark.llm.bitmarks import PIECE, counts_of
 from ledgerlark.llm.buckets import FACT_TYPES, FACTS, crowded, settle
 from ledgerlark.session import stage
 
@@ -88,3 +90,16 @@ def test_weights_and_sizes_against_all_pairs(spark, width):
     spread = rows.select("t", F.array(F.xxhash64(F.floor(F.col("t") / width))).alias("bands"))
     found = settle(crowded(spread), links, sets, known, near_duplicates._elements, near_duplicates.SIMILARITY, 1, True)
     assert linked(found) == want and len(want) > 20
+
+
+def test_counts_reach_the_driver_in_pieces(spark, monkeypatch):
+    """Two million rows of slot and count took the driver some hundred megabytes."""
+    slots = 2 * PIECE + 5
+    counted = spark.createDataFrame([(0, 3), (0, 4), (PIECE, 2**31), (slots - 1, 9)], "slot long, n long").repartition(3)
+    rows = []
+    collect = type(counted).collect
+    monkeypatch.setattr(type(counted), "toPandas", lambda self: pytest.fail("all slots as rows"))
+    monkeypatch.setattr(type(counted), "collect", lambda self: rows.extend(found := collect(self)) or found)
+    counts = counts_of(counted, slots).value
+    assert len(counts) == slots and {int(i): int(counts[i]) for i in np.flatnonzero(counts)} == {0: 7, PIECE: 2**31 - 1, slots - 1: 9}
+    assert len(rows) == 3 and not counts_of(counted.limit(0), slots).value.any()
