@@ -31,6 +31,8 @@ BANDS, ROWS = 10, 4
 # Rounds of cheap comparisons in large buckets, before all that is left is compared.
 ROUNDS = 2
 SLICE_CHARS = 1_000_000
+# Bits of a run's hash that lines are compared by.
+HASH_BITS = 55
 
 _BASE = 0x9E3779B97F4A7C15
 _BORROW = 0xD1B54A32D192ED03
@@ -124,21 +126,27 @@ def _sliced(texts) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for every line, and one with place -1 for every document.
+    """A row for every line, and one with place -1 for every document, with the places of its lines.
 
     Of equal lines of a slice the first carries the bands.
     """
     for batch in batches:
         batch = batch.reset_index(drop=True)
-        yield batch[["id", "t"]].assign(place=-1, line=None, bands=None)
+        lined: list[list] = [[] for _ in range(len(batch))]
         for numbers, places, held in _sliced(batch["text"]):
             hashes = _line_hash(held)
             first = np.unique(hashes, return_index=True)[1]
             bands: list = [None] * len(held)
             for at, row in zip(first, signatures([held[i] for i in first]).view(np.int64), strict=True):
                 bands[at] = row
+            first = np.flatnonzero(np.diff(numbers, prepend=-1))
+            for number, own in zip(numbers[first].tolist(), np.split(places, first[1:]), strict=True):
+                lined[number].append(own)
             rows = batch.loc[numbers, ["id", "t"]].reset_index(drop=True)
-            yield rows.assign(place=places, line=hashes.view(np.int64), bands=bands)
+            yield rows.assign(place=places, line=hashes.view(np.int64), bands=bands, places=None)
+        yield batch[["id", "t"]].assign(
+            place=-1, line=None, bands=None, places=[np.concatenate(own) if own else [] for own in lined]
+        )
 
 
 def _texts(wanted):
@@ -155,19 +163,25 @@ def _texts(wanted):
     return find
 
 
+def _distinct(lines: list[str]) -> np.ndarray:
+    """Number of the line and 55 bits of a hash, as one ascending number, for all its runs, each once. Up to 512 lines."""
+    found, owner = runs(lines)
+    keys = np.sort(owner.astype(U64) << U64(HASH_BITS) | found >> U64(64 - HASH_BITS))
+    return keys[np.diff(keys, prepend=~keys[:1]) != 0]
+
+
+def _owner(keys: np.ndarray) -> np.ndarray:
+    return (keys >> U64(HASH_BITS)).astype(np.int64)
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for start in range(0, len(batch), 500):
             part = batch.iloc[start : start + 500]
-            n = len(part)
-            sides = []
-            for side in ("line_a", "line_b"):
-                found, owner = runs(part[side].tolist())
-                keys, first = np.unique(found + mix64(owner.astype(U64)), return_index=True)
-                sides.append((keys, owner[first]))
-            (a, of_a), (b, of_b) = sides
-            common = np.bincount(of_a[np.isin(a, b, assume_unique=True)], minlength=n)
-            union = np.bincount(of_a, minlength=n) + np.bincount(of_b, minlength=n) - common
+            a, b = _distinct(part["line_a"].tolist()), _distinct(part["line_b"].tolist())
+            both = np.sort(np.concatenate([a, b]), kind="stable")  # two ascending runs: one merge
+            common = np.bincount(_owner(both[1:][both[1:] == both[:-1]]), minlength=len(part))
+            union = np.bincount(_owner(both), minlength=len(part)) - common
             yield part.loc[common >= SIMILARITY * union, ["a", "b"]]
 
 
@@ -175,9 +189,8 @@ def _elements(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, n
     """The runs of every line, each once."""
     for start in range(0, len(batch), 500):
         part = batch.iloc[start : start + 500]
-        found, owner = runs(part["line"].tolist())
-        first = np.sort(np.unique(found + mix64(owner.astype(U64)), return_index=True)[1])
-        yield part, owner[first], found[first], np.ones(len(first), np.int64)
+        keys = _distinct(part["line"].tolist())
+        yield part, _owner(keys), keys & U64((1 << HASH_BITS) - 1), np.ones(len(keys), np.int64)
 
 
 def _known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,7 +217,7 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("id"), text_key(F.col(text)).alias("t"), F.col(text).alias("text"))
     signed = stage(
-        rows.mapInPandas(_sign, f"id {kind}, t bigint, place int, line bigint, bands array<bigint>"), "lines"
+        rows.mapInPandas(_sign, f"id {kind}, t bigint, place int, line bigint, bands array<bigint>, places array<int>"), "lines"
     )
     shared = crowded(signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), "bands"))
     wanted = stage(shared.select("t").distinct(), "candidates")
@@ -230,31 +243,30 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         .filter(~F.struct("id", "t", "place").eqNullSafe(F.col("head")))
         .select("id", "t", "place", F.struct(F.col("head.id").alias("doc_id"), F.col("head.place").alias("place")).alias("head"))
     )
-    own = F.struct(F.col("id").alias("doc_id"), F.col("place"))
-    line = F.struct("place", F.col("head").isNotNull().alias("goes"), F.coalesce("head", own).alias("kept"))
-    # Every line comes once with its own place, and once more with its head if it goes.
+    # Of a document come its row, with the places of all its lines, and its lines that go, each with what stays for it.
     found = (
-        signed.select("id", "t", "place", F.lit(None).cast(gone.schema["head"].dataType).alias("head"))
-        .unionByName(gone)
+        signed.filter("place < 0")
+        .select("id", "t", "places", F.lit(None).cast("int").alias("place"), F.lit(None).cast(gone.schema["head"].dataType).alias("head"))
+        .unionByName(gone.withColumn("places", F.lit(None).cast("array<int>")))
         .groupBy("id", "t")
         .agg(
-            F.sum((F.col("place") < 0).cast("int")).alias("copies"),
-            F.collect_set(F.when(F.col("place") >= 0, line)).alias("lines"),
+            F.count("places").alias("copies"),
+            F.first("places", ignorenulls=True).alias("places"),
+            F.collect_set(F.when(F.col("head").isNotNull(), F.struct("place", F.col("head").alias("kept")))).alias("gone"),
         )
     )
-    # False sorts before true: of a line that goes the second entry counts.
-    every = F.array_sort("lines")
-    last = F.filter(every, lambda x, i: ~F.coalesce(F.get(every, i + 1)["place"] == x["place"], F.lit(False)))
-    lost = F.filter("each", lambda x: x["goes"] | (F.col("copy") > 1))
+    # A second or later copy loses its other lines too, to the first.
+    stays = F.array_except("places", F.transform("gone", lambda x: x["place"]))
+    own = F.transform(stays, lambda p: F.struct(p.alias("place"), F.struct(F.col("id").alias("doc_id"), p.alias("place")).alias("kept")))
+    lost = F.sort_array(F.when(F.col("copy") > 1, F.concat("gone", own)).otherwise(F.col("gone")))
     return (
-        found.select("id", "t", "copies", last.alias("each"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         .withColumn("lost", lost)
         .select(
             F.col("id").alias("doc_id"),
             "t",
             "copy",
-            F.size("each").alias("n_lines"),
+            F.size("places").alias("n_lines"),
             F.transform("lost", lambda x: x["place"]).alias("dropped"),
             F.transform("lost", lambda x: x["kept"]).alias("kept"),
         )

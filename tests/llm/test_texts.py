@@ -162,6 +162,22 @@ def test_line_dedup_against_brute_force(table):
         assert cleaned[i] == "\n".join(p for k, p in enumerate(parts) if k not in want[i])
 
 
+def test_line_dedup_copies_and_no_sort_for_every_line(table):
+    """All lines of a document were sorted anew for each of them."""
+    lines = [f"{n} {n * n} line of its own {n * 7919 % 1000}" for n in range(300)]
+    lines[5], lines[299] = "", lines[0]
+    docs = table((1, "\n".join(lines), "a"), (1, "\n".join(lines), "a"), (2, "\n".join(lines[:2]), "a"))
+    found = line_dedup.decide(docs).select("doc_id", "copy", "n_lines", "dropped", "kept")
+    assert "array_sort" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = {(r.doc_id, r["copy"]): r for r in found.collect()}
+    places = [n for n in range(300) if n != 5]
+    assert [rows[key].n_lines for key in ((1, 1), (1, 2), (2, 1))] == [299, 299, 2]
+    assert rows[1, 1].dropped[-1] == 299 and tuple(rows[1, 1].kept[-1]) == (1, 0)
+    assert list(rows[1, 2].dropped) == places and {k.doc_id for k in rows[1, 2].kept} == {1}
+    assert {k.place for k in rows[1, 2].kept} <= set(places) and tuple(rows[1, 2].kept[-1]) == (1, 0)
+    assert list(rows[2, 1].dropped) == [0, 1] and [k.doc_id for k in rows[2, 1].kept] == [1, 1]
+
+
 def test_line_dedup_edges(table):
     odd = table((1, "same line here", "a"), (1, "same line here", "a"), (None, "same line here", None), (2, None, None))
     got = sorted(((r.doc_id, r.n_lines, list(r.dropped)) for r in line_dedup.report(odd).collect()), key=str)
