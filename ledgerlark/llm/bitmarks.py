@@ -119,8 +119,9 @@ def _unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _added(parts: list[tuple[np.ndarray, np.ndarray]], least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all parts with the sums of their counts, which stop at ``least``."""
     keys, counts = (np.concatenate(side) for side in zip(*parts, strict=True))
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    # One number of key and count sorts faster than an order of the keys; stable, as it merges ascending runs.
+    both = np.sort(keys << U64(8) | counts.astype(U64), kind="stable")
+    keys, counts = both >> U64(8), (both & U64(255)).astype(np.int64)
     first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + U64(1))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.minimum(np.add.reduceat(counts, first), least) if len(keys) else counts
 
@@ -170,5 +171,6 @@ def often(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarr
             yield found(parts)
 
     runs = rows.mapInArrow(send, "bucket long, keys binary, counts binary")
-    merged = runs.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "place long, bits long")
+    # Without a number Spark brings small partitions together.
+    merged = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "place long, bits long")
     return _sent(merged)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,41 +34,84 @@ FACT_TYPES = "n long, heavy double, " + ", ".join(f"{c} long" for c in ODD)
 Elements = Callable[[pd.DataFrame], Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def _values(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield batch.column(0).flatten().to_numpy(zero_copy_only=False).view(U64)
+def _bands(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All band values of a column of lists, or of bytes with eight for each, and their number by row."""
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        lengths = pc.binary_length(column).fill_null(0).to_numpy() // 8
+        return np.frombuffer(b"".join(column.drop_null().to_pylist()), U64), lengths
+    lengths = column.value_lengths().fill_null(0).to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False).view(U64), lengths
 
 
-def _shared(marks):
+def _single(batch: pa.RecordBatch, again) -> pa.RecordBatch:
+    """The rows that stand alone for their node: marked so, or of a node that has one row."""
+    if again is None:
+        return batch
+    met = marked(again.value, short_key(batch.column(0).to_numpy().view(U64)))
+    return batch.filter(pc.or_(batch.column(2), pa.array(~met)))
+
+
+def _values(again):
+    def values(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield _bands(_single(batch, again).column("bands"))[0]
+
+    return values
+
+
+def _several(again):
+    """The rows of the nodes that may have several."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(again.value, short_key(batch.column(0).to_numpy().view(U64)))))
+
+    return keep
+
+
+def _shared(marks, again):
     """Nodes with those of their band values whose bits are set."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bands = batch.column(1)
-            found = bands.flatten()
-            owner = np.repeat(np.arange(len(bands)), bands.value_lengths().fill_null(0).to_numpy())
-            good = marked(marks.value, short_key(found.to_numpy(zero_copy_only=False).view(U64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[good])), found.filter(pa.array(good))], ["t", "bucket"])
+            rows = _single(batch, again)
+            found, lengths = _bands(rows.column(1))
+            good = marked(marks.value, short_key(found))
+            owner = np.repeat(np.arange(len(rows)), lengths)[good]
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(owner)), pa.array(found[good].view(np.int64))], ["t", "bucket"])
 
     return keep
 
 
-def crowded(signed: DataFrame) -> DataFrame:
+def crowded(signed: DataFrame, again=None) -> DataFrame:
     """The buckets (``t``, ``bucket``) of ``signed`` (``t``, ``bands``) that have several nodes.
 
     Adds ``center``, the smallest node of the bucket, and ``rows``, how many
     rows it has. Most buckets have one row: sorted runs of short keys find those that may have more, so
     that only they are shuffled. Buckets are then found by an aggregate with partial results and
     their rows by a join that Spark can split, so a bucket may have most rows.
+
+    With ``again``, the bits of all nodes (hashes) that may have several rows, these are
+    brought to one row each first, so that copies fill no bucket.
     """
-    marks = often(signed.select("bands"), _values, 2)
-    spread = signed.select("t", "bands").mapInArrow(_shared(marks), f"t {signed.schema['t'].dataType.simpleString()}, bucket bigint")
+    several = None
+    if again is not None:
+        several = stage(signed.select("t", "bands").mapInArrow(_several(again), signed.select("t", "bands").schema).dropDuplicates(["t"]), "repeated")
+        signed = signed.withColumn("single", F.lit(False)).unionByName(several.withColumn("single", F.lit(True)))
+    rows = signed.select("t", "bands", *(["single"] if again is not None else []))
+    marks = often(rows.select("bands") if again is None else rows, _values(again), 2)
+    kind = signed.schema["t"].dataType.simpleString()
+    spread = stage(rows.mapInArrow(_shared(marks, again), f"t {kind}, bucket bigint"), "spread")
+    if several is not None:
+        unstage(several)
     shared = (
         spread.groupBy("bucket")
         .agg(F.min("t").alias("center"), F.max("t").alias("other"), F.count("*").alias("rows"))
         .filter("center <> other")
         .drop("other")
     )
-    return stage(spread.join(shared, "bucket").distinct(), "buckets")
+    found = stage(spread.join(shared, "bucket").distinct(), "buckets")
+    unstage(spread)
+    return found
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
@@ -172,12 +216,14 @@ def _can_be_similar(similarity: float, weighted: bool, before: bool) -> Column:
     and v the weight shares of what only one has, that is at most the mean of
     (1-u)/(1+u) and (1-v)/(1+v), which is greatest if all of it is in the heavier
     set. With ``before``, so many elements (``rank``) and weight shares (``share``) stand before
-    the first common element as well.
+    the first common element as well; only one set has each of them, and the slots are those of the other elements.
     """
     apart = sum(
         (F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ODD[1:]),
         F.bit_count(F.col(f"{ODD[0]}_a").bitwiseXOR(F.col(f"{ODD[0]}_b"))),
     )
+    if before:
+        apart += F.col("rank_a") + F.col("rank_b")
     both = F.col("n_a") + F.col("n_b")
     left = [F.col(f"n_{s}") - (F.col(f"rank_{s}") if before else F.lit(0)) for s in "ab"]
     possible = F.least(*left) * (1 + similarity) >= both * similarity - 1e-6
@@ -191,10 +237,15 @@ def _can_be_similar(similarity: float, weighted: bool, before: bool) -> Column:
     return possible
 
 
+def _needed(weighted: bool) -> list[str]:
+    """The facts that ``_can_be_similar`` reads."""
+    return [c for c in FACTS if weighted or c != "heavy"]
+
+
 def hopeful(pairs: DataFrame, known: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     """The pairs whose facts (``known``: ``t`` and the facts) allow that they are similar; texts are not read."""
-    one = known.select(*[F.col(c).alias(f"{c}_a") for c in ("t", *FACTS)])
-    two = known.select(*[F.col(c).alias(f"{c}_b") for c in ("t", *FACTS)])
+    one = known.select(*[F.col(c).alias(f"{c}_a") for c in ("t", *_needed(weighted))])
+    two = known.select(*[F.col(c).alias(f"{c}_b") for c in ("t", *_needed(weighted))])
     joined = pairs.join(one, F.col("a") == F.col("t_a")).join(two, F.col("b") == F.col("t_b"))
     return joined.filter(_can_be_similar(similarity, weighted, before=False)).select("a", "b")
 
@@ -215,6 +266,18 @@ def _count(elements: Elements):
     return count
 
 
+def _odd_before(found: np.ndarray, begin: np.ndarray, kept: np.ndarray) -> dict[str, np.ndarray]:
+    """Which slots are odd among the elements that stand before each of the ``kept`` ones in its set, which begins at ``begin``."""
+    slot = mix64(found) >> U64(56)
+    bit = U64(1) << (slot & U64(63))
+    odd = {}
+    for i, name in enumerate(ODD):
+        own = np.where(slot >> U64(6) == i, bit, U64(0))
+        before = np.bitwise_xor.accumulate(own) ^ own
+        odd[name] = (before[kept] ^ before[begin[kept]]).view(np.int64)
+    return odd
+
+
 def _rarest(elements: Elements, often, similarity: float, weighted: bool):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -234,6 +297,8 @@ def _rarest(elements: Elements, often, similarity: float, weighted: bool):
                 of = owner[kept]
                 rows = part[["t", "label"]].iloc[of].reset_index(drop=True)
                 known = {name: values[of] for name, values in facts(owner, found, weight, len(part)).items()}
+                for name, gone in _odd_before(found, begin[owner], kept).items():
+                    known[name] = known[name] ^ gone
                 yield rows.assign(e=found[kept].view(np.int64), rank=rank[kept], share=before[kept] / total[of], **known)
 
     return find
@@ -278,8 +343,8 @@ def untested(nodes: DataFrame, sets: DataFrame, elements: Elements, similarity:
             F.ceil(F.col("rows") / BLOCK).alias("rights"),
         )
     )
-    cut = stage(marks.join(groups, "e"), "rarest-shared")
-    columns = ["t", "label", "rank", "share", *FACTS]
+    columns = ["t", "label", "rank", *(["share"] if weighted else []), *_needed(weighted)]
+    cut = stage(marks.select("e", *columns).join(groups, "e"), "rarest-shared")
     one = (
         cut.filter("label <> main")
         .withColumn("p", F.pmod(F.xxhash64("t"), F.col("lefts")))

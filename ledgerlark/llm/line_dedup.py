@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.arrays import U64, fold, mix64
-from ledgerlark.llm.bitmarks import marked, marks_of
+from ledgerlark.llm.bitmarks import marked, marks_of, often, short_key
 from ledgerlark.llm.buckets import FACT_TYPES, crowded, facts, settle
 from ledgerlark.llm.near_duplicates import text_key
 from ledgerlark.session import stage, unstage
@@ -31,6 +32,8 @@ BANDS, ROWS = 10, 4
 # Rounds of cheap comparisons in large buckets, before all that is left is compared.
 ROUNDS = 2
 SLICE_CHARS = 1_000_000
+# Characters whose arrays are worked on at once: they stay in a core's cache.
+BLOCK_CHARS = 50_000
 # Bits of a run's hash that lines are compared by.
 HASH_BITS = 55
 
@@ -52,30 +55,54 @@ def normal_lines(text: str) -> list[str]:
     odd = _ODD_SPACES if text.isascii() else _ODD_SPACES + _FAR_SPACES
     if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in odd):
         return [normal(line) for line in text.split("\n")]
-    return text.lower().split("\n")
+    # Of bytes, letters are lowered several times faster.
+    low = text.encode("ascii").lower().decode("ascii") if text.isascii() else text.lower()
+    return low.split("\n")
 
 
-def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and line number of all runs of eight characters; a shorter line is filled up."""
+def _windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the eight characters from every place on, over line ends too, and the length of every line, filled up to eight."""
     filled = [line.ljust(CHARS) for line in lines]
-    data = np.frombuffer("".join(filled).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
-    owner = np.repeat(np.arange(len(lines), dtype=np.int32), [len(line) for line in filled])
+    text = "".join(filled)
+    coded = np.frombuffer(text.encode("ascii"), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    data = coded.astype(U64)
     for step in (1, 2, 4):
         later = data[step:]
         data = data[:-step] * U64(pow(_BASE, step, 1 << 64))
         data += later
-    whole = owner[: len(data)] == owner[CHARS - 1 :]
-    return mix64(data[whole]), owner[: len(data)][whole]
+    return mix64(data), np.fromiter(map(len, filled), np.int64, len(filled))
+
+
+def _over(lengths: np.ndarray) -> np.ndarray:
+    """The places from which eight characters run over a line end."""
+    return (np.cumsum(lengths)[:-1, None] - np.arange(1, CHARS)).ravel()
+
+
+def runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and line number of all runs of eight characters; a shorter line is filled up."""
+    found, lengths = _windows(lines)
+    whole = np.ones(len(found), bool)
+    whole[_over(lengths)] = False
+    return found[whole], np.repeat(np.arange(len(lines)), lengths - (CHARS - 1))
 
 
 def signatures(lines: list[str]) -> np.ndarray:
     """Band hashes of every line."""
+    ends = np.cumsum([max(len(line), CHARS) for line in lines], dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // BLOCK_CHARS, prepend=0)).tolist()
+    edges = [0, *(at for at in cuts if at), len(lines)]
+    return np.concatenate([_signed(lines[a:b]) for a, b in zip(edges, edges[1:], strict=False)])
+
+
+def _signed(lines: list[str]) -> np.ndarray:
     size = BANDS * ROWS
-    found, owner = runs(lines)
-    slot = owner.astype(np.int64) * size + (((found >> U64(32)) * U64(size)) >> U64(32)).astype(np.int64)
     empty = np.iinfo(np.uint64).max
+    found, lengths = _windows(lines)
+    found[_over(lengths)] = empty
+    slot = ((found >> U64(32)) * U64(size)) >> U64(32)
+    slot += np.repeat(np.arange(len(lines), dtype=U64) * U64(size), lengths)[: len(found)]
     least = np.full(len(lines) * size, empty, U64)
-    np.minimum.at(least, slot, found)
+    np.minimum.at(least, slot.view(np.int64), found)
     least = least.reshape(len(lines), size)
     short = np.flatnonzero((least == empty).any(axis=1))
     least[short] = _filled(least[short], empty)
@@ -85,16 +112,12 @@ def signatures(lines: list[str]) -> np.ndarray:
 
 def _filled(least: np.ndarray, empty: int) -> np.ndarray:
     """Empty components borrow from the next one that is not, marked by the distance."""
-    full = least != empty
-    found, todo = least.copy(), ~full
-    for step in range(1, least.shape[1]):
-        if not todo.any():
-            break
-        known = np.roll(full, -step, axis=1)
-        take = todo & known
-        found[take] = np.roll(least, -step, axis=1)[take] + U64(step * _BORROW % 2**64)
-        todo &= ~known
-    return found
+    size = least.shape[1]
+    at = np.where(least != empty, np.arange(size), 2 * size)
+    at = np.concatenate([at, at + size], axis=1)  # once more round the end
+    at = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1][:, :size]
+    step = (at - np.arange(size)).astype(U64)
+    return np.take_along_axis(least, at % size, axis=1) + step * U64(_BORROW)
 
 
 def _line_hash(lines: list[str]) -> np.ndarray:
@@ -125,40 +148,64 @@ def _sliced(texts) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
         yield np.array(numbers), np.array(spots), held
 
 
-def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for every line, and one with place -1 for every document, with the places of its lines.
 
-    Of equal lines of a slice the first carries the bands.
+    Of equal lines of a slice the first carries the bands, eight bytes each.
     """
+    names = ["id", "t", "place", "line", "bands", "places"]
     for batch in batches:
-        batch = batch.reset_index(drop=True)
-        lined: list[list] = [[] for _ in range(len(batch))]
-        for numbers, places, held in _sliced(batch["text"]):
+        own = [batch.column(0), batch.column(1)]
+        counts, spots = np.zeros(len(batch), np.int64), []
+        for numbers, places, held in _sliced(batch.column(2).to_pylist()):
             hashes = _line_hash(held)
-            first = np.unique(hashes, return_index=True)[1]
-            bands: list = [None] * len(held)
-            for at, row in zip(first, signatures([held[i] for i in first]).view(np.int64), strict=True):
-                bands[at] = row
-            first = np.flatnonzero(np.diff(numbers, prepend=-1))
-            for number, own in zip(numbers[first].tolist(), np.split(places, first[1:]), strict=True):
-                lined[number].append(own)
-            rows = batch.loc[numbers, ["id", "t"]].reset_index(drop=True)
-            yield rows.assign(place=places, line=hashes.view(np.int64), bands=bands, places=None)
-        yield batch[["id", "t"]].assign(
-            place=-1, line=None, bands=None, places=[np.concatenate(own) if own else [] for own in lined]
-        )
+            first = np.sort(np.unique(hashes, return_index=True)[1])
+            rows = signatures([held[i] for i in first])
+            ends = np.zeros(len(held) + 1, np.int32)
+            ends[first + 1] = rows.itemsize * BANDS
+            np.cumsum(ends, out=ends)
+            signs = np.zeros(len(held), bool)
+            signs[first] = True
+            null = pa.py_buffer(np.packbits(signs, bitorder="little").tobytes())
+            bands = pa.Array.from_buffers(pa.binary(), len(held), [null, pa.py_buffer(ends.tobytes()), pa.py_buffer(rows.tobytes())])
+            counts += np.bincount(numbers, minlength=len(batch))
+            spots.append(places.astype(np.int32))
+            of = pa.array(numbers)
+            columns = [column.take(of) for column in own]
+            columns += [pa.array(spots[-1]), pa.array(hashes.view(np.int64)), bands, pa.nulls(len(held), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        lined = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*spots, np.zeros(0, np.int32)])))
+        columns = [*own, pa.array(np.full(len(batch), -1, np.int32)), pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.binary()), lined]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).to_numpy().view(U64)
+
+
+def _met(again, linked):
+    """The rows whose line may have several rows (``again``) or be linked (``linked``), by its bits."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = batch.column(batch.schema.get_field_index("line")).to_numpy().view(U64)
+            yield batch.filter(pa.array(marked(again.value, short_key(lines)) | marked(linked.value, lines)))
+
+    return keep
 
 
 def _texts(wanted):
     """Hash and text of the lines of a batch whose bits are set in ``wanted``, each once in a slice."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, held in _sliced(batch["text"]):
-                hashes, first = np.unique(_line_hash(held), return_index=True)
-                kept = marked(wanted.value, hashes)
-                if kept.any():
-                    yield pd.DataFrame({"t": hashes[kept].view(np.int64), "line": [held[i] for i in first[kept]]})
+            for _, _, held in _sliced(batch.column(0).to_pylist()):
+                hashes = _line_hash(held)
+                kept = np.flatnonzero(marked(wanted.value, hashes))
+                hashes, first = np.unique(hashes[kept], return_index=True)
+                lines = pa.array([held[i] for i in kept[first]], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), lines], ["t", "line"])
 
     return find
 
@@ -166,7 +213,11 @@ def _texts(wanted):
 def _distinct(lines: list[str]) -> np.ndarray:
     """Number of the line and 55 bits of a hash, as one ascending number, for all its runs, each once. Up to 512 lines."""
     found, owner = runs(lines)
-    keys = np.sort(owner.astype(U64) << U64(HASH_BITS) | found >> U64(64 - HASH_BITS))
+    keys = owner.astype(U64) << U64(HASH_BITS) | found >> U64(64 - HASH_BITS)
+    # Lines ascend, so some of them are sorted at a time.
+    edges = np.searchsorted(owner, np.arange(0, len(lines), 64)).tolist()
+    for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
+        keys[a:b].sort()
     return keys[np.diff(keys, prepend=~keys[:1]) != 0]
 
 
@@ -217,12 +268,13 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("id"), text_key(F.col(text)).alias("t"), F.col(text).alias("text"))
     signed = stage(
-        rows.mapInPandas(_sign, f"id {kind}, t bigint, place int, line bigint, bands array<bigint>, places array<int>"), "lines"
+        rows.mapInArrow(_sign, f"id {kind}, t bigint, place int, line bigint, bands binary, places array<int>"), "lines"
     )
-    shared = crowded(signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), "bands"))
+    again = often(signed.filter("place >= 0").select("line"), _lines, 2)
+    shared = crowded(signed.filter("bands IS NOT NULL").select(F.col("line").alias("t"), "bands"), again)
     wanted = stage(shared.select("t").distinct(), "candidates")
     # Bits of the hashes let a task drop most other lines; the join drops the rest.
-    lines = rows.select("text").mapInPandas(_texts(marks_of(wanted, "t")), "t bigint, line string")
+    lines = rows.select("text").mapInArrow(_texts(marks_of(wanted, "t")), "t bigint, line string")
     kept = stage(lines.join(wanted, "t", "left_semi").dropDuplicates(["t"]), "candidate-lines")
     known = stage(kept.mapInPandas(_known, f"t bigint, {FACT_TYPES}"), "facts")
 
@@ -233,7 +285,9 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     labels = settle(shared, verify, kept, known, _elements, SIMILARITY, ROUNDS).withColumnRenamed("node", "line")
     unstage(shared, wanted, kept, known)
+    # A line of one row without links stays, whatever the others do: most lines go no further.
     spots = signed.filter("place >= 0").select("id", "t", "place", "line")
+    spots = spots.mapInArrow(_met(again, marks_of(labels, "line")), spots.schema)
     named = stage(
         spots.join(labels, "line", "left").select("id", "t", "place", F.coalesce("label", "line").alias("label")), "named"
     )

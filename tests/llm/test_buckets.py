@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm import line_dedup, near_duplicates
 from ledgerlark.llm.bitmarks import PIECE, counts_of
-from ledgerlark.llm.buckets import FACT_TYPES, FACTS, crowded, settle
+from ledgerlark.llm.buckets import FACT_TYPES, FACTS, ODD, _odd_before, crowded, facts, settle, untested
 from ledgerlark.session import stage
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
@@ -103,3 +103,30 @@ def test_counts_reach_the_driver_in_pieces(spark, monkeypatch):
     counts = counts_of(counted, slots).value
     assert len(counts) == slots and {int(i): int(counts[i]) for i in np.flatnonzero(counts)} == {0: 7, PIECE: 2**31 - 1, slots - 1: 9}
     assert len(rows) == 3 and not counts_of(counted.limit(0), slots).value.any()
+
+
+def test_slots_of_the_elements_from_one_on():
+    """What stands before the first common element is apart as a whole; its slots were counted by whether they are odd."""
+    draw = np.random.default_rng(3)
+    n = [0, 1, 30, 400, 0, 7]
+    owner = np.repeat(np.arange(len(n)), n)
+    found = draw.integers(1, 2**63, len(owner)).astype(np.uint64)
+    begin = (np.cumsum(n) - n)[owner]
+    kept = draw.random(len(owner)) < 0.4
+    whole = facts(owner, found, np.ones(len(owner), np.int64), len(n))
+    before = _odd_before(found, begin, kept)
+    for at, place in enumerate(np.flatnonzero(kept)):
+        rest = found[place : begin[place] + n[owner[place]]]
+        want = facts(np.zeros(len(rest), np.int64), rest, np.ones(len(rest), np.int64), 1)
+        assert all(whole[c][owner[place]] ^ before[c][at] == want[c][0] for c in ODD)
+
+
+def test_similar_sets_are_joined_and_others_are_not(spark):
+    """A pair that shares rare elements but has too many of its own before them was compared."""
+    common, near, far = ([[f"{kind}{i:07d}" for i in range(n)] for kind, n in (("c", 40), ("n", 4), ("f", 60))])
+    lines = ["".join(common), "".join(common[:39] + near[:1]), "".join(common[:20] + far[:20]), "".join(far[30:] + common[10:20])]
+    sets = stage(spark.createDataFrame(list(enumerate(lines)), "t bigint, line string"), "sets")
+    nodes = sets.select("t", F.col("t").alias("label"))
+    elements = line_dedup._elements
+    pairs = {(r.a, r.b) for r in untested(nodes, sets, elements, line_dedup.SIMILARITY, False).collect()}
+    assert pairs == {(0, 1)}

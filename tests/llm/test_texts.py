@@ -10,8 +10,9 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from ledgerlark.llm import arrays, context_tree, line_dedup, near_duplicates, quality_classifier, quality_rules
+from ledgerlark.llm import arrays, buckets, context_tree, line_dedup, near_duplicates, quality_classifier, quality_rules
 from ledgerlark.llm.components import components
+from ledgerlark.session import stage
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{i % 977}" for i in range(60_000))
@@ -185,6 +186,34 @@ def test_line_dedup_edges(table):
     assert line_dedup.report(odd.limit(0)).count() == 0
 
 
+def test_line_dedup_copies_fill_no_bucket(table, monkeypatch):
+    """Each slice that has a line put it in its buckets once more, and lines that stay for sure were joined and sorted."""
+    line = "a line of many words that every document has"
+    docs = table(*[(i, f"{line}\n{random.Random(i).getrandbits(240):060x}", "a") for i in range(40)], (40, line + ".", "a"))
+    kept = {}
+
+    def spy(df, label):
+        kept.setdefault(label, []).append(found := stage(df, label))
+        found.rows = found.collect()
+        return found
+
+    monkeypatch.setattr(buckets, "stage", spy)
+    monkeypatch.setattr(line_dedup, "stage", spy)
+    got = {r.doc_id: r for r in line_dedup.report(docs.repartition(8)).collect()}
+    assert {i: list(r.dropped) for i, r in got.items()} == {0: [], **{i: [0] for i in range(1, 41)}}
+    assert {tuple(r.kept_doc_ids) for i, r in got.items() if i} == {(0,)}
+    assert max(r["rows"] for r in kept["buckets"][0].rows) == 2
+    assert len(kept["named"][0].rows) == 41
+
+
+def test_signatures_do_not_depend_on_blocks(monkeypatch):
+    lines = [sentence(random.Random(n), n % 30 + 1) + "\u00e9" * (n % 2) for n in range(80)] + ["x", "\U0001F600"]
+    whole = line_dedup.signatures(lines)
+    for size in (1, 100, 1000):
+        monkeypatch.setattr(line_dedup, "BLOCK_CHARS", size)
+        assert (line_dedup.signatures(lines) == whole).all()
+
+
 def labelled(spark, draw, n=300):
     rows, labels = [], []
     for i in range(n):
